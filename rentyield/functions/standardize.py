@@ -32,38 +32,37 @@ EURO = "€"
 UTILITIES_MARK = "utilities incl"
 
 _DIGITS = r"[0-9](?:_?[0-9])*"
-# Python float() grammar after stripping, ASCII digits only.
+# Python float() grammar, ASCII digits only; float() itself ignores surrounding
+# whitespace, so the capture group is the number and whitespace may surround it.
 FLOAT_TEXT = (
-    rf"\A[+-]?(?:(?:(?:{_DIGITS})(?:\.(?:{_DIGITS})?)?|\.(?:{_DIGITS}))"
-    rf"(?:[eE][+-]?{_DIGITS})?|(?i:inf|infinity|nan))\z"
+    rf"\A{WS}*([+-]?(?:(?:(?:{_DIGITS})(?:\.(?:{_DIGITS})?)?|\.(?:{_DIGITS}))"
+    rf"(?:[eE][+-]?{_DIGITS})?|(?i:inf|infinity|nan)))\z"
 )
+_FLOAT_CAPTURE = FLOAT_TEXT[:-2] + rf"{WS}*\z"
 
 
-def _strip(c: Column) -> Column:
-    return F.regexp_replace(c, rf"\A{WS}+|{WS}+\z", "")
+def _present(c: Column) -> Column:
+    """Text given (not NULL, not empty): the reference treats both as missing."""
+    return c.isNotNull() & (c != F.lit(""))
 
 
 def _float_or_null(c: Column) -> Column:
-    """Python ``float(text)`` semantics as a Spark expression; invalid → NULL."""
-    return F.when(c.rlike(FLOAT_TEXT), F.regexp_replace(c, "_", "").try_cast("double"))
-
-
-def _present(c: Column) -> Column:
-    """Reference contract: NULL or empty text yields NULL."""
-    return c.isNotNull() & (c != F.lit(""))
+    """Python ``float(text)`` semantics as one regex and a cast; invalid → NULL."""
+    body = F.nullif(F.regexp_extract(c, _FLOAT_CAPTURE, 1), F.lit(""))
+    return F.translate(body, "_", "").try_cast("double")
 
 
 def rent_amount(c: Column) -> Column:
     """ST01: '€ 1.250,-  Utilities incl.' → 1250.0.
 
-    Drop the euro sign, strip, cut from ',-' to the end of the line, strip,
-    drop '.' thousands marks, then parse as a float.
+    Reference steps: drop the euro sign, strip, cut from ',-' to the end of the
+    line, strip, drop '.' thousands marks, float(). The strips are implied by
+    float() ignoring surrounding whitespace, so this is one ``translate``, one
+    ``regexp_replace``, one ``translate`` and the float parse; NULL or empty
+    text gives NULL.
     """
-    c = c.cast("string")
-    t = _strip(F.regexp_replace(c, EURO, ""))
-    t = _strip(F.regexp_replace(t, rf"{WS}*,-[^\n]*", ""))
-    t = F.regexp_replace(t, r"\.", "")
-    return F.when(_present(c), _float_or_null(t))
+    t = F.regexp_replace(F.translate(c.cast("string"), EURO, ""), rf"{WS}*,-[^\n]*", "")
+    return _float_or_null(F.translate(t, ".", ""))
 
 
 def rent_utilities(c: Column) -> Column:
@@ -91,11 +90,14 @@ def capacity(c: Column) -> Column:
 
 
 def deposit_amount(c: Column) -> Column:
-    """ST06: European decimal comma: '€ 1.250,50' → 1250.5; '€ 500,-' → NULL (kept)."""
-    c = c.cast("string")
-    t = _strip(F.regexp_replace(c, EURO, ""))
-    t = F.regexp_replace(F.regexp_replace(t, r"\.", ""), ",", ".")
-    return F.when(_present(c), _float_or_null(t))
+    """ST06: European decimal comma: '€ 1.250,50' → 1250.5; '€ 500,-' → NULL (kept).
+
+    Reference steps: drop the euro sign, strip, drop '.', turn ',' into '.',
+    float(). One ``translate`` does both character steps at once (',' → '.',
+    '.' → removed), which equals doing them in that order.
+    """
+    t = F.translate(F.translate(c.cast("string"), EURO, ""), ",.", ".")
+    return _float_or_null(t)
 
 
 def price_outlier(c: Column, lo: float = 10.0, hi: float = 2000.0) -> Column:

@@ -18,7 +18,8 @@ Every point meets at most one index row, so the join is left-preserving with no
 row id, no group-by and no collect. The index is broadcast only after its size
 has been measured against ``broadcast_limit``; above it, both sides shuffle on
 the cell and cells holding more than ``rows_per_task`` points are salted, so a
-cell with a third of all points is split over many tasks.
+cell with a third of all points is split over many tasks. The size check is
+one aggregate over the zones that returns a proven upper bound, not a guess.
 
 Contract: coordinates are compared as exact doubles; a point exactly on an edge
 or vertex is in no zone; where zones overlap the lowest feature index wins.
@@ -48,39 +49,68 @@ filter(
 """
 
 
-def _inside_sql(edges: str, px: str, py: str) -> str:
-    """Even-odd ray test toward +x; False when the point lies on any edge."""
-    cross = (f"((e.y1 > {py}) != (e.y2 > {py})) AND "
-             f"((((e.x2 - e.x1) * ({py} - e.y1)) - (({px} - e.x1) * (e.y2 - e.y1))) * (e.y2 - e.y1) > 0)")
-    on = (f"((e.x2 - e.x1) * ({py} - e.y1) = (e.y2 - e.y1) * ({px} - e.x1)) AND "
-          f"{px} BETWEEN least(e.x1, e.x2) AND greatest(e.x1, e.x2) AND "
-          f"{py} BETWEEN least(e.y1, e.y2) AND greatest(e.y1, e.y2)")
-    return (f"aggregate({edges}, named_struct('odd', false, 'on', false), "
-            f"(acc, e) -> named_struct('odd', acc.odd != ({cross}), 'on', acc.on OR ({on})), "
-            f"acc -> acc.odd AND NOT acc.on)")
+_ON_EDGE = 1_000_000_000
+
+
+def _inside_sql(z: str, px: str, py: str) -> str:
+    """Even-odd ray test toward +x for zone struct ``z``; False when the point is on an edge.
+
+    Written for the interpreted lambda path: a cheap bounding-box reject first,
+    a long accumulator (no struct per step), bbox before the collinearity test,
+    and per-edge constants (ylo, yhi, xlo, xhi, slope k) precomputed in the index.
+    The crossing x uses the stored slope; exact on-edge points are caught by
+    the exact cross-product test.
+    """
+    on = (f"{px} >= e.xlo AND {px} <= e.xhi AND {py} >= e.ylo AND {py} <= e.yhi "
+          f"AND (e.x2 - e.x1) * ({py} - e.y1) = (e.y2 - e.y1) * ({px} - e.x1)")
+    cross = f"{py} >= e.ylo AND {py} < e.yhi AND {px} < e.x1 + ({py} - e.y1) * e.k"
+    return (f"{px} >= {z}.minx AND {px} <= {z}.maxx AND {py} >= {z}.miny AND {py} <= {z}.maxy AND "
+            f"aggregate({z}.edges, 0L, (acc, e) -> acc + CASE WHEN {on} THEN {_ON_EDGE}L "
+            f"WHEN {cross} THEN 1L ELSE 0L END, acc -> acc < {_ON_EDGE}L AND acc % 2 = 1)")
 
 
 def zone_edges(zones: DataFrame) -> DataFrame:
     """(fid, code, rings) → (fid, code, edges, minx, miny, maxx, maxy); empty zones dropped."""
     z = zones.select("fid", "code", F.expr(_EDGES_SQL).alias("edges"))
-    z = z.filter(F.size("edges") > 0)
+    z = z.filter(F.size("edges") > 0).withColumn("edges", F.expr(
+        "transform(edges, e -> named_struct('x1', e.x1, 'y1', e.y1, 'x2', e.x2, 'y2', e.y2, "
+        "'xlo', least(e.x1, e.x2), 'xhi', greatest(e.x1, e.x2), "
+        "'ylo', least(e.y1, e.y2), 'yhi', greatest(e.y1, e.y2), "
+        "'k', CASE WHEN e.y1 != e.y2 THEN (e.x2 - e.x1) / (e.y2 - e.y1) END))"))
     return z.withColumns({
-        "minx": F.expr("array_min(transform(edges, e -> least(e.x1, e.x2)))"),
-        "maxx": F.expr("array_max(transform(edges, e -> greatest(e.x1, e.x2)))"),
-        "miny": F.expr("array_min(transform(edges, e -> least(e.y1, e.y2)))"),
-        "maxy": F.expr("array_max(transform(edges, e -> greatest(e.y1, e.y2)))"),
+        "minx": F.expr("array_min(transform(edges, e -> e.xlo))"),
+        "maxx": F.expr("array_max(transform(edges, e -> e.xhi))"),
+        "miny": F.expr("array_min(transform(edges, e -> e.ylo))"),
+        "maxy": F.expr("array_max(transform(edges, e -> e.yhi))"),
     })
 
 
-def choose_cell_size(edges: DataFrame) -> float:
-    """Median zone extent (larger of width and height): a typical zone spans ~2x2 cells.
+EDGE_BYTES = 9 * 8      # nine doubles per stored edge
+ZONE_BYTES = 96         # fid, code, bbox and array headers per zone entry
+
 
-    One small aggregate over the zones; only a single number reaches the driver.
+def index_stats(edges: DataFrame, cell: float | None = None) -> tuple[float, int]:
+    """(cell size, upper bound on the index bytes) from ONE small aggregate over zones.
+
+    The default cell is the median zone extent (larger of width and height), so a
+    typical zone covers about 2x2 cells. A zone of size w x h covers at most
+    (w/c + 2)(h/c + 2) cells, each holding at most its E edges, so
+    sum (w/c + 2)(h/c + 2)(E * EDGE_BYTES + ZONE_BYTES) bounds the index; the
+    three sums needed for any c come back with the median in the same job.
     """
-    row = edges.agg(F.percentile_approx(F.greatest(F.col("maxx") - F.col("minx"),
-                                                   F.col("maxy") - F.col("miny")), 0.5).alias("m")).first()
-    m = row["m"] if row is not None else None
-    return float(m) if m and m > 0 else 1.0
+    w = F.col("maxx") - F.col("minx")
+    h = F.col("maxy") - F.col("miny")
+    b = F.size("edges") * F.lit(EDGE_BYTES) + F.lit(ZONE_BYTES)
+    row = edges.agg(
+        F.percentile_approx(F.greatest(w, h), 0.5).alias("m"),
+        F.sum(w * h * b).alias("s2"), F.sum((w + h) * b).alias("s1"), F.sum(b).alias("s0"),
+    ).first()
+    if cell is None:
+        m = row["m"] if row is not None else None
+        cell = float(m) if m and m > 0 else 1.0
+    s2, s1, s0 = (float(row[k] or 0.0) for k in ("s2", "s1", "s0"))
+    bound = s2 / (cell * cell) + 2.0 * s1 / cell + 4.0 * s0
+    return float(cell), int(bound)
 
 
 def build_cell_index(edges: DataFrame, cell: float) -> DataFrame:
@@ -89,19 +119,12 @@ def build_cell_index(edges: DataFrame, cell: float) -> DataFrame:
     eps = float(cell) * 1e-9
     zc = edges.withColumn("cx", F.explode(F.sequence(F.floor(F.col("minx") / c), F.floor(F.col("maxx") / c))))
     zc = zc.withColumn("cy", F.explode(F.sequence(F.floor(F.col("miny") / c), F.floor(F.col("maxy") / c))))
-    band = (f"filter(edges, e -> greatest(e.y1, e.y2) >= cy * {cell!r} - {eps!r} "
-            f"AND least(e.y1, e.y2) <= (cy + 1) * {cell!r} + {eps!r} "
-            f"AND greatest(e.x1, e.x2) >= cx * {cell!r} - {eps!r})")
-    zc = zc.select("cx", "cy", "fid", "code", F.expr(band).alias("edges")).filter(F.size("edges") > 0)
-    return zc.groupBy("cx", "cy").agg(
-        F.sort_array(F.collect_list(F.struct("fid", "code", "edges"))).alias("zs"))
-
-
-def index_size_bytes(index: DataFrame) -> int:
-    """Measured payload of the cell index (8 bytes per coordinate plus keys)."""
-    row = index.agg(F.sum(F.expr(
-        "24 + aggregate(zs, 0L, (acc, z) -> acc + 16 + length(z.code) + 32 * size(z.edges))")).alias("b")).first()
-    return int(row["b"] or 0)
+    band = (f"filter(edges, e -> e.yhi >= cy * {cell!r} - {eps!r} "
+            f"AND e.ylo <= (cy + 1) * {cell!r} + {eps!r} AND e.xhi >= cx * {cell!r} - {eps!r})")
+    zc = zc.select("cx", "cy", "fid", "code", "minx", "maxx", "miny", "maxy",
+                   F.expr(band).alias("edges")).filter(F.size("edges") > 0)
+    return zc.groupBy("cx", "cy").agg(F.sort_array(F.collect_list(
+        F.struct("fid", "code", "minx", "maxx", "miny", "maxy", "edges"))).alias("zs"))
 
 
 def _cell_of(v: Column, cell: float) -> Column:
@@ -121,27 +144,28 @@ def spatial_join(points: DataFrame, zones: DataFrame, lon: str = "longitude", la
     with NULL and never meet the index.
     """
     edges = zone_edges(zones)
-    if cell is None:
-        cell = choose_cell_size(edges)
+    cell, size_bound = index_stats(edges, cell)
     index = build_cell_index(edges, cell)
 
     ok = F.col(lon).isNotNull() & F.col(lat).isNotNull()
     if where is not None:
         ok = ok & F.coalesce(where, F.lit(False))
     pts = points.withColumns({
-        "_cx": F.when(ok, _cell_of(F.col(lon).cast("double"), cell)),
-        "_cy": F.when(ok, _cell_of(F.col(lat).cast("double"), cell)),
+        "_px": F.col(lon).cast("double"),
+        "_py": F.col(lat).cast("double"),
+    }).withColumns({
+        "_cx": F.when(ok, _cell_of(F.col("_px"), cell)),
+        "_cy": F.when(ok, _cell_of(F.col("_py"), cell)),
     })
 
-    if index_size_bytes(index) <= broadcast_limit:
+    if size_bound <= broadcast_limit:
         joined = pts.join(F.broadcast(index.withColumnsRenamed({"cx": "_cx", "cy": "_cy"})),
                           on=["_cx", "_cy"], how="left")
     else:
         joined = _salted_join(pts, index, rows_per_task, max_hot_cells)
 
-    inside = _inside_sql("z.edges", f"CAST(`{lon}` AS DOUBLE)", f"CAST(`{lat}` AS DOUBLE)")
-    code = F.expr(f"get(filter(zs, z -> {inside}), 0).code")
-    return joined.withColumn(out, code).drop("_cx", "_cy", "_salt", "zs")
+    code = F.expr(f"get(filter(zs, z -> {_inside_sql('z', '_px', '_py')}), 0).code")
+    return joined.withColumn(out, code).drop("_px", "_py", "_cx", "_cy", "_salt", "zs")
 
 
 def _salted_join(pts: DataFrame, index: DataFrame, rows_per_task: int, max_hot_cells: int) -> DataFrame:

@@ -21,6 +21,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .tables import spread
+
 _PC = "CAST(1000 + l_partkey % 80 AS VARCHAR(20))"
 _RENT = "CAST(floor(o_totalprice / 100) AS BIGINT)"
 
@@ -93,7 +95,7 @@ def sql_select(cols: list[tuple[str, str]], table: str) -> str:
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{table}.parquet")
+    return spread(spark.read.parquet(f"{sf_dir}/{table}.parquet"))
 
 
 def stays(spark: SparkSession, sf_dir: str) -> DataFrame:
