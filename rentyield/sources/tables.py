@@ -7,7 +7,6 @@ value containing '/'); a layer is just a naming rule.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 
 def _is_path(target: str) -> bool:
@@ -42,13 +41,11 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     multi-line JSON document is one task, and every fused narrow step after it
     (text parsing, the spatial test) would run on one core. When the scan has
     fewer partitions than ``min_partitions`` (default: the cluster's default
-    parallelism) rows are hashed on all their columns: deterministic on task
-    retry and without the sort a round-robin split needs. It only fires on
-    inputs smaller than a few splits, so even a run of identical rows stays
-    small; on large inputs, which already have many more splits than cores,
-    it is a no-op and no shuffle is added.
+    parallelism) rows are dealt round-robin. A round-robin repartition names no
+    column, so column pruning and projections still pass through it (hashing
+    on the columns would force every column to be read), and Spark sorts before
+    dealing so a retried task gets the same rows. On large inputs, which already
+    have many more splits than cores, it is a no-op and no shuffle is added.
     """
     want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= want:
-        return df
-    return df.repartition(want, *[F.col(c) for c in df.columns])
+    return df.repartition(want) if df.rdd.getNumPartitions() < want else df
