@@ -46,23 +46,32 @@ def _present(c: Column) -> Column:
     return c.isNotNull() & (c != F.lit(""))
 
 
+def _drop(c: Column, chars: str, by: str = "") -> Column:
+    """Plain substring replacement (no regex)."""
+    return F.replace(c, F.lit(chars), F.lit(by))
+
+
 def _float_or_null(c: Column) -> Column:
-    """Python ``float(text)`` semantics as one regex and a cast; invalid → NULL."""
-    body = F.nullif(F.regexp_extract(c, _FLOAT_CAPTURE, 1), F.lit(""))
-    return F.translate(body, "_", "").try_cast("double")
+    """Python ``float(text)`` semantics as one regex and a cast; invalid → NULL.
+
+    No match extracts '' and ``try_cast('')`` is NULL, so the input is used
+    once: a Filter gets no common-subexpression elimination, and a repeated
+    input would re-run the whole chain.
+    """
+    return _drop(F.regexp_extract(c, _FLOAT_CAPTURE, 1), "_").try_cast("double")
 
 
 def rent_amount(c: Column) -> Column:
     """ST01: '€ 1.250,-  Utilities incl.' → 1250.0.
 
-    Reference steps: drop the euro sign, strip, cut from ',-' to the end of the
-    line, strip, drop '.' thousands marks, float(). The strips are implied by
-    float() ignoring surrounding whitespace, so this is one ``translate``, one
-    ``regexp_replace``, one ``translate`` and the float parse; NULL or empty
-    text gives NULL.
+    Reference steps: drop the euro sign, strip, cut from ',-' (and the
+    whitespace before it) to the end of the line, strip, drop '.' thousands
+    marks, float(). float() ignores surrounding whitespace, so the strips and
+    the whitespace before ',-' need no pass of their own: one regex cut, two
+    plain replacements and the float parse. NULL or empty text gives NULL.
     """
-    t = F.regexp_replace(F.translate(c.cast("string"), EURO, ""), rf"{WS}*,-[^\n]*", "")
-    return _float_or_null(F.translate(t, ".", ""))
+    t = F.regexp_replace(_drop(c.cast("string"), EURO), r",-[^\n]*", "")
+    return _float_or_null(_drop(t, "."))
 
 
 def rent_utilities(c: Column) -> Column:
@@ -80,23 +89,22 @@ def postal_pc4(c: Column) -> Column:
 def area_sqm(c: Column) -> Column:
     """ST04: first number anywhere in the text ('14 m2' → 14.0, '1.250 m2' → 1.25)."""
     c = c.cast("string")
-    return F.nullif(F.regexp_extract(c, r"([0-9]+(?:\.[0-9]+)?)", 1), F.lit("")).try_cast("double")
+    return F.regexp_extract(c, r"([0-9]+(?:\.[0-9]+)?)", 1).try_cast("double")
 
 
 def capacity(c: Column) -> Column:
     """ST05: first integer in the text; beyond 32 bits → NULL."""
     c = c.cast("string")
-    return F.nullif(F.regexp_extract(c, r"([0-9]+)", 1), F.lit("")).try_cast("int")
+    return F.regexp_extract(c, r"([0-9]+)", 1).try_cast("int")
 
 
 def deposit_amount(c: Column) -> Column:
     """ST06: European decimal comma: '€ 1.250,50' → 1250.5; '€ 500,-' → NULL (kept).
 
     Reference steps: drop the euro sign, strip, drop '.', turn ',' into '.',
-    float(). One ``translate`` does both character steps at once (',' → '.',
-    '.' → removed), which equals doing them in that order.
+    float(); the strip is implied by float().
     """
-    t = F.translate(F.translate(c.cast("string"), EURO, ""), ",.", ".")
+    t = _drop(_drop(_drop(c.cast("string"), EURO), "."), ",", ".")
     return _float_or_null(t)
 
 

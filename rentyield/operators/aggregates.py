@@ -4,20 +4,26 @@ Every aggregate here is algebraic or a mergeable sketch: Spark plans a partial
 aggregate before the shuffle, so a PC4 holding a third of all rows costs one
 partial row per input partition, not one giant group in one task.
 
-Means are exact decimal means rounded half-up to cents. The default median is
-``percentile_approx`` (a mergeable quantile sketch, as in the reference); the
-exact variant ``percentile_disc`` buffers a whole group in one task and is only
+Means are exact decimal means rounded half-up to cents. Medians are the lower
+middle value: by default from KLL quantile sketches merged in two levels (see
+``grouped_measures``), or ``percentile_approx`` as the reference does, or the
+exact ``percentile_disc``, which buffers a whole group in one task and is only
 meant for tests and small data.
 """
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .revenue import money
 
 DEFAULT_ACCURACY = 10000
+DEFAULT_METHOD = "sketch"
+DEFAULT_SKETCH_K = 8000
+DEFAULT_SALTS = 64
 
 
 def count_of(c: Column) -> Column:
@@ -44,34 +50,85 @@ def median2(col: str, exact: bool = False, accuracy: int = DEFAULT_ACCURACY, dig
     return F.round(m, digits).cast("double")
 
 
-def area_stays(rev: DataFrame, key: str = "pc4", exact: bool = False,
-               accuracy: int = DEFAULT_ACCURACY, prefix: str = "airbnb") -> DataFrame:
+def grouped_measures(df: DataFrame, key: str, specs: list[tuple[str, str, Column, int]],
+                     method: str = DEFAULT_METHOD, accuracy: int = DEFAULT_ACCURACY,
+                     sketch_k: int = DEFAULT_SKETCH_K, salts: int = DEFAULT_SALTS) -> DataFrame:
+    """Per-group count / mean / median measures.
+
+    ``specs``: (output name, kind in {count, mean, median}, column, decimal scale).
+    Means are exact decimal means; medians are the lower middle value.
+
+    method="sketch" (default, for scale): two levels. Level 1 groups by
+    (key, salt) where salt = input task id mod ``salts``: every input task
+    contributes one partial per key, and a key holding a third of all rows has
+    its partials merged by ``salts`` tasks instead of one. It carries counts,
+    decimal sums and KLL quantile sketches of the exact scaled integers. Level 2
+    merges at most ``salts`` rows per key. KLL is exact while a group holds at
+    most about ``sketch_k`` values and a bounded-error sketch beyond.
+    method="approx": one level with ``percentile_approx`` (the reference's choice);
+    method="exact": one level with ``percentile_disc`` (buffers whole groups).
+    """
+    if method in ("approx", "exact"):
+        cols = []
+        for name, kind, c, scale in specs:
+            tmp = f"_m_{name}"
+            df = df.withColumn(tmp, c)
+            if kind == "count":
+                cols.append(F.count(F.col(tmp)).alias(name))
+            elif kind == "mean":
+                cols.append(mean2(F.col(tmp), f"decimal(38,{scale})").alias(name))
+            else:
+                cols.append(median2(tmp, method == "exact", accuracy).alias(name))
+        return df.groupBy(key).agg(*cols)
+
+    level1, level2 = [], []
+    for i, (name, kind, c, scale) in enumerate(specs):
+        if kind == "count":
+            level1.append(F.count(c).alias(f"_n{i}"))
+            level2.append(F.sum(f"_n{i}").alias(name))
+        elif kind == "mean":
+            x = c.try_cast(f"decimal(38,{scale})")
+            level1 += [F.sum(x).alias(f"_s{i}"), F.count(x).alias(f"_n{i}")]
+            level2.append(F.round(F.sum(f"_s{i}") / F.sum(f"_n{i}").cast("decimal(20,0)"), 2)
+                          .cast("double").alias(name))
+        else:
+            units = (c.try_cast(f"decimal(38,{scale})") * F.lit(10 ** scale)).try_cast("bigint")
+            level1 += [F.kll_sketch_agg_bigint(units, sketch_k).alias(f"_q{i}"), F.count(units).alias(f"_n{i}")]
+            q = F.kll_sketch_get_quantile_bigint(F.kll_merge_agg_bigint(f"_q{i}", sketch_k), F.lit(0.5))
+            value = F.round(q.cast("decimal(38,0)") / F.lit(Decimal(10 ** scale)), 2).cast("double")
+            level2.append(F.when(F.sum(f"_n{i}") > 0, value).alias(name))
+    salted = df.withColumn("_salt", F.pmod(F.spark_partition_id(), F.lit(salts)))
+    return salted.groupBy(key, "_salt").agg(*level1).groupBy(key).agg(*level2)
+
+
+def area_stays(rev: DataFrame, key: str = "pc4", method: str = DEFAULT_METHOD,
+               accuracy: int = DEFAULT_ACCURACY, prefix: str = "airbnb", **opts) -> DataFrame:
     """AG01: per-area short-stay measures (count, mean/median price and net, mean score)."""
-    rev = rev.withColumns({"_price": money(F.col("price")),
-                           "_net": F.col("annual_net_revenue").try_cast("decimal(24,6)")})
-    return rev.groupBy(key).agg(
-        count_of(F.col("price")).alias(f"{prefix}_listing_count"),
-        mean2(F.col("_price")).alias(f"{prefix}_avg_nightly_price"),
-        median2("_price", exact, accuracy).alias(f"{prefix}_median_nightly_price"),
-        mean2(F.col("_net"), "decimal(24,6)").alias(f"{prefix}_avg_annual_net_revenue"),
-        median2("_net", exact, accuracy).alias(f"{prefix}_median_annual_net_revenue"),
-        mean2(F.col("review_scores_value")).alias(f"{prefix}_avg_review_score"),
-    )
-
-
-def area_lets(rev: DataFrame, key: str = "pc4", exact: bool = False,
-              accuracy: int = DEFAULT_ACCURACY, prefix: str = "kamernet") -> DataFrame:
+    price = money(F.col("price"))
+    net = F.col("annual_net_revenue").try_cast("decimal(24,6)")
+    return grouped_measures(rev, key, [
+        (f"{prefix}_listing_count", "count", F.col("price"), 0),
+        (f"{prefix}_avg_nightly_price", "mean", price, 3),
+        (f"{prefix}_median_nightly_price", "median", price, 2),
+        (f"{prefix}_avg_annual_net_revenue", "mean", net, 6),
+        (f"{prefix}_median_annual_net_revenue", "median", net, 6),
+        (f"{prefix}_avg_review_score", "mean", F.col("review_scores_value"), 3),
+    ], method, accuracy, **opts)
+
+
+def area_lets(rev: DataFrame, key: str = "pc4", method: str = DEFAULT_METHOD,
+              accuracy: int = DEFAULT_ACCURACY, prefix: str = "kamernet", **opts) -> DataFrame:
     """AG02: per-area let measures (count, mean/median rent and net, mean area)."""
-    rev = rev.withColumns({"_rent": money(F.col("rent_amount")),
-                           "_net": F.col("annual_net_revenue").try_cast("decimal(24,6)")})
-    return rev.groupBy(key).agg(
-        count_of(F.col("rent_amount")).alias(f"{prefix}_listing_count"),
-        mean2(F.col("_rent")).alias(f"{prefix}_avg_monthly_rent"),
-        median2("_rent", exact, accuracy).alias(f"{prefix}_median_monthly_rent"),
-        mean2(F.col("_net"), "decimal(24,6)").alias(f"{prefix}_avg_annual_net_revenue"),
-        median2("_net", exact, accuracy).alias(f"{prefix}_median_annual_net_revenue"),
-        mean2(F.col("area_sqm")).alias(f"{prefix}_avg_area_sqm"),
-    )
+    rent = money(F.col("rent_amount"))
+    net = F.col("annual_net_revenue").try_cast("decimal(24,6)")
+    return grouped_measures(rev, key, [
+        (f"{prefix}_listing_count", "count", F.col("rent_amount"), 0),
+        (f"{prefix}_avg_monthly_rent", "mean", rent, 3),
+        (f"{prefix}_median_monthly_rent", "median", rent, 2),
+        (f"{prefix}_avg_annual_net_revenue", "mean", net, 6),
+        (f"{prefix}_median_annual_net_revenue", "median", net, 6),
+        (f"{prefix}_avg_area_sqm", "mean", F.col("area_sqm"), 3),
+    ], method, accuracy, **opts)
 
 
 def frequency(df: DataFrame, col: str, top: int | None = None) -> DataFrame:

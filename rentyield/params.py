@@ -75,3 +75,4 @@ class Paths:
     zones_file: str = "geo/post_codes.geojson"
     database: str | None = None
     city: str = "amsterdam"
+    partition_rentals_by_city: bool = True   # bronze rentals partitioned: the city filter prunes files

@@ -1,9 +1,10 @@
 """Gold comparison: revenue per listing → per-area measures → comparison.
 
 Plan shape: two scans with pushed-down outlier filters and pruned columns,
-two partial+final hash aggregates on ``pc4`` (map-side combine, so a hot area
-costs one partial row per task), a full outer join that reuses that hash
-partitioning, and the derived columns.
+two-level aggregates per side ((pc4, salt) then pc4, each with map-side
+partial aggregation, so a hot area is merged by many tasks), a full outer join
+that reuses the pc4 hash partitioning of the second level, and the derived
+columns.
 """
 
 from __future__ import annotations
@@ -12,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.predicates import not_flagged
-from ..operators.aggregates import DEFAULT_ACCURACY, area_lets, area_stays
+from ..operators.aggregates import DEFAULT_METHOD, area_lets, area_stays
 from ..operators.compare import compare
 from ..operators.revenue import let_revenue, stay_revenue
 from ..params import Assumptions, Labels
@@ -29,9 +30,9 @@ def lets_revenue(silver_lets: DataFrame, a: Assumptions = Assumptions()) -> Data
 
 
 def gold(silver_stays: DataFrame, silver_lets: DataFrame, a: Assumptions = Assumptions(),
-         labels: Labels = Labels(), exact: bool = False, accuracy: int = DEFAULT_ACCURACY,
-         drop_null_key: bool = False) -> DataFrame:
+         labels: Labels = Labels(), method: str = DEFAULT_METHOD, drop_null_key: bool = False,
+         **agg_opts) -> DataFrame:
     """The per-area comparison table (1 key + 6 + 6 measures + 2 derived)."""
-    s = area_stays(stays_revenue(silver_stays, a), exact=exact, accuracy=accuracy)
-    k = area_lets(lets_revenue(silver_lets, a), exact=exact, accuracy=accuracy)
+    s = area_stays(stays_revenue(silver_stays, a), method=method, **agg_opts)
+    k = area_lets(lets_revenue(silver_lets, a), method=method, **agg_opts)
     return compare(s, k, labels=labels, drop_null_key=drop_null_key)

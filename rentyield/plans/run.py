@@ -53,9 +53,10 @@ def target(paths: Paths, key: str) -> str:
     return f"{paths.database}.{name}" if paths.database else f"{paths.tables.rstrip('/')}/{name}"
 
 
-def _write(audit: Audit, key: str, df: DataFrame, paths: Paths, **conds) -> None:
+def _write(audit: Audit, key: str, df: DataFrame, paths: Paths, partition_by: list[str] | None = None,
+           **conds) -> None:
     df, obs = audit.watch(key, df, **conds)
-    save(df, target(paths, key))
+    save(df, target(paths, key), partition_by)
     audit.record(key, obs)
 
 
@@ -74,7 +75,8 @@ def run_bronze(spark: SparkSession, paths: Paths, audit: Audit) -> None:
     _write(audit, "bronze_listings",
            bronze_listings(spark, f"{raw}/{paths.listings_file}", source_file=paths.listings_file), paths)
     _write(audit, "bronze_rentals",
-           bronze_rentals(spark, f"{raw}/{paths.rentals_file}", source_file=paths.rentals_file), paths)
+           bronze_rentals(spark, f"{raw}/{paths.rentals_file}", source_file=paths.rentals_file), paths,
+           ["city"] if paths.partition_rentals_by_city else None)
 
 
 def run_silver(spark: SparkSession, paths: Paths, audit: Audit, bounds: Bounds) -> None:

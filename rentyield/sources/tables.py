@@ -34,6 +34,11 @@ def save(df: DataFrame, target: str, partition_by: list[str] | None = None) -> N
         w.format("parquet").saveAsTable(target)
 
 
+def preview(df: DataFrame, n: int = 5) -> DataFrame:
+    """IO15: the first n rows (a preview is the feature; plans as a local limit)."""
+    return df.limit(n)
+
+
 def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     """Give a CPU-heavy stage at least one task per core.
 

@@ -1,0 +1,7 @@
+"""Streaming: intentionally empty.
+
+The reference has no stream reader, watermark, stream window, stateful operator
+or late-data rule; its ingestion is a weekly batch that overwrites each layer.
+The layer jobs here are batch jobs for the same reason. Nothing in this package
+is needed to run any registered query.
+"""
