@@ -30,6 +30,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import ensure_checkpoint_dir
+
 DEFAULT_BROADCAST_LIMIT = 64 * 1024 * 1024
 DEFAULT_ROWS_PER_TASK = 2_000_000
 DEFAULT_MAX_HOT_CELLS = 100_000
@@ -182,6 +184,7 @@ def _salted_join(pts: DataFrame, index: DataFrame, rows_per_task: int, max_hot_c
     up in the NULL-key partition.
     """
     spark = pts.sparkSession
+    ensure_checkpoint_dir(spark)
     spread = int(spark.conf.get("spark.sql.shuffle.partitions"))
     counts = (pts.filter(F.col("_cx").isNotNull()).groupBy("_cx", "_cy")
               .agg(F.count(F.lit(1)).alias("n"))).checkpoint()

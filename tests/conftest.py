@@ -16,7 +16,9 @@ SF_ORACLE = "/root/testdata/sf0.01"
 
 @pytest.fixture(scope="session")
 def spark():
+    import tempfile
     from rentyield.session import build_session
-    s = build_session("local[*]", 8)
+    warehouse = tempfile.mkdtemp(prefix="rentyield-warehouse-", dir="/tmp")
+    s = build_session("local[*]", 8, extra={"spark.sql.warehouse.dir": warehouse})
     yield s
     s.stop()
