@@ -76,3 +76,5 @@ class Paths:
     database: str | None = None
     city: str = "amsterdam"
     partition_rentals_by_city: bool = True   # bronze rentals partitioned: the city filter prunes files
+    rentals_multiline: bool = True           # one JSON array per file (one task per file);
+                                             # False reads JSON lines, which split across tasks

@@ -236,6 +236,10 @@ SQL: dict[str, str] = {
         SELECT listing_id, line_no, longitude, latitude,
           (SELECT arg_min(z.code, z.fid) FROM z WHERE {INSIDE}) AS zone_code
         FROM c WHERE pc4 IS NULL AND latitude IS NOT NULL AND longitude IS NOT NULL""",
+    "spatial_backfill_salted": f"""WITH {CLEAN_STAYS}
+        SELECT listing_id, line_no, longitude, latitude,
+          (SELECT arg_min(z.code, z.fid) FROM z WHERE {INSIDE}) AS zone_code
+        FROM c WHERE pc4 IS NULL AND latitude IS NOT NULL AND longitude IS NOT NULL""",
     "backfill_flag_counts": f"""WITH {SILVER_STAYS}
         SELECT pc4, pc4_backfilled, COUNT(*) AS listings FROM ss GROUP BY pc4, pc4_backfilled""",
     "zones_parsed": f"""WITH z AS ({ZONES})
@@ -251,6 +255,7 @@ SQL: dict[str, str] = {
     "area_stays": f"WITH {SILVER_STAYS}, {STAY_REV}, {AREA_STAYS} SELECT * FROM ast",
     "area_lets": f"WITH {SILVER_LETS}, {LET_REV}, {AREA_LETS} SELECT * FROM al",
     "gold_compare": f"WITH {GOLD} SELECT * FROM g",
+    "gold_compare_approx": f"WITH {GOLD} SELECT * FROM g",
     "gold_top10": f"""WITH {GOLD}
         SELECT pc4, airbnb_listing_count, kamernet_listing_count, airbnb_median_annual_net_revenue,
           kamernet_median_annual_net_revenue, revenue_advantage, recommended_strategy

@@ -75,7 +75,8 @@ def run_bronze(spark: SparkSession, paths: Paths, audit: Audit) -> None:
     _write(audit, "bronze_listings",
            bronze_listings(spark, f"{raw}/{paths.listings_file}", source_file=paths.listings_file), paths)
     _write(audit, "bronze_rentals",
-           bronze_rentals(spark, f"{raw}/{paths.rentals_file}", source_file=paths.rentals_file), paths,
+           bronze_rentals(spark, f"{raw}/{paths.rentals_file}", source_file=paths.rentals_file,
+                          multiline=paths.rentals_multiline), paths,
            ["city"] if paths.partition_rentals_by_city else None)
 
 

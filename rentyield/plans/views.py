@@ -102,6 +102,20 @@ def spatial_backfill(spark, d):
     return joined.select("listing_id", "line_no", "longitude", "latitude", "zone_code")
 
 
+def spatial_backfill_salted(spark, d):
+    """JO02 through its shuffle path: index not broadcast, cells over 200 points salted."""
+    rows = S.clean_stays(demo.stays(spark, d))
+    want = needs_backfill(F.col("pc4"), F.col("latitude"), F.col("longitude"))
+    joined = spatial_join(rows.filter(want), _zones(spark, d), "longitude", "latitude", "zone_code",
+                          broadcast_limit=0, rows_per_task=200)
+    return joined.select("listing_id", "line_no", "longitude", "latitude", "zone_code")
+
+
+def gold_compare_approx(spark, d):
+    """The comparison with one-level percentile_approx medians, as the reference computes them."""
+    return G.gold(_silver_stays(spark, d), _silver_lets(spark, d), A, method="approx")
+
+
 def backfill_flag_counts(spark, d):
     return (_silver_stays(spark, d).groupBy("pc4", "pc4_backfilled")
             .agg(F.count(F.lit(1)).alias("listings")))
@@ -204,6 +218,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "silver_stays": silver_stays,
     "silver_lets": silver_lets,
     "spatial_backfill": spatial_backfill,
+    "spatial_backfill_salted": spatial_backfill_salted,
     "backfill_flag_counts": backfill_flag_counts,
     "zones_parsed": zones_parsed,
     "stay_revenue": stay_revenue,
@@ -211,6 +226,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "area_stays": area_stays,
     "area_lets": area_lets,
     "gold_compare": gold_compare,
+    "gold_compare_approx": gold_compare_approx,
     "gold_top10": gold_top10,
     "strategy_counts": strategy_counts,
     "profile_shape": profile_shape,

@@ -37,13 +37,17 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8, app: st
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the cluster's shared checkpoint folder.
 
-    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used as is.
-    Only when it is unset (local tests) do we pick a fresh local scratch folder.
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used as is;
+    if it is unset there, this raises rather than fall back to a machine-local
+    folder executors cannot share. Only a local-mode session (tests) with no
+    setting gets a fresh local scratch folder.
     """
     current = spark.conf.get("spark.checkpoint.dir", None)
     if current:
         spark.sparkContext.setCheckpointDir(current)
         return current
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("spark.checkpoint.dir is unset: set it to a folder shared by the cluster")
     folder = tempfile.mkdtemp(prefix="rentyield-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     spark.conf.set("spark.checkpoint.dir", folder)
     spark.sparkContext.setCheckpointDir(folder)

@@ -52,5 +52,9 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     dealing so a retried task gets the same rows. On large inputs, which already
     have many more splits than cores, it is a no-op and no shuffle is added.
     """
-    want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(want) if df.rdd.getNumPartitions() < want else df
+    try:
+        want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        have = df.rdd.getNumPartitions()      # planning only; no job runs
+    except Exception:                         # no RDD access (e.g. a Connect session)
+        return df
+    return df.repartition(want) if have < want else df
