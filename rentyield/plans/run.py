@@ -14,9 +14,10 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.predicates import city_is
 from ..params import Assumptions, Bounds, Labels, Paths
 from ..sources.geojson import read_zones
-from ..sources.tables import ensure_namespace, load, save
+from ..sources.tables import ensure_namespace, load, save, spread
 from .bronze import bronze_listings, bronze_rentals
 from .gold import gold
 from .silver import silver_lets, silver_stays
@@ -81,13 +82,20 @@ def run_bronze(spark: SparkSession, paths: Paths, audit: Audit) -> None:
 
 
 def run_silver(spark: SparkSession, paths: Paths, audit: Audit, bounds: Bounds) -> None:
-    stays = silver_stays(load(spark, target(paths, "bronze_listings")), _zones(spark, paths), bounds)
+    # parser rejects (text given, value NULL) are observed inside the same write
+    stay_rejects, let_rejects = Observation("listing_rejects"), Observation("rental_rejects")
+    stays = silver_stays(spread(load(spark, target(paths, "bronze_listings")), parallel_filters=True),
+                         _zones(spark, paths), bounds, stay_rejects)
     _write(audit, "silver_listings", stays, paths,
            missing_pc4=F.col("pc4").isNull(), backfilled=F.col("pc4_backfilled"),
            price_outliers=F.col("is_price_outlier"))
-    lets = silver_lets(load(spark, target(paths, "bronze_rentals")), paths.city, bounds)
+    audit.record("silver_listings_rejects", stay_rejects)
+    # the city filter goes below the spread so it still prunes the city partitions
+    rentals = load(spark, target(paths, "bronze_rentals")).filter(city_is(F.col("city"), paths.city))
+    lets = silver_lets(spread(rentals, parallel_filters=True), paths.city, bounds, let_rejects)
     _write(audit, "silver_rentals", lets.drop("_source_file"), paths,
            rent_outliers=F.col("is_rent_outlier"), utilities_included=F.col("utilities_included"))
+    audit.record("silver_rentals_rejects", let_rejects)
 
 
 def run_gold(spark: SparkSession, paths: Paths, audit: Audit, a: Assumptions, labels: Labels) -> None:

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from ..functions.columns import backfilled_flag, filled, outside, parse_timestamp, trimmed
+from ..functions.columns import backfilled_flag, filled, outside, parse_timestamp, trimmed, try_cast_columns
 from ..functions.predicates import city_is, has_position, has_value, needs_backfill
 from ..functions.standardize import price_outlier, standardize
 from ..operators.spatial import spatial_join
@@ -32,11 +32,10 @@ def clean_stays(bronze: DataFrame, bounds: Bounds = Bounds(),
     price = F.col("price").try_cast("double")
     df = standardize(bronze, {"pc4": ("postal_pc4", "zipcode")}, observation)
     df = df.withColumns({
-        **{c: F.col(c).try_cast("double") for c in STAY_DOUBLES},
-        "accommodates": F.col("accommodates").try_cast("int"),
         "is_price_outlier": price_outlier(price, bounds.price_lo, bounds.price_hi),
         "room_type": trimmed(F.col("room_type")),
     })
+    df = try_cast_columns(try_cast_columns(df, STAY_DOUBLES, "double"), ["accommodates"], "int")
     return df.filter(has_position(F.col("latitude"), F.col("longitude"))).filter(has_value(F.col("price")))
 
 

@@ -94,18 +94,18 @@ def sql_select(cols: list[tuple[str, str]], table: str) -> str:
     return f"SELECT\n  {body}\nFROM {table}"
 
 
-def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    return spread(spark.read.parquet(f"{sf_dir}/{table}.parquet"))
+def _read(spark: SparkSession, sf_dir: str, table: str, parallel_filters: bool = False) -> DataFrame:
+    return spread(spark.read.parquet(f"{sf_dir}/{table}.parquet"), parallel_filters=parallel_filters)
 
 
 def stays(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Short-stay listings as the CSV would arrive: every column text."""
-    return _read(spark, sf_dir, "lineitem").selectExpr(*_select(STAYS))
+    return _read(spark, sf_dir, "lineitem", parallel_filters=True).selectExpr(*_select(STAYS))
 
 
 def lets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Long-term lets after the bronze unwrap: every column text."""
-    return _read(spark, sf_dir, "orders").selectExpr(*_select(LETS))
+    return _read(spark, sf_dir, "orders", parallel_filters=True).selectExpr(*_select(LETS))
 
 
 def _ring(x0: str, y0: str, s: str) -> str:

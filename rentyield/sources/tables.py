@@ -7,6 +7,7 @@ value containing '/'); a layer is just a naming rule.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def _is_path(target: str) -> bool:
@@ -39,22 +40,31 @@ def preview(df: DataFrame, n: int = 5) -> DataFrame:
     return df.limit(n)
 
 
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+def spread(df: DataFrame, min_partitions: int | None = None, parallel_filters: bool = False) -> DataFrame:
     """Give a CPU-heavy stage at least one task per core.
 
     A scan yields one task per file split; a single-row-group file or a
     multi-line JSON document is one task, and every fused narrow step after it
     (text parsing, the spatial test) would run on one core. When the scan has
     fewer partitions than ``min_partitions`` (default: the cluster's default
-    parallelism) rows are dealt round-robin. A round-robin repartition names no
-    column, so column pruning and projections still pass through it (hashing
-    on the columns would force every column to be read), and Spark sorts before
-    dealing so a retried task gets the same rows. On large inputs, which already
-    have many more splits than cores, it is a no-op and no shuffle is added.
+    parallelism) the rows are spread; on large inputs, which already have many
+    more splits than cores, this is a no-op and no shuffle is added.
+
+    Default: round-robin. It names no column, so column pruning and literal
+    filters still reach the scan, and Spark sorts before dealing so a retried
+    task gets the same rows. ``parallel_filters=True`` hashes on the row id
+    instead: Catalyst then keeps filters above the spread, so filters on parsed
+    text (which cannot reach the scan anyway) run on every core rather than in
+    the single scan task; a lost shuffle output reruns the whole spread stage.
+    Column pruning is unaffected either way.
     """
     try:
         want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
         have = df.rdd.getNumPartitions()      # planning only; no job runs
     except Exception:                         # no RDD access (e.g. a Connect session)
         return df
-    return df.repartition(want) if have < want else df
+    if have >= want:
+        return df
+    if parallel_filters:
+        return df.repartition(want, F.monotonically_increasing_id())
+    return df.repartition(want)

@@ -116,6 +116,10 @@ def test_backfill_flag_and_audit(pipeline):
     assert c["silver_listings"] == {"rows": 18, "missing_pc4": 1, "backfilled": 1, "price_outliers": 1}
     assert c["bronze_listings"]["rows"] == 20 and c["bronze_rentals"]["rows"] == 12
     assert c["silver_rentals"]["rows"] == 10
+    # zipcode '' is not counted (missing, not malformed); rentals: 'Prijs op aanvraag' fails to parse
+    assert c["silver_listings_rejects"] == {"rejects_pc4": 0, "rows": 20}
+    assert c["silver_rentals_rejects"]["rejects_rent_amount"] == 1
+    assert c["silver_rentals_rejects"]["rows"] == 11
 
 
 def test_replay_from_silver_is_idempotent(pipeline):
