@@ -8,13 +8,13 @@ Rules: float division for fractions, ``floor`` then ``BIGINT`` for whole
 numbers (the engines differ on double→integer casts), ``VARCHAR(n)`` casts.
 
 stays  ← lineitem: price, mixed-format zipcode, a point inside the unit square of
-         zone (l_partkey % 80) or on its edge, scores, room type.
+         the zone of its part (or on its edge), scores, room type.
 lets   ← orders: city, rent text in the '€ 1.250,-  Utilities incl.' style,
          postal code, area, capacity, deposit, seen-at text.
-zones  ← part: p_partkey < 80 are unit squares (every 7th with a hole),
-         80 <= p_partkey < 100 are 2x2 squares overlapping them (later in file
-         order, so they only win where no unit square contains the point);
-         odd big ones are written as MultiPolygon.
+zones  ← every part: a unit square on a 100-wide grid (every 7th with a hole);
+         and every supplier: a 2x2 square overlapping them, later in file order
+         (so it only wins where no unit square contains the point), odd ones
+         written as MultiPolygon. Area codes are 1000 + key % 9000.
 """
 
 from __future__ import annotations
@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .tables import spread
 
-_PC = "CAST(1000 + l_partkey % 80 AS VARCHAR(20))"
+_PC = "CAST(1000 + l_partkey % 9000 AS VARCHAR(20))"
 _RENT = "CAST(floor(o_totalprice / 100) AS BIGINT)"
 
 STAYS = [
@@ -38,8 +38,8 @@ STAYS = [
     ("bedrooms", "CASE WHEN l_quantity = 48 THEN NULL ELSE CAST(CAST(l_quantity AS BIGINT) % 4 AS VARCHAR(20)) END"),
     ("accommodates", "CASE WHEN l_quantity = 47 THEN '2.0' ELSE CAST(1 + CAST(l_quantity AS BIGINT) % 6 AS VARCHAR(20)) END"),
     ("latitude", """CASE WHEN l_quantity >= 49 THEN NULL ELSE CAST(
-        CAST(floor((l_partkey % 80) / 10) AS BIGINT) + (l_suppkey % 8) / 8 AS VARCHAR(20)) END"""),
-    ("longitude", "CASE WHEN l_quantity = 50 THEN NULL ELSE CAST((l_partkey % 80) % 10 + l_linenumber / 8 AS VARCHAR(20)) END"),
+        CAST(floor(l_partkey / 100) AS BIGINT) + (l_suppkey % 8) / 8 AS VARCHAR(20)) END"""),
+    ("longitude", "CASE WHEN l_quantity = 50 THEN NULL ELSE CAST(l_partkey % 100 + l_linenumber / 8 AS VARCHAR(20)) END"),
     ("review_scores_value", """CASE WHEN l_tax = 0 THEN NULL
         ELSE CAST(CAST(round(l_discount * 100) AS BIGINT) % 10 + 1 AS VARCHAR(20)) END"""),
     ("room_type", """CASE l_returnflag WHEN 'A' THEN 'Entire home/apt ' WHEN 'N' THEN 'Private room'
@@ -54,7 +54,7 @@ LETS = [
         WHEN {_RENT} >= 1000 THEN '€ ' || CAST(CAST(floor(o_totalprice / 100000) AS BIGINT) AS VARCHAR(20))
             || '.' || lpad(CAST({_RENT} % 1000 AS VARCHAR(20)), 3, '0') || ',-  Utilities incl.'
         ELSE '€ ' || CAST({_RENT} AS VARCHAR(20)) || ',-' END"""),
-    ("postalCode", "CAST(1005 + o_custkey % 100 AS VARCHAR(20)) || 'AB'"),
+    ("postalCode", "CAST(1000 + (o_custkey * 2) % 9000 AS VARCHAR(20)) || 'AB'"),
     ("areaSqm", """CASE o_orderkey % 7 WHEN 3 THEN CAST(10 + o_custkey % 40 AS VARCHAR(20)) || ',5 m2'
         WHEN 4 THEN NULL ELSE CAST(10 + o_custkey % 40 AS VARCHAR(20)) || ' m2' END"""),
     ("matchCapacity", """CASE o_orderkey % 4 WHEN 0 THEN '1 person'
@@ -72,15 +72,20 @@ LETS = [
     ("lastSeenAt", "CAST(o_orderdate + INTERVAL '30' DAY AS VARCHAR(30))"),
 ]
 
-# Zones: geometry as (x0, y0, size, hole) per part key; the Spark view turns it into
-# GeoJSON-style features, the oracle tests containment arithmetically.
-ZONE_KEYS = "p_partkey < 100"
-ZONE_X0 = "CASE WHEN p_partkey < 80 THEN p_partkey % 10 ELSE 2 * ((p_partkey - 80) % 5) END"
-ZONE_Y0 = ("CASE WHEN p_partkey < 80 THEN CAST(floor(p_partkey / 10) AS BIGINT) "
-           "ELSE 2 * CAST(floor((p_partkey - 80) / 5) AS BIGINT) END")
-ZONE_SIZE = "CASE WHEN p_partkey < 80 THEN 1 ELSE 2 END"
-ZONE_HOLE = "(p_partkey < 80 AND p_partkey % 7 = 3)"
-ZONE_CODE = "CAST(1000 + p_partkey AS VARCHAR(20))"
+# Zones: (fid, code, x0, y0, size, hole, multi) per source row; the Spark view turns
+# them into GeoJSON-style features, the oracle tests containment arithmetically.
+ZONE_SOURCES = {
+    "part": {
+        "fid": "p_partkey", "code": "CAST(1000 + p_partkey % 9000 AS VARCHAR(20))", "name": "p_name",
+        "x0": "p_partkey % 100", "y0": "CAST(floor(p_partkey / 100) AS BIGINT)", "s": "1",
+        "hole": "(p_partkey % 7 = 3)", "multi": "false",
+    },
+    "supplier": {
+        "fid": "1000000000 + s_suppkey", "code": "CAST(1000 + s_suppkey % 9000 AS VARCHAR(20))", "name": "s_name",
+        "x0": "2 * (s_suppkey % 50)", "y0": "2 * CAST(floor(s_suppkey / 50) AS BIGINT)", "s": "2",
+        "hole": "false", "multi": "(s_suppkey % 2 = 1)",
+    },
+}
 HOLE_LO, HOLE_HI = 0.375, 0.625
 
 
@@ -117,27 +122,31 @@ def _ring(x0: str, y0: str, s: str) -> str:
 
 def zone_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(fid, properties, geometry) rows, the shape ``read_features`` gives for a file."""
-    x0, y0, s = "_x0", "_y0", "_s"
-    outer = _ring(x0, y0, s)
-    hole = _ring(f"({x0} + {HOLE_LO})", f"({y0} + {HOLE_LO})", repr(HOLE_HI - HOLE_LO))
+    outer = _ring("_x0", "_y0", "_s")
+    hole = _ring(f"(_x0 + {HOLE_LO})", f"(_y0 + {HOLE_LO})", repr(HOLE_HI - HOLE_LO))
     polygon = f"CASE WHEN _hole THEN concat('[', {outer}, ',', {hole}, ']') ELSE concat('[', {outer}, ']') END"
-    base = _read(spark, sf_dir, "part").where(ZONE_KEYS).selectExpr(
-        "p_partkey AS fid", f"{ZONE_CODE} AS _code", "p_name",
-        f"{ZONE_X0} AS _x0", f"{ZONE_Y0} AS _y0", f"{ZONE_SIZE} AS _s", f"{ZONE_HOLE} AS _hole")
-    return base.selectExpr(
-        "fid",
-        "map('pc4', _code, 'name', p_name) AS properties",
-        f"""named_struct(
-              'type', CASE WHEN fid >= 80 AND fid % 2 = 1 THEN 'MultiPolygon' ELSE 'Polygon' END,
-              'coordinates', CASE WHEN fid >= 80 AND fid % 2 = 1 THEN concat('[', {polygon}, ']')
-                                  ELSE {polygon} END) AS geometry""",
-    )
+    parts = []
+    for table, z in ZONE_SOURCES.items():
+        base = _read(spark, sf_dir, table).selectExpr(
+            f"{z['fid']} AS fid", f"{z['code']} AS _code", f"{z['name']} AS _name",
+            f"{z['x0']} AS _x0", f"{z['y0']} AS _y0", f"{z['s']} AS _s",
+            f"{z['hole']} AS _hole", f"{z['multi']} AS _multi")
+        parts.append(base.selectExpr(
+            "fid",
+            "map('pc4', _code, 'name', _name) AS properties",
+            f"""named_struct(
+                  'type', CASE WHEN _multi THEN 'MultiPolygon' ELSE 'Polygon' END,
+                  'coordinates', CASE WHEN _multi THEN concat('[', {polygon}, ']') ELSE {polygon} END)
+                AS geometry"""))
+    return parts[0].unionByName(parts[1])
 
 
 def zones_sql() -> str:
-    """DuckDB: (fid, code, x0, y0, s, hole) for arithmetic containment."""
-    return (f"SELECT p_partkey AS fid, {ZONE_CODE} AS code, {ZONE_X0} AS x0, {ZONE_Y0} AS y0, "
-            f"{ZONE_SIZE} AS s, {ZONE_HOLE} AS hole FROM part WHERE {ZONE_KEYS}")
+    """DuckDB: (fid, code, x0, y0, s, hole) for arithmetic containment, every part and supplier."""
+    return " UNION ALL ".join(
+        f"SELECT {z['fid']} AS fid, {z['code']} AS code, {z['x0']} AS x0, {z['y0']} AS y0, "
+        f"{z['s']} AS s, {z['hole']} AS hole FROM {table}"
+        for table, z in ZONE_SOURCES.items())
 
 
 def singletons(spark: SparkSession, sf_dir: str) -> DataFrame:
