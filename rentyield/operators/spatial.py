@@ -21,6 +21,10 @@ the cell and cells holding more than ``rows_per_task`` points are salted, so a
 cell with a third of all points is split over many tasks. The size check is
 one aggregate over the zones that returns a proven upper bound, not a guess.
 
+The parsed zone edges are checkpointed (reliable checkpoint, in the folder the
+session names in ``spark.checkpoint.dir``): the size statistics and the index
+build read them instead of re-parsing the zone file.
+
 Contract: coordinates are compared as exact doubles; a point exactly on an edge
 or vertex is in no zone; where zones overlap the lowest feature index wins.
 """
@@ -87,32 +91,33 @@ def zone_edges(zones: DataFrame) -> DataFrame:
     })
 
 
-EDGE_BYTES = 9 * 8      # nine doubles per stored edge
-ZONE_BYTES = 96         # fid, code, bbox and array headers per zone entry
+EDGE_BYTES = 96         # one stored edge: nine doubles plus row overhead
+ZONE_BYTES = 128        # fid, code, bbox and array headers per zone entry
+
+
+def _cells_per_axis(lo: Column, hi: Column, cell: float) -> Column:
+    c = F.lit(float(cell))
+    return F.floor(hi / c) - F.floor(lo / c) + 1
 
 
 def index_stats(edges: DataFrame, cell: float | None = None) -> tuple[float, int]:
-    """(cell size, upper bound on the index bytes) from ONE small aggregate over zones.
+    """(cell size, upper bound on the index bytes) from small aggregates over the zones.
 
     The default cell is the median zone extent (larger of width and height), so a
-    typical zone covers about 2x2 cells. A zone of size w x h covers at most
-    (w/c + 2)(h/c + 2) cells, each holding at most its E edges, so
-    sum (w/c + 2)(h/c + 2)(E * EDGE_BYTES + ZONE_BYTES) bounds the index; the
-    three sums needed for any c come back with the median in the same job.
+    typical zone covers about 2x2 cells. The bound counts, per zone, exactly the
+    cells its bounding box covers, each holding at most all of its edges (the
+    per-cell edge filter only removes edges), so the index cannot be larger.
+    Only two numbers reach the driver.
     """
-    w = F.col("maxx") - F.col("minx")
-    h = F.col("maxy") - F.col("miny")
-    b = F.size("edges") * F.lit(EDGE_BYTES) + F.lit(ZONE_BYTES)
-    row = edges.agg(
-        F.percentile_approx(F.greatest(w, h), 0.5).alias("m"),
-        F.sum(w * h * b).alias("s2"), F.sum((w + h) * b).alias("s1"), F.sum(b).alias("s0"),
-    ).first()
     if cell is None:
-        m = row["m"] if row is not None else None
+        w = F.col("maxx") - F.col("minx")
+        h = F.col("maxy") - F.col("miny")
+        m = edges.agg(F.percentile_approx(F.greatest(w, h), 0.5).alias("m")).first()["m"]
         cell = float(m) if m and m > 0 else 1.0
-    s2, s1, s0 = (float(row[k] or 0.0) for k in ("s2", "s1", "s0"))
-    bound = s2 / (cell * cell) + 2.0 * s1 / cell + 4.0 * s0
-    return float(cell), int(bound)
+    cells = _cells_per_axis(F.col("minx"), F.col("maxx"), cell) * _cells_per_axis(F.col("miny"), F.col("maxy"), cell)
+    per_cell = F.size("edges") * F.lit(EDGE_BYTES) + F.lit(ZONE_BYTES)
+    bound = edges.agg(F.sum(cells * per_cell).alias("b")).first()["b"]
+    return float(cell), int(bound or 0)
 
 
 def build_cell_index(edges: DataFrame, cell: float) -> DataFrame:
@@ -145,7 +150,10 @@ def spatial_join(points: DataFrame, zones: DataFrame, lon: str = "longitude", la
     Rows where ``where`` is false, or a coordinate is NULL, are passed through
     with NULL and never meet the index.
     """
-    edges = zone_edges(zones)
+    # zones are parsed once: the stats jobs and the index build read the checkpoint
+    # (the session's shared checkpoint folder), and the lineage is cut there
+    ensure_checkpoint_dir(zones.sparkSession)
+    edges = zone_edges(zones).checkpoint()
     cell, size_bound = index_stats(edges, cell)
     index = build_cell_index(edges, cell)
 

@@ -16,6 +16,8 @@ _CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.ui.enabled": "false",
+    # checkpoint files of DataFrames that are gone are deleted by the context cleaner
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
