@@ -51,7 +51,8 @@ filter(
       slice({_CLOSED}, 1, size({_CLOSED}) - 1),
       slice({_CLOSED}, 2, size({_CLOSED}) - 1),
       (a, b) -> named_struct('x1', get(a, 0), 'y1', get(a, 1), 'x2', get(b, 0), 'y2', get(b, 1))))),
-  e -> e.x1 IS NOT NULL AND e.y1 IS NOT NULL AND e.x2 IS NOT NULL AND e.y2 IS NOT NULL)
+  e -> e.x1 IS NOT NULL AND e.y1 IS NOT NULL AND e.x2 IS NOT NULL AND e.y2 IS NOT NULL
+       AND abs(e.x1) < 1e300 AND abs(e.y1) < 1e300 AND abs(e.x2) < 1e300 AND abs(e.y2) < 1e300)
 """
 
 
@@ -91,6 +92,7 @@ def zone_edges(zones: DataFrame) -> DataFrame:
     })
 
 
+MAX_CELLS_PER_AXIS = 64 # the widest zone spans at most this many cells (+2) per axis
 EDGE_BYTES = 96         # one stored edge: nine doubles plus row overhead
 ZONE_BYTES = 128        # fid, code, bbox and array headers per zone entry
 
@@ -104,16 +106,20 @@ def index_stats(edges: DataFrame, cell: float | None = None) -> tuple[float, int
     """(cell size, upper bound on the index bytes) from small aggregates over the zones.
 
     The default cell is the median zone extent (larger of width and height), so a
-    typical zone covers about 2x2 cells. The bound counts, per zone, exactly the
+    typical zone covers about 2x2 cells, but never smaller than the widest extent
+    / MAX_CELLS_PER_AXIS: one huge zone (a country outline, a stray coordinate)
+    then covers a bounded number of cells instead of exploding into millions,
+    and no zone is left out. The bound counts, per zone, exactly the
     cells its bounding box covers, each holding at most all of its edges (the
     per-cell edge filter only removes edges), so the index cannot be larger.
     Only two numbers reach the driver.
     """
     if cell is None:
-        w = F.col("maxx") - F.col("minx")
-        h = F.col("maxy") - F.col("miny")
-        m = edges.agg(F.percentile_approx(F.greatest(w, h), 0.5).alias("m")).first()["m"]
-        cell = float(m) if m and m > 0 else 1.0
+        extent = F.greatest(F.col("maxx") - F.col("minx"), F.col("maxy") - F.col("miny"))
+        row = edges.agg(F.percentile_approx(extent, 0.5).alias("m"), F.max(extent).alias("x")).first()
+        m, x = (row["m"] or 0.0), (row["x"] or 0.0)
+        cell = max(float(m), float(x) / MAX_CELLS_PER_AXIS)
+        cell = cell if cell > 0 else 1.0
     cells = _cells_per_axis(F.col("minx"), F.col("maxx"), cell) * _cells_per_axis(F.col("miny"), F.col("maxy"), cell)
     per_cell = F.size("edges") * F.lit(EDGE_BYTES) + F.lit(ZONE_BYTES)
     bound = edges.agg(F.sum(cells * per_cell).alias("b")).first()["b"]

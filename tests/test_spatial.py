@@ -148,3 +148,18 @@ def test_code_property_detection(spark, props, key):
         assert z == []
     else:
         assert [r["code"] for r in z] == [props[key], props[key]]
+
+
+def test_huge_zone_bounded_cells(spark):
+    """A zone a million times wider than the others still gets a bounded cell count."""
+    from rentyield.operators.spatial import build_cell_index, index_stats, zone_edges
+    rows = [(i, f"{3000 + i}", _f([[[i, 0], [i + 1, 0], [i + 1, 1], [i, 1], [i, 0]]])) for i in range(20)]
+    rows.append((99, "9999", _f([[[-1e6, -1e6], [1e6, -1e6], [1e6, 1e6], [-1e6, 1e6], [-1e6, -1e6]]])))
+    zones = spark.createDataFrame(rows, "fid bigint, code string, rings array<array<array<double>>>")
+    e = zone_edges(zones)
+    cell, bound = index_stats(e)
+    assert cell >= 2e6 / 64
+    assert build_cell_index(e, cell).count() <= 66 * 66
+    pts = spark.createDataFrame([(0, 0.5, 0.5), (1, 5e5, 5e5), (2, 2e6, 0.0)], "i int, x double, y double")
+    got = [r["code"] for r in spatial_join(pts, zones, "x", "y", "code").orderBy("i").collect()]
+    assert got == ["3000", "9999", None]
