@@ -46,7 +46,11 @@ class Bounds:
 
 @dataclass(frozen=True)
 class Labels:
-    """Source names used in the recommendation text."""
+    """Source names used in the recommendation text.
+
+    Fixed values: the two source names below (and the ``airbnb_`` / ``kamernet_``
+    column prefixes of the gold table) are the ones the published results use.
+    """
 
     stay: str = "Airbnb"
     let: str = "Kamernet"
@@ -70,6 +74,7 @@ class Paths:
 
     raw: str
     tables: str
+    # The input file names the source drops use.
     listings_file: str = "airbnb.csv"
     rentals_file: str = "rentals.json"
     zones_file: str = "geo/post_codes.geojson"
