@@ -14,7 +14,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import standardize as st
-from ..functions.predicates import needs_backfill
+from ..functions.predicates import city_is, needs_backfill
+from ..operators.aggregates import area_lets as _area_lets
+from ..operators.aggregates import area_stays as _area_stays
 from ..operators.compare import strategy_counts as _strategy_counts
 from ..operators.compare import top_areas
 from ..operators.spatial import spatial_join
@@ -146,13 +148,11 @@ def let_revenue(spark, d):
 
 
 def area_stays(spark, d):
-    from ..operators.aggregates import area_stays as agg
-    return agg(G.stays_revenue(_silver_stays(spark, d), A))
+    return _area_stays(G.stays_revenue(_silver_stays(spark, d), A))
 
 
 def area_lets(spark, d):
-    from ..operators.aggregates import area_lets as agg
-    return agg(G.lets_revenue(_silver_lets(spark, d), A))
+    return _area_lets(G.lets_revenue(_silver_lets(spark, d), A))
 
 
 def gold_compare(spark, d):
@@ -190,9 +190,7 @@ def city_frequency(spark, d):
 
 
 def property_frequency(spark, d):
-    lets = demo.lets(spark, d)
-    from ..functions.predicates import city_is
-    return P.profile_frequency(lets.filter(city_is(F.col("city"))), "propertyType")
+    return P.profile_frequency(demo.lets(spark, d).filter(city_is(F.col("city"))), "propertyType")
 
 
 def profile_summary(spark, d):

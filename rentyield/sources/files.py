@@ -23,14 +23,18 @@ RENTALS_SCHEMA = T.StructType(
 )
 
 
-def read_listings(spark: SparkSession, path: str, infer: bool = False) -> DataFrame:
+def read_listings(spark: SparkSession, path: str, infer: bool = False, multiline: bool = False,
+                  escape: str | None = None) -> DataFrame:
     """IO01 / IO02: CSV with header. Default: every column text, no inference pass.
 
-    ``multiLine`` keeps quoted fields with line breaks intact; files still split
-    across tasks when they are not multi-line.
+    Other options are Spark's defaults, as in the reference. ``multiline=True``
+    keeps quoted fields with line breaks intact but reads each file in one task;
+    ``escape='"'`` reads RFC 4180 doubled quotes.
     """
-    return (spark.read.option("header", True).option("inferSchema", infer)
-            .option("multiLine", False).option("escape", '"').csv(path))
+    r = spark.read.option("header", True).option("inferSchema", infer).option("multiLine", multiline)
+    if escape is not None:
+        r = r.option("escape", escape)
+    return r.csv(path)
 
 
 def read_rentals(spark: SparkSession, path: str, schema: T.StructType | None = RENTALS_SCHEMA,

@@ -88,3 +88,15 @@ def test_save_overwrites_schema(spark):
     save(spark.createDataFrame([(1, "a")], "a int, b string"), t)
     save(spark.createDataFrame([(2.5,)], "c double"), t)
     assert load(spark, t).columns == ["c"]
+
+
+def test_json_lines_rentals(spark):
+    import json
+    from rentyield.plans.bronze import bronze_rentals
+    d = tempfile.mkdtemp(prefix="jsonl-", dir="/tmp")
+    with open(os.path.join(d, "r.json"), "w") as f:
+        f.write(json.dumps({"_id": ["a"], "city": "Amsterdam", "rent": "€ 500,-", "latitude": 52.37}) + "\n")
+        f.write(json.dumps({"_id": [], "city": "Utrecht", "rent": 700}) + "\n")
+    rows = bronze_rentals(spark, os.path.join(d, "r.json"), multiline=False).orderBy("city").collect()
+    assert [(r["_id"], r["rent"], r["latitude"]) for r in rows] == [("a", "€ 500,-", "52.37"), (None, "700", None)]
+    assert rows[0]["_source"] == "kamernet" and rows[0]["_source_file"] == "r.json"
