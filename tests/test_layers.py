@@ -168,3 +168,15 @@ def test_no_zone_file_means_flag_false(spark):
     df = spark.createDataFrame([("1053", 1.0, 1.0), (None, 1.0, 1.0)], "pc4 string, latitude double, longitude double")
     out = backfill(df, None).collect()
     assert [r["pc4_backfilled"] for r in out] == [False, False]
+
+
+def test_command_line(spark, capsys):
+    from rentyield.__main__ import main
+    d = tempfile.mkdtemp(prefix="rentyield-cli-", dir="/tmp")
+    _write_raw(d)
+    out = main(["--raw", d, "--tables", os.path.join(d, "t"), "--top", "3", "--occupancy-rate", "0.80"])
+    assert [r["pc4"] for r in out["top_areas"]] == ["1071", "1016", "1181"]
+    # 365 x 0.80 = 292 nights: 140 x 292 x 0.97 - 292 / 3 x 30 = 39653.6 - 2920 = 36733.6
+    assert out["top_areas"][0]["airbnb_median_annual_net_revenue"] == 36733.6
+    assert sum(r["count"] for r in out["strategy_counts"]) == out["audit"]["gold"]["rows"]
+    assert '"audit"' in capsys.readouterr().out
