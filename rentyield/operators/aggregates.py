@@ -2,7 +2,8 @@
 
 Every aggregate here is algebraic or a mergeable sketch: Spark plans a partial
 aggregate before the shuffle, so a PC4 holding a third of all rows costs one
-partial row per input partition, not one giant group in one task.
+partial row per input partition. The per-area measures add a second level
+(``grouped_measures``) so that even those partials are merged by many tasks.
 
 Means are exact decimal means rounded half-up to cents. Medians are the lower
 middle value: by default from KLL quantile sketches merged in two levels (see
@@ -56,7 +57,9 @@ def grouped_measures(df: DataFrame, key: str, specs: list[tuple[str, str, Column
     """Per-group count / mean / median measures.
 
     ``specs``: (output name, kind in {count, mean, median}, column, decimal scale).
-    Means are exact decimal means; medians are the lower middle value.
+    Means are exact decimal means; medians are the lower middle value (the
+    sketch path works on value x 10^scale as BIGINT, so values must stay below
+    about 9.2e18 / 10^scale).
 
     method="sketch" (default, for scale): two levels. Level 1 groups by
     (key, salt) where salt = input task id mod ``salts``: every input task

@@ -180,7 +180,9 @@ def spatial_join(points: DataFrame, zones: DataFrame, lon: str = "longitude", la
     else:
         joined = _salted_join(pts, index, rows_per_task, max_hot_cells)
 
-    code = F.expr(f"get(filter(zs, z -> {_inside_sql('z', '_px', '_py')}), 0).code")
+    # zones are sorted by feature order: keep the first hit and skip the tests after it
+    code = F.expr(f"aggregate(zs, CAST(NULL AS STRING), (acc, z) -> "
+                  f"CASE WHEN acc IS NULL AND ({_inside_sql('z', '_px', '_py')}) THEN z.code ELSE acc END)")
     return joined.withColumn(out, code).drop("_px", "_py", "_cx", "_cy", "_salt", "zs")
 
 
