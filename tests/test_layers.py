@@ -180,3 +180,19 @@ def test_command_line(spark, capsys):
     assert out["top_areas"][0]["airbnb_median_annual_net_revenue"] == 36733.6
     assert sum(r["count"] for r in out["strategy_counts"]) == out["audit"]["gold"]["rows"]
     assert '"audit"' in capsys.readouterr().out
+
+
+def test_gold_reads_silver_with_pushdown(pipeline):
+    import contextlib
+    import io
+    from rentyield.plans.gold import gold
+    spark, paths, _ = pipeline
+    g = gold(spark.read.parquet(target(paths, "silver_listings")), spark.read.parquet(target(paths, "silver_rentals")))
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        g.explain(mode="formatted")
+    p = buf.getvalue()
+    assert "PushedFilters: [IsNotNull(is_price_outlier), Not(EqualTo(is_price_outlier,true))]" in p
+    assert "PushedFilters: [IsNotNull(is_rent_outlier), Not(EqualTo(is_rent_outlier,true))]" in p
+    assert "ReadSchema: struct<price:double,review_scores_value:double,pc4:string,is_price_outlier:boolean>" in p
+    assert "room_type" not in p and "_ingested_at" not in p
