@@ -64,13 +64,18 @@ def zones_from_features(features: DataFrame, code_key: str | None = None) -> Dat
     return z.filter(F.col("rings").isNotNull() & F.col("code").isNotNull() & (F.col("code") != ""))
 
 
+MAX_ZONE_PARTITIONS = 64
+
+
 def read_features(spark: SparkSession, path: str, per_line: bool = False,
                   partitions: int | None = None) -> DataFrame:
     """IO04: (fid, properties, geometry) in file order.
 
     A FeatureCollection file is one JSON document, read by one task; features are
-    then spread over ``partitions``. With ``per_line=True`` (one Feature per
-    line) the read itself splits.
+    then spread over ``partitions`` (default: shuffle partitions, at most 64 — a
+    zone file is a small dimension, and thousands of near-empty tasks would cost
+    more than they save). With ``per_line=True`` (one Feature per line) the read
+    itself splits.
     """
     if per_line:
         df = spark.read.schema(FEATURE).json(path)
@@ -79,7 +84,7 @@ def read_features(spark: SparkSession, path: str, per_line: bool = False,
         df = spark.read.schema(COLLECTION).option("multiLine", True).json(path)
         feats = df.select(F.posexplode("features").alias("fid", "f")).select(
             "fid", "f.properties", "f.geometry")
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = partitions or min(int(spark.conf.get("spark.sql.shuffle.partitions")), MAX_ZONE_PARTITIONS)
     return feats.repartition(n)
 
 

@@ -40,6 +40,9 @@ def preview(df: DataFrame, n: int = 5) -> DataFrame:
     return df.limit(n)
 
 
+MAX_SPREAD = 256
+
+
 def spread(df: DataFrame, min_partitions: int | None = None, parallel_filters: bool = False) -> DataFrame:
     """Give a CPU-heavy stage at least one task per core.
 
@@ -47,8 +50,10 @@ def spread(df: DataFrame, min_partitions: int | None = None, parallel_filters: b
     multi-line JSON document is one task, and every fused narrow step after it
     (text parsing, the spatial test) would run on one core. When the scan has
     fewer partitions than ``min_partitions`` (default: the cluster's default
-    parallelism) the rows are spread; on large inputs, which already have many
-    more splits than cores, this is a no-op and no shuffle is added.
+    parallelism, at most MAX_SPREAD so a small input on a huge cluster does not
+    become thousands of near-empty tasks) the rows are spread; on large inputs,
+    which already have many more splits than that, this is a no-op and no
+    shuffle is added.
 
     Default: round-robin. It names no column, so column pruning and literal
     filters still reach the scan, and Spark sorts before dealing so a retried
@@ -59,7 +64,7 @@ def spread(df: DataFrame, min_partitions: int | None = None, parallel_filters: b
     Column pruning is unaffected either way.
     """
     try:
-        want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, MAX_SPREAD)
         have = df.rdd.getNumPartitions()      # planning only; no job runs
     except Exception:                         # no RDD access (e.g. a Connect session)
         return df
