@@ -45,12 +45,18 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     setting gets a fresh local scratch folder.
     """
     current = spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:               # a Connect session: the server applies its own setting
+        if current:
+            return current
+        raise RuntimeError("spark.checkpoint.dir is unset: set it to a folder shared by the cluster")
     if current:
-        spark.sparkContext.setCheckpointDir(current)
+        sc.setCheckpointDir(current)
         return current
-    if not spark.sparkContext.master.startswith("local"):
+    if not sc.master.startswith("local"):
         raise RuntimeError("spark.checkpoint.dir is unset: set it to a folder shared by the cluster")
     folder = tempfile.mkdtemp(prefix="rentyield-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     spark.conf.set("spark.checkpoint.dir", folder)
-    spark.sparkContext.setCheckpointDir(folder)
+    sc.setCheckpointDir(folder)
     return folder
