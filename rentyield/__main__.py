@@ -5,8 +5,13 @@
         [--cleaning-cost 30.0] [--avg-stay-nights 3.0] [--months-occupied 11]
         [--maintenance-pct 0.10] [--master local[*]]
 
+    python -m rentyield --raw /data/raw --profile
+
 The parameters are the ones the reference exposes per run. The result views
 (strategy counts, top-10 areas) are read back from the saved gold table.
+``--profile`` writes nothing: it reads the raw listing and rental files and
+prints the data-quality reports (shape, missing values, postal formats, price
+summary, category frequencies, issue table).
 """
 
 from __future__ import annotations
@@ -14,9 +19,12 @@ from __future__ import annotations
 import argparse
 import json
 
+from .functions.predicates import city_is
 from .operators.compare import strategy_counts, top_areas
 from .params import Assumptions, Paths
+from .plans import profile as P
 from .plans.run import LAYERS, run, target
+from .sources.files import read_listings, read_rentals
 from .sources.tables import load
 
 
@@ -36,8 +44,9 @@ def parse_args(argv: list[str] | None = None) -> argparse.Namespace:
     p.add_argument("--maintenance-pct", default=d.maintenance_pct)
     p.add_argument("--master", default=None, help="Spark master when no session is running")
     p.add_argument("--top", default=10, type=int)
+    p.add_argument("--profile", action="store_true", help="only report data quality of the raw files")
     args = p.parse_args(argv)
-    if not args.tables and not args.database:
+    if not args.profile and not args.tables and not args.database:
         p.error("one of --tables or --database is required")
     return args
 
@@ -48,6 +57,8 @@ def main(argv: list[str] | None = None) -> dict:
 
     from .session import build_session
     spark = SparkSession.getActiveSession() or build_session(args.master or "local[*]")
+    if args.profile:
+        return profile_raw(spark, args)
     paths = Paths(raw=args.raw, tables=args.tables, database=args.database, city=args.city)
     a = Assumptions(args.occupancy_rate, args.service_fee_pct, args.cleaning_cost, args.avg_stay_nights,
                     args.months_occupied, args.maintenance_pct)
@@ -62,5 +73,28 @@ def main(argv: list[str] | None = None) -> dict:
     return out
 
 
+def profile_raw(spark, args) -> dict:
+    """The exploratory reports over the raw files; each report is one aggregate pass."""
+    paths = Paths(raw=args.raw, tables="", city=args.city)
+    raw = paths.raw.rstrip("/")
+    listings = read_listings(spark, f"{raw}/{paths.listings_file}")
+    rentals = read_rentals(spark, f"{raw}/{paths.rentals_file}")
+    in_city = rentals.filter(city_is(rentals["city"], args.city))
+    rows = lambda df: [r.asDict() for r in df.collect()]  # noqa: E731  (small report rows only)
+    out = {
+        "listings_shape": rows(P.profile_shape(listings)),
+        "rentals_shape": rows(P.profile_shape(rentals)),
+        "missing": rows(P.profile_missing(listings, ["zipcode", "bedrooms", "review_scores_value"])),
+        "postal_formats": rows(P.profile_formats(listings, "zipcode")),
+        "price": rows(P.profile_numeric(listings, "price", 2000.0)),
+        "room_types": rows(P.profile_frequency(listings, "room_type")),
+        "cities": rows(P.profile_frequency(rentals, "city", top=args.top)),
+        "property_types": rows(P.profile_frequency(in_city, "propertyType")),
+        "issues": rows(P.issue_report(listings, rentals, rentals, args.city)),
+    }
+    print(json.dumps(out, indent=2, default=str))
+    return out
+
+
 if __name__ == "__main__":
     main()

@@ -196,3 +196,21 @@ def test_gold_reads_silver_with_pushdown(pipeline):
     assert "PushedFilters: [IsNotNull(is_rent_outlier), Not(EqualTo(is_rent_outlier,true))]" in p
     assert "ReadSchema: struct<price:double,review_scores_value:double,pc4:string,is_price_outlier:boolean>" in p
     assert "room_type" not in p and "_ingested_at" not in p
+
+
+def test_command_line_profile(spark, capsys):
+    from rentyield.__main__ import main
+    d = tempfile.mkdtemp(prefix="rentyield-prof-", dir="/tmp")
+    _write_raw(d)
+    out = main(["--raw", d, "--profile"])
+    assert out["listings_shape"] == [{"rows": 20, "cols": 10}]
+    missing = {r["column"]: r["missing"] for r in out["missing"]}
+    assert missing == {"zipcode": 2, "bedrooms": 2, "review_scores_value": 2}
+    formats = {r["format"]: r["matching"] for r in out["postal_formats"]}
+    assert formats == {"four_digits": 8, "six_chars_no_space": 5, "with_space": 5}
+    assert out["price"][0]["above_bound"] == 1
+    assert {r["city"]: r["count"] for r in out["cities"]} == {"Amsterdam": 6, "AMSTERDAM": 5, "Utrecht": 1}
+    issues = {r["issue"]: r["count"] for r in out["issues"]}
+    assert issues["other_city_records"] == 1 and issues["utilities_included"] == 8   # 4 rents >= 1000, 2 rentals each
+    assert not os.path.exists(os.path.join(d, "tables"))             # profiling writes nothing
+    assert '"issues"' in capsys.readouterr().out
