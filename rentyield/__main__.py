@@ -87,6 +87,7 @@ def profile_raw(spark, args) -> dict:
         "missing": rows(P.profile_missing(listings, ["zipcode", "bedrooms", "review_scores_value"])),
         "postal_formats": rows(P.profile_formats(listings, "zipcode")),
         "price": rows(P.profile_numeric(listings, "price", 2000.0)),
+        "price_summary": rows(P.summary(listings, "price")),          # with approximate quartiles
         "room_types": rows(P.profile_frequency(listings, "room_type")),
         "cities": rows(P.profile_frequency(rentals, "city", top=args.top)),
         "property_types": rows(P.profile_frequency(in_city, "propertyType")),

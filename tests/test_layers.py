@@ -209,6 +209,7 @@ def test_command_line_profile(spark, capsys):
     formats = {r["format"]: r["matching"] for r in out["postal_formats"]}
     assert formats == {"four_digits": 8, "six_chars_no_space": 5, "with_space": 5}
     assert out["price"][0]["above_bound"] == 1
+    assert [r["summary"] for r in out["price_summary"]] == ["count", "mean", "stddev", "min", "25%", "50%", "75%", "max"]
     assert {r["city"]: r["count"] for r in out["cities"]} == {"Amsterdam": 6, "AMSTERDAM": 5, "Utrecht": 1}
     issues = {r["issue"]: r["count"] for r in out["issues"]}
     assert issues["other_city_records"] == 1 and issues["utilities_included"] == 8   # 4 rents >= 1000, 2 rentals each
