@@ -7,7 +7,8 @@ holds a few arrays of that size and never a whole partition.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import sys
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -108,6 +109,14 @@ def window_rows(first: np.ndarray, n: int) -> np.ndarray:
     return np.flatnonzero(inside)
 
 
+def kept_in_worker(name: object, make: Callable):
+    """``make()``, once per Python process: tasks that follow in the same worker find it again."""
+    held = sys.__dict__.setdefault("_rentyield_llm", {})
+    if name not in held:
+        held[name] = make()
+    return held[name]
+
+
 def mix64(x: np.ndarray) -> np.ndarray:
     """A 64-bit finaliser (splitmix); a bijection."""
     x = x.astype(np.uint64, copy=True)
