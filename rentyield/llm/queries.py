@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rentyield.llm import bpe, minhash, packing, quality_rules
+from rentyield.llm import bpe, minhash, packing, quality_rules, suffix_dedup
 from rentyield.llm.tables import table
 
 
@@ -32,11 +32,16 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality(table(spark, sf_dir, "documents")).drop("lang")
 
 
+def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.repeats(table(spark, sf_dir, "documents")).drop("spans")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_best_fit_packing": op3_best_fit_packing,
     "op5_minhash": op5_minhash,
     "op6_bpe": op6_bpe,
     "op8_quality_rules": op8_quality_rules,
+    "op9_suffix_dedup": op9_suffix_dedup,
 }
 
 SQL: dict[str, str] = {}
