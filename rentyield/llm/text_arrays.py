@@ -8,6 +8,7 @@ holds a few arrays of that size and never a whole partition.
 from __future__ import annotations
 
 import sys
+import unicodedata
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -15,7 +16,7 @@ import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 4 << 20
 
 #: Bytes that separate words: space and 0x09 to 0x0D.
 _SPACE = np.zeros(256, dtype=bool)
@@ -109,6 +110,39 @@ def window_rows(first: np.ndarray, n: int) -> np.ndarray:
     return np.flatnonzero(inside)
 
 
+def code_points(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Code points of valid UTF-8, and the position of the first byte of each."""
+    lead = np.flatnonzero((data & 0xC0) != 0x80)
+    point = data[lead].astype(np.uint32)
+    wide = np.flatnonzero(point >= 0x80)
+    if len(wide):
+        at, first = lead[wide], point[wide]
+        more = [data[np.minimum(at + k, len(data) - 1)].astype(np.uint32) & 0x3F for k in (1, 2, 3)]
+        two = ((first & 0x1F) << 6) | more[0]
+        three = ((first & 0x0F) << 12) | (more[0] << 6) | more[1]
+        four = ((first & 0x07) << 18) | (more[0] << 12) | (more[1] << 6) | more[2]
+        point[wide] = np.where(first < 0xE0, two, np.where(first < 0xF0, three, four))
+    return np.minimum(point, sys.maxunicode), lead
+
+
+#: Classes of characters.
+OTHER, LETTER, NUMBER, SPACE = 0, 1, 2, 3
+#: White space by Unicode (White_Space property).
+_WHITE = [*range(0x09, 0x0E), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]
+
+
+def character_classes() -> np.ndarray:
+    """Class of every code point: letters and numbers by general category."""
+
+    def make() -> np.ndarray:
+        kind = {"L": LETTER, "N": NUMBER}
+        out = np.array([kind.get(unicodedata.category(chr(c))[0], OTHER) for c in range(sys.maxunicode + 1)], dtype=np.uint8)
+        out[_WHITE] = SPACE
+        return out
+
+    return kept_in_worker("character classes", make)
+
+
 def kept_in_worker(name: object, make: Callable):
     """``make()``, once per Python process: tasks that follow in the same worker find it again."""
     held = sys.__dict__.setdefault("_rentyield_llm", {})
