@@ -19,8 +19,6 @@ tokenizers library's default; an empty table gives an empty result; other column
 from __future__ import annotations
 
 import json
-import sys
-import unicodedata
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -28,28 +26,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rentyield.llm.text_arrays import binary_array, kept_in_worker, slices, text_buffer
+from rentyield.llm.text_arrays import (
+    LETTER, SPACE, binary_array, character_classes, code_points, kept_in_worker, slices, text_buffer)
 
 BLOCK_BYTES = 16 << 20
 
-#: Classes of characters for the pre-tokenizer.
-_OTHER, _LETTER, _NUMBER, _SPACE = 0, 1, 2, 3
-#: White space by Unicode (White_Space property), and the contractions of the pattern.
-_WHITE = [*range(0x09, 0x0E), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]
+#: The contractions of the pattern.
 _CONTRACTIONS = [b"s", b"t", b"re", b"ve", b"m", b"ll", b"d"]
 
 
-def _classes() -> np.ndarray:
-    return kept_in_worker("character classes", _make_classes)
-
-
-def _make_classes() -> np.ndarray:
-    kind = {"L": _LETTER, "N": _NUMBER}
-    out = np.array([kind.get(unicodedata.category(chr(c))[0], _OTHER) for c in range(sys.maxunicode + 1)], dtype=np.uint8)
-    out[_WHITE] = _SPACE
-    return out
-
-
 def split_words(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """Byte positions at which a word begins; rows begin words. Words are contiguous.
 
@@ -57,17 +42,8 @@ def split_words(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """
     if not len(data):
         return np.zeros(0, np.int64)
-    lead = np.flatnonzero((data & 0xC0) != 0x80)            # first byte of each code point
-    b = data[lead].astype(np.uint32)
-    wide = np.flatnonzero(b >= 0x80)
-    if len(wide):
-        at, first = lead[wide], b[wide]
-        more = [data[np.minimum(at + k, len(data) - 1)].astype(np.uint32) & 0x3F for k in (1, 2, 3)]
-        two = ((first & 0x1F) << 6) | more[0]
-        three = ((first & 0x0F) << 12) | (more[0] << 6) | more[1]
-        four = ((first & 0x07) << 18) | (more[0] << 12) | (more[1] << 6) | more[2]
-        b[wide] = np.where(first < 0xE0, two, np.where(first < 0xF0, three, four))
-    kind = _classes()[np.minimum(b, sys.maxunicode)]
+    b, lead = code_points(data)
+    kind = character_classes()[b]
     n = len(kind)
     row_start = np.zeros(n + 1, bool)
     row_start[np.searchsorted(lead, offsets[:-1])] = True
@@ -79,7 +55,7 @@ def split_words(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     begin = change.copy()
     # a run of white space before something else gives up its last character: a space joins what
     # follows, another one is a word by itself
-    space = kind == _SPACE
+    space = kind == SPACE
     last = np.zeros(n, bool)
     last[:-1] = space[:-1] & ~space[1:] & ~row_start[1:]
     last = np.flatnonzero(last)
@@ -89,7 +65,7 @@ def split_words(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     # contractions: a lone apostrophe that begins a word, before a letter
     quote = np.flatnonzero((b == 0x27) & begin)
     quote = quote[quote + 1 < n]
-    quote = quote[(kind[quote + 1] == _LETTER) & ~row_start[quote + 1]]
+    quote = quote[(kind[quote + 1] == LETTER) & ~row_start[quote + 1]]
     for tail in _CONTRACTIONS:
         k = len(tail)
         some = quote[quote + k < n]

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rentyield.llm import bpe, minhash, packing, quality_rules, suffix_dedup
+from rentyield.llm import bpe, language_id, minhash, packing, pii, quality_rules, suffix_dedup
 from rentyield.llm.tables import table
 
 
@@ -28,6 +28,10 @@ def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.identify(table(spark, sf_dir, "documents"))
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality(table(spark, sf_dir, "documents")).drop("lang")
 
@@ -36,12 +40,18 @@ def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.repeats(table(spark, sf_dir, "documents")).drop("spans")
 
 
+def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.find(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_best_fit_packing": op3_best_fit_packing,
     "op5_minhash": op5_minhash,
     "op6_bpe": op6_bpe,
+    "op7_language_id": op7_language_id,
     "op8_quality_rules": op8_quality_rules,
     "op9_suffix_dedup": op9_suffix_dedup,
+    "op10_pii": op10_pii,
 }
 
 SQL: dict[str, str] = {}
