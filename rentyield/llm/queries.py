@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rentyield.llm import bpe, language_id, minhash, packing, pii, quality_rules, suffix_dedup
+from rentyield.llm import bpe, itq, language_id, minhash, packing, pii, quality_rules, suffix_dedup, toxicity
 from rentyield.llm.tables import table
 
 
@@ -16,6 +16,14 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.severity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op2_itq(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return itq.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer_path(), with_ids=False)
 
@@ -45,6 +53,8 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_toxicity": op1_toxicity,
+    "op2_itq": op2_itq,
     "op3_best_fit_packing": op3_best_fit_packing,
     "op5_minhash": op5_minhash,
     "op6_bpe": op6_bpe,
