@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rentyield.llm.tables import durable
+from rentyield.llm.tables import durable, release
 from rentyield.llm.text_arrays import mix64, slices, text_buffer
 
 LENGTH = 400
@@ -205,7 +205,7 @@ def count_windows(contexts: DataFrame, length: int) -> DataFrame:
                     [pa.array(key.view(np.int64)), part.column("n").take(pa.array(context)), part.column("row").take(pa.array(context)),
                      pa.array(begin + shift)], ["key", "n", "row", "begin"])
 
-    windows = contexts.drop("part", "members").mapInArrow(run, "key long, n long, row long, begin long")
+    windows = contexts.drop("members").mapInArrow(run, "key long, n long, row long, begin long")
     twice = windows.groupBy("key").agg(F.sum("n").alias("times")).filter("times > 1").select(F.col("key").alias("_key"))
     return (windows.filter("n = 1").join(twice, F.col("key") == F.col("_key"), "left_semi")
             .select("row", "begin", (F.col("begin") + length).alias("end")))
@@ -226,47 +226,57 @@ def _merged(begin: np.ndarray, end: np.ndarray, size: int, length: int) -> list[
     return out
 
 
-def repeated_spans(docs: DataFrame, length: int, text: str) -> DataFrame:
-    """(row, spans): begins and ends of repeated strings per row number; not yet merged or clipped."""
-    sc = docs.sparkSession.sparkContext
+def repeated_spans(docs: DataFrame, length: int, text: str) -> tuple[DataFrame, DataFrame]:
+    """Per row number: (row, places), anchors whose surroundings are repeated, and (row, spans), the
+    begins and ends of other repeated strings; not yet merged or clipped."""
+    spark = docs.sparkSession
     found = anchors(docs, length, text)
     crowd = found.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1").select(F.col("bucket").alias("_bucket"))
     found = durable(found.join(crowd, F.col("bucket") == F.col("_bucket"), "left_semi"))
-    sc._jvm.System.gc()         # lets Spark's cleaner drop the shuffle files before the checkpoint
+    release(spark)
     alike = durable(found.groupBy("bucket", "around").agg(F.count("*").alias("n"), F.min(F.struct("row", "place")).alias("one")))
+    release(spark)
     settled = found.join(alike.filter("n > 1").select(F.col("bucket").alias("_b"), F.col("around").alias("_a")),
                          (F.col("bucket") == F.col("_b")) & (F.col("around") == F.col("_a")), "left_semi")
-    settled = settled.select("row", (F.col("place") - (length - _gram(length))).cast("long").alias("begin"),
-                             (F.col("place") + length).cast("long").alias("end"))
+    settled = durable(settled.groupBy("row").agg(F.collect_list("place").alias("places")))
     unlike = alike.groupBy("bucket").agg(F.count("*").alias("members"), F.min("n").alias("least"))
     unlike = unlike.filter("members > 1 AND least = 1").select(F.col("bucket").alias("_bucket"), "members")
-    chosen = alike.join(unlike, F.col("bucket") == F.col("_bucket")).select(
-        "bucket", "n", "members", F.col("one.row").alias("row"), F.col("one.place").alias("place"))
-    chosen = durable(chosen)
+    chosen = durable(alike.join(unlike, F.col("bucket") == F.col("_bucket")).select(
+        "bucket", "n", "members", F.col("one.row").alias("row"), F.col("one.place").alias("place")))
+    del found, crowd, alike, unlike
+    release(spark)
     parts = max(1, chosen.count() // GATHERED)
-    contexts = surroundings(docs, chosen, length, text).withColumn("part", F.pmod(F.xxhash64("bucket"), F.lit(parts)))
-    few = refine(contexts.filter(F.col("members") <= MOST), length)
-    crowded = durable(surroundings(docs, chosen.filter(F.col("members") > MOST), length, text)) if \
-        not chosen.filter(F.col("members") > MOST).isEmpty() else None
-    spans = few if crowded is None else few.unionByName(count_windows(crowded.withColumn("part", F.lit(0)), length))
-    spans = durable(spans)
-    sc._jvm.System.gc()
-    return spans.unionByName(settled).groupBy("row").agg(F.collect_list(F.struct("begin", "end")).alias("spans"))
+    few = surroundings(docs, chosen.filter(F.col("members") <= MOST), length, text)
+    spans = durable(refine(few.withColumn("part", F.pmod(F.xxhash64("bucket"), F.lit(parts))), length))
+    many = chosen.filter(F.col("members") > MOST)
+    if not many.isEmpty():
+        release(spark)
+        crowded = durable(surroundings(docs, many, length, text))
+        release(spark)
+        spans = durable(spans.unionByName(count_windows(crowded, length)))
+    release(spark)
+    return settled, spans.groupBy("row").agg(F.collect_list(F.struct("begin", "end")).alias("spans"))
 
 
 def _with_spans(docs: DataFrame, length: int, text: str) -> tuple[DataFrame, DataFrame]:
     docs = docs.withColumn("_row", F.monotonically_increasing_id())
-    spans = repeated_spans(docs, length, text)
-    return docs, docs.join(spans, F.col("_row") == F.col("row"), "left").drop("row")
+    settled, spans = repeated_spans(docs, length, text)
+    joined = (docs.join(settled, F.col("_row") == F.col("row"), "left").drop("row")
+              .join(spans, F.col("_row") == F.col("row"), "left").drop("row"))
+    return docs, joined
 
 
 def _span_lists(part: pa.RecordBatch, offsets: np.ndarray, length: int) -> Iterator[list[tuple[int, int]]]:
-    for i, spans in enumerate(part.column("spans")):
-        if not spans.is_valid:
-            yield []
-            continue
-        flat = spans.values
-        yield _merged(flat.field("begin").to_numpy(), flat.field("end").to_numpy(), int(offsets[i + 1] - offsets[i]), length)
+    reach = length - _gram(length)
+    for i, (places, spans) in enumerate(zip(part.column("places"), part.column("spans"))):
+        begin, end = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        if places.is_valid:
+            at = places.values.to_numpy().astype(np.int64)
+            begin, end = at - reach, at + length
+        if spans.is_valid:
+            begin = np.concatenate([begin, spans.values.field("begin").to_numpy()])
+            end = np.concatenate([end, spans.values.field("end").to_numpy()])
+        yield _merged(begin, end, int(offsets[i + 1] - offsets[i]), length) if len(begin) else []
 
 
 def repeats(docs: DataFrame, length: int = LENGTH, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -294,7 +304,7 @@ def repeats(docs: DataFrame, length: int = LENGTH, key: str = "doc_id", text: st
                  pa.array(sha, pa.string()), pa.array(lists, pa.list_(pa.struct([("begin", pa.int64()), ("end", pa.int64())])))],
                 [key, "n_bytes", "n_removed", "n_spans", "kept_sha256", "spans"])
 
-    return joined.select(key, text, "spans").mapInArrow(
+    return joined.select(key, text, "places", "spans").mapInArrow(
         run, f"{key} long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, spans array<struct<begin:long,end:long>>")
 
 
@@ -323,7 +333,7 @@ def without_repeats(docs: DataFrame, length: int = LENGTH, text: str = "text", c
             yield pa.RecordBatch.from_arrays([part.column("_row"), pa.array(made, pa.string())], ["_row", "_text"])
 
     names = [c for c in docs.columns if c != "_row"]
-    changed = joined.filter(F.col("spans").isNotNull()).select("_row", text, "spans").mapInArrow(run, schema)
+    changed = joined.filter("places IS NOT NULL OR spans IS NOT NULL").select("_row", text, "places", "spans").mapInArrow(run, schema)
     changed = changed.withColumnRenamed("_row", "_changed")
     out = docs.join(changed, F.col("_row") == F.col("_changed"), "left")
     made = F.when(F.col("_changed").isNull(), F.col(text)).otherwise(F.col("_text"))

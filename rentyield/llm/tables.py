@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import gc
+import time
+
 from pyspark.sql import DataFrame, SparkSession
 
 from rentyield.session import ensure_checkpoint_dir
@@ -15,3 +18,16 @@ def durable(df: DataFrame) -> DataFrame:
     """Cut the lineage by a reliable checkpoint in the session's shared folder."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def release(spark: SparkSession) -> None:
+    """Let Spark's cleaner delete the shuffle files and checkpoints that nothing refers to any more.
+
+    It acts on what the driver's garbage collector finds; where there is room the driver seldom
+    collects, and a job of many steps would keep the files of all. Two rounds: the first one frees
+    the last job's plan.
+    """
+    for _ in range(2):
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(0.3)
