@@ -11,7 +11,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rentyield.llm import quality_rules
+from rentyield.llm import minhash, packing, pii, quality_rules, suffix_dedup
+from rentyield.llm.queries import tokenizer_path
 from rentyield.llm.tables import table
 from rentyield.session import ensure_checkpoint_dir
 
@@ -21,16 +22,42 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     return quality_rules.keep_good(docs)
 
 
-STAGES = [("quality rules", good_quality)]
+def distinct_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates (five-word shingles, similarity 0.8) stays."""
+    return minhash.keep_one(docs)
 
-#: The stages hash token ids and fit a model, which SQL can't express; tests hold them against brute force.
+
+def unrepeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Strings of 400 bytes that occur elsewhere too are cut out of the texts."""
+    return suffix_dedup.without_repeats(docs)
+
+
+def without_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Personal data is masked; terms that disclose it are generalised or removed."""
+    return pii.sanitise(docs)
+
+
+def packed_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token pieces with their sequence and place; the ids themselves are those of the texts."""
+    return packing.pack_documents(docs, tokenizer_path(), with_ids=False)
+
+
+STAGES = [
+    ("quality rules", good_quality),
+    ("minhash near-dedup", distinct_texts),
+    ("suffix-array dedup", unrepeated_passages),
+    ("pii", without_personal_data),
+    ("best-fit packing", packed_sequences),
+]
+
+#: The stages fit a model, hash signatures and encode tokens, which SQL can't express; tests hold them against brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     folder = f"{ensure_checkpoint_dir(spark).rstrip('/')}/pipeline-{uuid.uuid4().hex}"
-    for i, (name, stage) in enumerate(STAGES):
+    for i, (_, stage) in enumerate(STAGES):
         path = f"{folder}/{i}"
         stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)

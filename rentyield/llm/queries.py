@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rentyield.llm import bpe, itq, language_id, minhash, packing, pii, quality_rules, suffix_dedup, toxicity
+from rentyield.llm import bpe, itq, language_id, minhash, packing, pii, quality_rules, revisits, suffix_dedup, toxicity
 from rentyield.llm.tables import table
 
 
@@ -28,6 +28,10 @@ def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer_path(), with_ids=False)
 
 
+def op4_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return revisits.resolved_pages(table(spark, sf_dir, "pages"))
+
+
 def op5_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), width=4)
 
@@ -56,6 +60,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_itq": op2_itq,
     "op3_best_fit_packing": op3_best_fit_packing,
+    "op4_revisits": op4_revisits,
     "op5_minhash": op5_minhash,
     "op6_bpe": op6_bpe,
     "op7_language_id": op7_language_id,
@@ -64,4 +69,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_pii": op10_pii,
 }
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op4_revisits": revisits.SQL,
+}
