@@ -8,10 +8,11 @@
 3. Sequential verification: signatures are compared in batches of hashes. After each batch a pair is
    dropped if the posterior probability (uniform prior) that its similarity reaches the threshold is
    below ``miss``. The survivors are verified exactly on the full sets.
-4. Buckets whose members are not all in one component after that are compared once more, every
-   member of the largest component with all others and the others among themselves, in blocks of
-   ``BLOCK`` members, so that no link between members is lost to the choice of the partner in step 2.
-   Only survivors of the same pruning leave a block, to be verified exactly.
+4. Buckets whose members are not all in one component after that are compared once more, so that no
+   link between members is lost to the choice of the partner in step 2. Members outside the
+   bucket's largest component are held against all of that component's members in such buckets, in
+   blocks of ``BLOCK``: signatures first, then full sets, up to the first link. The members outside
+   are also compared with each other, and survivors of the same pruning verified exactly.
 5. Components of all links.
 
 With 32 bands of 5 rows a pair at similarity 0.8 shares no bucket with probability 3e-6, and less
@@ -29,7 +30,7 @@ from math import comb
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rentyield.llm.components import components
@@ -185,44 +186,82 @@ def set_table(docs: DataFrame, ids: DataFrame, width: int, key: str, text: str)
     return chosen.mapInArrow(run, "id long, items array<long>")
 
 
-def cross_candidates(members: DataFrame, label: DataFrame, sigs: DataFrame, steps: list[tuple[int, int]]) -> DataFrame:
-    """Pairs that survive pruning among members of a bucket in different components.
-
-    ``members``: (bucket, id); ``label``: (vertex, component) of those with links so far.
-    """
+def _open_buckets(members: DataFrame, label: DataFrame) -> DataFrame:
+    """(bucket, id, component, main): rows of buckets whose members are in several components; ``main`` is
+    the component of most of them. ``label``: (vertex, component) of those with links so far."""
     named = (members.join(label, F.col("id") == F.col("vertex"), "left")
              .select("bucket", "id", F.coalesce("component", "id").alias("component")))
     sizes = named.groupBy("bucket", "component").agg(F.count("*").alias("n"))
     main = sizes.groupBy("bucket").agg(F.max(F.struct("n", "component")).alias("top"), F.sum("n").alias("total"))
-    main = main.filter(F.col("total") > F.col("top.n")).select(     # buckets with several components
-        F.col("bucket").alias("_bucket"), F.col("top.component").alias("main"),
-        F.ceil(F.col("top.n") / BLOCK).cast("int").alias("mb"), F.ceil((F.col("total") - F.col("top.n")) / BLOCK).cast("int").alias("rb"))
-    rows = named.join(main, F.col("bucket") == F.col("_bucket")).withColumn("is_main", F.col("component") == F.col("main"))
-    # block pairs (kind, i, k): a block of the main component and one of the rest, or two of the rest
-    mine = F.pmod(F.xxhash64("id"), F.when(F.col("is_main"), F.col("mb")).otherwise(F.col("rb"))).cast("int")
-    rows = rows.withColumn("mine", mine)
-    pair = lambda kind, i, k: F.struct(F.lit(kind).alias("kind"), i.cast("int").alias("i"), k.cast("int").alias("k"))
-    of_main = F.transform(F.sequence(F.lit(0), F.col("rb") - 1), lambda k: pair(0, F.col("mine"), k))
-    of_rest = F.concat(F.transform(F.sequence(F.lit(0), F.col("mb") - 1), lambda i: pair(0, i, F.col("mine"))),
-                       F.transform(F.sequence(F.lit(0), F.col("rb") - 1),
-                                   lambda k: pair(1, F.least(k, F.col("mine")), F.greatest(k, F.col("mine")))))
-    rows = rows.select("bucket", "id", "component", F.explode(F.when(F.col("is_main"), of_main).otherwise(of_rest)).alias("at"))
-    rows = (rows.select("bucket", "at.*", "id", "component")
-            .join(sigs.select(F.col("id").alias("_id"), "sig"), F.col("id") == F.col("_id")).drop("_id"))
+    main = main.filter(F.col("total") > F.col("top.n")).select(F.col("bucket").alias("_bucket"), F.col("top.component").alias("main"))
+    return named.join(main, F.col("bucket") == F.col("_bucket")).drop("_bucket")
+
+
+def _in_blocks(rows: DataFrame, group: str, first: Column) -> DataFrame:
+    """Deal the rows of a group into blocks: (group, i, k) holds block i of the rows where ``first``, and block k of the others."""
+    sizes = rows.groupBy(group).agg(F.sum(first.cast("long")).alias("n"), F.sum((~first).cast("long")).alias("m"))
+    sizes = sizes.select(F.col(group).alias("_group"), F.ceil(F.col("n") / BLOCK).cast("int").alias("n"), F.ceil(F.col("m") / BLOCK).cast("int").alias("m"))
+    rows = rows.join(sizes.filter("n > 0 AND m > 0"), F.col(group) == F.col("_group")).drop("_group")
+    mine = F.pmod(F.xxhash64("id"), F.when(first, F.col("n")).otherwise(F.col("m"))).cast("int")
+    other = F.when(first, F.col("m")).otherwise(F.col("n"))
+    return (rows.withColumn("_mine", mine).withColumn("_other", F.explode(F.sequence(F.lit(0), other - 1)))
+            .withColumn("i", F.when(first, F.col("_mine")).otherwise(F.col("_other")))
+            .withColumn("k", F.when(first, F.col("_other")).otherwise(F.col("_mine"))).drop("n", "m", "_mine", "_other"))
+
+
+def links_to_main(opened: DataFrame, sigs: DataFrame, sets: DataFrame, steps: list[tuple[int, int]], similarity: int) -> DataFrame:
+    """(a, b): for members outside their bucket's main component, a link to a member of it, if there is one.
+
+    Each such text is compared with all texts of that component that are in open buckets, block by
+    block: signatures first, then the full sets, from the most similar down to the first link.
+    """
+    rows = opened.select("main", "id", (F.col("component") == F.col("main")).alias("inside")).distinct()
+    rows = _in_blocks(rows, "main", F.col("inside"))
+    rows = (rows.join(sigs.select(F.col("id").alias("_id"), "sig"), F.col("id") == F.col("_id")).drop("_id")
+            .join(sets.select(F.col("id").alias("_id"), "items"), F.col("id") == F.col("_id")).drop("_id"))
+
+    def compare(group: pa.Table) -> pa.Table:
+        inside = group.column("inside").to_numpy()
+        ids, sig, items = group.column("id").to_numpy(), _matrix(group.column("sig")), group.column("items").combine_chunks()
+        sets = [items[i].values.to_numpy() for i in range(len(ids))]
+        ours, found = np.flatnonzero(inside), []
+        for x in np.flatnonzero(~inside):
+            left = ours[_pruned(np.broadcast_to(sig[x], (len(ours), sig.shape[1])), sig[ours], steps)]
+            alike = (sig[left] == sig[x]).sum(axis=1)
+            for y in left[np.argsort(-alike, kind="stable")]:
+                n = len(np.intersect1d(sets[x], sets[y], assume_unique=True))
+                if 100 * n >= similarity * (len(sets[x]) + len(sets[y]) - n):
+                    found.append((min(ids[x], ids[y]), max(ids[x], ids[y])))
+                    break
+        a, b = zip(*found) if found else ((), ())
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+    return rows.groupBy("main", "i", "k").applyInArrow(compare, "a long, b long")
+
+
+def candidates_beside_main(opened: DataFrame, sigs: DataFrame, steps: list[tuple[int, int]]) -> DataFrame:
+    """(a, b): pairs that survive pruning among members of a bucket outside its main component, in different ones."""
+    rest = opened.filter(F.col("component") != F.col("main")).select("bucket", "id", "component")
+    sizes = rest.groupBy("bucket").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("n"), F.count("*").alias("all"))
+    rest = rest.join(sizes.filter(F.col("all") > 1).select(F.col("bucket").alias("_bucket"), "n"), F.col("bucket") == F.col("_bucket")).drop("_bucket")
+    rest = rest.withColumn("_mine", F.pmod(F.xxhash64("id"), F.col("n")).cast("int")).withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("n") - 1)))
+    rest = rest.select("bucket", "id", "component", F.least("_mine", "_other").alias("i"), F.greatest("_mine", "_other").alias("k"), "_mine")
+    rest = rest.join(sigs.select(F.col("id").alias("_id"), "sig"), F.col("id") == F.col("_id")).drop("_id")
 
     def compare(group: pa.Table) -> pa.Table:
-        ids, part = group.column("id").to_numpy(), group.column("component").to_numpy()
+        ids, part, mine = (group.column(c).to_numpy() for c in ("id", "component", "_mine"))
+        across = group.column("i")[0].as_py() != group.column("k")[0].as_py()       # two blocks: pairs within one are met elsewhere
         sig = _matrix(group.column("sig"))
         found = []
-        for i in range(len(ids) - 1):
-            other = i + 1 + np.flatnonzero(part[i + 1:] != part[i])
+        for x in range(len(ids) - 1):
+            other = x + 1 + np.flatnonzero((part[x + 1:] != part[x]) & (~across | (mine[x + 1:] != mine[x])))
             if len(other):
-                left = other[_pruned(np.broadcast_to(sig[i], (len(other), sig.shape[1])), sig[other], steps)]
-                found += [(min(ids[i], ids[j]), max(ids[i], ids[j])) for j in left]
+                left = other[_pruned(np.broadcast_to(sig[x], (len(other), sig.shape[1])), sig[other], steps)]
+                found += [(min(ids[x], ids[y]), max(ids[x], ids[y])) for y in left]
         a, b = zip(*found) if found else ((), ())
         return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
-    return rows.groupBy("bucket", "kind", "i", "k").applyInArrow(compare, "a long, b long").distinct()
+    return rest.groupBy("bucket", "i", "k").applyInArrow(compare, "a long, b long").distinct()
 
 
 def near_duplicates(docs: DataFrame, width: int = WIDTH, similarity: int = SIMILARITY, bands: int = BANDS,
@@ -252,8 +291,9 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH, similarity: int = SIMIL
     links = durable(verify(likely, sets, similarity))
 
     more = members.filter("n > 2").select("bucket", "id")
-    crossing = cross_candidates(more, components(links), sigs, steps)
-    late = durable(verify(crossing, sets, similarity))
+    opened = durable(_open_buckets(more, components(links)))
+    late = durable(links_to_main(opened, sigs, sets, steps, similarity)
+                   .unionByName(verify(candidates_beside_main(opened, sigs, steps), sets, similarity)))
 
     same_set = copies.filter(F.col("id") > F.col("rep")).select(F.col("rep").alias("a"), F.col("id").alias("b"))
     label = components(links.unionByName(late).unionByName(same_set))
