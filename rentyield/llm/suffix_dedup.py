@@ -14,7 +14,8 @@ recursively; equal strings have equal identifiers, in every task and without a s
 3. Buckets that are left with unlike members are refined window by window: the identifiers of the
    LENGTH bytes at each offset from the anchor, again made of identifiers at later offsets, are
    sorted within the bucket; those found twice are repeated. A bucket with more than ``MOST`` unlike
-   members (a passage in very many texts) is not gathered: its windows are counted by an aggregate.
+   members (a passage in very many texts) is dealt to several tasks; strings that one of them has only
+   once are then counted over all by an aggregate.
 
 Each distinct surrounding takes part once, whatever the number of its copies. Identifiers have 64
 bits and are compared within a bucket, itself a 64-bit identifier.
@@ -41,7 +42,7 @@ from rentyield.llm.tables import durable, release
 from rentyield.llm.text_arrays import mix64, slices, text_buffer
 
 LENGTH = 400
-#: Most unlike members of a bucket that one task gathers; aim for the contexts gathered at once.
+#: Unlike members of a bucket that are gathered in one group; surroundings gathered in one task at once.
 MOST = 2_000
 GATHERED = 4_000
 
@@ -174,40 +175,42 @@ def surroundings(docs: DataFrame, chosen: DataFrame, length: int, text: str) ->
 
 
 def refine(contexts: DataFrame, length: int) -> DataFrame:
-    """(row, begin, end): repeated strings among the surroundings of a bucket of moderate size."""
+    """(row, begin, end, key, times): spans of strings that a group of surroundings holds twice; and, of
+    buckets that several groups share, each string's identifier with its times, row and begin if it is
+    alone in the group."""
+    schema = pa.schema([("row", pa.int64()), ("begin", pa.int64()), ("end", pa.int64()), ("key", pa.int64()), ("times", pa.int64())])
 
     def run(group: pa.Table) -> pa.Table:
         key, context, begin = _windows(group, length)
+        shift = group.column("place").to_numpy().astype(np.int64) - group.column("left").to_numpy()
+        row = group.column("row").to_numpy()
+        # surroundings with copies are settled already, and count twice
         alone = group.column("n").to_numpy() == 1
         by = np.argsort(key, kind="stable")
-        same = np.zeros(len(by) + 1, bool)
-        same[1:-1] = key[by][1:] == key[by][:-1]
+        first = np.flatnonzero(np.concatenate([[True], key[by][1:] != key[by][:-1]])) if len(by) else np.zeros(0, np.int64)
+        size = np.diff(np.append(first, len(by)))
+        times = np.add.reduceat(np.where(alone, 1, 2)[context[by]], first) if len(by) else size
         twice = np.zeros(len(by), bool)
-        twice[by] = same[1:] | same[:-1]
-        some = np.flatnonzero(twice & alone[context])       # the others are settled already
-        context, begin, end = _runs(context[some], begin[some], length)
-        shift = (group.column("place").to_numpy().astype(np.int64) - group.column("left").to_numpy())[context]
-        return pa.table({"row": group.column("row").take(pa.array(context)), "begin": pa.array(begin + shift), "end": pa.array(end + shift)})
-
-    return contexts.groupBy("part").applyInArrow(run, "row long, begin long, end long")
-
-
-def count_windows(contexts: DataFrame, length: int) -> DataFrame:
-    """(row, begin, end): the same for buckets with very many unlike members, by an aggregate."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for a in range(0, batch.num_rows, 2_000):
-                part = batch.slice(a, 2_000)
-                key, context, begin = _windows(part, length)
-                shift = (part.column("place").to_numpy().astype(np.int64) - part.column("left").to_numpy())[context]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(key.view(np.int64)), part.column("n").take(pa.array(context)), part.column("row").take(pa.array(context)),
-                     pa.array(begin + shift)], ["key", "n", "row", "begin"])
-
-    windows = contexts.drop("members").mapInArrow(run, "key long, n long, row long, begin long")
-    twice = windows.groupBy("key").agg(F.sum("n").alias("times")).filter("times > 1").select(F.col("key").alias("_key"))
-    return (windows.filter("n = 1").join(twice, F.col("key") == F.col("_key"), "left_semi")
+        twice[by] = np.repeat(times > 1, size)
+        some = np.flatnonzero(twice & alone[context])
+        of, a, z = _runs(context[some], begin[some], length)
+        none = pa.nulls(len(of), pa.int64())
+        out = [pa.table([pa.array(row[of]), pa.array(a + shift[of]), pa.array(z + shift[of]), none, none], schema=schema)]
+        shared = (group.column("members").to_numpy() > MOST)[context[by[first]]]
+        one, times = by[first[shared]], times[shared]
+        known = times == 1
+        out.append(pa.table([pa.array(row[context[one]], mask=~known), pa.array(begin[one] + shift[context[one]], mask=~known),
+                             pa.nulls(len(one), pa.int64()), pa.array(key[one].view(np.int64)), pa.array(times)], schema=schema))
+        return pa.concat_tables(out)
+
+    return contexts.groupBy("part").applyInArrow(run, "row long, begin long, end long, key long, times long")
+
+
+def found_elsewhere(refined: DataFrame, length: int) -> DataFrame:
+    """(row, begin, end): strings that are alone in their group, and also in another group of the bucket."""
+    keys = refined.filter("key IS NOT NULL")
+    twice = durable(keys.groupBy("key").agg(F.sum("times").alias("n")).filter("n > 1").select(F.col("key").alias("_key")))
+    return (keys.filter("times = 1").join(twice, F.col("key") == F.col("_key"), "left_semi")
             .select("row", "begin", (F.col("begin") + length).alias("end")))
 
 
@@ -231,7 +234,9 @@ def repeated_spans(docs: DataFrame, length: int, text: str) -> tuple[DataFrame,
     begins and ends of other repeated strings; not yet merged or clipped."""
     spark = docs.sparkSession
     found = anchors(docs, length, text)
-    crowd = found.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1").select(F.col("bucket").alias("_bucket"))
+    # a table of its own: Spark splits a large bucket in a join of two plain shuffles
+    crowd = durable(found.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1").select(F.col("bucket").alias("_bucket")))
+    release(spark)
     found = durable(found.join(crowd, F.col("bucket") == F.col("_bucket"), "left_semi"))
     release(spark)
     alike = durable(found.groupBy("bucket", "around").agg(F.count("*").alias("n"), F.min(F.struct("row", "place")).alias("one")))
@@ -246,14 +251,13 @@ def repeated_spans(docs: DataFrame, length: int, text: str) -> tuple[DataFrame,
     del found, crowd, alike, unlike
     release(spark)
     parts = max(1, chosen.count() // GATHERED)
-    few = surroundings(docs, chosen.filter(F.col("members") <= MOST), length, text)
-    spans = durable(refine(few.withColumn("part", F.pmod(F.xxhash64("bucket"), F.lit(parts))), length))
-    many = chosen.filter(F.col("members") > MOST)
-    if not many.isEmpty():
-        release(spark)
-        crowded = durable(surroundings(docs, many, length, text))
-        release(spark)
-        spans = durable(spans.unionByName(count_windows(crowded, length)))
+    # the members of a crowded bucket are dealt to several groups
+    salt = F.pmod(F.xxhash64("row", "place"), F.ceil(F.col("members") / MOST))
+    contexts = surroundings(docs, chosen, length, text).withColumn("part", F.pmod(F.xxhash64("bucket", salt), F.lit(parts)))
+    refined = durable(refine(contexts, length))
+    release(spark)
+    spans = refined.filter("key IS NULL").select("row", "begin", "end").unionByName(found_elsewhere(refined, length))
+    spans = durable(spans)
     release(spark)
     return settled, spans.groupBy("row").agg(F.collect_list(F.struct("begin", "end")).alias("spans"))
 
