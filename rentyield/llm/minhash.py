@@ -279,7 +279,8 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH, similarity: int = SIMIL
 
     banded = (some.select("id", "bands").join(reps, F.col("id") == F.col("rep"), "left_semi")
               .select(F.explode("bands").alias("bucket"), "id"))
-    buckets = banded.groupBy("bucket").agg(F.min("id").alias("least"), F.count("*").alias("n")).filter("n > 1")
+    # a table of its own: Spark splits a large bucket in a join of two plain shuffles
+    buckets = durable(banded.groupBy("bucket").agg(F.min("id").alias("least"), F.count("*").alias("n")).filter("n > 1"))
     members = durable(banded.join(buckets.withColumnRenamed("bucket", "_bucket"), F.col("bucket") == F.col("_bucket"))
                       .select("bucket", "id", "least", "n"))
     pairs = members.filter(F.col("id") > F.col("least")).select(F.col("least").alias("a"), F.col("id").alias("b")).distinct()
