@@ -8,7 +8,6 @@ Layout:
   functions/  column expressions (text standardisation, predicates, casts)
   operators/  DataFrame operators (spatial join, revenue model, aggregates, comparison)
   plans/      layer jobs (bronze, silver, gold), profiling, the ordered run
-  streaming/  nothing: the reference is a weekly batch (see module docstring)
 """
 
 from .params import Assumptions, Bounds, Labels, Paths

@@ -3,7 +3,7 @@
     python -m rentyield --raw /data/raw --tables /data/tables [--start silver]
         [--database db] [--city amsterdam] [--occupancy-rate 0.70] [--service-fee-pct 0.03]
         [--cleaning-cost 30.0] [--avg-stay-nights 3.0] [--months-occupied 11]
-        [--maintenance-pct 0.10] [--master local[*]]
+        [--maintenance-pct 0.10] [--rentals-per-line] [--zones-per-line] [--master local[*]]
 
     python -m rentyield --raw /data/raw --profile
 
@@ -43,7 +43,9 @@ def parse_args(argv: list[str] | None = None) -> argparse.Namespace:
     p.add_argument("--months-occupied", default=d.months_occupied, type=int)
     p.add_argument("--maintenance-pct", default=d.maintenance_pct)
     p.add_argument("--master", default=None, help="Spark master when no session is running")
-    p.add_argument("--top", default=10, type=int)
+    p.add_argument("--top", default=10, type=int, choices=range(1, 1001), metavar="1..1000")
+    p.add_argument("--rentals-per-line", action="store_true", help="rentals are JSON lines; the read splits")
+    p.add_argument("--zones-per-line", action="store_true", help="zones are one GeoJSON feature per line; the read splits")
     p.add_argument("--profile", action="store_true", help="only report data quality of the raw files")
     args = p.parse_args(argv)
     if not args.profile and not args.tables and not args.database:
@@ -59,7 +61,8 @@ def main(argv: list[str] | None = None) -> dict:
     spark = SparkSession.getActiveSession() or build_session(args.master or "local[*]")
     if args.profile:
         return profile_raw(spark, args)
-    paths = Paths(raw=args.raw, tables=args.tables, database=args.database, city=args.city)
+    paths = Paths(raw=args.raw, tables=args.tables, database=args.database, city=args.city,
+                  rentals_multiline=not args.rentals_per_line, zones_per_line=args.zones_per_line)
     a = Assumptions(args.occupancy_rate, args.service_fee_pct, args.cleaning_cost, args.avg_stay_nights,
                     args.months_occupied, args.maintenance_pct)
     audit = run(spark, paths, args.start, a)
@@ -78,7 +81,7 @@ def profile_raw(spark, args) -> dict:
     paths = Paths(raw=args.raw, tables="", city=args.city)
     raw = paths.raw.rstrip("/")
     listings = read_listings(spark, f"{raw}/{paths.listings_file}")
-    rentals = read_rentals(spark, f"{raw}/{paths.rentals_file}")
+    rentals = read_rentals(spark, f"{raw}/{paths.rentals_file}", multiline=not args.rentals_per_line)
     in_city = rentals.filter(city_is(rentals["city"], args.city))
     rows = lambda df: [r.asDict() for r in df.collect()]  # noqa: E731  (small report rows only)
     out = {
@@ -88,9 +91,9 @@ def profile_raw(spark, args) -> dict:
         "postal_formats": rows(P.profile_formats(listings, "zipcode")),
         "price": rows(P.profile_numeric(listings, "price", 2000.0)),
         "price_summary": rows(P.summary(listings, "price")),          # with approximate quartiles
-        "room_types": rows(P.profile_frequency(listings, "room_type")),
+        "room_types": rows(P.profile_frequency(listings, "room_type", top=args.top)),
         "cities": rows(P.profile_frequency(rentals, "city", top=args.top)),
-        "property_types": rows(P.profile_frequency(in_city, "propertyType")),
+        "property_types": rows(P.profile_frequency(in_city, "propertyType", top=args.top)),
         "issues": rows(P.issue_report(listings, rentals, rentals, args.city)),
     }
     print(json.dumps(out, indent=2, default=str))

@@ -51,8 +51,3 @@ def null_or_empty(c: Column) -> Column:
 def matches(c: Column, regex: str) -> Column:
     """FI10: Java regex search (use anchors for a full match)."""
     return c.rlike(regex)
-
-
-def above(c: Column, bound: float) -> Column:
-    """FI11."""
-    return c > F.lit(bound)

@@ -1,45 +1,48 @@
 """Per-area measures (AG01-AG05) and profiling aggregates (AG06-AG10).
 
-Every aggregate here is algebraic or a mergeable sketch: Spark plans a partial
-aggregate before the shuffle, so a PC4 holding a third of all rows costs one
-partial row per input partition. The per-area measures add a second level
-(``grouped_measures``) so that even those partials are merged by many tasks.
-
-Means are exact decimal means rounded half-up to cents. Medians are the lower
-middle value: by default from KLL quantile sketches merged in two levels (see
-``grouped_measures``), or ``percentile_approx`` as the reference does, or the
-exact ``percentile_disc``, which buffers a whole group in one task and is only
-meant for tests and small data.
+The per-area measures come from one price histogram per side: rows are counted by
+(area, price, net), with a partial aggregate before the shuffle, so an area holding a
+third of all rows costs each input task at most one row per distinct price and is
+spread over the tasks by price. A running count over an area's distinct prices then
+gives exact lower medians, and sums of whole units give means that are rounded once.
+The outlier bounds limit an area to some 200,000 distinct prices. Results do not
+depend on the order of rows or tasks.
+
+``method="approx"`` takes medians from ``percentile_approx`` instead, as the
+reference does, and ``method="exact"`` from ``percentile_disc``, which buffers a whole
+group in one task and is only meant for tests and small data.
 """
 
 from __future__ import annotations
 
-from decimal import Decimal
-
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .revenue import money
 
 DEFAULT_ACCURACY = 10000
-DEFAULT_METHOD = "sketch"
-DEFAULT_SKETCH_K = 8000
-DEFAULT_SALTS = 64
+DEFAULT_METHOD = "histogram"
+MONEY_SCALE = 2
+NET_SCALE = 6
+OTHER_SCALE = 12        # review scores and areas keep their decimals
 
 
-def count_of(c: Column) -> Column:
-    """AG03: non-null count."""
-    return F.count(c)
+def rounded_mean(units: str, count: str, scale: int, digits: int = 2) -> Column:
+    """AG04: sum of whole units (10^-scale each) over a count, rounded half away from zero once, as DOUBLE."""
+    d = f"(CAST({10 ** (scale - digits)} AS DECIMAL(20,0)) * CAST({count} AS DECIMAL(18,0)))"
+    rounded = f"(2 * abs({units}) + {d}) div (2 * {d})"
+    return F.expr(f"CASE WHEN {count} > 0 THEN sign({units}) * CAST({rounded} AS DOUBLE) / {10 ** digits} END").cast("double")
 
 
-def mean2(c: Column, as_decimal: str = "decimal(18,3)", digits: int = 2) -> Column:
-    """AG04: exact mean, rounded half-up, returned as DOUBLE.
+def _units(c: Column, scale: int) -> Column:
+    """Whole units of 10^-scale; values that do not fit become NULL."""
+    return (c.try_cast(f"decimal({26 + scale},{scale})") * F.lit(10 ** scale).cast("decimal(13,0)")).try_cast("decimal(38,0)")
 
-    sum / count in decimal keeps about 12 fractional digits before the final
-    rounding, so the half-up result is exact for any realistic group size.
-    """
-    x = c.try_cast(as_decimal)
-    return F.round(F.sum(x) / F.count(x).cast("decimal(20,0)"), digits).cast("double")
+
+def mean2(c: Column, scale: int = OTHER_SCALE, digits: int = 2) -> list[Column]:
+    """The two aggregates ``rounded_mean`` needs: sum of whole units, and count."""
+    u = _units(c, scale)
+    return [F.sum(u).try_cast("decimal(38,0)"), F.count(u)]
 
 
 def median2(col: str, exact: bool = False, accuracy: int = DEFAULT_ACCURACY, digits: int = 2) -> Column:
@@ -51,93 +54,82 @@ def median2(col: str, exact: bool = False, accuracy: int = DEFAULT_ACCURACY, dig
     return F.round(m, digits).cast("double")
 
 
-def grouped_measures(df: DataFrame, key: str, specs: list[tuple[str, str, Column, int]],
-                     method: str = DEFAULT_METHOD, accuracy: int = DEFAULT_ACCURACY,
-                     sketch_k: int = DEFAULT_SKETCH_K, salts: int = DEFAULT_SALTS) -> DataFrame:
-    """Per-group count / mean / median measures.
-
-    ``specs``: (output name, kind in {count, mean, median}, column, decimal scale).
-    Means are exact decimal means; medians are the lower middle value (the
-    sketch path works on value x 10^scale as BIGINT, so values must stay below
-    about 9.2e18 / 10^scale).
-
-    method="sketch" (default, for scale): two levels. Level 1 groups by
-    (key, salt) where salt = input task id mod ``salts``: every input task
-    contributes one partial per key, and a key holding a third of all rows has
-    its partials merged by ``salts`` tasks instead of one. It carries counts,
-    decimal sums and KLL quantile sketches of the exact scaled integers. Level 2
-    merges at most ``salts`` rows per key. KLL is exact while a group holds at
-    most about ``sketch_k`` values and a bounded-error sketch beyond.
-    method="approx": one level with ``percentile_approx`` (the reference's choice);
-    method="exact": one level with ``percentile_disc`` (buffers whole groups).
+def _lower_median(value: str, upto: str, total: str) -> Column:
+    reached = F.when(F.col(value).isNotNull() & (2 * F.col(upto) >= F.col(total)), F.col(value))
+    return F.round(F.min(reached), 2).cast("double")
+
+
+def area_measures(df: DataFrame, key: str, price: Column, net: Column, other: Column,
+                  method: str = DEFAULT_METHOD, accuracy: int = DEFAULT_ACCURACY) -> DataFrame:
+    """(key, count, avg_price, median_price, avg_net, median_net, avg_other) per area.
+
+    Count and price measures are over non-NULL prices, the others over their own non-NULL values.
     """
+    rows = df.select(F.col(key).alias(key), price.alias("_p"), net.alias("_n"), other.alias("_o"))
+    means = [F.col(key), F.col("_count").alias("count"), rounded_mean("_ps", "_count", MONEY_SCALE).alias("avg_price"), F.col("median_price"),
+             rounded_mean("_ns", "_nc", NET_SCALE).alias("avg_net"), F.col("median_net"),
+             rounded_mean("_os", "_oc", OTHER_SCALE).alias("avg_other")]
     if method in ("approx", "exact"):
-        cols = []
-        for name, kind, c, scale in specs:
-            tmp = f"_m_{name}"
-            df = df.withColumn(tmp, c)
-            if kind == "count":
-                cols.append(F.count(F.col(tmp)).alias(name))
-            elif kind == "mean":
-                cols.append(mean2(F.col(tmp), f"decimal(38,{scale})").alias(name))
-            else:
-                cols.append(median2(tmp, method == "exact", accuracy).alias(name))
-        return df.groupBy(key).agg(*cols)
-
-    level1, level2 = [], []
-    for i, (name, kind, c, scale) in enumerate(specs):
-        if kind == "count":
-            level1.append(F.count(c).alias(f"_n{i}"))
-            level2.append(F.sum(f"_n{i}").alias(name))
-        elif kind == "mean":
-            x = c.try_cast(f"decimal(38,{scale})")
-            level1 += [F.sum(x).alias(f"_s{i}"), F.count(x).alias(f"_n{i}")]
-            level2.append(F.round(F.sum(f"_s{i}") / F.sum(f"_n{i}").cast("decimal(20,0)"), 2)
-                          .cast("double").alias(name))
-        else:
-            units = (c.try_cast(f"decimal(38,{scale})") * F.lit(10 ** scale)).try_cast("bigint")
-            level1 += [F.kll_sketch_agg_bigint(units, sketch_k).alias(f"_q{i}"), F.count(units).alias(f"_n{i}")]
-            q = F.kll_sketch_get_quantile_bigint(F.kll_merge_agg_bigint(f"_q{i}", sketch_k), F.lit(0.5))
-            value = F.round(q.cast("decimal(38,0)") / F.lit(Decimal(10 ** scale)), 2).cast("double")
-            level2.append(F.when(F.sum(f"_n{i}") > 0, value).alias(name))
-    salted = df.withColumn("_salt", F.pmod(F.spark_partition_id(), F.lit(salts)))
-    return salted.groupBy(key, "_salt").agg(*level1).groupBy(key).agg(*level2)
+        (ps, pc), (ns, nc), (os_, oc) = mean2(F.col("_p"), MONEY_SCALE), mean2(F.col("_n"), NET_SCALE), mean2(F.col("_o"))
+        return rows.groupBy(key).agg(
+            pc.alias("_count"), ps.alias("_ps"), ns.alias("_ns"), nc.alias("_nc"), os_.alias("_os"), oc.alias("_oc"),
+            median2("_p", method == "exact", accuracy).alias("median_price"),
+            median2("_n", method == "exact", accuracy).alias("median_net")).select(*means)
+
+    os_, oc = mean2(F.col("_o"))
+    hist = rows.groupBy(key, "_p", "_n").agg(F.count(F.lit(1)).alias("_c"), os_.alias("_os"), oc.alias("_oc"))
+    area = Window.partitionBy(key)
+    for value, name in (("_p", "p"), ("_n", "n")):      # NULLs weigh nothing
+        hist = hist.withColumn(f"_{name}w", F.when(F.col(value).isNotNull(), F.col("_c")).otherwise(F.lit(0)))
+        upto = area.orderBy(value).rangeBetween(Window.unboundedPreceding, 0)
+        hist = hist.withColumns({f"_{name}upto": F.sum(f"_{name}w").over(upto), f"_{name}total": F.sum(f"_{name}w").over(area)})
+    out = hist.groupBy(key).agg(
+        F.sum("_pw").alias("_count"), F.sum(_units(F.col("_p"), MONEY_SCALE) * F.col("_pw")).try_cast("decimal(38,0)").alias("_ps"),
+        _lower_median("_p", "_pupto", "_ptotal").alias("median_price"),
+        F.sum("_nw").alias("_nc"), F.sum(_units(F.col("_n"), NET_SCALE) * F.col("_nw")).try_cast("decimal(38,0)").alias("_ns"),
+        _lower_median("_n", "_nupto", "_ntotal").alias("median_net"),
+        F.sum("_os").try_cast("decimal(38,0)").alias("_os"), F.sum("_oc").alias("_oc"))
+    return out.select(*means)
 
 
 def area_stays(rev: DataFrame, key: str = "pc4", method: str = DEFAULT_METHOD,
-               accuracy: int = DEFAULT_ACCURACY, prefix: str = "airbnb", **opts) -> DataFrame:
+               accuracy: int = DEFAULT_ACCURACY) -> DataFrame:
     """AG01: per-area short-stay measures (count, mean/median price and net, mean score)."""
-    price = money(F.col("price"))
-    net = F.col("annual_net_revenue").try_cast("decimal(24,6)")
-    return grouped_measures(rev, key, [
-        (f"{prefix}_listing_count", "count", F.col("price"), 0),
-        (f"{prefix}_avg_nightly_price", "mean", price, 3),
-        (f"{prefix}_median_nightly_price", "median", price, 2),
-        (f"{prefix}_avg_annual_net_revenue", "mean", net, 6),
-        (f"{prefix}_median_annual_net_revenue", "median", net, 6),
-        (f"{prefix}_avg_review_score", "mean", F.col("review_scores_value"), 3),
-    ], method, accuracy, **opts)
+    m = area_measures(rev, key, money(F.col("price")), F.col("annual_net_revenue").try_cast("decimal(24,6)"),
+                      F.col("review_scores_value"), method, accuracy)
+    # The gold table's column names.
+    return m.select(
+        key,
+        F.col("count").alias("airbnb_listing_count"),
+        F.col("avg_price").alias("airbnb_avg_nightly_price"),
+        F.col("median_price").alias("airbnb_median_nightly_price"),
+        F.col("avg_net").alias("airbnb_avg_annual_net_revenue"),
+        F.col("median_net").alias("airbnb_median_annual_net_revenue"),
+        F.col("avg_other").alias("airbnb_avg_review_score"),
+    )
 
 
 def area_lets(rev: DataFrame, key: str = "pc4", method: str = DEFAULT_METHOD,
-              accuracy: int = DEFAULT_ACCURACY, prefix: str = "kamernet", **opts) -> DataFrame:
+              accuracy: int = DEFAULT_ACCURACY) -> DataFrame:
     """AG02: per-area let measures (count, mean/median rent and net, mean area)."""
-    rent = money(F.col("rent_amount"))
-    net = F.col("annual_net_revenue").try_cast("decimal(24,6)")
-    return grouped_measures(rev, key, [
-        (f"{prefix}_listing_count", "count", F.col("rent_amount"), 0),
-        (f"{prefix}_avg_monthly_rent", "mean", rent, 3),
-        (f"{prefix}_median_monthly_rent", "median", rent, 2),
-        (f"{prefix}_avg_annual_net_revenue", "mean", net, 6),
-        (f"{prefix}_median_annual_net_revenue", "median", net, 6),
-        (f"{prefix}_avg_area_sqm", "mean", F.col("area_sqm"), 3),
-    ], method, accuracy, **opts)
+    m = area_measures(rev, key, money(F.col("rent_amount")), F.col("annual_net_revenue").try_cast("decimal(24,6)"),
+                      F.col("area_sqm"), method, accuracy)
+    # The gold table's column names.
+    return m.select(
+        key,
+        F.col("count").alias("kamernet_listing_count"),
+        F.col("avg_price").alias("kamernet_avg_monthly_rent"),
+        F.col("median_price").alias("kamernet_median_monthly_rent"),
+        F.col("avg_net").alias("kamernet_avg_annual_net_revenue"),
+        F.col("median_net").alias("kamernet_median_annual_net_revenue"),
+        F.col("avg_other").alias("kamernet_avg_area_sqm"),
+    )
 
 
 def frequency(df: DataFrame, col: str, top: int | None = None) -> DataFrame:
     """AG07 + SO02/SO03: category counts, most frequent first (ties by value)."""
     out = df.groupBy(col).agg(F.count(F.lit(1)).alias("count")).orderBy(F.desc("count"), F.asc_nulls_first(col))
-    return out.limit(top) if top else out
+    return out if top is None else out.limit(top)
 
 
 def conditional_counts(df: DataFrame, rules: dict[str, Column]) -> DataFrame:

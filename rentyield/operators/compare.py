@@ -14,6 +14,7 @@ from ..functions.columns import advantage, strategy
 from ..functions.predicates import in_both_sources
 from ..params import Labels
 
+# The columns of the result view, in order.
 RESULT_VIEW = [
     "pc4",
     "airbnb_listing_count",
@@ -26,14 +27,13 @@ RESULT_VIEW = [
 
 
 def compare(stays_agg: DataFrame, lets_agg: DataFrame, key: str = "pc4",
-            labels: Labels = Labels(), stay_prefix: str = "airbnb",
-            let_prefix: str = "kamernet", drop_null_key: bool = False) -> DataFrame:
+            labels: Labels = Labels(), drop_null_key: bool = False) -> DataFrame:
     """JO01 + PR13 + PR14: full outer join of the two aggregates, advantage, strategy."""
     if drop_null_key:
         stays_agg = stays_agg.filter(F.col(key).isNotNull())
         lets_agg = lets_agg.filter(F.col(key).isNotNull())
-    s = F.col(f"{stay_prefix}_median_annual_net_revenue")
-    k = F.col(f"{let_prefix}_median_annual_net_revenue")
+    s = F.col("airbnb_median_annual_net_revenue")
+    k = F.col("kamernet_median_annual_net_revenue")
     adv = advantage(s, k)
     return (stays_agg.join(lets_agg, on=key, how="full_outer")
             .withColumn("revenue_advantage", adv)

@@ -16,6 +16,8 @@ from ..params import Assumptions
 
 MONEY = "decimal(18,2)"
 
+# The ``annual_*`` column names below are fixed values of the published revenue model.
+
 
 def money(c: Column) -> Column:
     """DOUBLE → DECIMAL(18,2); values that do not fit become NULL."""

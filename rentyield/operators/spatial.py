@@ -1,36 +1,43 @@
-"""Point-in-polygon lookup (JO02) as a grid-cell equi-join.
+"""Point-in-polygon lookup (JO02) as a grid-cell equi-join on a grid of several levels.
 
 A point-in-polygon test is a theta join; run naively it compares every point
 with every zone. Here it becomes an equi-join:
 
 1. zones → edges (rings of Polygon and MultiPolygon alike; even-odd rule, so
-   holes and multi-part zones need no special case) → bounding box → the grid
-   cells the box covers. Per (zone, cell) only the edges a rightward ray from a
-   point of that cell can meet are kept (edges overlapping the cell's row band
-   and reaching past the cell's left side).
-2. cells → one index row per cell holding that cell's candidate zones sorted by
-   feature order.
-3. points → their cell (two ``floor`` calls) → **equi-join on the cell** →
-   the first candidate zone (lowest feature index) whose edges the ray crosses an
-   odd number of times, with points on an edge excluded.
-
-Every point meets at most one index row, so the join is left-preserving with no
-row id, no group-by and no collect. The index is broadcast only after its size
-has been measured against ``broadcast_limit``; above it, both sides shuffle on
+   holes and multi-part zones need no special case) → bounding box → level: the
+   smallest power of four that is at least the zone's extent, and the grid cells
+   of that size the box covers: four at most. So a very wide zone has a few cells of
+   its own size and changes nothing for the others. Per (zone, cell) only the edges
+   a rightward ray from a point of that cell can meet are kept.
+2. cells → one index row per (level, cell) holding the zones of that level that
+   meet the cell, sorted by feature order. Zones of a level are about as large as
+   its cells, so a row holds as many of them as overlap in one place.
+3. points → their cell on each level in use (two ``floor`` calls each) → an
+   **equi-join on the cell** per level → the first candidate zone whose edges the
+   ray crosses an odd number of times, with points on an edge excluded → over the
+   levels, the lowest feature index.
+
+Every point meets at most one index row per level, so the joins are left-preserving
+with no row id, no group-by and no collect. The index is broadcast only after its size
+has been bounded against ``broadcast_limit``; above it, both sides shuffle on
 the cell and cells holding more than ``rows_per_task`` points are salted, so a
-cell with a third of all points is split over many tasks. The size check is
-one aggregate over the zones that returns a proven upper bound, not a guess.
+cell with a third of all points is split over many tasks. Salts come from a hash of
+the row, so a task that runs again deals its rows alike.
 
-The parsed zone edges are checkpointed (reliable checkpoint, in the folder the
-session names in ``spark.checkpoint.dir``): the size statistics and the index
-build read them instead of re-parsing the zone file.
+``prepare`` parses the zones once: a reliable checkpoint of their edges (in the folder
+the session names in ``spark.checkpoint.dir``) and one small aggregate per level. The
+result can be kept and passed to any number of joins.
 
-Contract: coordinates are compared as exact doubles; a point exactly on an edge
-or vertex is in no zone; where zones overlap the lowest feature index wins.
+Contract: an edge is stored from its lower to its higher end, so two zones that share an
+edge compute the same crossing for a point and never both hold it. Positions are doubles;
+a point that the (rounded) cross product places on an edge is in no zone; where zones
+overlap the lowest feature index wins. A feature with a broken ring or position is no zone.
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -43,18 +50,25 @@ DEFAULT_MAX_HOT_CELLS = 100_000
 # ring (array of [x, y] positions) closed if needed, as SQL text over variable r
 _CLOSED = "CASE WHEN get(r, 0) = get(r, size(r) - 1) THEN r ELSE concat(r, array(get(r, 0))) END"
 
+# edges run from the end with the lower y (then x) to the other: both zones at an edge store the same one
 _EDGES_SQL = f"""
-filter(
-  flatten(transform(
-    filter(rings, r -> r IS NOT NULL AND size(r) >= 2),
-    r -> zip_with(
-      slice({_CLOSED}, 1, size({_CLOSED}) - 1),
-      slice({_CLOSED}, 2, size({_CLOSED}) - 1),
-      (a, b) -> named_struct('x1', get(a, 0), 'y1', get(a, 1), 'x2', get(b, 0), 'y2', get(b, 1))))),
-  e -> e.x1 IS NOT NULL AND e.y1 IS NOT NULL AND e.x2 IS NOT NULL AND e.y2 IS NOT NULL
-       AND abs(e.x1) < 1e300 AND abs(e.y1) < 1e300 AND abs(e.x2) < 1e300 AND abs(e.y2) < 1e300)
+flatten(transform(rings,
+  r -> zip_with(
+    slice({_CLOSED}, 1, size({_CLOSED}) - 1),
+    slice({_CLOSED}, 2, size({_CLOSED}) - 1),
+    (a, b) -> CASE WHEN a[1] < b[1] OR (a[1] = b[1] AND a[0] <= b[0])
+      THEN named_struct('x1', a[0], 'y1', a[1], 'x2', b[0], 'y2', b[1])
+      ELSE named_struct('x1', b[0], 'y1', b[1], 'x2', a[0], 'y2', a[1]) END)))
 """
 
+_POSITION_OK = "p IS NOT NULL AND size(p) >= 2 AND abs(get(p, 0)) < 1e150 AND abs(get(p, 1)) < 1e150"
+
+
+def well_formed(rings: str = "rings") -> Column:
+    """IO06: every ring has three positions at least, every position two finite numbers (below 1e150)."""
+    return F.expr(f"coalesce({rings} IS NOT NULL AND size({rings}) > 0 AND forall({rings}, r -> r IS NOT NULL AND size(r) >= 3 "
+                  f"AND forall(r, p -> coalesce({_POSITION_OK}, false))), false)")
+
 
 _ON_EDGE = 1_000_000_000
 
@@ -77,12 +91,12 @@ def _inside_sql(z: str, px: str, py: str) -> str:
 
 
 def zone_edges(zones: DataFrame) -> DataFrame:
-    """(fid, code, rings) → (fid, code, edges, minx, miny, maxx, maxy); empty zones dropped."""
-    z = zones.select("fid", "code", F.expr(_EDGES_SQL).alias("edges"))
+    """(fid, code, rings) → (fid, code, edges, minx, miny, maxx, maxy); broken features are dropped whole."""
+    z = zones.filter(well_formed()).select("fid", "code", F.expr(_EDGES_SQL).alias("edges"))
     z = z.filter(F.size("edges") > 0).withColumn("edges", F.expr(
         "transform(edges, e -> named_struct('x1', e.x1, 'y1', e.y1, 'x2', e.x2, 'y2', e.y2, "
         "'xlo', least(e.x1, e.x2), 'xhi', greatest(e.x1, e.x2), "
-        "'ylo', least(e.y1, e.y2), 'yhi', greatest(e.y1, e.y2), "
+        "'ylo', e.y1, 'yhi', e.y2, "
         "'k', CASE WHEN e.y1 != e.y2 THEN (e.x2 - e.x1) / (e.y2 - e.y1) END))"))
     return z.withColumns({
         "minx": F.expr("array_min(transform(edges, e -> e.xlo))"),
@@ -92,48 +106,52 @@ def zone_edges(zones: DataFrame) -> DataFrame:
     })
 
 
-MAX_CELLS_PER_AXIS = 64 # the widest zone spans at most this many cells (+2) per axis
 EDGE_BYTES = 96         # one stored edge: nine doubles plus row overhead
-ZONE_BYTES = 128        # fid, code, bbox and array headers per zone entry
+ZONE_BYTES = 128        # fid, bbox and array headers per zone entry; the code's length comes on top
+LEAST_LEVEL = -20       # zones below 4^-20 across share the finest grid
 
 
-def _cells_per_axis(lo: Column, hi: Column, cell: float) -> Column:
-    c = F.lit(float(cell))
-    return F.floor(hi / c) - F.floor(lo / c) + 1
+@dataclass(frozen=True)
+class ZoneIndex:
+    """Zones prepared for any number of joins: checkpointed edges with their level, cell sizes, size bound."""
+
+    edges: DataFrame
+    cells: tuple[float, ...]        # cell size per level in use
+    size_bound: int                 # upper bound on the index bytes
 
 
-def index_stats(edges: DataFrame, cell: float | None = None) -> tuple[float, int]:
-    """(cell size, upper bound on the index bytes) from small aggregates over the zones.
+def prepare(zones: DataFrame, cell: float | None = None) -> ZoneIndex:
+    """Parse the zones once and gather, in one action, the levels in use and a bound on the index size.
 
-    The default cell is the median zone extent (larger of width and height), so a
-    typical zone covers about 2x2 cells, but never smaller than the widest extent
-    / MAX_CELLS_PER_AXIS: one huge zone (a country outline, a stray coordinate)
-    then covers a bounded number of cells instead of exploding into millions,
-    and no zone is left out. The bound counts, per zone, exactly the
-    cells its bounding box covers, each holding at most all of its edges (the
-    per-cell edge filter only removes edges), so the index cannot be larger.
-    Only two numbers reach the driver.
+    A zone of extent w gets cells of the smallest power of four that is at least w, at most four of them
+    (``cell`` puts all zones on one grid of that size instead). The bound counts for each zone the cells of
+    its box, each with all its edges; the per-cell edge filter only removes some.
     """
+    ensure_checkpoint_dir(zones.sparkSession)
+    edges = zone_edges(zones)
     if cell is None:
         extent = F.greatest(F.col("maxx") - F.col("minx"), F.col("maxy") - F.col("miny"))
-        row = edges.agg(F.percentile_approx(extent, 0.5).alias("m"), F.max(extent).alias("x")).first()
-        m, x = (row["m"] or 0.0), (row["x"] or 0.0)
-        cell = max(float(m), float(x) / MAX_CELLS_PER_AXIS)
-        cell = cell if cell > 0 else 1.0
-    cells = _cells_per_axis(F.col("minx"), F.col("maxx"), cell) * _cells_per_axis(F.col("miny"), F.col("maxy"), cell)
-    per_cell = F.size("edges") * F.lit(EDGE_BYTES) + F.lit(ZONE_BYTES)
-    bound = edges.agg(F.sum(cells * per_cell).alias("b")).first()["b"]
-    return float(cell), int(bound or 0)
-
-
-def build_cell_index(edges: DataFrame, cell: float) -> DataFrame:
-    """(cx, cy, zs): per grid cell, candidate zones sorted by feature index."""
+        level = F.greatest(F.ceil(F.log(4.0, extent)), F.lit(LEAST_LEVEL))
+        size = F.pow(F.lit(4.0), F.when(extent > 0, level).otherwise(F.lit(LEAST_LEVEL)).cast("double"))
+    else:
+        size = F.lit(float(cell))
+    edges = edges.withColumn("cell", size).checkpoint()
+    c = F.col("cell")
+    cells = (F.floor(F.col("maxx") / c) - F.floor(F.col("minx") / c) + 1) * (F.floor(F.col("maxy") / c) - F.floor(F.col("miny") / c) + 1)
+    per_cell = F.size("edges") * F.lit(EDGE_BYTES) + F.lit(ZONE_BYTES) + F.coalesce(F.octet_length("code"), F.lit(0))
+    rows = edges.groupBy("cell").agg(F.sum(cells * per_cell).alias("b")).collect()      # a row per level
+    return ZoneIndex(edges, tuple(sorted(r["cell"] for r in rows)), sum(int(r["b"]) for r in rows))
+
+
+def build_cell_index(index: ZoneIndex, cell: float) -> DataFrame:
+    """(cx, cy, zs): per cell of one level, its candidate zones sorted by feature index."""
     c = F.lit(float(cell))
     eps = float(cell) * 1e-9
-    zc = edges.withColumn("cx", F.explode(F.sequence(F.floor(F.col("minx") / c), F.floor(F.col("maxx") / c))))
+    zc = index.edges.filter(F.col("cell") == c)
+    zc = zc.withColumn("cx", F.explode(F.sequence(F.floor(F.col("minx") / c), F.floor(F.col("maxx") / c))))
     zc = zc.withColumn("cy", F.explode(F.sequence(F.floor(F.col("miny") / c), F.floor(F.col("maxy") / c))))
-    band = (f"filter(edges, e -> e.yhi >= cy * {cell!r} - {eps!r} "
-            f"AND e.ylo <= (cy + 1) * {cell!r} + {eps!r} AND e.xhi >= cx * {cell!r} - {eps!r})")
+    band = (f"filter(edges, e -> e.yhi >= cy * {cell!r}D - {eps!r}D "
+            f"AND e.ylo <= (cy + 1) * {cell!r}D + {eps!r}D AND e.xhi >= cx * {cell!r}D - {eps!r}D)")
     zc = zc.select("cx", "cy", "fid", "code", "minx", "maxx", "miny", "maxy",
                    F.expr(band).alias("edges")).filter(F.size("edges") > 0)
     return zc.groupBy("cx", "cy").agg(F.sort_array(F.collect_list(
@@ -141,49 +159,46 @@ def build_cell_index(edges: DataFrame, cell: float) -> DataFrame:
 
 
 def _cell_of(v: Column, cell: float) -> Column:
+    """Number of the cell; NULL for NaN and where the division loses whole cells (no zone of this level is there)."""
     q = v / F.lit(float(cell))
     return F.when(~F.isnan(v) & (F.abs(q) < F.lit(1e15)), F.floor(q))
 
 
-def spatial_join(points: DataFrame, zones: DataFrame, lon: str = "longitude", lat: str = "latitude",
+def spatial_join(points: DataFrame, zones: DataFrame | ZoneIndex, lon: str = "longitude", lat: str = "latitude",
                  out: str = "zone_code", where: Column | None = None, cell: float | None = None,
                  broadcast_limit: int = DEFAULT_BROADCAST_LIMIT,
                  rows_per_task: int = DEFAULT_ROWS_PER_TASK,
                  max_hot_cells: int = DEFAULT_MAX_HOT_CELLS) -> DataFrame:
     """Add ``out`` = code of the zone containing (lon, lat), else NULL.
 
-    ``zones`` has columns (fid, code, rings: array<array<array<double>>>).
-    Rows where ``where`` is false, or a coordinate is NULL, are passed through
+    ``zones`` has columns (fid, code, rings: array<array<array<double>>>), or is what ``prepare`` made of
+    them. Rows where ``where`` is false, or a coordinate is NULL, are passed through
     with NULL and never meet the index.
     """
-    # zones are parsed once: the stats jobs and the index build read the checkpoint
-    # (the session's shared checkpoint folder), and the lineage is cut there
-    ensure_checkpoint_dir(zones.sparkSession)
-    edges = zone_edges(zones).checkpoint()
-    cell, size_bound = index_stats(edges, cell)
-    index = build_cell_index(edges, cell)
-
+    index = zones if isinstance(zones, ZoneIndex) else prepare(zones, cell)
     ok = F.col(lon).isNotNull() & F.col(lat).isNotNull()
     if where is not None:
         ok = ok & F.coalesce(where, F.lit(False))
-    pts = points.withColumns({
-        "_px": F.col(lon).cast("double"),
-        "_py": F.col(lat).cast("double"),
-    }).withColumns({
-        "_cx": F.when(ok, _cell_of(F.col("_px"), cell)),
-        "_cy": F.when(ok, _cell_of(F.col("_py"), cell)),
-    })
-
-    if size_bound <= broadcast_limit:
-        joined = pts.join(F.broadcast(index.withColumnsRenamed({"cx": "_cx", "cy": "_cy"})),
-                          on=["_cx", "_cy"], how="left")
+    joined = points.withColumns({"_px": F.when(ok, F.col(lon).cast("double")), "_py": F.when(ok, F.col(lat).cast("double"))})
+    hits = []
+    for i, size in enumerate(index.cells):
+        joined = joined.withColumns({"_cx": _cell_of(F.col("_px"), size), "_cy": _cell_of(F.col("_py"), size)})
+        cells = build_cell_index(index, size)
+        if index.size_bound <= broadcast_limit:
+            joined = joined.join(F.broadcast(cells.withColumnsRenamed({"cx": "_cx", "cy": "_cy"})), on=["_cx", "_cy"], how="left")
+        else:
+            joined = _salted_join(joined, cells, rows_per_task, max_hot_cells)
+        # zones are sorted by feature order: keep the first hit and skip the tests after it
+        hit = F.expr(f"aggregate(zs, CAST(NULL AS STRUCT<fid: BIGINT, code: STRING>), (acc, z) -> "
+                     f"CASE WHEN acc IS NULL AND ({_inside_sql('z', '_px', '_py')}) "
+                     f"THEN named_struct('fid', CAST(z.fid AS BIGINT), 'code', z.code) ELSE acc END)")
+        joined = joined.withColumn(f"_hit{i}", hit).drop("_cx", "_cy", "_salt", "zs")
+        hits.append(f"_hit{i}")
+    if not hits:
+        code = F.lit(None).cast("string")
     else:
-        joined = _salted_join(pts, index, rows_per_task, max_hot_cells)
-
-    # zones are sorted by feature order: keep the first hit and skip the tests after it
-    code = F.expr(f"aggregate(zs, CAST(NULL AS STRING), (acc, z) -> "
-                  f"CASE WHEN acc IS NULL AND ({_inside_sql('z', '_px', '_py')}) THEN z.code ELSE acc END)")
-    return joined.withColumn(out, code).drop("_px", "_py", "_cx", "_cy", "_salt", "zs")
+        code = (F.least(*hits) if len(hits) > 1 else F.col(hits[0])).getField("code")
+    return joined.withColumn(out, code).drop("_px", "_py", *hits)
 
 
 def _salted_join(pts: DataFrame, index: DataFrame, rows_per_task: int, max_hot_cells: int) -> DataFrame:
@@ -193,11 +208,11 @@ def _salted_join(pts: DataFrame, index: DataFrame, rows_per_task: int, max_hot_c
     checkpoint folder (one row per non-empty cell) so it is computed once. A cell
     is hot above T = max(rows_per_task, total / max_hot_cells) points, so there
     are at most ``max_hot_cells`` hot cells: the hot-cell table has a proven size
-    bound and is broadcast. A hot cell gets ceil(n / T) salts: its points pick
-    one at random and its index row is replicated once per salt, so every salt
-    finds the same zones and results do not depend on the draw. Rows that need
-    no lookup get a NULL cell and a spread salt, so they neither match nor pile
-    up in the NULL-key partition.
+    bound and is broadcast. A hot cell gets ceil(n / T) salts: a hash of a row picks
+    its salt and the cell's index row is replicated once per salt, so every salt
+    finds the same zones, and a task that runs again deals its rows alike. Rows that
+    need no lookup get a NULL cell and a salt over the shuffle partitions, so they
+    neither match nor pile up in the NULL-key partition.
     """
     spark = pts.sparkSession
     ensure_checkpoint_dir(spark)
@@ -208,9 +223,10 @@ def _salted_join(pts: DataFrame, index: DataFrame, rows_per_task: int, max_hot_c
     threshold = max(int(rows_per_task), -(-int(total) // int(max_hot_cells)))
     hot = F.broadcast(counts.filter(F.col("n") > F.lit(threshold)).select(
         "_cx", "_cy", F.ceil(F.col("n") / F.lit(threshold)).cast("int").alias("_f")))
+    flat = [c for c, t in pts.dtypes if "map<" not in t]        # a map has no hash
     p = (pts.join(hot, on=["_cx", "_cy"], how="left")
-         .withColumn("_salt", F.when(F.col("_cx").isNull(), F.floor(F.rand(17) * spread))
-                     .otherwise(F.floor(F.rand(29) * F.coalesce(F.col("_f"), F.lit(1)))).cast("int"))
+         .withColumn("_salt", F.pmod(F.xxhash64(*flat), F.when(F.col("_cx").isNull(), F.lit(spread))
+                                     .otherwise(F.coalesce(F.col("_f"), F.lit(1)))).cast("int"))
          .drop("_f"))
     idx = (index.withColumnsRenamed({"cx": "_cx", "cy": "_cy"}).join(hot, on=["_cx", "_cy"], how="left")
            .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_f"), F.lit(1)) - 1)))

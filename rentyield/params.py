@@ -46,22 +46,12 @@ class Bounds:
 
 @dataclass(frozen=True)
 class Labels:
-    """Source names used in the recommendation text.
-
-    Fixed values: the two source names below (and the ``airbnb_`` / ``kamernet_``
-    column prefixes of the gold table) are the ones the published results use.
-    """
+    """Texts of the recommendation. Those the published results use."""
 
     stay: str = "Airbnb"
     let: str = "Kamernet"
-
-    @property
-    def no_stay(self) -> str:
-        return f"{self.let} (no {self.stay} data)"
-
-    @property
-    def no_let(self) -> str:
-        return f"{self.stay} (no {self.let} data)"
+    no_stay: str = "Kamernet (no Airbnb data)"
+    no_let: str = "Airbnb (no Kamernet data)"
 
 
 @dataclass(frozen=True)
@@ -81,5 +71,6 @@ class Paths:
     database: str | None = None
     city: str = "amsterdam"
     partition_rentals_by_city: bool = True   # bronze rentals partitioned: the city filter prunes files
+    zones_per_line: bool = False             # one GeoJSON feature per line: the read splits
     rentals_multiline: bool = True           # one JSON array per file (one task per file);
                                              # False reads JSON lines, which split across tasks

@@ -1,10 +1,9 @@
 """Gold comparison: revenue per listing → per-area measures → comparison.
 
-Plan shape: two scans with pushed-down outlier filters and pruned columns,
-two-level aggregates per side ((pc4, salt) then pc4, each with map-side
-partial aggregation, so a hot area is merged by many tasks), a full outer join
-that reuses the pc4 hash partitioning of the second level, and the derived
-columns.
+Plan shape: two scans with pushed-down outlier filters and pruned columns, a
+price histogram per side ((pc4, price, net), partially aggregated before the
+shuffle, so a hot area is merged by many tasks) and its running counts per pc4,
+a full outer join that reuses the pc4 hash partitioning, and the derived columns.
 """
 
 from __future__ import annotations
@@ -30,9 +29,8 @@ def lets_revenue(silver_lets: DataFrame, a: Assumptions = Assumptions()) -> Data
 
 
 def gold(silver_stays: DataFrame, silver_lets: DataFrame, a: Assumptions = Assumptions(),
-         labels: Labels = Labels(), method: str = DEFAULT_METHOD, drop_null_key: bool = False,
-         **agg_opts) -> DataFrame:
+         labels: Labels = Labels(), method: str = DEFAULT_METHOD, drop_null_key: bool = False) -> DataFrame:
     """The per-area comparison table (1 key + 6 + 6 measures + 2 derived)."""
-    s = area_stays(stays_revenue(silver_stays, a), method=method, **agg_opts)
-    k = area_lets(lets_revenue(silver_lets, a), method=method, **agg_opts)
+    s = area_stays(stays_revenue(silver_stays, a), method=method)
+    k = area_lets(lets_revenue(silver_lets, a), method=method)
     return compare(s, k, labels=labels, drop_null_key=drop_null_key)

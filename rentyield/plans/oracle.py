@@ -26,7 +26,7 @@ def pc4(x: str) -> str:
 
 
 def rent_amount(x: str) -> str:
-    no_euro = strip(f"replace({x}, chr(8364), '')")
+    no_euro = strip(f"replace({x}, '€', '')")
     inner = strip(rf"regexp_replace({no_euro}, '\s*,-[^\n]*', '', 'g')")
     return f"CASE WHEN {x} IS NULL OR {x} = '' THEN NULL ELSE TRY_CAST(replace({inner}, '.', '') AS DOUBLE) END"
 
@@ -44,7 +44,7 @@ def capacity(x: str) -> str:
 
 
 def deposit(x: str) -> str:
-    t = strip(f"replace({x}, chr(8364), '')")
+    t = strip(f"replace({x}, '€', '')")
     return (f"CASE WHEN {x} IS NULL OR {x} = '' THEN NULL "
             f"ELSE TRY_CAST(replace(replace({t}, '.', ''), ',', '.') AS DOUBLE) END")
 
@@ -70,6 +70,7 @@ def median(x: str) -> str:
 
 INSIDE = (
     "c.longitude > z.x0 AND c.longitude < z.x0 + z.s AND c.latitude > z.y0 AND c.latitude < z.y0 + z.s "
+    "AND NOT (z.tri AND (c.longitude - z.x0) + (c.latitude - z.y0) >= z.s) "
     f"AND NOT (z.hole AND c.longitude >= z.x0 + {demo.HOLE_LO} AND c.longitude <= z.x0 + {demo.HOLE_HI} "
     f"AND c.latitude >= z.y0 + {demo.HOLE_LO} AND c.latitude <= z.y0 + {demo.HOLE_HI})"
 )
@@ -114,7 +115,8 @@ sl AS (
     {capacity('matchCapacity')} AS capacity, furnish,
     ({rent_amount('rent')} < 100 OR {rent_amount('rent')} > 5000) AS is_rent_outlier,
     strftime(TRY_CAST(firstSeenAt AS TIMESTAMP), '%Y-%m-%d %H:%M:%S') AS first_seen_at,
-    strftime(TRY_CAST(lastSeenAt AS TIMESTAMP), '%Y-%m-%d %H:%M:%S') AS last_seen_at
+    strftime(TRY_CAST(lastSeenAt AS TIMESTAMP), '%Y-%m-%d %H:%M:%S') AS last_seen_at,
+    'orders' AS _source, '2024-05-01 00:00:00' AS _ingested_at
   FROM l
   WHERE lower(city) = 'amsterdam' AND {rent_amount('rent')} IS NOT NULL)"""
 
@@ -145,7 +147,7 @@ ast AS (
     {median('p')} AS airbnb_median_nightly_price,
     {mean('CAST(net AS DECIMAL(24,6))', 6, 2)} AS airbnb_avg_annual_net_revenue,
     {median('CAST(net AS DECIMAL(24,6))')} AS airbnb_median_annual_net_revenue,
-    {mean('CAST(review_scores_value AS DECIMAL(18,3))', 3, 2)} AS airbnb_avg_review_score
+    {mean('CAST(review_scores_value AS DECIMAL(20,12))', 12, 2)} AS airbnb_avg_review_score
   FROM sr GROUP BY pc4)"""
 
 AREA_LETS = f"""
@@ -156,7 +158,7 @@ al AS (
     {median('r')} AS kamernet_median_monthly_rent,
     {mean('CAST(net AS DECIMAL(24,6))', 6, 2)} AS kamernet_avg_annual_net_revenue,
     {median('CAST(net AS DECIMAL(24,6))')} AS kamernet_median_annual_net_revenue,
-    {mean('CAST(area_sqm AS DECIMAL(18,3))', 3, 2)} AS kamernet_avg_area_sqm
+    {mean('CAST(area_sqm AS DECIMAL(20,12))', 12, 2)} AS kamernet_avg_area_sqm
   FROM lr GROUP BY pc4)"""
 
 GOLD = f"""
@@ -172,6 +174,25 @@ g AS (
   FROM j)"""
 
 
+# Other assumptions and bounds than the defaults: 0.55 occupied, 0.08 fee, 21.5 per turnover of 2.5
+# nights, 9 months, 0.125 maintenance; prices 20 to 900, rents 300 to 2,500.
+STAY_REV_2 = """
+sr AS (
+  SELECT listing_id, line_no, pc4, price, review_scores_value,
+    CAST(price AS DECIMAL(18,2)) AS p,
+    CAST(price AS DECIMAL(18,2)) * 200.75 - CAST(price AS DECIMAL(18,2)) * 200.75 * 0.08 - 1726.450000 AS net
+  FROM ss WHERE price >= 20 AND price <= 900)"""
+
+LET_REV_2 = """
+lr AS (
+  SELECT _id, pc4, rent_amount, area_sqm,
+    CAST(rent_amount AS DECIMAL(18,2)) AS r,
+    CAST(rent_amount AS DECIMAL(18,2)) * 9 - CAST(rent_amount AS DECIMAL(18,2)) * 9 * 0.125 AS net
+  FROM sl WHERE rent_amount >= 300 AND rent_amount <= 2500)"""
+
+GOLD_2 = GOLD.replace(STAY_REV, STAY_REV_2).replace(LET_REV, LET_REV_2)
+
+
 def _pct(part: str, whole: str) -> str:
     return f"CASE WHEN {whole} > 0 THEN CAST((({part}) * 2000 + {whole}) // (2 * {whole}) AS DOUBLE) / 10.0 END"
 
@@ -184,10 +205,19 @@ def _missing() -> str:
     return f"WITH s AS ({STAYS}), m AS ({body}) SELECT \"column\", missing, total, {_pct('missing', 'total')} AS pct FROM m"
 
 
+def _schema() -> str:
+    rows = ", ".join(f"({i}, '{name}', 'string')" for i, (name, _) in enumerate(demo.STAYS) if name not in ("listing_id", "line_no"))
+    return f"""SELECT * FROM (VALUES (0, 'listing_id', 'bigint'), (1, 'line_no', 'int'), {rows}) AS t(position, "column", type)"""
+
+
 def _formats() -> str:
-    from ..functions.predicates import POSTAL_FORMATS
+    formats = {
+        "four_digits": r"^[0-9]{4}$",
+        "six_chars_no_space": r"^[0-9]{4}[A-Za-z]{2}$",
+        "with_space": r"^[0-9]{4}\s[A-Za-z]{2}$",
+    }
     parts = [f"SELECT '{name}' AS format, COUNT(*) FILTER (WHERE regexp_matches(zipcode, '{rx}')) AS matching, "
-             f"COUNT(*) AS non_null FROM s WHERE zipcode IS NOT NULL" for name, rx in POSTAL_FORMATS.items()]
+             f"COUNT(*) AS non_null FROM s WHERE zipcode IS NOT NULL" for name, rx in formats.items()]
     return f"WITH s AS ({STAYS}) " + " UNION ALL ".join(parts)
 
 
@@ -196,28 +226,23 @@ def _issues() -> str:
 WITH s AS ({STAYS}), l AS ({LETS}),
 e AS (SELECT event_id FROM events)
 SELECT 'missing_postal_codes' AS issue, 'listings' AS dataset,
-  COUNT(*) FILTER (WHERE zipcode IS NULL OR zipcode = '') AS count,
-  'spatial backfill from postal-area polygons' AS resolution FROM s
+  COUNT(*) FILTER (WHERE zipcode IS NULL OR zipcode = '') AS count FROM s
 UNION ALL SELECT 'non_standard_postal_formats', 'listings',
-  COUNT(*) FILTER (WHERE NOT (zipcode IS NULL OR zipcode = '') AND NOT regexp_matches(zipcode, '^[0-9]{{4}}$')),
-  'normalised to the 4-digit area code' FROM s
+  COUNT(*) FILTER (WHERE NOT (zipcode IS NULL OR zipcode = '') AND NOT regexp_matches(zipcode, '^[0-9]{{4}}$')) FROM s
 UNION ALL SELECT 'price_outliers', 'listings',
-  COUNT(*) FILTER (WHERE TRY_CAST(price AS DOUBLE) < 10 OR TRY_CAST(price AS DOUBLE) > 2000),
-  'flagged in silver, excluded in gold' FROM s
+  COUNT(*) FILTER (WHERE TRY_CAST(price AS DOUBLE) < 10 OR TRY_CAST(price AS DOUBLE) > 2000) FROM s
 UNION ALL SELECT 'missing_bedrooms', 'listings',
-  COUNT(*) FILTER (WHERE bedrooms IS NULL OR bedrooms = ''), 'kept as NULL' FROM s
+  COUNT(*) FILTER (WHERE bedrooms IS NULL OR bedrooms = '') FROM s
 UNION ALL SELECT 'missing_review_scores', 'listings',
-  COUNT(*) FILTER (WHERE review_scores_value IS NULL OR review_scores_value = ''), 'kept as NULL' FROM s
+  COUNT(*) FILTER (WHERE review_scores_value IS NULL OR review_scores_value = '') FROM s
 UNION ALL SELECT 'other_city_records', 'rentals',
-  COUNT(*) FILTER (WHERE NOT coalesce(lower(city) = 'amsterdam', false)),
-  'filtered to the chosen city in silver' FROM l
+  COUNT(*) FILTER (WHERE NOT coalesce(lower(city) = 'amsterdam', false)) FROM l
 UNION ALL SELECT 'rent_text_needs_parsing', 'rentals',
-  COUNT(*) FILTER (WHERE lower(city) = 'amsterdam' AND rent IS NOT NULL AND NOT regexp_matches(rent, '^[0-9]+$')),
-  'parsed to an amount in silver' FROM l
+  COUNT(*) FILTER (WHERE lower(city) = 'amsterdam' AND rent IS NOT NULL AND NOT regexp_matches(rent, '^[0-9]+$')) FROM l
 UNION ALL SELECT 'utilities_included', 'rentals',
-  COUNT(*) FILTER (WHERE lower(city) = 'amsterdam' AND {utilities('rent')}), 'boolean flag column' FROM l
+  COUNT(*) FILTER (WHERE lower(city) = 'amsterdam' AND {utilities('rent')}) FROM l
 UNION ALL SELECT 'single_element_arrays', 'rentals',
-  COUNT(*) FILTER (WHERE event_id % 3 = 0), 'unwrapped in bronze' FROM e"""
+  COUNT(*) FILTER (WHERE event_id % 3 = 0) FROM e"""
 
 
 SQL: dict[str, str] = {
@@ -244,7 +269,7 @@ SQL: dict[str, str] = {
         SELECT pc4, pc4_backfilled, COUNT(*) AS listings FROM ss GROUP BY pc4, pc4_backfilled""",
     "zones_parsed": f"""WITH z AS ({ZONES})
         SELECT fid, code, CASE WHEN hole THEN 2 ELSE 1 END AS rings,
-               CASE WHEN hole THEN 10 ELSE 5 END AS positions FROM z""",
+               CASE WHEN hole THEN 10 WHEN tri THEN 4 ELSE 5 END AS positions FROM z""",
     "stay_revenue": f"""WITH {SILVER_STAYS}, {STAY_REV}
         SELECT listing_id, line_no, pc4, price, CAST(gross AS DOUBLE) AS annual_gross_revenue,
           CAST(fees AS DOUBLE) AS annual_service_fees, CAST(cleaning AS DOUBLE) AS annual_cleaning_costs,
@@ -256,6 +281,8 @@ SQL: dict[str, str] = {
     "area_lets": f"WITH {SILVER_LETS}, {LET_REV}, {AREA_LETS} SELECT * FROM al",
     "gold_compare": f"WITH {GOLD} SELECT * FROM g",
     "gold_compare_approx": f"WITH {GOLD} SELECT * FROM g",
+    "gold_other_parameters": f"WITH {GOLD_2} SELECT * FROM g",
+    "profile_schema": _schema(),
     "gold_top10": f"""WITH {GOLD}
         SELECT pc4, airbnb_listing_count, kamernet_listing_count, airbnb_median_annual_net_revenue,
           kamernet_median_annual_net_revenue, revenue_advantage, recommended_strategy
@@ -273,7 +300,8 @@ SQL: dict[str, str] = {
         WHERE lower(city) = 'amsterdam' GROUP BY propertyType""",
     "profile_summary": f"""WITH s AS ({STAYS}), x AS (SELECT TRY_CAST(price AS DOUBLE) AS v FROM s)
         SELECT COUNT(v) AS count, {mean('CAST(v AS DECIMAL(18,2))', 2, 4)} AS mean,
-          round(stddev_samp(v), 4) AS stddev, MIN(v) AS min, MAX(v) AS max,
+          round(stddev_samp(v), 4) AS stddev, MIN(v) AS min,
+          round(quantile_cont(v, 0.25), 4) AS q25, round(quantile_cont(v, 0.5), 4) AS q50, round(quantile_cont(v, 0.75), 4) AS q75, MAX(v) AS max,
           COUNT(*) FILTER (WHERE v > 2000) AS above_bound FROM x""",
     "issue_report": _issues(),
     "unwrap_singletons": """SELECT event_id, CAST(event_id AS VARCHAR) AS _id,

@@ -13,13 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions.predicates import POSTAL_FORMATS, city_is, matches, null_or_empty
 from ..functions.standardize import rent_utilities
-from ..operators.aggregates import conditional_counts, frequency, shape
-
-
-def exact_mean(c: Column, as_decimal: str = "decimal(18,2)", digits: int = 4) -> Column:
-    """Exact mean of a decimal-cast column (sum / count at high scale), rounded half-up."""
-    x = c.try_cast(as_decimal)
-    return F.round(F.sum(x) / F.count(x).cast("decimal(20,0)"), digits).cast("double")
+from ..operators.aggregates import conditional_counts, frequency, mean2, rounded_mean, shape
 
 
 def _pct(part: str, whole: str) -> Column:
@@ -27,12 +21,10 @@ def _pct(part: str, whole: str) -> Column:
         .cast("double")
 
 
-def _rows(agg: DataFrame, names: list[str], label: str, value: str, extra: dict[str, Column] | None = None
-          ) -> DataFrame:
-    """One-row aggregate → one row per name (label, value[, extra])."""
+def _rows(agg: DataFrame, names: list[str], label: str, value: str) -> DataFrame:
+    """One-row aggregate → one row per name (label, value)."""
     items = F.array(*[F.struct(F.lit(n).alias(label), F.col(n).alias(value)) for n in names])
-    out = agg.select(F.col("rows"), F.explode(items).alias("_r")).select("rows", f"_r.{label}", f"_r.{value}")
-    return out.withColumns(extra) if extra else out
+    return agg.select(F.col("rows"), F.explode(items).alias("_r")).select("rows", f"_r.{label}", f"_r.{value}")
 
 
 def profile_shape(df: DataFrame) -> DataFrame:
@@ -40,6 +32,13 @@ def profile_shape(df: DataFrame) -> DataFrame:
     return shape(df)
 
 
+def profile_schema(df: DataFrame) -> DataFrame:
+    """QA01: a row per column, with its position and type."""
+    rows = F.array(*[F.struct(F.lit(i).alias("position"), F.lit(name).alias("column"), F.lit(kind).alias("type"))
+                     for i, (name, kind) in enumerate(df.dtypes)])
+    return df.sparkSession.range(1).select(F.explode(rows).alias("_r")).select("_r.*")
+
+
 def profile_missing(df: DataFrame, cols: list[str]) -> DataFrame:
     """QA02: per column, rows missing (NULL or empty text) and the percentage."""
     agg = conditional_counts(df, {c: null_or_empty(F.col(c).cast("string")) for c in cols})
@@ -61,19 +60,24 @@ def profile_frequency(df: DataFrame, col: str, top: int | None = None) -> DataFr
 
 
 def profile_numeric(df: DataFrame, col: str, bound: float) -> DataFrame:
-    """QA03 (exact part): count, mean, stddev, min, max and rows above ``bound``.
+    """QA03 / AG10: count, mean, stddev, min, quartiles, max and rows above ``bound`` (FI11).
 
-    Quartiles are approximate at scale; see ``summary`` for Spark's summary.
+    Quartiles are exact (interpolated, as ``percentile``): they are taken from the counts of the distinct
+    values, so the last task holds a row per distinct value, not per row.
     """
     x = F.col(col).try_cast("double")
-    return df.agg(
+    one = df.agg(
         F.count(x).alias("count"),
-        exact_mean(x).alias("mean"),
+        *[c.alias(n) for c, n in zip(mean2(x, 2), ("_sum", "_n"))],
         F.round(F.stddev_samp(x), 4).alias("stddev"),
         F.min(x).alias("min"),
         F.max(x).alias("max"),
         F.count_if(x > F.lit(bound)).alias("above_bound"),
     )
+    hist = df.select(x.alias("x")).filter(F.col("x").isNotNull()).groupBy("x").agg(F.count(F.lit(1)).alias("n"))
+    quartiles = hist.agg(*[F.round(F.percentile("x", q, F.col("n")), 4).alias(n) for q, n in ((0.25, "q25"), (0.5, "q50"), (0.75, "q75"))])
+    return one.join(F.broadcast(quartiles), F.lit(True)).select(     # one row each
+        "count", rounded_mean("(_sum * 100)", "_n", 4, 4).alias("mean"), "stddev", "min", "q25", "q50", "q75", "max", "above_bound")
 
 
 def summary(df: DataFrame, *cols: str) -> DataFrame:
@@ -81,18 +85,10 @@ def summary(df: DataFrame, *cols: str) -> DataFrame:
     return df.select(*[F.col(c).try_cast("double").alias(c) for c in cols]).summary()
 
 
-# The issue table's rows (issue, dataset, resolution).
-ISSUES = [
-    ("missing_postal_codes", "listings", "spatial backfill from postal-area polygons"),
-    ("non_standard_postal_formats", "listings", "normalised to the 4-digit area code"),
-    ("price_outliers", "listings", "flagged in silver, excluded in gold"),
-    ("missing_bedrooms", "listings", "kept as NULL"),
-    ("missing_review_scores", "listings", "kept as NULL"),
-    ("other_city_records", "rentals", "filtered to the chosen city in silver"),
-    ("rent_text_needs_parsing", "rentals", "parsed to an amount in silver"),
-    ("utilities_included", "rentals", "boolean flag column"),
-    ("single_element_arrays", "rentals", "unwrapped in bronze"),
-]
+# The issue table's rows, by dataset.
+LISTING_ISSUES = ["missing_postal_codes", "non_standard_postal_formats", "price_outliers", "missing_bedrooms", "missing_review_scores"]
+RENTAL_ISSUES = ["other_city_records", "rent_text_needs_parsing", "utilities_included"]
+ARRAY_ISSUES = ["single_element_arrays"]
 
 
 def issue_report(listings: DataFrame, rentals: DataFrame, singletons: DataFrame,
@@ -114,12 +110,10 @@ def issue_report(listings: DataFrame, rentals: DataFrame, singletons: DataFrame,
         "utilities_included": in_city & rent_utilities(F.col("rent")),
     })
     g = conditional_counts(singletons, {"single_element_arrays": F.size(F.col("crawledAt")) == 1})
-    parts = [(s, ISSUES[:5]), (r, ISSUES[5:8]), (g, ISSUES[8:])]
+    parts = [(s, "listings", LISTING_ISSUES), (r, "rentals", RENTAL_ISSUES), (g, "rentals", ARRAY_ISSUES)]
     out = None
-    for agg, rows in parts:
-        items = F.array(*[F.struct(F.lit(i).alias("issue"), F.lit(ds).alias("dataset"),
-                                   F.col(i).alias("count"), F.lit(res).alias("resolution"))
-                          for i, ds, res in rows])
+    for agg, dataset, names in parts:
+        items = F.array(*[F.struct(F.lit(i).alias("issue"), F.lit(dataset).alias("dataset"), F.col(i).alias("count")) for i in names])
         part = agg.select(F.explode(items).alias("_r")).select("_r.*")
         out = part if out is None else out.unionByName(part)
     return out

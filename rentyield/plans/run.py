@@ -11,10 +11,11 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.predicates import city_is
+from ..operators.spatial import ZoneIndex, prepare
 from ..params import Assumptions, Bounds, Labels, Paths
 from ..sources.geojson import read_zones
 from ..sources.tables import ensure_namespace, load, save, spread
@@ -61,37 +62,56 @@ def _write(audit: Audit, key: str, df: DataFrame, paths: Paths, partition_by: li
     audit.record(key, obs)
 
 
-def _zones(spark: SparkSession, paths: Paths) -> DataFrame | None:
-    """Zones, or None when no zone file exists (then no backfill). Other errors surface."""
+def _zones(spark: SparkSession, paths: Paths, observation: Observation) -> ZoneIndex | None:
+    """Zones prepared for the join, or None when no zone file exists (then no backfill). Other errors surface."""
     try:
-        return read_zones(spark, f"{paths.raw.rstrip('/')}/{paths.zones_file}")
+        return prepare(read_zones(spark, f"{paths.raw.rstrip('/')}/{paths.zones_file}", per_line=paths.zones_per_line,
+                                  observation=observation))
     except AnalysisException as e:
         if "PATH_NOT_FOUND" in str(e):
             return None
         raise
 
 
+# Bronze rentals are partitioned by this column: the city in lower case behind a fixed prefix, so that it
+# is text for Spark whatever the city looks like. The city itself stays in the files as it came.
+PART = "city_part"
+
+
+def city_part(city: Column) -> Column:
+    return F.coalesce(F.concat(F.lit("city "), F.lower(city)), F.lit("none"))
+
+
 def run_bronze(spark: SparkSession, paths: Paths, audit: Audit) -> None:
     raw = paths.raw.rstrip("/")
     _write(audit, "bronze_listings",
            bronze_listings(spark, f"{raw}/{paths.listings_file}", source_file=paths.listings_file), paths)
-    _write(audit, "bronze_rentals",
-           bronze_rentals(spark, f"{raw}/{paths.rentals_file}", source_file=paths.rentals_file,
-                          multiline=paths.rentals_multiline), paths,
-           ["city"] if paths.partition_rentals_by_city else None)
+    rentals = bronze_rentals(spark, f"{raw}/{paths.rentals_file}", source_file=paths.rentals_file,
+                             multiline=paths.rentals_multiline)
+    if paths.partition_rentals_by_city:
+        # gathered by city before the write (large cities in several tasks), not a file per task and city
+        rentals = rentals.withColumn(PART, city_part(F.col("city"))).hint("rebalance", F.col(PART))
+    _write(audit, "bronze_rentals", rentals, paths, [PART] if paths.partition_rentals_by_city else None)
 
 
 def run_silver(spark: SparkSession, paths: Paths, audit: Audit, bounds: Bounds) -> None:
     # parser rejects (text given, value NULL) are observed inside the same write
     stay_rejects, let_rejects = Observation("listing_rejects"), Observation("rental_rejects")
+    zone_counts = Observation("zones")
+    zones = _zones(spark, paths, zone_counts)
+    if zones is not None:
+        audit.record("zones", zone_counts)
     stays = silver_stays(spread(load(spark, target(paths, "bronze_listings")), parallel_filters=True),
-                         _zones(spark, paths), bounds, stay_rejects)
+                         zones, bounds, stay_rejects)
     _write(audit, "silver_listings", stays, paths,
            missing_pc4=F.col("pc4").isNull(), backfilled=F.col("pc4_backfilled"),
            price_outliers=F.col("is_price_outlier"))
     audit.record("silver_listings_rejects", stay_rejects)
     # the city filter goes below the spread so it still prunes the city partitions
-    rentals = load(spark, target(paths, "bronze_rentals")).filter(city_is(F.col("city"), paths.city))
+    rentals = load(spark, target(paths, "bronze_rentals"))
+    if PART in rentals.columns:
+        rentals = rentals.filter(F.col(PART) == city_part(F.lit(paths.city))).drop(PART)
+    rentals = rentals.filter(city_is(F.col("city"), paths.city))
     lets = silver_lets(spread(rentals, parallel_filters=True), paths.city, bounds, let_rejects)
     _write(audit, "silver_rentals", lets.drop("_source_file"), paths,
            rent_outliers=F.col("is_rent_outlier"), utilities_included=F.col("utilities_included"))

@@ -14,9 +14,10 @@ from pyspark.sql import functions as F
 from ..functions.columns import backfilled_flag, filled, outside, parse_timestamp, trimmed, try_cast_columns
 from ..functions.predicates import city_is, has_position, has_value, needs_backfill
 from ..functions.standardize import price_outlier, standardize
-from ..operators.spatial import spatial_join
+from ..operators.spatial import ZoneIndex, spatial_join
 from ..params import Bounds
 
+# Source columns cast to DOUBLE, and the let table's columns in order.
 STAY_DOUBLES = ["price", "bedrooms", "latitude", "longitude", "review_scores_value"]
 
 LET_COLUMNS = [
@@ -39,7 +40,7 @@ def clean_stays(bronze: DataFrame, bounds: Bounds = Bounds(),
     return df.filter(has_position(F.col("latitude"), F.col("longitude"))).filter(has_value(F.col("price")))
 
 
-def backfill(stays: DataFrame, zones: DataFrame | None, **join_opts) -> DataFrame:
+def backfill(stays: DataFrame, zones: DataFrame | ZoneIndex | None, **join_opts) -> DataFrame:
     """JO02 + PR07 + PR08: fill missing codes from the zones; flag recovered rows.
 
     ``zones=None`` means no zone file: the flag is false everywhere (the column
@@ -57,7 +58,7 @@ def backfill(stays: DataFrame, zones: DataFrame | None, **join_opts) -> DataFram
             .drop("_pc4_lookup"))
 
 
-def silver_stays(bronze: DataFrame, zones: DataFrame | None = None, bounds: Bounds = Bounds(),
+def silver_stays(bronze: DataFrame, zones: DataFrame | ZoneIndex | None = None, bounds: Bounds = Bounds(),
                  observation: Observation | None = None, **join_opts) -> DataFrame:
     """Short-stay silver: clean, then backfill."""
     return backfill(clean_stays(bronze, bounds, observation), zones, **join_opts)
@@ -84,4 +85,4 @@ def silver_lets(bronze: DataFrame, city: str = "amsterdam", bounds: Bounds = Bou
         "first_seen_at": parse_timestamp(F.col("firstSeenAt")),
         "last_seen_at": parse_timestamp(F.col("lastSeenAt")),
     })
-    return df.select(*[c for c in LET_COLUMNS if c in df.columns])
+    return df.select(*LET_COLUMNS)

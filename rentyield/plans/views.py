@@ -19,8 +19,8 @@ from ..operators.aggregates import area_lets as _area_lets
 from ..operators.aggregates import area_stays as _area_stays
 from ..operators.compare import strategy_counts as _strategy_counts
 from ..operators.compare import top_areas
-from ..operators.spatial import spatial_join
-from ..params import Assumptions
+from ..operators.spatial import ZoneIndex, prepare, spatial_join
+from ..params import Assumptions, Bounds
 from ..sources import demo
 from ..sources.files import unwrap_singletons
 from ..sources.geojson import zones_from_features
@@ -35,12 +35,25 @@ def _zones(spark: SparkSession, d: str) -> DataFrame:
     return zones_from_features(demo.zone_features(spark, d))
 
 
-def _silver_stays(spark: SparkSession, d: str) -> DataFrame:
-    return S.silver_stays(demo.stays(spark, d), _zones(spark, d))
+_PREPARED: dict[tuple[str, str], ZoneIndex] = {}
 
 
-def _silver_lets(spark: SparkSession, d: str) -> DataFrame:
-    return S.silver_lets(demo.lets(spark, d))
+def _index(spark: SparkSession, d: str) -> ZoneIndex:
+    """The zones of a data folder, prepared once per application."""
+    key = (spark.sparkContext.applicationId, d)
+    if key not in _PREPARED:
+        _PREPARED[key] = prepare(_zones(spark, d))
+    return _PREPARED[key]
+
+
+def _silver_stays(spark: SparkSession, d: str, bounds: Bounds = Bounds()) -> DataFrame:
+    return S.silver_stays(demo.stays(spark, d), _index(spark, d), bounds)
+
+
+def _silver_lets(spark: SparkSession, d: str, bounds: Bounds = Bounds()) -> DataFrame:
+    """Lets with the lineage columns of the bronze layer, at a fixed time."""
+    rows = demo.lets(spark, d).withColumns({"_source": F.lit("orders"), "_ingested_at": F.lit("2024-05-01 00:00:00").cast("timestamp")})
+    return S.silver_lets(rows, bounds=bounds)
 
 
 def _gold(spark: SparkSession, d: str) -> DataFrame:
@@ -93,6 +106,7 @@ def silver_lets(spark, d):
     return _silver_lets(spark, d).withColumns({
         "first_seen_at": F.date_format("first_seen_at", fmt),
         "last_seen_at": F.date_format("last_seen_at", fmt),
+        "_ingested_at": F.date_format("_ingested_at", fmt),
     })
 
 
@@ -100,7 +114,7 @@ def spatial_backfill(spark, d):
     """JO02 alone: the rows that need a code, with the zone found for each."""
     rows = S.clean_stays(demo.stays(spark, d))
     want = needs_backfill(F.col("pc4"), F.col("latitude"), F.col("longitude"))
-    joined = spatial_join(rows.filter(want), _zones(spark, d), "longitude", "latitude", "zone_code")
+    joined = spatial_join(rows.filter(want), _index(spark, d), "longitude", "latitude", "zone_code")
     return joined.select("listing_id", "line_no", "longitude", "latitude", "zone_code")
 
 
@@ -108,7 +122,7 @@ def spatial_backfill_salted(spark, d):
     """JO02 through its shuffle path: index not broadcast, cells over 200 points salted."""
     rows = S.clean_stays(demo.stays(spark, d))
     want = needs_backfill(F.col("pc4"), F.col("latitude"), F.col("longitude"))
-    joined = spatial_join(rows.filter(want), _zones(spark, d), "longitude", "latitude", "zone_code",
+    joined = spatial_join(rows.filter(want), _index(spark, d), "longitude", "latitude", "zone_code",
                           broadcast_limit=0, rows_per_task=200)
     return joined.select("listing_id", "line_no", "longitude", "latitude", "zone_code")
 
@@ -159,6 +173,14 @@ def gold_compare(spark, d):
     return _gold(spark, d)
 
 
+def gold_other_parameters(spark, d):
+    """The comparison under other assumptions and outlier bounds than the defaults."""
+    a = Assumptions(occupancy_rate="0.55", service_fee_pct="0.08", cleaning_cost="21.5", avg_stay_nights="2.5",
+                    months_occupied=9, maintenance_pct="0.125")
+    bounds = Bounds(price_lo=20.0, price_hi=900.0, rent_lo=300.0, rent_hi=2500.0)
+    return G.gold(_silver_stays(spark, d, bounds), _silver_lets(spark, d, bounds), a)
+
+
 def gold_top10(spark, d):
     return top_areas(_gold(spark, d), 10)
 
@@ -173,6 +195,10 @@ def profile_shape(spark, d):
     return P.profile_shape(demo.stays(spark, d))
 
 
+def profile_schema(spark, d):
+    return P.profile_schema(demo.stays(spark, d))
+
+
 def profile_missing(spark, d):
     return P.profile_missing(demo.stays(spark, d), ["zipcode", "bedrooms", "review_scores_value"])
 
@@ -225,9 +251,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "area_lets": area_lets,
     "gold_compare": gold_compare,
     "gold_compare_approx": gold_compare_approx,
+    "gold_other_parameters": gold_other_parameters,
     "gold_top10": gold_top10,
     "strategy_counts": strategy_counts,
     "profile_shape": profile_shape,
+    "profile_schema": profile_schema,
     "profile_missing": profile_missing,
     "profile_formats": profile_formats,
     "profile_frequency": profile_frequency,

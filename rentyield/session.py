@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 
+from pyspark.errors import PySparkException
 from pyspark.sql import SparkSession
 
 # Settings the jobs depend on for correctness (UTC timestamps, ANSI casts)
@@ -47,12 +48,15 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     current = spark.conf.get("spark.checkpoint.dir", None)
     try:
         sc = spark.sparkContext
-    except Exception:               # a Connect session: the server applies its own setting
+    except PySparkException as e:   # a Connect session has no context: the server applies its own setting
+        if "NOT_SUPPORTED" not in (e.getCondition() or "") and "NOT_IMPLEMENTED" not in (e.getCondition() or ""):
+            raise
         if current:
             return current
         raise RuntimeError("spark.checkpoint.dir is unset: set it to a folder shared by the cluster")
     if current:
-        sc.setCheckpointDir(current)
+        if sc.getCheckpointDir() is None:       # set once: each call makes a new sub-folder
+            sc.setCheckpointDir(current)
         return current
     if not sc.master.startswith("local"):
         raise RuntimeError("spark.checkpoint.dir is unset: set it to a folder shared by the cluster")

@@ -11,14 +11,17 @@ stays  ← lineitem: price, mixed-format zipcode, a point inside the unit square
          the zone of its part (or on its edge), scores, room type.
 lets   ← orders: city, rent text in the '€ 1.250,-  Utilities incl.' style,
          postal code, area, capacity, deposit, seen-at text.
-zones  ← every part: a unit square on a 100-wide grid (every 7th with a hole);
-         and every supplier: a 2x2 square overlapping them, later in file order
+zones  ← every part: a unit square on a 100-wide grid (every 7th with a hole, some broken);
+         every supplier: a 2x2 square overlapping them, later in file order
          (so it only wins where no unit square contains the point), odd ones
-         written as MultiPolygon. Area codes are 1000 + key % 9000.
+         written as MultiPolygon; every nation: a right triangle; every region: a
+         very wide square. Area codes are 1000 + key % 9000, 8000 + key, 9900 + key.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 
 from .tables import spread
@@ -34,14 +37,16 @@ STAYS = [
         WHEN 5 THEN '' WHEN 6 THEN 'n/a' ELSE NULL END"""),
     ("price", """CASE WHEN l_suppkey % 50 = 1 THEN 'n/a'
         WHEN l_suppkey % 50 = 2 AND l_linenumber = 7 THEN '9000'
-        ELSE CAST(CAST(floor(l_extendedprice / 400) AS BIGINT) AS VARCHAR(20)) END"""),
+        ELSE CAST(CAST(floor(l_extendedprice / 400) AS BIGINT) AS VARCHAR(20))
+            || '.' || lpad(CAST((l_partkey * 7 + l_linenumber) % 100 AS VARCHAR(20)), 2, '0') END"""),
     ("bedrooms", "CASE WHEN l_quantity = 48 THEN NULL ELSE CAST(CAST(l_quantity AS BIGINT) % 4 AS VARCHAR(20)) END"),
     ("accommodates", "CASE WHEN l_quantity = 47 THEN '2.0' ELSE CAST(1 + CAST(l_quantity AS BIGINT) % 6 AS VARCHAR(20)) END"),
     ("latitude", """CASE WHEN l_quantity >= 49 THEN NULL ELSE CAST(
         CAST(floor(l_partkey / 100) AS BIGINT) + (l_suppkey % 8) / 8 AS VARCHAR(20)) END"""),
     ("longitude", "CASE WHEN l_quantity = 50 THEN NULL ELSE CAST(l_partkey % 100 + l_linenumber / 8 AS VARCHAR(20)) END"),
     ("review_scores_value", """CASE WHEN l_tax = 0 THEN NULL
-        ELSE CAST(CAST(round(l_discount * 100) AS BIGINT) % 10 + 1 AS VARCHAR(20)) END"""),
+        ELSE CAST(CAST(round(l_discount * 100) AS BIGINT) % 10 + 1 AS VARCHAR(20))
+            || '.' || lpad(CAST(l_partkey % 10000 AS VARCHAR(20)), 4, '0') END"""),
     ("room_type", """CASE l_returnflag WHEN 'A' THEN 'Entire home/apt ' WHEN 'N' THEN 'Private room'
         ELSE ' Shared room' END"""),
 ]
@@ -72,18 +77,30 @@ LETS = [
     ("lastSeenAt", "CAST(o_orderdate + INTERVAL '30' DAY AS VARCHAR(30))"),
 ]
 
-# Zones: (fid, code, x0, y0, size, hole, multi) per source row; the Spark view turns
-# them into GeoJSON-style features, the oracle tests containment arithmetically.
+# Zones: per source row a square or right triangle with legs s; the Spark view turns them into
+# GeoJSON-style features, the oracle tests containment arithmetically. Broken features (a position
+# that is no pair of numbers, in the outer ring or the hole) must be skipped whole.
 ZONE_SOURCES = {
     "part": {
         "fid": "p_partkey", "code": "CAST(1000 + p_partkey % 9000 AS VARCHAR(20))", "name": "p_name",
         "x0": "p_partkey % 100", "y0": "CAST(floor(p_partkey / 100) AS BIGINT)", "s": "1",
-        "hole": "(p_partkey % 7 = 3)", "multi": "false",
+        "hole": "(p_partkey % 7 = 3)", "multi": "false", "tri": "false",
+        "broken": "(p_partkey % 21 = 3 OR p_partkey % 13 = 5)",
     },
     "supplier": {
         "fid": "1000000000 + s_suppkey", "code": "CAST(1000 + s_suppkey % 9000 AS VARCHAR(20))", "name": "s_name",
         "x0": "2 * (s_suppkey % 50)", "y0": "2 * CAST(floor(s_suppkey / 50) AS BIGINT)", "s": "2",
-        "hole": "false", "multi": "(s_suppkey % 2 = 1)",
+        "hole": "false", "multi": "(s_suppkey % 2 = 1)", "tri": "false", "broken": "false",
+    },
+    "nation": {         # slanted edges
+        "fid": "2000000000 + n_nationkey", "code": "CAST(8000 + n_nationkey AS VARCHAR(20))", "name": "n_name",
+        "x0": "20 * (n_nationkey % 5)", "y0": "3 * CAST(floor(n_nationkey / 5) AS BIGINT)", "s": "12",
+        "hole": "false", "multi": "false", "tri": "true", "broken": "false",
+    },
+    "region": {         # far wider than all others
+        "fid": "3000000000 + r_regionkey", "code": "CAST(9900 + r_regionkey AS VARCHAR(20))", "name": "r_name",
+        "x0": "0 - 100000", "y0": "0 - 100000", "s": "(100030 + r_regionkey)",
+        "hole": "false", "multi": "false", "tri": "false", "broken": "false",
     },
 }
 HOLE_LO, HOLE_HI = 0.375, 0.625
@@ -113,24 +130,33 @@ def lets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _read(spark, sf_dir, "orders", parallel_filters=True).selectExpr(*_select(LETS))
 
 
-def _ring(x0: str, y0: str, s: str) -> str:
-    """JSON text of a closed square ring [[x0,y0],[x0+s,y0],[x0+s,y0+s],[x0,y0+s],[x0,y0]]."""
-    pts = [(x0, y0), (f"{x0} + {s}", y0), (f"{x0} + {s}", f"{y0} + {s}"), (x0, f"{y0} + {s}"), (x0, y0)]
-    parts = ", ',', ".join(f"'[', CAST({x} AS STRING), ',', CAST({y} AS STRING), ']'" for x, y in pts)
+def _ring(*points: tuple[str, str]) -> str:
+    """JSON text of a closed ring through the points."""
+    parts = ", ',', ".join(f"'[', CAST({x} AS STRING), ',', CAST({y} AS STRING), ']'" for x, y in (*points, points[0]))
     return f"concat('[', {parts}, ']')"
 
 
+def _square(x0: str, y0: str, s: str) -> str:
+    return _ring((x0, y0), (f"{x0} + {s}", y0), (f"{x0} + {s}", f"{y0} + {s}"), (x0, f"{y0} + {s}"))
+
+
 def zone_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(fid, properties, geometry) rows, the shape ``read_features`` gives for a file."""
-    outer = _ring("_x0", "_y0", "_s")
-    hole = _ring(f"(_x0 + {HOLE_LO})", f"(_y0 + {HOLE_LO})", repr(HOLE_HI - HOLE_LO))
-    polygon = f"CASE WHEN _hole THEN concat('[', {outer}, ',', {hole}, ']') ELSE concat('[', {outer}, ']') END"
+    square = _square("_x0", "_y0", "_s")
+    triangle = _ring(("_x0", "_y0"), ("_x0 + _s", "_y0"), ("_x0", "_y0 + _s"))
+    hole = _square(f"(_x0 + {HOLE_LO})", f"(_y0 + {HOLE_LO})", repr(HOLE_HI - HOLE_LO))
+    outer = f"CASE WHEN _tri THEN {triangle} ELSE {square} END"
+    # a broken feature: text for a number in the hole, or a position of one number in the outer ring
+    bad_hole = f"regexp_replace({hole}, '\\\\[([^,\\\\[]+),', '[\"x\",')"
+    bad_outer = f"concat('[[0],', substring({square}, 2))"
+    polygon = (f"CASE WHEN _hole AND _broken THEN concat('[', {outer}, ',', {bad_hole}, ']') WHEN _hole THEN concat('[', {outer}, ',', {hole}, ']') "
+               f"WHEN _broken THEN concat('[', {bad_outer}, ']') ELSE concat('[', {outer}, ']') END")
     parts = []
     for table, z in ZONE_SOURCES.items():
         base = _read(spark, sf_dir, table).selectExpr(
-            f"{z['fid']} AS fid", f"{z['code']} AS _code", f"{z['name']} AS _name",
+            f"CAST({z['fid']} AS BIGINT) AS fid", f"{z['code']} AS _code", f"{z['name']} AS _name",
             f"{z['x0']} AS _x0", f"{z['y0']} AS _y0", f"{z['s']} AS _s",
-            f"{z['hole']} AS _hole", f"{z['multi']} AS _multi")
+            f"{z['hole']} AS _hole", f"{z['multi']} AS _multi", f"{z['tri']} AS _tri", f"{z['broken']} AS _broken")
         parts.append(base.selectExpr(
             "fid",
             "map('pc4', _code, 'name', _name) AS properties",
@@ -138,14 +164,14 @@ def zone_features(spark: SparkSession, sf_dir: str) -> DataFrame:
                   'type', CASE WHEN _multi THEN 'MultiPolygon' ELSE 'Polygon' END,
                   'coordinates', CASE WHEN _multi THEN concat('[', {polygon}, ']') ELSE {polygon} END)
                 AS geometry"""))
-    return parts[0].unionByName(parts[1])
+    return reduce(DataFrame.unionByName, parts)
 
 
 def zones_sql() -> str:
-    """DuckDB: (fid, code, x0, y0, s, hole) for arithmetic containment, every part and supplier."""
+    """DuckDB: (fid, code, x0, y0, s, hole, tri) for arithmetic containment, without the broken features."""
     return " UNION ALL ".join(
         f"SELECT {z['fid']} AS fid, {z['code']} AS code, {z['x0']} AS x0, {z['y0']} AS y0, "
-        f"{z['s']} AS s, {z['hole']} AS hole FROM {table}"
+        f"{z['s']} AS s, {z['hole']} AS hole, {z['tri']} AS tri FROM {table} WHERE NOT ({z['broken']})"
         for table, z in ZONE_SOURCES.items())
 
 

@@ -9,10 +9,12 @@ Features with a missing or unparsable geometry, or an empty code, are dropped.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..operators.spatial import well_formed
+
 # Property names tried, in order, for the zone code.
 CODE_PROPERTIES = ["pc4", "PC4", "postcode4", "postcode"]
 
@@ -43,9 +45,13 @@ def rings_of(geometry: Column) -> Column:
             .when(gtype == "MultiPolygon", F.flatten(F.from_json(coords, MULTI))))
 
 
-def zones_from_features(features: DataFrame, code_key: str | None = None) -> DataFrame:
+def zones_from_features(features: DataFrame, code_key: str | None = None,
+                        observation: Observation | None = None) -> DataFrame:
     """(fid, properties, geometry) → (fid, code, rings) with IO05/IO06 applied.
 
+    A feature without a code, or with a missing, unparsable or broken geometry, is skipped whole;
+    ``observation`` counts features and those skipped.
+
     Without ``code_key`` the key is detected on the first feature (lowest fid),
     as one small aggregate: no feature list passes through the driver.
     """
@@ -61,10 +67,10 @@ def zones_from_features(features: DataFrame, code_key: str | None = None) -> Dat
         F.col("properties")[code_key].alias("code"),
         rings_of(F.col("geometry")).alias("rings"),
     )
-    return z.filter(F.col("rings").isNotNull() & F.col("code").isNotNull() & (F.col("code") != ""))
-
-
-MAX_ZONE_PARTITIONS = 64
+    usable = well_formed() & F.col("code").isNotNull() & (F.col("code") != "")
+    if observation is not None:
+        z = z.observe(observation, F.count(F.lit(1)).alias("features"), F.count_if(~F.coalesce(usable, F.lit(False))).alias("skipped"))
+    return z.filter(usable)
 
 
 def read_features(spark: SparkSession, path: str, per_line: bool = False,
@@ -72,10 +78,8 @@ def read_features(spark: SparkSession, path: str, per_line: bool = False,
     """IO04: (fid, properties, geometry) in file order.
 
     A FeatureCollection file is one JSON document, read by one task; features are
-    then spread over ``partitions`` (default: shuffle partitions, at most 64 — a
-    zone file is a small dimension, and thousands of near-empty tasks would cost
-    more than they save). With ``per_line=True`` (one Feature per line) the read
-    itself splits.
+    then spread over ``partitions`` (default: shuffle partitions). With
+    ``per_line=True`` (one Feature per line) the read itself splits.
     """
     if per_line:
         df = spark.read.schema(FEATURE).json(path)
@@ -84,11 +88,11 @@ def read_features(spark: SparkSession, path: str, per_line: bool = False,
         df = spark.read.schema(COLLECTION).option("multiLine", True).json(path)
         feats = df.select(F.posexplode("features").alias("fid", "f")).select(
             "fid", "f.properties", "f.geometry")
-    n = partitions or min(int(spark.conf.get("spark.sql.shuffle.partitions")), MAX_ZONE_PARTITIONS)
+    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     return feats.repartition(n)
 
 
 def read_zones(spark: SparkSession, path: str, code_key: str | None = None,
-               per_line: bool = False) -> DataFrame:
+               per_line: bool = False, observation: Observation | None = None) -> DataFrame:
     """IO04-IO06: GeoJSON → (fid, code, rings)."""
-    return zones_from_features(read_features(spark, path, per_line), code_key)
+    return zones_from_features(read_features(spark, path, per_line), code_key, observation)

@@ -6,6 +6,7 @@ value containing '/'); a layer is just a naming rule.
 
 from __future__ import annotations
 
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -40,9 +41,6 @@ def preview(df: DataFrame, n: int = 5) -> DataFrame:
     return df.limit(n)
 
 
-MAX_SPREAD = 256
-
-
 def spread(df: DataFrame, min_partitions: int | None = None, parallel_filters: bool = False) -> DataFrame:
     """Give a CPU-heavy stage at least one task per core.
 
@@ -50,8 +48,7 @@ def spread(df: DataFrame, min_partitions: int | None = None, parallel_filters: b
     multi-line JSON document is one task, and every fused narrow step after it
     (text parsing, the spatial test) would run on one core. When the scan has
     fewer partitions than ``min_partitions`` (default: the cluster's default
-    parallelism, at most MAX_SPREAD so a small input on a huge cluster does not
-    become thousands of near-empty tasks) the rows are spread; on large inputs,
+    parallelism) the rows are spread; on large inputs,
     which already have many more splits than that, this is a no-op and no
     shuffle is added.
 
@@ -64,9 +61,11 @@ def spread(df: DataFrame, min_partitions: int | None = None, parallel_filters: b
     Column pruning is unaffected either way.
     """
     try:
-        want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, MAX_SPREAD)
+        want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
         have = df.rdd.getNumPartitions()      # planning only; no job runs
-    except Exception:                         # no RDD access (e.g. a Connect session)
+    except PySparkException as e:             # a Connect session has no RDDs
+        if "NOT_SUPPORTED" not in (e.getCondition() or "") and "NOT_IMPLEMENTED" not in (e.getCondition() or ""):
+            raise
         return df
     if have >= want:
         return df

@@ -4,17 +4,17 @@ from __future__ import annotations
 
 import contextlib
 import io
+import json
 import os
 import tempfile
 
-import pytest
 from pyspark.sql import functions as F
 
 from rentyield.functions.predicates import city_is
-from rentyield.operators.aggregates import grouped_measures
+from rentyield.operators.aggregates import area_measures, frequency
 from rentyield.params import Paths
 from rentyield.plans.profile import summary
-from rentyield.plans.run import run, target
+from rentyield.plans.run import PART, Audit, city_part, run, run_bronze, target
 from rentyield.sources.files import read_listings
 from rentyield.sources.tables import load, preview, save
 
@@ -46,8 +46,8 @@ def test_catalog_mode_and_partition_pruning(spark):
     assert spark.catalog.databaseExists("ry_test")
     assert audit.counts["gold"]["rows"] == load(spark, target(paths, "gold")).count()
     bronze = load(spark, target(paths, "bronze_rentals"))
-    p = _plan(bronze.filter(city_is(F.col("city"))))
-    assert "PartitionFilters: [isnotnull(city" in p and "lower(city" in p
+    p = _plan(bronze.filter(F.col(PART) == city_part(F.lit("Amsterdam"))).filter(city_is(F.col("city"))))
+    assert f"PartitionFilters: [isnotnull({PART}" in p and f"({PART}" in p.split("PartitionFilters")[1].split("\n")[0]
 
 
 def _hot_data(spark):
@@ -58,22 +58,53 @@ def _hot_data(spark):
     return spark.createDataFrame(rows, "k string, x double").repartition(16)
 
 
-def SPECS():
-    return [("n", "count", F.col("x"), 0), ("mean", "mean", F.col("x"), 3), ("med", "median", F.col("x"), 3)]
+def _measures(df, method="histogram"):
+    rows = area_measures(df, "k", F.col("x").try_cast("decimal(18,2)"), F.col("x").try_cast("decimal(24,6)"), F.col("x"), method)
+    return {r["k"]: tuple(r)[1:] for r in rows.collect()}
 
 
-@pytest.mark.parametrize("method", ["sketch", "approx"])
-def test_hot_key_measures_match_exact(spark, method):
+def test_hot_key_measures_match_exact(spark):
     df = _hot_data(spark)
-    exact = {r["k"]: tuple(r)[1:] for r in grouped_measures(df, "k", SPECS(), "exact").collect()}
-    got = {r["k"]: tuple(r)[1:] for r in grouped_measures(df, "k", SPECS(), method).collect()}
+    exact, got = _measures(df, "exact"), _measures(df)
     assert got == exact
-    assert exact["hot"][0] == 3000 and exact["nulls"] == (0, None, None)
-
-
-def test_sketch_plan_is_two_level(spark):
-    p = _plan(grouped_measures(_hot_data(spark), "k", SPECS(), "sketch"))
-    assert "spark_partition_id" in p.lower() and p.count("hashpartitioning(") >= 2
+    assert exact["hot"][0] == 3000 and exact["nulls"] == (0, None, None, None, None, None)
+
+
+def test_large_area_is_exact_and_repeats(spark):
+    """More rows in one area than any sketch holds: equal to percentile_disc, twice the same."""
+    df = spark.range(60_000).select(F.when(F.col("id") % 3 < 2, "hot").otherwise(F.concat(F.lit("k"), F.col("id") % 50)).alias("k"),
+                                    ((F.col("id") * 7919) % 40_009 / 100).alias("x")).repartition(16)
+    first = _measures(df)
+    assert first == _measures(df, "exact") and first == _measures(df.repartition(5))
+    assert "kll_" not in _plan(area_measures(df, "k", F.col("x").cast("decimal(18,2)"), F.col("x").cast("decimal(24,6)"), F.col("x")))
+
+
+def test_mean_is_rounded_once(spark):
+    """A mean just below half a cent rounds to zero, not over an intermediate half cent."""
+    df = spark.range(10_000).select(F.lit("a").alias("k"), F.when(F.col("id") == 0, 0.005996).otherwise(0.0049999).cast("decimal(24,6)").alias("x"))
+    df = df.withColumn("x", F.when(F.col("x") == F.lit(0.005).cast("decimal(24,6)"), F.lit(0.004999).cast("decimal(24,6)")).otherwise(F.col("x")))
+    row = area_measures(df, "k", F.lit(1).cast("decimal(18,2)"), F.col("x"), F.lit(None).cast("double")).first()
+    assert row["avg_net"] == 0.0 and row["avg_price"] == 1.0 and row["avg_other"] is None
+
+
+def test_bronze_rentals_reload_unchanged(spark):
+    """Cities that are empty, missing, numeric-looking or odd come back as the same text."""
+    d = tempfile.mkdtemp(prefix="rentyield-city-", dir="/tmp")
+    cities = ["", None, "0123", "0007", "1e3", "Amsterdam", "AMSTERDAM", " Amsterdam", "a/b=c%", "2024-01-01", "__HIVE_DEFAULT_PARTITION__"]
+    with open(os.path.join(d, "rentals.json"), "w") as f:
+        for i, c in enumerate(cities):
+            f.write(json.dumps({"_id": [str(i)], "city": c, "rent": "€ 500,-"}) + "\n")
+    with open(os.path.join(d, "airbnb.csv"), "w") as f:
+        f.write("zipcode,price\n1053,100\n")
+    paths = Paths(raw=d, tables=f"{d}/t", rentals_multiline=False)
+    run_bronze(spark, paths, Audit())
+    back = load(spark, target(paths, "bronze_rentals"))
+    assert dict(back.dtypes)["city"] == "string"
+    assert {int(r["_id"]): r["city"] for r in back.collect()} == dict(enumerate(cities))
+
+
+def test_top_zero_is_no_rows(spark):
+    assert frequency(spark.range(5), "id", 0).count() == 0
 
 
 def test_summary(spark):

@@ -150,21 +150,56 @@ def test_code_property_detection(spark, props, key):
         assert [r["code"] for r in z] == [props[key], props[key]]
 
 
-def test_huge_zone_bounded_cells(spark):
-    """A zone a million times wider than the others still gets a bounded cell count."""
-    from rentyield.operators.spatial import build_cell_index, index_stats, zone_edges
+def test_wide_zone_changes_nothing_for_others(spark):
+    """A zone a million times wider than the others has a few cells of its own level."""
+    from rentyield.operators.spatial import build_cell_index, prepare
     rows = [(i, f"{3000 + i}", _f([[[i, 0], [i + 1, 0], [i + 1, 1], [i, 1], [i, 0]]])) for i in range(20)]
     rows.append((99, "9999", _f([[[-1e6, -1e6], [1e6, -1e6], [1e6, 1e6], [-1e6, 1e6], [-1e6, -1e6]]])))
-    zones = spark.createDataFrame(rows, "fid bigint, code string, rings array<array<array<double>>>")
-    e = zone_edges(zones)
-    cell, bound = index_stats(e)
-    assert cell >= 2e6 / 64
-    assert build_cell_index(e, cell).count() <= 66 * 66
+    index = prepare(spark.createDataFrame(rows, "fid bigint, code string, rings array<array<array<double>>>"))
+    assert index.cells == (1.0, 4.0 ** 11)
+    assert build_cell_index(index, 4.0 ** 11).count() <= 4
+    most = build_cell_index(index, 1.0).agg(F.max(F.size("zs"))).first()[0]
+    assert most <= 4                                                # no cell holds all zones
     pts = spark.createDataFrame([(0, 0.5, 0.5), (1, 5e5, 5e5), (2, 2e6, 0.0)], "i int, x double, y double")
-    got = [r["code"] for r in spatial_join(pts, zones, "x", "y", "code").orderBy("i").collect()]
+    got = [r["code"] for r in spatial_join(pts, index, "x", "y", "code").orderBy("i").collect()]
     assert got == ["3000", "9999", None]
 
 
+def test_broken_feature_is_no_zone(spark):
+    """A broken position in a hole drops the whole feature, not only the hole's edges."""
+    feats = spark.createDataFrame(
+        [(0, {"pc4": "1001"}, {"type": "Polygon", "coordinates": json.dumps(SQUARE_WITH_HOLE).replace("[4, 4]", '["x", 4]')}),
+         (1, {"pc4": "1002"}, {"type": "Polygon", "coordinates": json.dumps(TRIANGLE)}),
+         (2, {"pc4": "1003"}, {"type": "Polygon", "coordinates": "[[[0,0],[1]]]"}),
+         (3, {"pc4": "1004"}, {"type": "Polygon", "coordinates": "[[[0,0],[1e300,0],[1,1],[0,0]]]"}),
+         (4, {"pc4": "1005"}, {"type": "Polygon", "coordinates": "[]"})],
+        "fid bigint, properties map<string,string>, geometry struct<type:string, coordinates:string>")
+    from pyspark.sql import Observation
+    seen = Observation("zones")
+    zones = zones_from_features(feats, observation=seen)
+    assert [r["code"] for r in zones.collect()] == ["1002"] and seen.get == {"features": 5, "skipped": 4}
+    pts = spark.createDataFrame([(0, 2.0, 5.0), (1, 5.0, 5.0), (2, 15.0, 5.0)], "i int, x double, y double")
+    got = [r["code"] for r in spatial_join(pts, zones, "x", "y", "code").orderBy("i").collect()]
+    assert got == [None, None, "1002"]
+
+
+def test_no_point_is_in_two_zones_at_a_shared_edge(spark):
+    """Points within rounding of a slanted edge that two zones share (stored in opposite directions)."""
+    from rentyield.operators import spatial as SP
+    a = [[0.1, 0.3], [7.3, 9.7], [0.1, 9.7], [0.1, 0.3]]
+    b = [[0.1, 0.3], [7.3, 0.3], [7.3, 9.7], [0.1, 0.3]]
+    rng = np.random.default_rng(3)
+    t = rng.uniform(0.01, 0.99, 4000)
+    x, y = 0.1 + t * 7.2, 0.3 + t * 9.4
+    x = np.where(rng.random(4000) < 0.5, np.nextafter(x, -1), np.nextafter(x, 9))
+    pts = spark.createDataFrame([(i, float(p), float(q)) for i, (p, q) in enumerate(zip(x, y))], "i int, x double, y double")
+    hits = []
+    for ring in (a, b):
+        z = spark.createDataFrame([(0, "1", [ring])], "fid bigint, code string, rings array<array<array<double>>>")
+        hits.append({r["i"] for r in SP.spatial_join(pts, z, "x", "y", "c").filter("c IS NOT NULL").collect()})
+    assert not hits[0] & hits[1] and len(hits[0] | hits[1]) > 1000
+
+
 def test_hot_cell_is_split_over_salts(spark):
     """A cell holding a third of the points gets several salts; its index row is replicated to match."""
     from rentyield.operators import spatial as SP
@@ -173,13 +208,13 @@ def test_hot_cell_is_split_over_salts(spark):
     hot = [(i, 1.5, 1.5) for i in range(300)]                      # one point, a third of all rows
     rest = [(300 + i, 0.25 + (i % 15) / 4, 0.25 + (i // 15) / 4) for i in range(225)]   # inside the square
     pts = spark.createDataFrame(hot + rest, "i int, x double, y double").repartition(4)
-    edges = SP.zone_edges(zones)
-    index = SP.build_cell_index(edges, 1.0)
+    index = SP.build_cell_index(SP.prepare(zones, 1.0), 1.0)
     prepared = pts.withColumns({"_px": F.col("x"), "_py": F.col("y"),
                                 "_cx": F.floor(F.col("x")), "_cy": F.floor(F.col("y"))})
     joined = SP._salted_join(prepared, index, rows_per_task=50, max_hot_cells=1000)
     salts = {r["_salt"] for r in joined.filter((F.col("_cx") == 1) & (F.col("_cy") == 1)).select("_salt").collect()}
     assert len(salts) >= 5                                          # ceil(>300 / 50) salts in use
+    assert "rand(" not in joined._jdf.queryExecution().toString()
     assert joined.count() == pts.count()                            # each point meets exactly one replica
     out = SP.spatial_join(pts, zones, "x", "y", "code", cell=1.0, broadcast_limit=0, rows_per_task=50)
     assert out.filter(F.col("code") == "1001").count() == 525
