@@ -29,7 +29,10 @@ from pyspark.sql import functions as F
 from rentyield.llm.text_arrays import (
     LETTER, SPACE, binary_array, character_classes, code_points, kept_in_worker, slices, text_buffer)
 
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 32 << 20
+#: Bytes that are split into words at once, and rows of ids that a task packs together.
+SPLIT_BYTES = 2 << 20
+PACKED_ROWS = 400_000
 
 #: The contractions of the pattern.
 _CONTRACTIONS = [b"s", b"t", b"re", b"ve", b"m", b"ll", b"d"]
@@ -145,7 +148,12 @@ class WordBlock:
         data, offsets = text_buffer(column)
         marks = _added_marks(data, offsets, added)
         cuts = np.unique(np.concatenate([offsets, marks])) if len(marks) else offsets
-        start = split_words(data, cuts)
+        found, at = [], 0
+        while at + 1 < len(cuts):           # a bounded number of bytes at once, or one text
+            to = max(at + 1, int(np.searchsorted(cuts, cuts[at] + SPLIT_BYTES, side="right")) - 1)
+            found.append(split_words(data[cuts[at]:cuts[to]], cuts[at:to + 1] - cuts[at]) + cuts[at])
+            at = to
+        start = np.concatenate(found) if found else np.zeros(0, np.int64)
         if len(marks):      # nothing begins inside an added token
             between = np.searchsorted(marks, start, side="right")
             start = start[(between % 2 == 0) | np.isin(start, marks[::2])]
@@ -238,27 +246,53 @@ def document_rows(docs: DataFrame, path: str, key: str = "doc_id", text: str = "
         run, "block long, keys array<long>, sizes array<long>, codes binary, n_words int")
 
 
+def _pack_ids(number: list[int], ids: list[list[int]]) -> bytes:
+    import zstandard
+    size = np.fromiter(map(len, ids), "<u4", len(ids))
+    flat = np.fromiter((i for x in ids for i in x), "<u4", int(size.sum()))
+    raw = np.concatenate([np.array([len(number)], "<u4"), np.array(number, "<u4"), size, flat])
+    planes = np.ascontiguousarray(raw.astype("<u4").view(np.uint8).reshape(-1, 4).T)
+    return zstandard.ZstdCompressor(level=1).compress(planes.tobytes())
+
+
+def _unpack_ids(raw: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Word numbers, the number of ids of each, all ids."""
+    flat = _unpacked(raw)
+    n = int(flat[0])
+    return flat[1:n + 1], flat[n + 1:2 * n + 1], flat[2 * n + 1:]
+
+
 def encode_words(words: DataFrame, path: str) -> DataFrame:
-    """(block, number, ids): rows are dealt out by word and sorted, each distinct word is encoded once."""
+    """(block, packed): rows are dealt out by word and sorted, each distinct word is encoded once; its ids
+    are packed with others of the same block."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary = _vocabulary(path)
-        last, held = None, np.zeros(0, "<u2")
+        last, ids, rows = None, [], 0
+        held: dict[int, tuple[list, list]] = {}
+
+        def packed() -> pa.RecordBatch:
+            made = [_pack_ids(*x) for x in held.values()]
+            return pa.RecordBatch.from_arrays([pa.array(list(held), pa.int64()), pa.array(made, pa.binary())], ["block", "packed"])
+
         for batch in batches:
-            coded = batch.column("word").dictionary_encode()
-            ids = []
-            for word in coded.dictionary.to_pylist():
+            for block, number, word in zip(batch.column("block").to_pylist(), batch.column("number").to_pylist(), batch.column("word").to_pylist()):
                 if word != last:
                     text = word.decode("utf-8", "surrogateescape")
-                    found = [vocabulary.added[text]] if text in vocabulary.added else vocabulary.encode(word)
-                    last, held = word, np.array(found, "<u4").tobytes()
-                ids.append(held)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("block"), batch.column("number"), pa.array(ids, pa.binary()).take(coded.indices)],
-                ["block", "number", "ids"])
-
-    return (words.repartition("word").sortWithinPartitions("word")
-            .mapInArrow(run, "block long, number int, ids binary"))
+                    last, ids = word, [vocabulary.added[text]] if text in vocabulary.added else vocabulary.encode(word)
+                to = held.get(block)
+                if to is None:
+                    to = held[block] = ([], [])
+                to[0].append(number)
+                to[1].append(ids)
+            rows += batch.num_rows
+            if rows >= PACKED_ROWS:
+                yield packed()
+                held, rows = {}, 0
+        if held:
+            yield packed()
+
+    return words.repartition("word").sortWithinPartitions("word").mapInArrow(run, "block long, packed binary")
 
 
 def with_ids(docs: DataFrame, path: str, emit: Callable, schema: str, key: str = "doc_id", text: str = "text",
@@ -272,14 +306,13 @@ def with_ids(docs: DataFrame, path: str, emit: Callable, schema: str, key: str =
     def assemble(block: pa.Table, found: pa.Table) -> pa.Table:
         made = []
         for row in block.to_pylist():
-            if found.num_rows != row["n_words"]:
+            parts = [_unpack_ids(x) for x in found.column("packed").to_pylist()]
+            number = np.concatenate([x[0] for x in parts]) if parts else np.zeros(0, "<u4")
+            if len(number) != row["n_words"]:
                 raise ValueError("a block's words are not those of its documents: the source changed between reads")
-            number = found.column("number").to_numpy()
-            raw = found.column("ids").combine_chunks()
-            if isinstance(raw, pa.ChunkedArray):
-                raw = raw.chunk(0)
-            data, offsets = text_buffer(raw)
-            lists = Ragged(np.ascontiguousarray(data).view("<u4") if len(data) else np.zeros(0, "<u4"), offsets // 4)
+            size = np.concatenate([x[1] for x in parts]).astype(np.int64) if parts else np.zeros(0, np.int64)
+            flat = np.concatenate([x[2] for x in parts]) if parts else np.zeros(0, "<u4")
+            lists = Ragged(flat, np.concatenate([[0], np.cumsum(size)]))
             place = np.empty(len(number), np.int64)
             place[number] = np.arange(len(number))
             codes = _unpacked(row["codes"])
