@@ -36,8 +36,10 @@ from rentyield.llm.tables import durable
 from rentyield.llm.text_arrays import Words, binary_array, slices, text_buffer, window_codes, window_rows
 
 ORDER = 5
-UPPER = 20.0
-LOWER = 10.0
+#: Occurrences from which a longest n-gram counts.
+LEAST = 3
+UPPER = 60.0
+LOWER = 12.0
 #: Floor of the deviation, in thousandths of a nat: a language whose texts are all alike rejects none of them.
 LEAST_MAD = 20
 MAX_MODEL_ROWS = 4_000_000
@@ -121,10 +123,13 @@ def _prefix(key: Column, n: int) -> Column:
     return F.shiftright(key.bitwiseAND(F.lit((1 << 8 * n) - 1)), 8) + F.lit((n - 1) << 56)
 
 
-def kneser_ney(counts: DataFrame, order: int = ORDER) -> DataFrame:
+def kneser_ney(counts: DataFrame, order: int = ORDER, least: int = LEAST) -> DataFrame:
     """(lang, key, logp, backoff): modified Kneser-Ney, interpolated; one row per n-gram seen.
 
-    ``backoff`` is the log weight that the n-gram, as a context, gives to the next lower order.
+    ``backoff`` is the log weight that the n-gram, as a context, gives to the next lower order. Longest
+    n-grams with fewer than ``least`` occurrences, and shorter ones of three bytes or more with a single
+    left neighbour, are discounted whole: their probability is the lower order's. Else a text that
+    nothing else resembles would be predicted by its own counts. ``least`` = 1 switches this off.
     """
     counts = counts.withColumn("len", F.shiftright("key", 56).cast("int"))
     level = {order: counts.filter(F.col("len") == order).select("lang", "key", "n")}
@@ -149,7 +154,8 @@ def kneser_ney(counts: DataFrame, order: int = ORDER) -> DataFrame:
         grams = level[k].withColumn("context", _prefix(F.col("key"), k))
         rows = grams.join(F.broadcast(table.filter(F.col("len") == k)).drop("len").withColumnRenamed("lang", "_l"),
                           F.col("lang").eqNullSafe(F.col("_l"))).drop("_l")
-        cut = F.when(F.col("n") == 1, F.col("d1")).when(F.col("n") == 2, F.col("d2")).otherwise(F.col("d3"))
+        few = F.col("n") < (least if k == order else 2 if least > 1 and k > 2 else 1)
+        cut = F.when(few, F.col("n")).when(F.col("n") == 1, F.col("d1")).when(F.col("n") == 2, F.col("d2")).otherwise(F.col("d3"))
         rows = rows.withColumn("cut", cut)
         totals = rows.groupBy("lang", "context").agg(F.sum("n").alias("total"), F.sum("cut").alias("freed"))
         totals = totals.select(F.col("lang").alias("_l"), F.col("context").alias("_c"), "total",
