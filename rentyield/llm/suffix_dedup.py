@@ -262,17 +262,19 @@ def repeated_spans(docs: DataFrame, length: int, text: str) -> tuple[DataFrame,
     return settled, spans.groupBy("row").agg(F.collect_list(F.struct("begin", "end")).alias("spans"))
 
 
-def _with_spans(docs: DataFrame, length: int, text: str) -> tuple[DataFrame, DataFrame]:
+def _with_spans(docs: DataFrame, length: int, text: str) -> DataFrame:
+    """``docs`` with ``_places`` and ``_spans`` of each row."""
     docs = docs.withColumn("_row", F.monotonically_increasing_id())
     settled, spans = repeated_spans(docs, length, text)
-    joined = (docs.join(settled, F.col("_row") == F.col("row"), "left").drop("row")
-              .join(spans, F.col("_row") == F.col("row"), "left").drop("row"))
-    return docs, joined
+    # the documents may have columns of any name but these
+    settled = settled.select(F.col("row").alias("_of"), F.col("places").alias("_places"))
+    spans = spans.select(F.col("row").alias("_of"), F.col("spans").alias("_spans"))
+    return docs.join(settled, F.col("_row") == F.col("_of"), "left").drop("_of").join(spans, F.col("_row") == F.col("_of"), "left").drop("_of")
 
 
 def _span_lists(part: pa.RecordBatch, offsets: np.ndarray, length: int) -> Iterator[list[tuple[int, int]]]:
     reach = length - _gram(length)
-    for i, (places, spans) in enumerate(zip(part.column("places"), part.column("spans"))):
+    for i, (places, spans) in enumerate(zip(part.column("_places"), part.column("_spans"))):
         begin, end = np.zeros(0, np.int64), np.zeros(0, np.int64)
         if places.is_valid:
             at = places.values.to_numpy().astype(np.int64)
@@ -286,7 +288,7 @@ def _span_lists(part: pa.RecordBatch, offsets: np.ndarray, length: int) -> Itera
 def repeats(docs: DataFrame, length: int = LENGTH, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(key, n_bytes, n_removed, n_spans, kept_sha256, spans): what is repeated in each row, byte offsets."""
     docs = docs.select(F.col(key).cast("long").alias(key), F.col(text).cast("string").alias(text))
-    _, joined = _with_spans(docs, length, text)
+    joined = _with_spans(docs, length, text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, text):
@@ -308,41 +310,43 @@ def repeats(docs: DataFrame, length: int = LENGTH, key: str = "doc_id", text: st
                  pa.array(sha, pa.string()), pa.array(lists, pa.list_(pa.struct([("begin", pa.int64()), ("end", pa.int64())])))],
                 [key, "n_bytes", "n_removed", "n_spans", "kept_sha256", "spans"])
 
-    return joined.select(key, text, "places", "spans").mapInArrow(
+    return joined.select(key, text, "_places", "_spans").mapInArrow(
         run, f"{key} long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, spans array<struct<begin:long,end:long>>")
 
 
+def _cut(whole: bytes, spans: list[tuple[int, int]]) -> str:
+    """The text without the spans, which shrink to whole characters."""
+    left, to = [], 0
+    for a, z in spans:
+        while a < len(whole) and whole[a] & 0xC0 == 0x80:       # a cut character stays
+            a += 1
+        while z < len(whole) and whole[z] & 0xC0 == 0x80:
+            z -= 1
+        if a < z:
+            left.append(whole[to:a])
+            to = z
+    return (b"".join(left) + whole[to:]).decode("utf-8")
+
+
 def without_repeats(docs: DataFrame, length: int = LENGTH, text: str = "text", chars: str = "n_chars") -> DataFrame:
     """``docs`` with the repeated strings taken out of ``text``, in whole characters; ``chars``, where
-    there is such a column, is the new length. Only texts with a repeat pass through Python."""
-    docs, joined = _with_spans(docs, length, text)
-    schema = joined.select("_row", F.col(text).alias("_text")).schema
+    there is such a column, is the new length of a changed text."""
+    names = docs.columns
+    joined = _with_spans(docs, length, text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, text):
             data, offsets = text_buffer(part.column(text))
-            raw, made = data.tobytes(), []
-            for i, spans in enumerate(_span_lists(part, offsets, length)):
-                whole = raw[int(offsets[i]):int(offsets[i + 1])]
-                left, to = [], 0
-                for a, z in spans:
-                    while a < len(whole) and whole[a] & 0xC0 == 0x80:       # a cut character stays
-                        a += 1
-                    while z < len(whole) and whole[z] & 0xC0 == 0x80:
-                        z -= 1
-                    if a < z:
-                        left.append(whole[to:a])
-                        to = z
-                made.append((b"".join(left) + whole[to:]).decode("utf-8"))
-            yield pa.RecordBatch.from_arrays([part.column("_row"), pa.array(made, pa.string())], ["_row", "_text"])
-
-    names = [c for c in docs.columns if c != "_row"]
-    changed = joined.filter("places IS NOT NULL OR spans IS NOT NULL").select("_row", text, "places", "spans").mapInArrow(run, schema)
-    changed = changed.withColumnRenamed("_row", "_changed")
-    out = docs.join(changed, F.col("_row") == F.col("_changed"), "left")
-    made = F.when(F.col("_changed").isNull(), F.col(text)).otherwise(F.col("_text"))
-    out = out.withColumn(text, made)
-    if chars in names:
-        kept = F.when(F.col("_changed").isNull(), F.col(chars)).otherwise(F.length(text))
-        out = out.withColumn(chars, kept.cast(docs.schema[chars].dataType))
-    return out.select(*names)
+            lists = list(_span_lists(part, offsets, length))
+            columns = {n: part.column(n) for n in names}
+            if any(lists):
+                raw = data.tobytes()
+                made = [_cut(raw[int(offsets[i]):int(offsets[i + 1])], spans) if spans else old
+                        for i, (spans, old) in enumerate(zip(lists, part.column(text).to_pylist()))]
+                columns[text] = pa.array(made, part.column(text).type)
+                if chars in names:
+                    n = [len(new) if spans else old for new, spans, old in zip(made, lists, part.column(chars).to_pylist())]
+                    columns[chars] = pa.array(n, part.column(chars).type)
+            yield pa.RecordBatch.from_arrays([columns[n] for n in names], names)
+
+    return joined.select(*names, "_places", "_spans").mapInArrow(run, docs.schema)
