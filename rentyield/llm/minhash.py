@@ -60,7 +60,7 @@ def shingle_sets(column: pa.Array, width: int) -> tuple[np.ndarray, np.ndarray]:
     first, count = words.first, words.per_row
     total = len(hashed)
     rolled = np.full(total, np.uint64(width))
-    for k in range(width):
+    for k in range(min(width, total)):
         rolled[:total - k] = mix64(rolled[:total - k] * np.uint64(0x9E3779B97F4A7C15) + hashed[k:])
     each = np.where(count >= width, count - width + 1, np.minimum(count, 1))
     bounds = np.concatenate([[0], np.cumsum(each)])
