@@ -25,6 +25,7 @@ are ignored; ties play no part.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 from itertools import combinations
 from math import acos, comb, pi
 
@@ -85,8 +86,8 @@ def _unit(x: np.ndarray) -> np.ndarray:
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
-def codes(classes: DataFrame, sample: int = SAMPLE) -> tuple[DataFrame, int]:
-    """(id, label, dim, code), and the number of bits; a rotation is learned for each length of vector."""
+def codes(classes: DataFrame, sample: int = SAMPLE) -> tuple[DataFrame, list[int]]:
+    """(id, label, dim, code), and the lengths of vector in use; a rotation is learned for each."""
     dims = [r[0] for r in classes.groupBy("dim").agg(F.count("*").alias("n")).filter("n > 1").orderBy(F.desc("n")).collect()]
     rotations = {}
     for dim in dims:
@@ -107,14 +108,14 @@ def codes(classes: DataFrame, sample: int = SAMPLE) -> tuple[DataFrame, int]:
                                              ["id", "label", "dim", "code"])
 
     coded = classes.select("id", "label", "dim", "vector").mapInArrow(run, "id long, label long, dim int, code long")
-    return coded, min([MAX_BITS, *[max(1, d) for d in dims]])
+    return coded, dims
 
 
 def candidates(coded: DataFrame, bits: int, radius: int, per_label: int) -> DataFrame:
     """Pairs (a, b), a < b, of a label whose codes differ in at most ``radius`` bits; each once."""
-    length = max(1, min(16, bits, int(np.ceil(np.log2(max(2, per_label)) - 4.5))))
-    tables = max(1, bits // max(length, 8) if bits >= 8 else 1)
-    bounds = [MAX_BITS * t // tables for t in range(tables + 1)]
+    length = min(16, max(8, int(np.ceil(np.log2(max(2, per_label)) - 4.5))))
+    tables = max(1, bits // length)
+    bounds = [bits * t // tables for t in range(tables + 1)]
     near = radius // tables
     width = max(b - a for a, b in zip(bounds, bounds[1:]))
     masks = [sum(1 << i for i in chosen) for k in range(near + 1) for chosen in combinations(range(width), k)]
@@ -167,10 +168,15 @@ def near_duplicates(vectors: DataFrame, similarity: float = SIMILARITY, sample:
     # grouping by the vector itself, not only by its hash
     classes = good.groupBy("label", "same", "vector").agg(F.min("id").alias("id"), F.count("*").alias("members"))
     classes = durable(classes.withColumn("dim", F.size("vector")))
-    coded, bits = codes(classes, sample)
-    radius = radius_for(bits, similarity, miss)
+    coded, dims = codes(classes, sample)
+    coded = durable(coded)
     top = classes.groupBy("label").agg(F.count("*").alias("n")).agg(F.max("n")).first()[0] or 0
-    links = durable(rerank(candidates(durable(coded), bits, radius, top), classes, similarity))
+    found = []
+    for dim in dims:        # lengths that at least two vectors have
+        bits = min(MAX_BITS, dim)
+        found.append(candidates(coded.filter(F.col("dim") == dim), bits, radius_for(bits, similarity, miss), top))
+    pairs = reduce(DataFrame.unionByName, found) if found else coded.filter("false").select(F.col("id").alias("a"), F.col("id").alias("b"))
+    links = durable(rerank(pairs, classes, similarity))
 
     both = links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
     sizes = classes.select(F.col("id").alias("_b"), F.col("members").alias("more"))
