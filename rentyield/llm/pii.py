@@ -150,9 +150,9 @@ def disclosing(docs: DataFrame, text: str = "text", generalise: float = GENERALI
     counted = lines.select(F.explode(F.concat(F.array(F.lit("")), _terms(F.col("line")))).alias("_t")).groupBy("_t").agg(F.count("*").alias("n_t"))
     wanted = both.select(F.col("term").alias("_w")).distinct().unionByName(docs.sparkSession.range(1).select(F.lit("").alias("_w")))
     counted = durable(counted.join(wanted, F.col("_t") == F.col("_w"), "left_semi"))
-    total = counted.filter("_t = ''").select(F.col("n_t").alias("n_all"))       # one row
+    total = counted.filter("_t = ''").agg(F.sum("n_t")).first()[0] or 0      # one number
     rated = (both.join(n_e, F.col("entity") == F.col("_e")).join(counted, F.col("term") == F.col("_t"))
-             .join(F.broadcast(total), F.col("n_all") >= F.col("n_t")))
+             .withColumn("n_all", F.lit(int(total)).cast("long")))
     pmi = F.log(F.col("n_all") * F.col("n_te") / (F.col("n_t") * F.col("n_e")))
     share = F.when(F.col("n_all") > F.col("n_e"), pmi / F.log(F.col("n_all") / F.col("n_e"))).otherwise(F.lit(0.0))
     rated = rated.withColumn("share", share).filter(F.col("share") >= generalise)

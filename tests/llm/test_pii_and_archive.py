@@ -72,7 +72,7 @@ def test_patterns_do_not_backtrack(spark):
 def _disclosing_rows():
     """'Zubrowka' stands only in lines with one address; 'meeting' is common; 'Obscure' is in one copied line."""
     lines = [(i, f"note {i} about Zubrowka and the meeting, write to jan.k@example.org today") for i in range(6)]
-    lines += [(100 + i, f"the meeting number {i} is today and we write notes about it") for i in range(200)]
+    lines += [(100 + i, f"the meeting number {i} is today and we write a note about it to all") for i in range(200)]
     lines += [(400 + i, "Obscure words beside eva@example.org") for i in range(5)]
     lines += [(500, "Zubrowka is not beside an address here"), (501, "two lines\nwrite to jan.k@example.org, Zubrowka!")]
     return lines
