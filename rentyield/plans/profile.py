@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions.predicates import POSTAL_FORMATS, city_is, matches, null_or_empty
 from ..functions.standardize import rent_utilities
-from ..operators.aggregates import conditional_counts, frequency, mean2, rounded_mean, shape
+from ..operators.aggregates import conditional_counts, frequency, rounded_mean, shape
 
 
 def _pct(part: str, whole: str) -> Column:
@@ -62,22 +62,25 @@ def profile_frequency(df: DataFrame, col: str, top: int | None = None) -> DataFr
 def profile_numeric(df: DataFrame, col: str, bound: float) -> DataFrame:
     """QA03 / AG10: count, mean, stddev, min, quartiles, max and rows above ``bound`` (FI11).
 
-    Quartiles are exact (interpolated, as ``percentile``): they are taken from the counts of the distinct
-    values, so the last task holds a row per distinct value, not per row.
+    All are taken from the counts of the distinct values, so the last task holds a row per distinct
+    value, not per row. Quartiles are exact (interpolated, as ``percentile``).
     """
-    x = F.col(col).try_cast("double")
-    one = df.agg(
-        F.count(x).alias("count"),
-        *[c.alias(n) for c, n in zip(mean2(x, 2), ("_sum", "_n"))],
-        F.round(F.stddev_samp(x), 4).alias("stddev"),
+    x, n = F.col("x"), F.col("n")
+    hist = (df.select(F.col(col).try_cast("double").alias("x")).filter(x.isNotNull())
+            .groupBy("x").agg(F.count(F.lit(1)).alias("n")))
+    units = (x.try_cast("decimal(18,2)") * 100).cast("decimal(20,0)")
+    one = hist.agg(
+        F.coalesce(F.sum(n), F.lit(0)).alias("count"),
+        F.sum(units * n * 100).cast("decimal(38,0)").alias("_sum"),
+        F.sum(x * n).alias("_x"), F.sum(x * x * n).alias("_xx"),
         F.min(x).alias("min"),
+        *[F.round(F.percentile(x, q, n), 4).alias(name) for q, name in ((0.25, "q25"), (0.5, "q50"), (0.75, "q75"))],
         F.max(x).alias("max"),
-        F.count_if(x > F.lit(bound)).alias("above_bound"),
+        F.coalesce(F.sum(F.when(x > F.lit(bound), n)), F.lit(0)).alias("above_bound"),
     )
-    hist = df.select(x.alias("x")).filter(F.col("x").isNotNull()).groupBy("x").agg(F.count(F.lit(1)).alias("n"))
-    quartiles = hist.agg(*[F.round(F.percentile("x", q, F.col("n")), 4).alias(n) for q, n in ((0.25, "q25"), (0.5, "q50"), (0.75, "q75"))])
-    return one.join(F.broadcast(quartiles), F.lit(True)).select(     # one row each
-        "count", rounded_mean("(_sum * 100)", "_n", 4, 4).alias("mean"), "stddev", "min", "q25", "q50", "q75", "max", "above_bound")
+    spread = F.when(F.col("count") > 1, F.sqrt(F.greatest(F.col("_xx") - F.col("_x") * F.col("_x") / F.col("count"), F.lit(0.0)) / (F.col("count") - 1)))
+    return one.select("count", rounded_mean("_sum", "count", 4, 4).alias("mean"), F.round(spread, 4).alias("stddev"),
+                      "min", "q25", "q50", "q75", "max", "above_bound")
 
 
 def summary(df: DataFrame, *cols: str) -> DataFrame:
