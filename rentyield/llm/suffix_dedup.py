@@ -43,8 +43,10 @@ from rentyield.llm.text_arrays import mix64, slices, text_buffer
 
 LENGTH = 400
 #: Unlike members of a bucket that are gathered in one group; surroundings gathered in one task at once.
-MOST = 2_000
+#: With 20,000 a group's windows take some 100 MB.
+MOST = 20_000
 GATHERED = 4_000
+CHUNK = 2_000
 
 
 def _gram(length: int) -> int:
@@ -181,7 +183,11 @@ def refine(contexts: DataFrame, length: int) -> DataFrame:
     schema = pa.schema([("row", pa.int64()), ("begin", pa.int64()), ("end", pa.int64()), ("key", pa.int64()), ("times", pa.int64())])
 
     def run(group: pa.Table) -> pa.Table:
-        key, context, begin = _windows(group, length)
+        # identifiers are made for some surroundings at a time: only the windows' own are kept
+        found = [(key, context + a, begin) for a in range(0, max(1, group.num_rows), CHUNK)
+                 for key, context, begin in [_windows(group.slice(a, CHUNK), length)]]
+        key, context, begin = (np.concatenate(x) for x in zip(*[(k, c.astype(np.int32), b.astype(np.int32)) for k, c, b in found]))
+        begin = begin.astype(np.int64)
         shift = group.column("place").to_numpy().astype(np.int64) - group.column("left").to_numpy()
         row = group.column("row").to_numpy()
         # surroundings with copies are settled already, and count twice
