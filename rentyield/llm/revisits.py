@@ -95,7 +95,8 @@ def resolve(records: DataFrame, rows: int = SLICE_ROWS) -> DataFrame:
     earlier = latest_earlier(timed.select("record_id", F.col("canonical_url").alias("url_key"), "ts", (~F.col("revisit")).alias("full")), rows)
     earlier = earlier.filter("refers_to IS NOT NULL").select(F.col("record_id").alias("_id"), "refers_to").distinct()
     stored = records.filter("NOT revisit").select(F.col("record_id").alias("_stored"), F.col("headers").alias("stored"))
-    stored = stored.dropDuplicates(["_stored"])
+    # a table of its own: Spark splits a response with very many revisits in a join of two plain shuffles
+    stored = durable(stored.dropDuplicates(["_stored"]))
     joined = (records.join(earlier, F.col("revisit") & (F.col("record_id") == F.col("_id")), "left")
               .join(stored, F.col("refers_to") == F.col("_stored"), "left"))
     tags = _weak(_header("headers", "etag")), _weak(_header("stored", "etag"))
