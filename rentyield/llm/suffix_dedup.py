@@ -20,8 +20,8 @@ recursively; equal strings have equal identifiers, in every task and without a s
 Each distinct surrounding takes part once, whatever the number of its copies. Identifiers have 64
 bits and are compared within a bucket, itself a 64-bit identifier.
 
-The documents must come from a source that gives the same rows in the same order when it is read
-again (a file scan does): rows are numbered by their place in it.
+Rows are numbered once, in a stored table of numbers and texts that all steps read: how the input is
+split when it is planned again, or how many executors are alive then, does not matter.
 
 Defined results: a null text counts as empty and stays null in ``without_repeats``; repeated rows are
 copies of one another and match; texts of any length are treated whole; an empty table gives an
@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rentyield.llm.tables import durable, release
+from rentyield.llm.tables import durable, numbered, release
 from rentyield.llm.text_arrays import mix64, slices, text_buffer
 
 LENGTH = 400
@@ -270,7 +270,7 @@ def repeated_spans(docs: DataFrame, length: int, text: str) -> tuple[DataFrame,
 
 def _with_spans(docs: DataFrame, length: int, text: str) -> DataFrame:
     """``docs`` with ``_places`` and ``_spans`` of each row."""
-    docs = docs.withColumn("_row", F.monotonically_increasing_id())
+    docs = numbered(docs)
     settled, spans = repeated_spans(docs, length, text)
     # the documents may have columns of any name but these
     settled = settled.select(F.col("row").alias("_of"), F.col("places").alias("_places"))

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import gc
 import time
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from rentyield.session import ensure_checkpoint_dir
 
@@ -20,6 +22,19 @@ def durable(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def stored(df: DataFrame) -> DataFrame:
+    """The rows as a Parquet table in the session's shared folder, packed smaller than a checkpoint would be."""
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/stored-{uuid.uuid4().hex}"
+    df.write.option("compression", "zstd").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def numbered(df: DataFrame, name: str = "_row") -> DataFrame:
+    """The rows with a number each, stored: however the input is planned or read again, a row keeps its number."""
+    return stored(df.withColumn(name, F.monotonically_increasing_id()))
+
+
 def release(spark: SparkSession) -> None:
     """Let Spark's cleaner delete the shuffle files and checkpoints that nothing refers to any more.
 

@@ -230,3 +230,33 @@ def test_multi_index_finds_every_code_in_the_radius(spark):
     for per_label in (10, 100_000):
         got = [tuple(r) for r in itq.candidates(df, 64, 9, per_label).collect()]
         assert len(got) == len(set(got)) and set(got) == expected
+
+
+def _prose(seed, words, choices="abcdefghij", size=5):
+    rng = random.Random(seed)
+    return " ".join("".join(rng.choices(choices, k=size)) for _ in range(words))
+
+
+def test_suffix_dedup_whatever_the_splits(spark, tmp_path):
+    """The scan is split otherwise after the first step, as when an executor is lost or joins."""
+    shared = _prose(1, 40)
+    texts = {i: f"{_prose(100 + i, 30)} {shared if i % 3 == 0 else _prose(200 + i, 40)} {_prose(300 + i, 20 + i)}" for i in range(24)}
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(8, "doc_id")
+    df.write.parquet(str(tmp_path / "docs"))
+    durable, files = suffix_dedup.durable, "spark.sql.files.minPartitionNum"
+
+    def after(frame):
+        out = durable(frame)
+        spark.conf.set(files, "100")
+        return out
+
+    spark.conf.set(files, "1")
+    suffix_dedup.durable = after
+    try:
+        docs = spark.read.parquet(str(tmp_path / "docs"))
+        before = docs.rdd.getNumPartitions()
+        assert _check_repeats(docs, texts, 100) > 1000
+        assert spark.read.parquet(str(tmp_path / "docs")).rdd.getNumPartitions() > before
+    finally:
+        suffix_dedup.durable = durable
+        spark.conf.unset(files)
