@@ -16,6 +16,9 @@ from rentyield.llm.queries import tokenizer_path
 from rentyield.llm.tables import table
 from rentyield.session import ensure_checkpoint_dir
 
+#: Bytes of a repeated passage: over 50 words.
+PASSAGE = 250
+
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules reject go."""
@@ -28,8 +31,12 @@ def distinct_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def unrepeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Strings of 400 bytes that occur elsewhere too are cut out of the texts."""
-    return suffix_dedup.without_repeats(docs)
+    """Strings of ``PASSAGE`` bytes that occur elsewhere too are cut out of the texts.
+
+    The stage is to catch repeated passages of over 50 words. Of the test tables' strings of 51 words 98.5 %
+    (en, fr) to 99.4 % (de) have 250 bytes or more, and 5 to 8 % have op9's 400; fewer, longer words are cut too.
+    """
+    return suffix_dedup.without_repeats(docs, length=PASSAGE)
 
 
 def without_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

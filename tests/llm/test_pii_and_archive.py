@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import random
 import re
 
 import duckdb
@@ -177,6 +178,33 @@ def test_pipeline(spark, documents):
     assert {(r["doc_id"], r["piece"], r["length"], r["ids_crc32"]) for r in last.collect()} == whole
 
 
+def test_stages_after_the_passages_of_the_stage_s_own_length(spark, documents):
+    folder = "/root/testdata/sf0.001"
+    second = corpus_pipeline.distinct_texts(spark, corpus_pipeline.good_quality(spark, documents, folder).checkpoint(), folder).checkpoint()
+    removed = {r["doc_id"]: r for r in suffix_dedup.repeats(second, length=corpus_pipeline.PASSAGE).collect()}
+    third = corpus_pipeline.unrepeated_passages(spark, second, folder).checkpoint()
+    for r in third.collect():
+        gone = removed[r["doc_id"]]
+        assert 0 <= len(r["text"].encode()) - (gone["n_bytes"] - gone["n_removed"]) <= 6 * gone["n_spans"]
+    fourth = corpus_pipeline.without_personal_data(spark, third, folder).checkpoint()
+    assert all(sum(r[f"n_{k}"] for k in pii.KINDS) == 0 for r in pii.find(fourth).collect())
+    pieces = [{(r["doc_id"], r["piece"], r["length"], r["ids_crc32"]) for r in rows.collect()}
+              for rows in (corpus_pipeline.run(spark, folder), packing.pack_documents(fourth, tokenizer_path(), with_ids=False))]
+    assert pieces[0] == pieces[1]
+
+
+def test_passage_of_52_words_is_cut(spark):
+    def prose(seed, words):
+        rng = random.Random(seed)
+        return " ".join("".join(rng.choices("abcdefghijklmnop", k=rng.randint(4, 6))) for _ in range(words))
+
+    passage = prose(0, 52)
+    assert 250 <= len(passage) < 400
+    docs = spark.createDataFrame([(i, f"{prose(i, 100)}\n{passage}\n{prose(10 + i, 100)}") for i in (1, 2)], "doc_id long, text string").checkpoint()
+    left = {r["doc_id"]: r["text"] for r in corpus_pipeline.unrepeated_passages(spark, docs, "").collect()}
+    assert all(passage not in t and prose(i, 100) in t and prose(10 + i, 100) in t for i, t in left.items()) and len(left) == 2
+
+
 def test_every_operator_is_registered():
     import __spark_entry__ as E
     numbers = sorted(int(re.match(r"op(\d+)_", n)[1]) for n in QUERIES)
