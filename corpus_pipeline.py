@@ -26,8 +26,8 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def distinct_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates (five-word shingles, similarity 0.8) stays."""
-    return minhash.keep_one(docs)
+    """One row of each group of near-duplicates (five-word shingles, similarity 0.8) stays."""
+    return minhash.keep_one_row(docs)
 
 
 def unrepeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

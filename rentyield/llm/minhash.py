@@ -34,7 +34,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rentyield.llm.components import components
-from rentyield.llm.tables import durable
+from rentyield.llm.tables import durable, numbered
 from rentyield.llm.text_arrays import Words, hash_bytes, mix64, slices, text_buffer
 
 WIDTH = 5
@@ -305,6 +305,23 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH, similarity: int = SIMIL
 
 
 def keep_one(docs: DataFrame, key: str = "doc_id", **options) -> DataFrame:
-    """The rows of ``docs``, all columns, without those that are near-duplicates of a smaller id."""
+    """The rows of ``docs``, all columns, without those that are near-duplicates of a smaller id.
+
+    For tables of unique ids: rows of the same id stay or go together. Else see ``keep_one_row``.
+    """
     gone = near_duplicates(docs, key=key, **options).filter(~F.col("kept")).select(F.col(key).alias("_gone")).distinct()
     return docs.join(gone, F.col(key) == F.col("_gone"), "left_anti")
+
+
+def keep_one_row(docs: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
+    """The rows of ``docs``, all columns, of each group of near-duplicates only one: that of the smallest id.
+
+    Rows are linked by their own texts, whatever their ids; rows without id come last, and of rows of
+    the same id the first numbered one stays.
+    """
+    rows = numbered(docs)
+    found = near_duplicates(rows, key="_row", text=text, **options).select(F.col("_row").alias("_of"), "component_id")
+    named = rows.select("_row", F.col(key).cast("long").alias("_key")).join(found, F.col("_row") == F.col("_of"))
+    first = F.min(F.struct(F.col("_key").isNull().alias("none"), "_key", "_row"))
+    kept = named.groupBy("component_id").agg(first.alias("one")).select(F.col("one._row").alias("_kept"))
+    return rows.join(kept, F.col("_row") == F.col("_kept"), "left_semi").drop("_row")

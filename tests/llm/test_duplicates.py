@@ -260,3 +260,15 @@ def test_suffix_dedup_whatever_the_splits(spark, tmp_path):
     finally:
         suffix_dedup.durable = durable
         spark.conf.unset(files)
+
+
+def test_one_row_of_repeated_rows_stays_and_keeps_its_text(spark):
+    one, other, clean, last = (_prose(i, 120) for i in range(4))
+    rows = [(1, one), (1, one), (2, other), (3, other + " more"), (3, clean), (None, last), (None, last), (4, None), (4, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3).checkpoint()
+    kept = minhash.keep_one_row(df).checkpoint()
+    assert kept.columns == df.columns
+    found = sorted(((r["doc_id"], r["text"]) for r in kept.collect()), key=str)
+    assert found == sorted([(1, one), (2, other), (3, clean), (None, last), (4, None), (4, None)], key=str)
+    left = sorted(((r["doc_id"], r["text"]) for r in suffix_dedup.without_repeats(kept).collect()), key=str)
+    assert left == found
