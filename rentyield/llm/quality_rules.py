@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from rentyield.llm.tables import durable
+from rentyield.llm.tables import durable, numbered
 from rentyield.llm.text_arrays import Words, binary_array, slices, text_buffer, window_codes, window_rows
 
 ORDER = 5
@@ -341,9 +341,12 @@ def quality(docs: DataFrame, order: int = ORDER, upper: float = UPPER, lower: fl
     if model.count() <= max_model_rows:
         scored = measure(docs, gram_arrays(model.toArrow()), order, key, text, lang)
     else:
-        sums = joined_scores(docs, model, order, key, text, lang).withColumnRenamed(key, "_key")
-        scored = measure(docs, None, order, key, text, lang).drop("sum_logp")
-        scored = scored.join(sums, F.col(key) == F.col("_key"), "left").drop("_key")
+        # by row number: rows of the same id, or of none, are scored by their own texts
+        rows = numbered(docs)
+        sums = joined_scores(rows, model, order, "_row", text, lang).withColumnRenamed("_row", "_sum")
+        scored = measure(rows, None, order, "_row", text, lang).drop("sum_logp").withColumnRenamed("_row", "_figures")
+        scored = (rows.select("_row", key).join(scored, F.col("_row") == F.col("_figures"))
+                  .join(sums, F.col("_row") == F.col("_sum"), "left").drop("_row", "_figures", "_sum"))
     ppl = F.when(F.col("n_grams") > 0, F.round(-1000 * F.col("sum_logp") / F.col("n_grams")).cast("long"))
     scored = durable(scored.withColumn("ppl", ppl))
     limits = bands(scored, lang, upper, lower)      # a row per language

@@ -194,6 +194,17 @@ def test_joined_scores_equal_sent_model(documents):
     assert a == b and len(a) == 40
 
 
+def test_joined_scores_equal_sent_model_on_odd_rows(spark, documents, odd):
+    """Rows of the same id with different texts, and rows without id."""
+    names = ["doc_id", "text", "lang"]
+    few = documents.filter("doc_id < 40").select("doc_id", "text", "lang")
+    df = few.selectExpr("CASE WHEN doc_id % 5 > 0 THEN doc_id div 5 END AS doc_id", "text", "lang").unionByName(odd.select(names))
+    scores = [sorted(((r["doc_id"], *(r[f] for f in quality_rules.FIGURES), r["ppl"], r["kept"]) for r in rows.collect()), key=str)
+              for rows in (quality_rules.quality(df), quality_rules.quality(df, max_model_rows=0))]
+    assert scores[0] == scores[1] and len(scores[0]) == 40 + odd.count()
+    assert any(r[0] is None and r[-1] for r in scores[1])
+
+
 def test_quality_rejects_gibberish_keeps_prose(spark, documents):
     random.seed(2)
     junk = " ".join("".join(random.choices(string.ascii_letters + string.digits, k=9)) for _ in range(200))
