@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rentyield.llm import bpe, itq, language_id, minhash, packing, pii, quality_rules, revisits, suffix_dedup, toxicity
+from rentyield.llm import (balancing, bpe, itq, language_id, minhash, packing, periodic_runs, pii, quality_rules, resampling, revisits,
+                           suffix_dedup, toxicity)
 from rentyield.llm.tables import table
 
 
@@ -56,6 +57,18 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.find(table(spark, sf_dir, "documents"))
 
 
+def op11_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resampling.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic_runs.digests(periodic_runs.periodic_runs(periodic_runs.planted(table(spark, sf_dir, "documents"))))
+
+
+def op13_balancing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return balancing.mixed(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_itq": op2_itq,
@@ -67,6 +80,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality_rules": op8_quality_rules,
     "op9_suffix_dedup": op9_suffix_dedup,
     "op10_pii": op10_pii,
+    "op11_resampling": op11_resampling,
+    "op12_periodic_runs": op12_periodic_runs,
+    "op13_balancing": op13_balancing,
 }
 
 SQL: dict[str, str] = {

@@ -57,10 +57,13 @@ def slices(batches: Iterator[pa.RecordBatch], text: str = "text",
 
 
 class Words:
-    """Words of a slice: ``code`` (index into ``vocabulary``) and ``row`` of each, in order."""
+    """Words of a slice: ``code`` (index into ``vocabulary``) and ``row`` of each, in order.
 
-    def __init__(self, data: np.ndarray, offsets: np.ndarray):
-        solid = ~_SPACE[data]
+    ``gap`` tells of each byte value whether it separates words; white space by default.
+    """
+
+    def __init__(self, data: np.ndarray, offsets: np.ndarray, gap: np.ndarray = _SPACE):
+        solid = ~gap[data]
         before = np.empty_like(solid)
         if len(solid):
             before[0] = False
