@@ -15,7 +15,7 @@ per source, which solves a convex problem in that one unknown per source.
    within ``tolerance`` of its target.
 4. Rounding: rates in whole millionths are summed up over a source's sizes from large to small, and a group of equal
    texts gets the copies by which the sum, rounded, grows. What a source then lacks or has too much (half its
-   longest text at most) is evened out by single copies, large sizes first, of at most two sizes per power of two.
+   longest text at most) is evened out by single copies of a few sizes per power of two.
 5. The copies of a group are dealt to its documents by a hash of the id; a group of more than ``rows_per_task``
    documents is dealt in parts of its own, so that no task holds a hot source, size or group of copies.
 
@@ -134,24 +134,31 @@ def group_copies(counts: DataFrame, goals: DataFrame, solved: DataFrame, cap: in
         .withColumn("copies", F.col("copies") + F.coalesce("more", F.lit(0).cast("long"))).drop("_src", "_size", "more")
 
 
-def _corrections(rows: DataFrame, cap: int) -> DataFrame:
-    """(src, size, more): copies that bring a source's words to its target, of two sizes per power of two at most."""
+def _corrections(rows: DataFrame, cap: int, per_class: int = 4) -> DataFrame:
+    """(src, size, more): copies that bring a source's words to its target.
+
+    ``per_class`` sizes of each power of two at most take part: some 80 a source, whatever the number of
+    documents. They first take up what is lacking (or give up what is too much), large ones first; then one copy more of
+    one size and one less of another, whichever two (or one) come nearest to the target.
+    """
     lack = rows.groupBy("src").agg((F.max("target") - F.sum(F.col("copies") * F.col("size"))).alias("lack"))
     some = rows.filter(F.col("size") > 0).withColumn("class", F.floor(F.log2(F.col("size").cast("double"))))
-    ends = some.groupBy("src", "class").agg(F.array_distinct(F.array(
-        F.max(F.struct("size", "n", "copies")), F.min(F.struct("size", "n", "copies")))).alias("e"))
-    # at most two sizes per power of two: some 60 a source, whatever the number of documents
-    each = ends.groupBy("src").agg(F.sort_array(F.flatten(F.collect_list("e")), asc=False).alias("e")).join(lack, "src")
+    some = some.withColumn("_i", F.row_number().over(Window.partitionBy("src", "class").orderBy(F.desc("size")))).filter(F.col("_i") <= per_class)
+    each = some.groupBy("src").agg(F.sort_array(F.collect_list(F.struct("size", "n", "copies")), asc=False).alias("e")).join(lack, "src")
+    move = (f"CASE WHEN acc.lack > 0 THEN least(CAST(floor(acc.lack / g.size) AS BIGINT), {cap} * g.n - g.copies) "
+            "ELSE -least(CAST(floor(-acc.lack / g.size) AS BIGINT), g.copies) END")
     walk = F.expr(f"""
-        aggregate(e, named_struct('lack', lack, 'more', CAST(array() AS ARRAY<STRUCT<size: BIGINT, more: BIGINT>>)),
-          (acc, g) -> named_struct(
-            'lack', acc.lack - g.size * CASE WHEN acc.lack > 0 THEN least(CAST(floor(acc.lack / g.size) AS BIGINT), {cap} * g.n - g.copies)
-                                             ELSE -least(CAST(floor(-acc.lack / g.size) AS BIGINT), g.copies) END,
-            'more', array_append(acc.more, named_struct('size', g.size, 'more',
-                    CASE WHEN acc.lack > 0 THEN least(CAST(floor(acc.lack / g.size) AS BIGINT), {cap} * g.n - g.copies)
-                         ELSE -least(CAST(floor(-acc.lack / g.size) AS BIGINT), g.copies) END))),
-          acc -> acc.more)""")
-    return each.select("src", F.explode(walk).alias("m")).select("src", "m.size", "m.more").filter("more != 0")
+        aggregate(e, named_struct('lack', lack, 'e', CAST(array() AS ARRAY<STRUCT<size: BIGINT, n: BIGINT, copies: BIGINT, more: BIGINT>>)),
+          (acc, g) -> named_struct('lack', acc.lack - g.size * {move},
+            'e', array_append(acc.e, named_struct('size', g.size, 'n', g.n, 'copies', g.copies + {move}, 'more', {move}))))""")
+    each = each.select("src", walk.alias("w")).select("src", "w.lack", "w.e")
+    add = f"concat(array(0L), transform(filter(e, g -> g.copies < {cap} * g.n), g -> g.size))"
+    less = "concat(array(0L), transform(filter(e, g -> g.copies > 0), g -> g.size))"
+    each = each.withColumns({"_add": F.expr(add), "_less": F.expr(less)})
+    best = F.expr("array_min(flatten(transform(_add, a -> transform(_less, b -> named_struct('off', abs(lack - a + b), 'a', a, 'b', b)))))")
+    each = each.withColumn("best", best)
+    more = F.expr("transform(e, g -> named_struct('size', g.size, 'more', g.more + int(g.size = best.a) - int(g.size = best.b)))")
+    return each.select("src", F.explode(more).alias("m")).select("src", "m.size", "m.more").filter("more != 0")
 
 
 def mixed(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: int = CAP, tolerance: float = TOLERANCE,

@@ -180,7 +180,7 @@ def locate(rows: DataFrame, k: int, order: tuple[str, str], most: int = MOST, ac
                 if under < left <= upto:
                     break
                 widened += 1
-                half *= 8
+                half = max(8 * half, 1 / accuracy)
             rest, left = rest.filter(F.col(column).between(lo, hi)), left - under
             if upto - under <= most:
                 at = rest.orderBy(first, second).select(first, second).offset(left - 1).limit(1).first()
