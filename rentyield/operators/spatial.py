@@ -18,11 +18,9 @@ with every zone. Here it becomes an equi-join:
    levels, the lowest feature index.
 
 Every point meets at most one index row per level, so the joins are left-preserving
-with no row id, no group-by and no collect. The index is broadcast only after its size
-has been bounded against ``broadcast_limit``; above it, both sides shuffle on
-the cell and cells holding more than ``rows_per_task`` points are salted, so a
-cell with a third of all points is split over many tasks. Salts come from a hash of
-the row, so a task that runs again deals its rows alike.
+with no row id, no group-by and no collect. The index is broadcast, after its size
+has been bounded against ``broadcast_limit``; a larger one becomes the quadtree of
+``operators.quadtree``, whose rows are bounded and which meets the points of all levels in one shuffle.
 
 ``prepare`` parses the zones once: a reliable checkpoint of their edges (in the folder
 the session names in ``spark.checkpoint.dir``) and one small aggregate per level. The
@@ -42,33 +40,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
+from . import quadtree
+from .quadtree import DEFAULT_MAX_HOT_CELLS, DEFAULT_ROWS_PER_TASK, QuadIndex
+from .rings import zone_edges
 
 DEFAULT_BROADCAST_LIMIT = 64 * 1024 * 1024
-DEFAULT_ROWS_PER_TASK = 2_000_000
-DEFAULT_MAX_HOT_CELLS = 100_000
-
-# ring (array of [x, y] positions) closed if needed, as SQL text over variable r
-_CLOSED = "CASE WHEN get(r, 0) = get(r, size(r) - 1) THEN r ELSE concat(r, array(get(r, 0))) END"
-
-# edges run from the end with the lower y (then x) to the other: both zones at an edge store the same one
-_EDGES_SQL = f"""
-flatten(transform(rings,
-  r -> zip_with(
-    slice({_CLOSED}, 1, size({_CLOSED}) - 1),
-    slice({_CLOSED}, 2, size({_CLOSED}) - 1),
-    (a, b) -> CASE WHEN a[1] < b[1] OR (a[1] = b[1] AND a[0] <= b[0])
-      THEN named_struct('x1', a[0], 'y1', a[1], 'x2', b[0], 'y2', b[1])
-      ELSE named_struct('x1', b[0], 'y1', b[1], 'x2', a[0], 'y2', a[1]) END)))
-"""
-
-_POSITION_OK = "p IS NOT NULL AND size(p) >= 2 AND abs(get(p, 0)) < 1e150 AND abs(get(p, 1)) < 1e150"
-
-
-def well_formed(rings: str = "rings") -> Column:
-    """IO06: every ring has three positions at least, every position two finite numbers (below 1e150)."""
-    return F.expr(f"coalesce({rings} IS NOT NULL AND size({rings}) > 0 AND forall({rings}, r -> r IS NOT NULL AND size(r) >= 3 "
-                  f"AND forall(r, p -> coalesce({_POSITION_OK}, false))), false)")
-
 
 _ON_EDGE = 1_000_000_000
 
@@ -90,22 +66,6 @@ def _inside_sql(z: str, px: str, py: str) -> str:
             f"WHEN {cross} THEN 1L ELSE 0L END, acc -> acc < {_ON_EDGE}L AND acc % 2 = 1)")
 
 
-def zone_edges(zones: DataFrame) -> DataFrame:
-    """(fid, code, rings) → (fid, code, edges, minx, miny, maxx, maxy); broken features are dropped whole."""
-    z = zones.filter(well_formed()).select("fid", "code", F.expr(_EDGES_SQL).alias("edges"))
-    z = z.filter(F.size("edges") > 0).withColumn("edges", F.expr(
-        "transform(edges, e -> named_struct('x1', e.x1, 'y1', e.y1, 'x2', e.x2, 'y2', e.y2, "
-        "'xlo', least(e.x1, e.x2), 'xhi', greatest(e.x1, e.x2), "
-        "'ylo', e.y1, 'yhi', e.y2, "
-        "'k', CASE WHEN e.y1 != e.y2 THEN (e.x2 - e.x1) / (e.y2 - e.y1) END))"))
-    return z.withColumns({
-        "minx": F.expr("array_min(transform(edges, e -> e.xlo))"),
-        "maxx": F.expr("array_max(transform(edges, e -> e.xhi))"),
-        "miny": F.expr("array_min(transform(edges, e -> e.ylo))"),
-        "maxy": F.expr("array_max(transform(edges, e -> e.yhi))"),
-    })
-
-
 EDGE_BYTES = 96         # one stored edge: nine doubles plus row overhead
 ZONE_BYTES = 128        # fid, bbox and array headers per zone entry; the code's length comes on top
 LEAST_LEVEL = -20       # zones below 4^-20 across share the finest grid
@@ -164,18 +124,23 @@ def _cell_of(v: Column, cell: float) -> Column:
     return F.when(~F.isnan(v) & (F.abs(q) < F.lit(1e15)), F.floor(q))
 
 
-def spatial_join(points: DataFrame, zones: DataFrame | ZoneIndex, lon: str = "longitude", lat: str = "latitude",
+def spatial_join(points: DataFrame, zones: DataFrame | ZoneIndex | QuadIndex, lon: str = "longitude", lat: str = "latitude",
                  out: str = "zone_code", where: Column | None = None, cell: float | None = None,
                  broadcast_limit: int = DEFAULT_BROADCAST_LIMIT,
                  rows_per_task: int = DEFAULT_ROWS_PER_TASK,
                  max_hot_cells: int = DEFAULT_MAX_HOT_CELLS) -> DataFrame:
     """Add ``out`` = code of the zone containing (lon, lat), else NULL.
 
-    ``zones`` has columns (fid, code, rings: array<array<array<double>>>), or is what ``prepare`` made of
-    them. Rows where ``where`` is false, or a coordinate is NULL, are passed through
-    with NULL and never meet the index.
+    ``zones`` has columns (fid, code, rings: array<array<array<double>>>), or is what ``prepare`` or
+    ``quadtree.build`` made of them. Rows where ``where`` is false, or a coordinate is NULL, are passed through
+    with NULL and never meet the index. An index larger than ``broadcast_limit`` is made a quadtree of edges and
+    joined by one shuffle of the points (keep a ``quadtree.build`` to use it for several joins).
     """
-    index = zones if isinstance(zones, ZoneIndex) else prepare(zones, cell)
+    index = zones if isinstance(zones, ZoneIndex | QuadIndex) else prepare(zones, cell)
+    if isinstance(index, ZoneIndex) and index.size_bound > broadcast_limit:
+        index = quadtree.build(index.edges.select("fid", "code", F.explode("edges").alias("e")).select("fid", "code", "e.*"))
+    if isinstance(index, QuadIndex):
+        return quadtree.lookup(points, index, lon, lat, out, where, rows_per_task, max_hot_cells)
     ok = F.col(lon).isNotNull() & F.col(lat).isNotNull()
     if where is not None:
         ok = ok & F.coalesce(where, F.lit(False))
@@ -184,51 +149,15 @@ def spatial_join(points: DataFrame, zones: DataFrame | ZoneIndex, lon: str = "lo
     for i, size in enumerate(index.cells):
         joined = joined.withColumns({"_cx": _cell_of(F.col("_px"), size), "_cy": _cell_of(F.col("_py"), size)})
         cells = build_cell_index(index, size)
-        if index.size_bound <= broadcast_limit:
-            joined = joined.join(F.broadcast(cells.withColumnsRenamed({"cx": "_cx", "cy": "_cy"})), on=["_cx", "_cy"], how="left")
-        else:
-            joined = _salted_join(joined, cells, rows_per_task, max_hot_cells)
+        joined = joined.join(F.broadcast(cells.withColumnsRenamed({"cx": "_cx", "cy": "_cy"})), on=["_cx", "_cy"], how="left")
         # zones are sorted by feature order: keep the first hit and skip the tests after it
         hit = F.expr(f"aggregate(zs, CAST(NULL AS STRUCT<fid: BIGINT, code: STRING>), (acc, z) -> "
                      f"CASE WHEN acc IS NULL AND ({_inside_sql('z', '_px', '_py')}) "
                      f"THEN named_struct('fid', CAST(z.fid AS BIGINT), 'code', z.code) ELSE acc END)")
-        joined = joined.withColumn(f"_hit{i}", hit).drop("_cx", "_cy", "_salt", "zs")
+        joined = joined.withColumn(f"_hit{i}", hit).drop("_cx", "_cy", "zs")
         hits.append(f"_hit{i}")
     if not hits:
         code = F.lit(None).cast("string")
     else:
         code = (F.least(*hits) if len(hits) > 1 else F.col(hits[0])).getField("code")
     return joined.withColumn(out, code).drop("_px", "_py", *hits)
-
-
-def _salted_join(pts: DataFrame, index: DataFrame, rows_per_task: int, max_hot_cells: int) -> DataFrame:
-    """Shuffle join on (cell, salt); only hot cells are salted.
-
-    Points per cell come from one partial aggregate, checkpointed to the shared
-    checkpoint folder (one row per non-empty cell) so it is computed once. A cell
-    is hot above T = max(rows_per_task, total / max_hot_cells) points, so there
-    are at most ``max_hot_cells`` hot cells: the hot-cell table has a proven size
-    bound and is broadcast. A hot cell gets ceil(n / T) salts: a hash of a row picks
-    its salt and the cell's index row is replicated once per salt, so every salt
-    finds the same zones, and a task that runs again deals its rows alike. Rows that
-    need no lookup get a NULL cell and a salt over the shuffle partitions, so they
-    neither match nor pile up in the NULL-key partition.
-    """
-    spark = pts.sparkSession
-    ensure_checkpoint_dir(spark)
-    spread = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    counts = (pts.filter(F.col("_cx").isNotNull()).groupBy("_cx", "_cy")
-              .agg(F.count(F.lit(1)).alias("n"))).checkpoint()
-    total = counts.agg(F.sum("n").alias("t")).first()["t"] or 0
-    threshold = max(int(rows_per_task), -(-int(total) // int(max_hot_cells)))
-    hot = F.broadcast(counts.filter(F.col("n") > F.lit(threshold)).select(
-        "_cx", "_cy", F.ceil(F.col("n") / F.lit(threshold)).cast("int").alias("_f")))
-    flat = [c for c, t in pts.dtypes if "map<" not in t]        # a map has no hash
-    p = (pts.join(hot, on=["_cx", "_cy"], how="left")
-         .withColumn("_salt", F.pmod(F.xxhash64(*flat), F.when(F.col("_cx").isNull(), F.lit(spread))
-                                     .otherwise(F.coalesce(F.col("_f"), F.lit(1)))).cast("int"))
-         .drop("_f"))
-    idx = (index.withColumnsRenamed({"cx": "_cx", "cy": "_cy"}).join(hot, on=["_cx", "_cy"], how="left")
-           .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_f"), F.lit(1)) - 1)))
-           .drop("_f"))
-    return p.join(idx, on=["_cx", "_cy", "_salt"], how="left")

@@ -265,6 +265,10 @@ SQL: dict[str, str] = {
         SELECT listing_id, line_no, longitude, latitude,
           (SELECT arg_min(z.code, z.fid) FROM z WHERE {INSIDE}) AS zone_code
         FROM c WHERE pc4 IS NULL AND latitude IS NOT NULL AND longitude IS NOT NULL""",
+    "spatial_backfill_edges": f"""WITH {CLEAN_STAYS}
+        SELECT listing_id, line_no, longitude, latitude,
+          (SELECT arg_min(z.code, z.fid) FROM z WHERE {INSIDE}) AS zone_code
+        FROM c WHERE pc4 IS NULL AND latitude IS NOT NULL AND longitude IS NOT NULL""",
     "backfill_flag_counts": f"""WITH {SILVER_STAYS}
         SELECT pc4, pc4_backfilled, COUNT(*) AS listings FROM ss GROUP BY pc4, pc4_backfilled""",
     "zones_parsed": f"""WITH z AS ({ZONES})

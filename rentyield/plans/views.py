@@ -17,6 +17,7 @@ from ..functions import standardize as st
 from ..functions.predicates import city_is, needs_backfill
 from ..operators.aggregates import area_lets as _area_lets
 from ..operators.aggregates import area_stays as _area_stays
+from ..operators import quadtree
 from ..operators.compare import strategy_counts as _strategy_counts
 from ..operators.compare import top_areas
 from ..operators.spatial import ZoneIndex, prepare, spatial_join
@@ -119,7 +120,7 @@ def spatial_backfill(spark, d):
 
 
 def spatial_backfill_salted(spark, d):
-    """JO02 through its shuffle path: index not broadcast, cells over 200 points salted."""
+    """JO02 through its shuffle path: a quadtree of edges instead of a broadcast index, cells over 200 positions salted."""
     rows = S.clean_stays(demo.stays(spark, d))
     want = needs_backfill(F.col("pc4"), F.col("latitude"), F.col("longitude"))
     joined = spatial_join(rows.filter(want), _index(spark, d), "longitude", "latitude", "zone_code",
@@ -127,6 +128,21 @@ def spatial_backfill_salted(spark, d):
     return joined.select("listing_id", "line_no", "longitude", "latitude", "zone_code")
 
 
+def zone_positions(spark: SparkSession, d: str) -> DataFrame:
+    """The zones as a row per position, as a source of zones of any size would give them."""
+    rings = _zones(spark, d).select("fid", "code", F.posexplode("rings").alias("ring", "r"))
+    return rings.select("fid", "code", "ring", F.posexplode("r").alias("pos", "p")).select("fid", "code", "ring", "pos", F.get("p", 0).alias("x"), F.get("p", 1).alias("y"))
+
+
+def spatial_backfill_edges(spark, d):
+    """JO02 on zones given by positions, in cells of three edges at most: most zones are split over several levels."""
+    rows = S.clean_stays(demo.stays(spark, d))
+    want = needs_backfill(F.col("pc4"), F.col("latitude"), F.col("longitude"))
+    index = quadtree.build(quadtree.edges_of_positions(zone_positions(spark, d)), max_edges=3)
+    joined = quadtree.lookup(rows.filter(want), index, "longitude", "latitude", "zone_code", rows_per_task=200)
+    return joined.select("listing_id", "line_no", "longitude", "latitude", "zone_code")
+
+
 def gold_compare_approx(spark, d):
     """The comparison with one-level percentile_approx medians, as the reference computes them."""
     return G.gold(_silver_stays(spark, d), _silver_lets(spark, d), A, method="approx")
@@ -243,6 +259,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "silver_lets": silver_lets,
     "spatial_backfill": spatial_backfill,
     "spatial_backfill_salted": spatial_backfill_salted,
+    "spatial_backfill_edges": spatial_backfill_edges,
     "backfill_flag_counts": backfill_flag_counts,
     "zones_parsed": zones_parsed,
     "stay_revenue": stay_revenue,

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..operators.spatial import well_formed
+from ..operators.rings import well_formed
 
 # Property names tried, in order, for the zone code.
 CODE_PROPERTIES = ["pc4", "PC4", "postcode4", "postcode"]

@@ -6,10 +6,14 @@ value containing '/'); a layer is just a naming rule.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import ensure_checkpoint_dir
+
 
 def _is_path(target: str) -> bool:
     return "/" in target
@@ -36,6 +40,26 @@ def save(df: DataFrame, target: str, partition_by: list[str] | None = None) -> N
         w.format("parquet").saveAsTable(target)
 
 
+def written(df: DataFrame) -> tuple[DataFrame, str]:
+    """The rows as a new Parquet table in the session's shared checkpoint folder, and its path.
+
+    Cuts the lineage as ``checkpoint()`` does, and the optimizer's knowledge of the plan with it: in a loop of many steps
+    the constraints that a checkpoint carries on would grow from step to step.
+    """
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path), path
+
+
+def drop_written(spark: SparkSession, paths: list[str]) -> None:
+    """Delete tables that ``written`` made, in whatever store they are."""
+    sc = spark.sparkContext
+    for path in paths:
+        p = sc._jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(sc._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def preview(df: DataFrame, n: int = 5) -> DataFrame:
     """IO15: the first n rows (a preview is the feature; plans as a local limit)."""
     return df.limit(n)

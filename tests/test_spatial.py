@@ -198,23 +198,3 @@ def test_no_point_is_in_two_zones_at_a_shared_edge(spark):
         z = spark.createDataFrame([(0, "1", [ring])], "fid bigint, code string, rings array<array<array<double>>>")
         hits.append({r["i"] for r in SP.spatial_join(pts, z, "x", "y", "c").filter("c IS NOT NULL").collect()})
     assert not hits[0] & hits[1] and len(hits[0] | hits[1]) > 1000
-
-
-def test_hot_cell_is_split_over_salts(spark):
-    """A cell holding a third of the points gets several salts; its index row is replicated to match."""
-    from rentyield.operators import spatial as SP
-    zones = spark.createDataFrame([(0, "1001", _f([[[0, 0], [4, 0], [4, 4], [0, 4], [0, 0]]]))],
-                                  "fid bigint, code string, rings array<array<array<double>>>")
-    hot = [(i, 1.5, 1.5) for i in range(300)]                      # one point, a third of all rows
-    rest = [(300 + i, 0.25 + (i % 15) / 4, 0.25 + (i // 15) / 4) for i in range(225)]   # inside the square
-    pts = spark.createDataFrame(hot + rest, "i int, x double, y double").repartition(4)
-    index = SP.build_cell_index(SP.prepare(zones, 1.0), 1.0)
-    prepared = pts.withColumns({"_px": F.col("x"), "_py": F.col("y"),
-                                "_cx": F.floor(F.col("x")), "_cy": F.floor(F.col("y"))})
-    joined = SP._salted_join(prepared, index, rows_per_task=50, max_hot_cells=1000)
-    salts = {r["_salt"] for r in joined.filter((F.col("_cx") == 1) & (F.col("_cy") == 1)).select("_salt").collect()}
-    assert len(salts) >= 5                                          # ceil(>300 / 50) salts in use
-    assert "rand(" not in joined._jdf.queryExecution().toString()
-    assert joined.count() == pts.count()                            # each point meets exactly one replica
-    out = SP.spatial_join(pts, zones, "x", "y", "code", cell=1.0, broadcast_limit=0, rows_per_task=50)
-    assert out.filter(F.col("code") == "1001").count() == 525
