@@ -8,6 +8,9 @@ gives exact lower medians, and sums of whole units give means that are rounded o
 The outlier bounds limit an area to some 200,000 distinct prices. Results do not
 depend on the order of rows or tasks.
 
+``method="digits"`` finds the medians digit by digit instead (``operators.ranks``): for areas
+of any number of distinct prices, as when the outlier bounds are wide open.
+
 ``method="approx"`` takes medians from ``percentile_approx`` instead, as the
 reference does, and ``method="exact"`` from ``percentile_disc``, which buffers a whole
 group in one task and is only meant for tests and small data.
@@ -18,6 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .ranks import digit_medians
 from .revenue import money
 
 DEFAULT_ACCURACY = 10000
@@ -76,6 +80,9 @@ def area_measures(df: DataFrame, key: str, price: Column, net: Column, other: Co
             median2("_p", method == "exact", accuracy).alias("median_price"),
             median2("_n", method == "exact", accuracy).alias("median_net")).select(*means)
 
+    if method == "digits":
+        return _measures_by_digits(rows, key).select(*means)
+
     os_, oc = mean2(F.col("_o"))
     hist = rows.groupBy(key, "_p", "_n").agg(F.count(F.lit(1)).alias("_c"), os_.alias("_os"), oc.alias("_oc"))
     area = Window.partitionBy(key)
@@ -92,6 +99,19 @@ def area_measures(df: DataFrame, key: str, price: Column, net: Column, other: Co
     return out.select(*means)
 
 
+def _measures_by_digits(rows: DataFrame, key: str) -> DataFrame:
+    """Sums, counts and medians from partial aggregates only; prices and nets beyond 10^12 count as missing in the medians."""
+    units = {"_pu": _units(F.col("_p"), MONEY_SCALE), "_nu": _units(F.col("_n"), NET_SCALE)}
+    limit = F.lit(10 ** 18).cast("decimal(38,0)")
+    whole = rows.select(key, *[F.when(F.abs(u) <= limit, u).cast("long").alias(name) for name, u in units.items()])
+    found = digit_medians(whole, key, list(units)).withColumnRenamed(key, "_key")
+    (ps, pc), (ns, nc), (os_, oc) = mean2(F.col("_p"), MONEY_SCALE), mean2(F.col("_n"), NET_SCALE), mean2(F.col("_o"))
+    sums = rows.groupBy(key).agg(pc.alias("_count"), ps.alias("_ps"), ns.alias("_ns"), nc.alias("_nc"), os_.alias("_os"), oc.alias("_oc"))
+    as_money = [F.round((F.col(u).cast("decimal(24,6)") / F.lit(10 ** scale).cast("decimal(8,0)")).cast("decimal(24,6)"), 2).cast("double").alias(name)
+                for u, scale, name in (("_pu", MONEY_SCALE, "median_price"), ("_nu", NET_SCALE, "median_net"))]
+    return sums.join(found.select("_key", *as_money), F.col(key).eqNullSafe(F.col("_key")), "left").drop("_key")
+
+
 def area_stays(rev: DataFrame, key: str = "pc4", method: str = DEFAULT_METHOD,
                accuracy: int = DEFAULT_ACCURACY) -> DataFrame:
     """AG01: per-area short-stay measures (count, mean/median price and net, mean score)."""

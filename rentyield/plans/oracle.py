@@ -205,9 +205,30 @@ def _missing() -> str:
     return f"WITH s AS ({STAYS}), m AS ({body}) SELECT \"column\", missing, total, {_pct('missing', 'total')} AS pct FROM m"
 
 
-def _schema() -> str:
-    rows = ", ".join(f"({i}, '{name}', 'string')" for i, (name, _) in enumerate(demo.STAYS) if name not in ("listing_id", "line_no"))
-    return f"""SELECT * FROM (VALUES (0, 'listing_id', 'bigint'), (1, 'line_no', 'int'), {rows}) AS t(position, "column", type)"""
+def _schema(cols: list[tuple[str, str]], view: str) -> str:
+    """Per column: the type that holds all cells, found from which kinds of cells there are."""
+    parts = []
+    for i, (name, _) in enumerate(cols):
+        c = f'CAST("{name}" AS VARCHAR)'
+        kind = (f"CASE WHEN {c} IS NULL OR {c} = '' THEN NULL WHEN regexp_full_match({c}, '[+-]?[0-9]{{1,18}}') THEN 'bigint' "
+                f"WHEN regexp_full_match({c}, '[+-]?([0-9]+(\\.[0-9]*)?|\\.[0-9]+)([eE][+-]?[0-9]{{1,2}})?') THEN 'double' "
+                f"WHEN regexp_full_match({c}, '[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}([ T][0-9]{{2}}:[0-9]{{2}}(:[0-9]{{2}}(\\.[0-9]{{1,6}})?)?)?') "
+                f"AND TRY_CAST({c} AS TIMESTAMP) IS NOT NULL THEN 'timestamp' ELSE 'string' END")
+        parts.append(f"SELECT {i} AS position, '{name}' AS \"column\", {kind} AS kind FROM v")
+    return f"""WITH v AS ({view}), k AS ({' UNION ALL '.join(parts)})
+SELECT position, "column",
+  CASE WHEN COUNT(kind) = 0 THEN 'void'
+       WHEN bool_or(kind = 'string') OR (bool_or(kind = 'timestamp') AND bool_or(kind IN ('bigint', 'double'))) THEN 'string'
+       WHEN bool_or(kind = 'timestamp') THEN 'timestamp' WHEN bool_or(kind = 'double') THEN 'double' ELSE 'bigint' END AS type,
+  COUNT(kind) AS non_null, COUNT(*) - COUNT(kind) AS nulls
+FROM k GROUP BY position, "column\""""
+
+
+def _columns() -> str:
+    parts = [f"""SELECT '{c}' AS "column", COUNT(v) AS count, {mean('CAST(v AS DECIMAL(18,4))', 4, 4)} AS mean, round(stddev_samp(v), 4) AS stddev,
+        MIN(v) AS min, round(quantile_cont(v, 0.25), 4) AS q25, round(quantile_cont(v, 0.5), 4) AS q50, round(quantile_cont(v, 0.75), 4) AS q75, MAX(v) AS max
+        FROM (SELECT TRY_CAST({c} AS DOUBLE) AS v FROM s)""" for c in ("price", "bedrooms", "review_scores_value", "latitude")]
+    return f"WITH s AS ({STAYS}) " + " UNION ALL ".join(parts)
 
 
 def _formats() -> str:
@@ -286,7 +307,10 @@ SQL: dict[str, str] = {
     "gold_compare": f"WITH {GOLD} SELECT * FROM g",
     "gold_compare_approx": f"WITH {GOLD} SELECT * FROM g",
     "gold_other_parameters": f"WITH {GOLD_2} SELECT * FROM g",
-    "profile_schema": _schema(),
+    "profile_schema": _schema(demo.STAYS, STAYS),
+    "profile_schema_lets": _schema(demo.LETS, LETS),
+    "profile_columns": _columns(),
+    "area_stays_unbounded": f"WITH {SILVER_STAYS}, {STAY_REV.replace('WHERE is_price_outlier = false', '')}, {AREA_STAYS} SELECT * FROM ast",
     "gold_top10": f"""WITH {GOLD}
         SELECT pc4, airbnb_listing_count, kamernet_listing_count, airbnb_median_annual_net_revenue,
           kamernet_median_annual_net_revenue, revenue_advantage, recommended_strategy

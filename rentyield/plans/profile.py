@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from ..functions.predicates import POSTAL_FORMATS, city_is, matches, null_or_empty
 from ..functions.standardize import rent_utilities
 from ..operators.aggregates import conditional_counts, frequency, rounded_mean, shape
+from ..operators.ranks import quantiles, value_counts
 
 
 def _pct(part: str, whole: str) -> Column:
@@ -32,11 +33,50 @@ def profile_shape(df: DataFrame) -> DataFrame:
     return shape(df)
 
 
+#: Classes of a cell's text, from the bottom of the type lattice: numbers join to double, all else joins to string.
+_CLASSES = {
+    "bigint": r"\A[+-]?[0-9]{1,18}\z",
+    "double": r"\A[+-]?([0-9]+(\.[0-9]*)?|\.[0-9]+)([eE][+-]?[0-9]{1,2})?\z",
+    "timestamp": r"\A[0-9]{4}-[0-9]{2}-[0-9]{2}([ T][0-9]{2}:[0-9]{2}(:[0-9]{2}(\.[0-9]{1,6})?)?)?\z",
+}
+
+
+def _cell_class(c: Column) -> Column:
+    """Least type of one cell: NULL (missing or empty), bigint, double, timestamp or string."""
+    text = c.cast("string")
+    whole, number, stamp = (text.rlike(p) for p in _CLASSES.values())
+    return (F.when(null_or_empty(text), F.lit(None)).when(whole, F.lit("bigint")).when(number, F.lit("double"))
+            .when(stamp & text.try_cast("timestamp").isNotNull(), F.lit("timestamp")).otherwise(F.lit("string")))
+
+
 def profile_schema(df: DataFrame) -> DataFrame:
-    """QA01: a row per column, with its position and type."""
-    rows = F.array(*[F.struct(F.lit(i).alias("position"), F.lit(name).alias("column"), F.lit(kind).alias("type"))
-                     for i, (name, kind) in enumerate(df.dtypes)])
-    return df.sparkSession.range(1).select(F.explode(rows).alias("_r")).select("_r.*")
+    """QA01 / IO02: a row per column with the least type that holds all its cells, and its non-NULL and NULL cells.
+
+    The type is the join of the cells' types in the lattice null < bigint < double < string, null < timestamp <
+    string. Which types occur is a count per type and column, so partial results merge by addition: one pass, one
+    row per task. A column of empty or missing cells only has type ``void``.
+    """
+    kinds = [*_CLASSES, "string"]
+    cells = df.select(*[_cell_class(F.col(f"`{c}`")).alias(f"_{i}") for i, c in enumerate(df.columns)])
+    one = cells.agg(F.count(F.lit(1)).alias("rows"), *[F.count_if(F.col(f"_{i}") == k).alias(f"_{i}_{k}")
+                                                       for i in range(len(df.columns)) for k in kinds])
+
+    def report(i: int, name: str) -> Column:
+        n = {k: F.col(f"_{i}_{k}") for k in kinds}
+        numbers, stamps, some = n["bigint"] + n["double"] > 0, n["timestamp"] > 0, sum(n.values())
+        kind = (F.when(some == 0, F.lit("void")).when((n["string"] > 0) | (numbers & stamps), F.lit("string"))
+                .when(stamps, F.lit("timestamp")).when(n["double"] > 0, F.lit("double")).otherwise(F.lit("bigint")))
+        return F.struct(F.lit(i).alias("position"), F.lit(name).alias("column"), kind.alias("type"),
+                        some.alias("non_null"), (F.col("rows") - some).alias("nulls"))
+
+    return one.select(F.explode(F.array(*[report(i, c) for i, c in enumerate(df.columns)])).alias("_r")).select("_r.*")
+
+
+def typed(df: DataFrame) -> DataFrame:
+    """IO02: text columns cast to the types their own cells have (one pass to find them; a row per column reaches the driver)."""
+    kinds = {r["column"]: r["type"] for r in profile_schema(df).collect()}
+    return df.select(*[F.nullif(F.col(f"`{c}`").cast("string"), F.lit("")).try_cast(kinds[c]).alias(c)
+                       if kinds[c] in _CLASSES else F.col(f"`{c}`") for c in df.columns])
 
 
 def profile_missing(df: DataFrame, cols: list[str]) -> DataFrame:
@@ -60,26 +100,32 @@ def profile_frequency(df: DataFrame, col: str, top: int | None = None) -> DataFr
 
 
 def profile_numeric(df: DataFrame, col: str, bound: float) -> DataFrame:
-    """QA03 / AG10: count, mean, stddev, min, quartiles, max and rows above ``bound`` (FI11).
+    """QA03 / AG10: count, mean, stddev, min, quartiles, max and rows above ``bound`` (FI11)."""
+    return column_summaries(df, [col], bound).drop("column")
+
+
+def column_summaries(df: DataFrame, cols: list[str], bound: float | None = None) -> DataFrame:
+    """QA03 / AG10 for several columns in one pass: a row per column, as ``profile_numeric``.
 
-    All are taken from the counts of the distinct values, so the last task holds a row per distinct
-    value, not per row. Quartiles are exact (interpolated, as ``percentile``).
+    All are taken from the counts of the distinct values. Quartiles are exact (interpolated, as ``percentile``) and
+    come from range-partitioned values, so no task holds all of a column's values (``operators.ranks``).
     """
-    x, n = F.col("x"), F.col("n")
-    hist = (df.select(F.col(col).try_cast("double").alias("x")).filter(x.isNotNull())
-            .groupBy("x").agg(F.count(F.lit(1)).alias("n")))
-    units = (x.try_cast("decimal(18,2)") * 100).cast("decimal(20,0)")
-    one = hist.agg(
-        F.coalesce(F.sum(n), F.lit(0)).alias("count"),
-        F.sum(units * n * 100).cast("decimal(38,0)").alias("_sum"),
-        F.sum(x * n).alias("_x"), F.sum(x * x * n).alias("_xx"),
-        F.min(x).alias("min"),
-        *[F.round(F.percentile(x, q, n), 4).alias(name) for q, name in ((0.25, "q25"), (0.5, "q50"), (0.75, "q75"))],
-        F.max(x).alias("max"),
-        F.coalesce(F.sum(F.when(x > F.lit(bound), n)), F.lit(0)).alias("above_bound"),
-    )
+    n, x = F.col("n"), F.col("x")
+    counts = value_counts(df, {c: F.col(f"`{c}`").try_cast("double") for c in cols}).checkpoint()
+    units = (x.try_cast("decimal(22,4)") * 10_000).cast("decimal(22,0)")
+    above = F.sum(F.when(x > F.lit(bound), n).otherwise(0)) if bound is not None else F.lit(None).cast("long")
+    sums = counts.groupBy("column").agg(
+        F.sum(n).alias("count"), F.sum(units * n).cast("decimal(38,0)").alias("_sum"), F.sum(x * n).alias("_x"), F.sum(x * x * n).alias("_xx"),
+        F.min(x).alias("min"), F.max(x).alias("max"), above.alias("above_bound"))
+    at = quantiles(counts, [0.25, 0.5, 0.75]).groupBy(F.col("column").alias("_q")).agg(
+        *[F.round(F.max(F.when(F.col("share") == s, F.col("value"))), 4).alias(name) for s, name in ((0.25, "q25"), (0.5, "q50"), (0.75, "q75"))])
+    every = df.sparkSession.createDataFrame([(c,) for c in cols], "column string").withColumnRenamed("column", "_c")
+    one = (every.join(sums, F.col("_c") == F.col("column"), "left").drop("column").join(at, F.col("_c") == F.col("_q"), "left")
+           .withColumn("count", F.coalesce("count", F.lit(0))))
+    if bound is not None:
+        one = one.withColumn("above_bound", F.coalesce("above_bound", F.lit(0)))
     spread = F.when(F.col("count") > 1, F.sqrt(F.greatest(F.col("_xx") - F.col("_x") * F.col("_x") / F.col("count"), F.lit(0.0)) / (F.col("count") - 1)))
-    return one.select("count", rounded_mean("_sum", "count", 4, 4).alias("mean"), F.round(spread, 4).alias("stddev"),
+    return one.select(F.col("_c").alias("column"), "count", rounded_mean("_sum", "count", 4, 4).alias("mean"), F.round(spread, 4).alias("stddev"),
                       "min", "q25", "q50", "q75", "max", "above_bound")
 
 

@@ -185,6 +185,11 @@ def area_lets(spark, d):
     return _area_lets(G.lets_revenue(_silver_lets(spark, d), A))
 
 
+def area_stays_unbounded(spark, d):
+    """AG01 with the outlier bounds wide open, so prices may be of any number: medians digit by digit."""
+    return _area_stays(G.stays_revenue(_silver_stays(spark, d, Bounds(price_lo=-1e300, price_hi=1e300)), A), method="digits")
+
+
 def gold_compare(spark, d):
     return _gold(spark, d)
 
@@ -215,6 +220,15 @@ def profile_schema(spark, d):
     return P.profile_schema(demo.stays(spark, d))
 
 
+def profile_schema_lets(spark, d):
+    return P.profile_schema(demo.lets(spark, d))
+
+
+def profile_columns(spark, d):
+    """QA03 for several columns in one pass."""
+    return P.column_summaries(demo.stays(spark, d), ["price", "bedrooms", "review_scores_value", "latitude"]).drop("above_bound")
+
+
 def profile_missing(spark, d):
     return P.profile_missing(demo.stays(spark, d), ["zipcode", "bedrooms", "review_scores_value"])
 
@@ -266,6 +280,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "let_revenue": let_revenue,
     "area_stays": area_stays,
     "area_lets": area_lets,
+    "area_stays_unbounded": area_stays_unbounded,
     "gold_compare": gold_compare,
     "gold_compare_approx": gold_compare_approx,
     "gold_other_parameters": gold_other_parameters,
@@ -273,6 +288,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "strategy_counts": strategy_counts,
     "profile_shape": profile_shape,
     "profile_schema": profile_schema,
+    "profile_schema_lets": profile_schema_lets,
+    "profile_columns": profile_columns,
     "profile_missing": profile_missing,
     "profile_formats": profile_formats,
     "profile_frequency": profile_frequency,
