@@ -61,7 +61,7 @@ def _slices(records: DataFrame, rows: int) -> Column:
 def latest_earlier(records: DataFrame, rows: int = SLICE_ROWS) -> DataFrame:
     """(record_id, refers_to) of the revisits: the latest response of the URL before each, or null.
 
-    ``records``: record_id, url_key, ts, full (boolean).
+    ``records``: record_id (of any type with an order), url_key, ts, full (boolean).
     """
     sliced = records.withColumn("slice", _slices(records, rows))
     response = F.when(F.col("full"), F.struct("ts", "record_id"))
@@ -90,15 +90,17 @@ def resolve(records: DataFrame, rows: int = SLICE_ROWS) -> DataFrame:
     lower = F.coalesce(F.transform_keys("headers", lambda k, v: F.lower(k)), F.create_map().cast("map<string,string>"))
     records = records.select("record_id", canonical_url(F.col("url")).alias("canonical_url"), F.col("ts").cast("double").alias("ts"),
                              F.coalesce("revisit", F.lit(False)).alias("revisit"), lower.alias("headers"))
-    records = durable(records)
+    # records are told apart by number: an id may be used several times, at several URLs
+    records = durable(records.withColumn("_n", F.monotonically_increasing_id()))
     timed = records.filter("canonical_url IS NOT NULL AND ts IS NOT NULL AND record_id IS NOT NULL")
-    earlier = latest_earlier(timed.select("record_id", F.col("canonical_url").alias("url_key"), "ts", (~F.col("revisit")).alias("full")), rows)
-    earlier = earlier.filter("refers_to IS NOT NULL").select(F.col("record_id").alias("_id"), "refers_to").distinct()
-    stored = records.filter("NOT revisit").select(F.col("record_id").alias("_stored"), F.col("headers").alias("stored"))
+    timed = timed.select(F.struct("record_id", "_n").alias("record_id"), F.col("canonical_url").alias("url_key"), "ts", (~F.col("revisit")).alias("full"))
+    earlier = latest_earlier(timed, rows).filter("refers_to IS NOT NULL").select(
+        F.col("record_id._n").alias("_id"), F.col("refers_to.record_id").alias("refers_to"), F.col("refers_to._n").alias("_to"))
+    stored = records.filter("NOT revisit").select(F.col("_n").alias("_stored"), F.col("headers").alias("stored"))
     # a table of its own: Spark splits a response with very many revisits in a join of two plain shuffles
-    stored = durable(stored.dropDuplicates(["_stored"]))
-    joined = (records.join(earlier, F.col("revisit") & (F.col("record_id") == F.col("_id")), "left")
-              .join(stored, F.col("refers_to") == F.col("_stored"), "left"))
+    stored = durable(stored)
+    joined = (records.join(earlier, F.col("_n") == F.col("_id"), "left")
+              .join(stored, F.col("_to") == F.col("_stored"), "left"))
     tags = _weak(_header("headers", "etag")), _weak(_header("stored", "etag"))
     dates = _header("headers", "last-modified"), _header("stored", "last-modified")
     outcome = (F.when(~F.col("revisit"), "response").when(F.col("refers_to").isNull(), "no-response")
