@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from rentyield.llm.tables import durable, numbered
+from rentyield.llm.tables import durable, fewer_tasks, numbered, release
 from rentyield.llm.text_arrays import Words, binary_array, slices, text_buffer, window_codes, window_rows
 
 ORDER = 5
@@ -46,6 +46,13 @@ MAX_MODEL_ROWS = 4_000_000
 _BOUNDARY = 0x20
 
 
+def _settled(df: DataFrame) -> DataFrame:
+    """Checkpointed, and the shuffle files of the steps before let go."""
+    out = durable(df)
+    release(df.sparkSession)
+    return out
+
+
 def word_grams(vocabulary: pa.Array, order: int) -> tuple[np.ndarray, np.ndarray]:
     """Key of the n-gram ending at each byte of ' word ' after the first, and the word of each.
 
@@ -100,7 +107,7 @@ def gram_counts(docs: DataFrame, order: int = ORDER, text: str = "text", lang: s
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([name] * len(k), pa.string()), pa.array(k), pa.array(n[a:a + 100_000])], ["lang", "key", "n"])
 
-    partial = docs.select(text, lang).mapInArrow(count, "lang string, key long, n long")
+    partial = fewer_tasks(docs.select(text, lang)).mapInArrow(count, "lang string, key long, n long")
     return partial.groupBy("lang", "key").agg(F.sum("n").alias("n"))
 
 
@@ -148,7 +155,7 @@ def kneser_ney(counts: DataFrame, order: int = ORDER, least: int = LEAST) -> Dat
     d = [F.when((t[i] > 0) & (t[i + 1] > 0), F.least(F.greatest(i + 1 - (i + 2) * y * t[i + 1] / t[i], F.lit(0.1)), F.lit(i + 1.0)))
          .otherwise(F.lit((0.5, 1.0, 1.5)[i])) for i in range(3)]
     table = reduce(DataFrame.unionByName, discounts).select("lang", "len", *[x.alias(f"d{i + 1}") for i, x in enumerate(d)])
-    table = durable(table)          # a row per language and order
+    table = _settled(table)         # a row per language and order
     levels, model = [], None
     for k in range(1, order + 1):
         grams = level[k].withColumn("context", _prefix(F.col("key"), k))
@@ -168,7 +175,7 @@ def kneser_ney(counts: DataFrame, order: int = ORDER, least: int = LEAST) -> Dat
             rows = rows.join(below, F.col("lang").eqNullSafe(F.col("_m")) & (_suffix(F.col("key"), k) == F.col("_k")))
         p = (F.col("n") - F.col("cut")) / F.col("total") + F.col("gamma") * F.col("lower")
         rows = rows.select("lang", "key", F.log(p).alias("logp"), "context", "gamma")
-        model = durable(rows)
+        model = _settled(rows)
         levels.append(model)
     model = reduce(DataFrame.unionByName, levels)
     weights = model.groupBy(F.col("lang").alias("_l"), F.col("context").alias("_c")).agg(F.log(F.max("gamma")).alias("backoff"))
@@ -337,7 +344,7 @@ def quality(docs: DataFrame, order: int = ORDER, upper: float = UPPER, lower: fl
     """One row per input row: base figures, ``ppl`` (mean -log p in thousandths), ``base_failed`` and ``kept``."""
     docs = docs.select(F.col(key).cast("long").alias(key), F.col(text).cast("string").alias(text),
                        F.col(lang).cast("string").alias(lang))
-    model = durable(kneser_ney(durable(gram_counts(docs, order, text, lang)), order))
+    model = _settled(kneser_ney(_settled(gram_counts(docs, order, text, lang)), order))
     if model.count() <= max_model_rows:
         scored = measure(docs, gram_arrays(model.toArrow()), order, key, text, lang)
     else:
@@ -348,7 +355,7 @@ def quality(docs: DataFrame, order: int = ORDER, upper: float = UPPER, lower: fl
         scored = (rows.select("_row", key).join(scored, F.col("_row") == F.col("_figures"))
                   .join(sums, F.col("_row") == F.col("_sum"), "left").drop("_row", "_figures", "_sum"))
     ppl = F.when(F.col("n_grams") > 0, F.round(-1000 * F.col("sum_logp") / F.col("n_grams")).cast("long"))
-    scored = durable(scored.withColumn("ppl", ppl))
+    scored = _settled(scored.withColumn("ppl", ppl))
     limits = bands(scored, lang, upper, lower)      # a row per language
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     inside = F.coalesce(F.col("ppl").between(F.col("low"), F.col("high")), F.lit(False))
@@ -357,7 +364,8 @@ def quality(docs: DataFrame, order: int = ORDER, upper: float = UPPER, lower: fl
             .select(key, lang, *FIGURES, "ppl", "base_failed", "kept"))
 
 
-def keep_good(docs: DataFrame, key: str = "doc_id", **options) -> DataFrame:
-    """The rows of ``docs``, all columns, whose text the rules keep. ``key`` identifies a row; a row without key goes."""
-    verdict = quality(docs, key=key, **options).filter("kept").select(F.col(key).alias("_kept")).distinct()
-    return docs.join(verdict, F.col(key) == F.col("_kept"), "left_semi")
+def keep_good(docs: DataFrame, **options) -> DataFrame:
+    """The rows of ``docs``, all columns, whose text the rules keep: by row, so repeated and missing ids do not matter."""
+    rows = numbered(docs)
+    verdict = quality(rows, key="_row", **options).filter("kept").select(F.col("_row").alias("_kept"))
+    return rows.join(verdict, F.col("_row") == F.col("_kept"), "left_semi").drop("_row")

@@ -35,6 +35,17 @@ def numbered(df: DataFrame, name: str = "_row") -> DataFrame:
     return stored(df.withColumn(name, F.monotonically_increasing_id()))
 
 
+def fewer_tasks(df: DataFrame, max_bytes: int = 32 << 20) -> DataFrame:
+    """The rows in tasks of up to ``max_bytes`` (as stored), where they come in more and smaller ones.
+
+    For jobs whose output grows with the number of tasks, such as counts of distinct things per task. No shuffle; an input of
+    large files, or one with no more tasks than cores, is left as it is.
+    """
+    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    want = max(df.sparkSession.sparkContext.defaultParallelism, -(-size // max_bytes))
+    return df.coalesce(want) if df.rdd.getNumPartitions() > want else df
+
+
 def release(spark: SparkSession) -> None:
     """Let Spark's cleaner delete the shuffle files and checkpoints that nothing refers to any more.
 

@@ -161,7 +161,7 @@ def test_pipeline(spark, documents):
     one = {r["doc_id"] for r in minhash.near_duplicates(first).collect() if r["kept"]}
     second = corpus_pipeline.distinct_texts(spark, first, folder).checkpoint()
     assert {r["doc_id"] for r in second.collect()} == one
-    removed = {r["doc_id"]: r for r in suffix_dedup.repeats(second).collect()}
+    removed = {r["doc_id"]: r for r in suffix_dedup.repeats(second, length=corpus_pipeline.PASSAGE).collect()}
     third = corpus_pipeline.unrepeated_passages(spark, second, folder).checkpoint()
     texts = {r["doc_id"]: r["text"] for r in second.collect()}
     for r in third.collect():
@@ -178,21 +178,6 @@ def test_pipeline(spark, documents):
     assert {(r["doc_id"], r["piece"], r["length"], r["ids_crc32"]) for r in last.collect()} == whole
 
 
-def test_stages_after_the_passages_of_the_stage_s_own_length(spark, documents):
-    folder = "/root/testdata/sf0.001"
-    second = corpus_pipeline.distinct_texts(spark, corpus_pipeline.good_quality(spark, documents, folder).checkpoint(), folder).checkpoint()
-    removed = {r["doc_id"]: r for r in suffix_dedup.repeats(second, length=corpus_pipeline.PASSAGE).collect()}
-    third = corpus_pipeline.unrepeated_passages(spark, second, folder).checkpoint()
-    for r in third.collect():
-        gone = removed[r["doc_id"]]
-        assert 0 <= len(r["text"].encode()) - (gone["n_bytes"] - gone["n_removed"]) <= 6 * gone["n_spans"]
-    fourth = corpus_pipeline.without_personal_data(spark, third, folder).checkpoint()
-    assert all(sum(r[f"n_{k}"] for k in pii.KINDS) == 0 for r in pii.find(fourth).collect())
-    pieces = [{(r["doc_id"], r["piece"], r["length"], r["ids_crc32"]) for r in rows.collect()}
-              for rows in (corpus_pipeline.run(spark, folder), packing.pack_documents(fourth, tokenizer_path(), with_ids=False))]
-    assert pieces[0] == pieces[1]
-
-
 def test_passage_of_52_words_is_cut(spark):
     def prose(seed, words):
         rng = random.Random(seed)
@@ -210,3 +195,22 @@ def test_every_operator_is_registered():
     numbers = sorted(int(re.match(r"op(\d+)_", n)[1]) for n in QUERIES)
     assert numbers == list(range(1, 11)) and set(QUERIES) | {"pipeline"} <= set(E.queries())
     duckdb.sql("select 1")
+
+
+def test_records_of_one_id_are_resolved_each(spark):
+    rows = [(1, "http://a.org/x", 1.0, False, {"ETag": "p"}), (1, "http://b.org/y", 1.0, False, {"ETag": "q"}),
+            (7, "http://a.org/x", 2.0, True, {"ETag": "p"}), (7, "http://b.org/y", 2.0, True, {"ETag": "p"}), (7, "http://c.org/z", 2.0, True, {"ETag": "p"}),
+            (None, "http://a.org/x", 3.0, True, None)]
+    df = spark.createDataFrame(rows, "record_id long, url string, ts double, revisit boolean, headers map<string,string>").repartition(3)
+    got = revisits.resolve(df).collect()
+    assert len(got) == len(rows)
+    assert sorted((r["outcome"], r["refers_to"] or 0) for r in got if r["record_id"] == 7) == [("etag-mismatch", 1), ("no-response", 0), ("resolved", 1)]
+
+
+def test_good_rows_are_kept_by_row_not_by_id(spark, documents):
+    good = [r["text"] for r in quality_rules.quality(documents).filter("kept").join(documents.select("doc_id", "text"), "doc_id").limit(30).collect()]
+    rows = [(i, t, "en") for i, t in enumerate(good)] + [(0, "bad text", "en"), (None, good[0], "en"), (None, "bad text", "en"), (None, None, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(3)
+    kept = quality_rules.keep_good(df, upper=1e6, lower=1e6).collect()
+    assert sorted((-1 if r["doc_id"] is None else r["doc_id"]) for r in kept) == [-1, *range(len(good))]
+    assert all(r["text"] != "bad text" for r in kept)
