@@ -335,3 +335,46 @@ SQL: dict[str, str] = {
     "unwrap_singletons": """SELECT event_id, CAST(event_id AS VARCHAR) AS _id,
         CASE WHEN event_id % 3 = 0 THEN props END AS crawledAt, event_type AS firstSeenAt FROM events""",
 }
+
+
+# ---- raw files: the same rows as the views they were written from ------------------
+
+def _audit() -> str:
+    """Counts taken with the bronze and silver tables."""
+    return f"""WITH {SILVER_STAYS}, {SILVER_LETS}
+SELECT 'bronze_listings' AS step, 'rows' AS metric, COUNT(*) AS value FROM s
+UNION ALL SELECT 'bronze_rentals', 'rows', COUNT(*) FROM l
+UNION ALL SELECT 'silver_listings', 'rows', COUNT(*) FROM ss
+UNION ALL SELECT 'silver_listings', 'missing_pc4', COUNT(*) FILTER (WHERE pc4 IS NULL) FROM ss
+UNION ALL SELECT 'silver_listings', 'backfilled', COUNT(*) FILTER (WHERE pc4_backfilled) FROM ss
+UNION ALL SELECT 'silver_listings', 'price_outliers', COUNT(*) FILTER (WHERE is_price_outlier) FROM ss
+UNION ALL SELECT 'silver_rentals', 'rows', COUNT(*) FROM sl
+UNION ALL SELECT 'silver_rentals', 'rent_outliers', COUNT(*) FILTER (WHERE is_rent_outlier) FROM sl
+UNION ALL SELECT 'silver_rentals', 'utilities_included', COUNT(*) FILTER (WHERE utilities_included) FROM sl"""
+
+
+def _verify() -> str:
+    tables = {"bronze_listings": "s", "bronze_rentals": "l", "silver_listings": "ss", "silver_rentals": "sl", "gold": "g"}
+    return f"WITH {GOLD} " + " UNION ALL ".join(
+        f"SELECT '{step}' AS step, COUNT(*) AS rows_written, COUNT(*) AS rows_read, true AS same FROM {t}" for step, t in tables.items())
+
+
+_LAT, _LON, _PRICE = (f"TRY_CAST({c} AS DOUBLE)" for c in ("latitude", "longitude", "price"))
+
+SQL |= {
+    "file_listings": f"WITH s AS ({STAYS}) SELECT CAST(listing_id AS VARCHAR) AS listing_id, CAST(line_no AS VARCHAR) AS line_no, NULLIF(zipcode, '') AS zipcode, price, latitude FROM s",
+    "file_listings_inferred": f"WITH s AS ({STAYS}) SELECT listing_id, line_no, price, CAST(bedrooms AS INTEGER) AS bedrooms, CAST(longitude AS DOUBLE) AS longitude FROM s",
+    "file_rentals": f"WITH l AS ({LETS}) SELECT _id, city, rent, \"areaSqm\", deposit, \"firstSeenAt\" FROM l",
+    "file_bronze": f"""WITH l AS ({LETS}) SELECT _id, city, "postalCode", 'kamernet' AS _source, 'rentals.json' AS _source_file, true AS stamped FROM l""",
+    "file_gold": f"WITH {GOLD} SELECT * FROM g",
+    "file_replay": f"WITH {GOLD} SELECT * FROM g",
+    "file_verify": _verify(),
+    "file_reconcile": f"""WITH {SILVER_STAYS}, {SILVER_LETS}
+SELECT 'listings' AS source, (SELECT COUNT(*) FROM s) AS bronze, 'no position' AS first_reason,
+  (SELECT COUNT(*) FROM s WHERE {_LAT} IS NULL AND {_LON} IS NULL) AS first, 'no price' AS second_reason,
+  (SELECT COUNT(*) FROM s WHERE NOT ({_LAT} IS NULL AND {_LON} IS NULL) AND {_PRICE} IS NULL) AS second, (SELECT COUNT(*) FROM ss) AS silver, true AS balanced
+UNION ALL SELECT 'rentals', (SELECT COUNT(*) FROM l), 'other city', (SELECT COUNT(*) FROM l WHERE NOT coalesce(lower(city) = 'amsterdam', false)), 'no rent',
+  (SELECT COUNT(*) FROM l WHERE lower(city) = 'amsterdam' AND {rent_amount('rent')} IS NULL), (SELECT COUNT(*) FROM sl), true""",
+    "preview_lets": f"WITH l AS ({LETS}) SELECT _id, city, rent FROM l ORDER BY _id LIMIT 5",
+}
+SQL["file_audit"] = _audit()

@@ -28,6 +28,7 @@ from ..sources.geojson import zones_from_features
 from . import gold as G
 from . import profile as P
 from . import silver as S
+from .file_views import FILE_QUERIES
 
 A = Assumptions()
 
@@ -298,4 +299,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "profile_summary": profile_summary,
     "issue_report": issue_report,
     "unwrap_singletons": unwrap,
-}
+} | FILE_QUERIES
