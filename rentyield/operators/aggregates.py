@@ -21,6 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import ensure_checkpoint_dir
 from .ranks import digit_medians
 from .revenue import money
 
@@ -147,11 +148,42 @@ def area_lets(rev: DataFrame, key: str = "pc4", method: str = DEFAULT_METHOD,
 
 
 def frequency(df: DataFrame, col: str, top: int | None = None) -> DataFrame:
-    """AG07 + SO02/SO03: category counts, most frequent first (ties by value)."""
+    """AG07 + SO02/SO03: category counts, most frequent first (ties by value); ``top_values`` for a short report of a wide column."""
     out = df.groupBy(col).agg(F.count(F.lit(1)).alias("count")).orderBy(F.desc("count"), F.asc_nulls_first(col))
     return out if top is None else out.limit(top)
 
 
+def top_values(df: DataFrame, col: str, n: int, tracked: int = 10_000, buckets: int = 1 << 16) -> DataFrame:
+    """AG07 + SO02/SO03 + FI08: ``frequency(df, col, n)``, exactly, for a column of very many distinct values.
+
+    A frequent-items summary (merged from one per task, at most ``tracked`` values each) proposes candidates. One
+    aggregate counts these exactly, and all other rows by a hash of their value in ``buckets`` buckets: a bucket's
+    total bounds the count of every value in it. Values outside the candidates are counted only in buckets whose total
+    reaches the n-th largest candidate count, so a value is left out only if it is proven not to be in the report.
+    Where few values stand out few buckets are left; where counts are flat all are, and the report costs what
+    ``frequency`` costs. NULL is a value as any other; an empty table gives no rows; ties go to the smaller value.
+    The column is of a type that ``approx_top_k`` takes (text, numbers, dates, times, booleans).
+    """
+    ensure_checkpoint_dir(df.sparkSession)
+    one = df.select(F.col(f"`{col}`").alias("_v"))
+    items = F.expr(f"approx_top_k(_v, {int(n)}, {max(int(tracked), int(n))})")
+    proposed = one.filter("_v IS NOT NULL").agg(items.alias("_top")).select(F.explode("_top.item").alias("_c"))
+    # at most n + 1 rows, by construction
+    proposed = proposed.unionByName(df.sparkSession.range(1).select(F.lit(None).cast(one.schema["_v"].dataType).alias("_c"))).withColumn("_is", F.lit(True)).checkpoint()
+    told = one.join(F.broadcast(proposed), F.col("_v").eqNullSafe(F.col("_c")), "left").select(
+        "_v", F.coalesce("_is", F.lit(False)).alias("_is"), F.pmod(F.xxhash64("_v"), F.lit(buckets)).alias("_b"))
+    # n + 1 + buckets rows at most, also from each task
+    counts = told.groupBy(F.when(F.col("_is"), F.col("_v")).alias("_v"), "_is", F.when(~F.col("_is"), F.col("_b")).alias("_b")) \
+        .agg(F.count(F.lit(1)).alias("count")).checkpoint()
+    exact = counts.filter("_is").select("_v", "count")
+    best = [r["count"] for r in exact.orderBy(F.desc("count")).limit(n).select("count").collect()]
+    floor = best[-1] if len(best) == n and n else 0
+    hot = counts.filter(~F.col("_is") & (F.col("count") >= floor)).select(F.col("_b").alias("_hot"))
+    rest = told.filter(~F.col("_is")).join(F.broadcast(hot), F.col("_b") == F.col("_hot"), "left_semi") \
+        .groupBy("_v").agg(F.count(F.lit(1)).alias("count"))
+    return exact.unionByName(rest).withColumnRenamed("_v", col).orderBy(F.desc("count"), F.asc_nulls_first(f"`{col}`")).limit(n)
+
+
 def conditional_counts(df: DataFrame, rules: dict[str, Column]) -> DataFrame:
     """AG09: one pass, one row: total rows plus a count per named condition."""
     return df.agg(F.count(F.lit(1)).alias("rows"),

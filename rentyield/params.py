@@ -72,5 +72,6 @@ class Paths:
     city: str = "amsterdam"
     partition_rentals_by_city: bool = True   # bronze rentals partitioned: the city filter prunes files
     zones_per_line: bool = False             # one GeoJSON feature per line: the read splits
+    zones_split: bool = True                 # one GeoJSON document: read in splits where it can be cut
     rentals_multiline: bool = True           # one JSON array per file (one task per file);
                                              # False reads JSON lines, which split across tasks

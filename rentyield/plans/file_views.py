@@ -15,12 +15,14 @@ from pyspark.sql import functions as F
 from ..params import Paths
 from ..session import ensure_checkpoint_dir
 from ..sources import demo
+from ..sources.geojson import split_features, zones_from_features
 from ..sources.files import read_listings, read_rentals, unwrap_singletons
 from ..sources.tables import load, preview
 from .run import audit_rows, reconcile, run, target, verify
 
 _WRITTEN: dict[tuple[str, str], Paths] = {}
 _RUN: dict[tuple[str, str], Paths] = {}
+_DOCUMENT: dict[tuple[str, str], str] = {}
 
 
 def raw_files(spark: SparkSession, d: str) -> Paths:
@@ -33,15 +35,34 @@ def raw_files(spark: SparkSession, d: str) -> Paths:
         demo.stays(spark, d).write.options(**keep_blanks).csv(f"{paths.raw}/{paths.listings_file}")
         lets = demo.lets(spark, d).withColumns({c: F.array(c) for c in ("_id", "firstSeenAt", "lastSeenAt")})
         lets.write.json(f"{paths.raw}/{paths.rentals_file}")
-        geometry = F.concat(F.lit('{"type":"'), F.col("geometry.type"), F.lit('","coordinates":'), F.col("geometry.coordinates"), F.lit("}"))
-        line = F.concat(F.lit('{"type":"Feature","properties":'), F.to_json("properties"), F.lit(',"geometry":'), geometry, F.lit("}"))
         # one file in feature order, as a zone file is: the order decides where zones overlap
-        demo.zone_features(spark, d).select("fid", line.alias("value")).coalesce(1).sortWithinPartitions("fid").select("value") \
+        _feature_lines(spark, d).coalesce(1).sortWithinPartitions("fid").select("value") \
             .write.text(f"{paths.raw}/{paths.zones_file}")
         _WRITTEN[key] = paths
     return _WRITTEN[key]
 
 
+def _feature_lines(spark: SparkSession, d: str) -> DataFrame:
+    """(fid, value): each zone feature as one JSON text."""
+    geometry = F.concat(F.lit('{"type":"'), F.col("geometry.type"), F.lit('","coordinates":'), F.col("geometry.coordinates"), F.lit("}"))
+    line = F.concat(F.lit('{"type":"Feature","properties":'), F.to_json("properties"), F.lit(',"geometry":'), geometry, F.lit("}"))
+    return demo.zone_features(spark, d).select("fid", line.alias("value"))
+
+
+def zone_document(spark: SparkSession, d: str) -> str:
+    """The zones as one FeatureCollection document, in feature order, written once per application."""
+    key = (spark.sparkContext.applicationId, d)
+    if key not in _DOCUMENT:
+        path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/drop-{uuid.uuid4().hex}/zones.geojson"
+        lines = _feature_lines(spark, d)
+        first = lines.agg(F.min("fid")).first()[0]
+        parts = lines.select(F.lit(1).alias("part"), "fid", F.concat(F.when(F.col("fid") == first, "").otherwise(","), "value").alias("value"))
+        frame = spark.sql("""SELECT 0 AS part, 0L AS fid, '{"type":"FeatureCollection","features":[' AS value UNION ALL SELECT 2, 0L, ']}'""")
+        frame.unionByName(parts).coalesce(1).sortWithinPartitions("part", "fid").select("value").write.text(path)
+        _DOCUMENT[key] = path
+    return _DOCUMENT[key]
+
+
 def _layers(spark: SparkSession, d: str) -> Paths:
     """The layer tables of the raw files: one ordered run per application."""
     key = (spark.sparkContext.applicationId, d)
@@ -71,6 +92,12 @@ def file_rentals(spark, d):
     return rows.select("_id", "city", "rent", "areaSqm", "deposit", "firstSeenAt")
 
 
+def file_zones(spark, d):
+    """IO04-IO06: zones of one GeoJSON document, read in splits at its features."""
+    zones = zones_from_features(split_features(spark, zone_document(spark, d)))
+    return zones.select("code", F.size("rings").alias("rings"), F.expr("aggregate(rings, 0, (acc, r) -> acc + size(r))").alias("positions"))
+
+
 def file_bronze(spark, d):
     """IO07, IO08, IO10: a bronze table as it was saved, with its lineage columns."""
     paths = _layers(spark, d)
@@ -116,6 +143,7 @@ FILE_QUERIES = {
     "file_listings": file_listings,
     "file_listings_inferred": file_listings_inferred,
     "file_rentals": file_rentals,
+    "file_zones": file_zones,
     "file_bronze": file_bronze,
     "file_gold": file_gold,
     "file_replay": file_replay,

@@ -324,6 +324,10 @@ SQL: dict[str, str] = {
     "profile_frequency": f"WITH s AS ({STAYS}) SELECT room_type, COUNT(*) AS count FROM s GROUP BY room_type",
     "city_frequency": f"""WITH l AS ({LETS}) SELECT city, COUNT(*) AS count FROM l GROUP BY city
         ORDER BY count DESC, city ASC NULLS FIRST LIMIT 10""",
+    "zipcode_top": f"""WITH s AS ({STAYS}) SELECT zipcode, COUNT(*) AS count FROM s GROUP BY zipcode
+        ORDER BY count DESC, zipcode ASC NULLS FIRST LIMIT 20""",
+    "price_top": f"""WITH s AS ({STAYS}) SELECT price, COUNT(*) AS count FROM s GROUP BY price
+        ORDER BY count DESC, price ASC NULLS FIRST LIMIT 15""",
     "property_frequency": f"""WITH l AS ({LETS}) SELECT propertyType, COUNT(*) AS count FROM l
         WHERE lower(city) = 'amsterdam' GROUP BY propertyType""",
     "profile_summary": f"""WITH s AS ({STAYS}), x AS (SELECT TRY_CAST(price AS DOUBLE) AS v FROM s)
@@ -365,6 +369,8 @@ SQL |= {
     "file_listings": f"WITH s AS ({STAYS}) SELECT CAST(listing_id AS VARCHAR) AS listing_id, CAST(line_no AS VARCHAR) AS line_no, NULLIF(zipcode, '') AS zipcode, price, latitude FROM s",
     "file_listings_inferred": f"WITH s AS ({STAYS}) SELECT listing_id, line_no, price, CAST(bedrooms AS INTEGER) AS bedrooms, CAST(longitude AS DOUBLE) AS longitude FROM s",
     "file_rentals": f"WITH l AS ({LETS}) SELECT _id, city, rent, \"areaSqm\", deposit, \"firstSeenAt\" FROM l",
+    "file_zones": f"""WITH z AS ({ZONES})
+        SELECT code, CASE WHEN hole THEN 2 ELSE 1 END AS rings, CASE WHEN hole THEN 10 WHEN tri THEN 4 ELSE 5 END AS positions FROM z""",
     "file_bronze": f"""WITH l AS ({LETS}) SELECT _id, city, "postalCode", 'kamernet' AS _source, 'rentals.json' AS _source_file, true AS stamped FROM l""",
     "file_gold": f"WITH {GOLD} SELECT * FROM g",
     "file_replay": f"WITH {GOLD} SELECT * FROM g",

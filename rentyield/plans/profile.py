@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions.predicates import POSTAL_FORMATS, city_is, matches, null_or_empty
 from ..functions.standardize import rent_utilities
-from ..operators.aggregates import conditional_counts, frequency, rounded_mean, shape
+from ..operators.aggregates import conditional_counts, frequency, rounded_mean, shape, top_values
 from ..operators.ranks import quantiles, value_counts
 
 
@@ -99,6 +99,11 @@ def profile_frequency(df: DataFrame, col: str, top: int | None = None) -> DataFr
     return frequency(df, col, top)
 
 
+def profile_top(df: DataFrame, col: str, top: int) -> DataFrame:
+    """QA05 for a column of very many distinct values: the same top-n report, most values never shuffled."""
+    return top_values(df, col, top)
+
+
 def profile_numeric(df: DataFrame, col: str, bound: float) -> DataFrame:
     """QA03 / AG10: count, mean, stddev, min, quartiles, max and rows above ``bound`` (FI11)."""
     return column_summaries(df, [col], bound).drop("column")

@@ -76,7 +76,7 @@ def _zones(spark: SparkSession, paths: Paths, observation: Observation) -> ZoneI
     """Zones prepared for the join, or None when no zone file exists (then no backfill). Other errors surface."""
     try:
         return prepare(read_zones(spark, f"{paths.raw.rstrip('/')}/{paths.zones_file}", per_line=paths.zones_per_line,
-                                  observation=observation))
+                                  observation=observation, split=paths.zones_split))
     except AnalysisException as e:
         if "PATH_NOT_FOUND" in str(e):
             return None

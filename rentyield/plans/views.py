@@ -246,6 +246,16 @@ def city_frequency(spark, d):
     return P.profile_frequency(demo.lets(spark, d), "city", top=10)
 
 
+def zipcode_top(spark, d):
+    """QA05 / AG07 on a wide column: the most frequent raw postal texts."""
+    return P.profile_top(demo.stays(spark, d), "zipcode", 20)
+
+
+def price_top(spark, d):
+    """QA05 / AG07 on a wide column in which hardly any value stands out."""
+    return P.profile_top(demo.stays(spark, d), "price", 15)
+
+
 def property_frequency(spark, d):
     return P.profile_frequency(demo.lets(spark, d).filter(city_is(F.col("city"))), "propertyType")
 
@@ -295,6 +305,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "profile_formats": profile_formats,
     "profile_frequency": profile_frequency,
     "city_frequency": city_frequency,
+    "zipcode_top": zipcode_top,
+    "price_top": price_top,
     "property_frequency": property_frequency,
     "profile_summary": profile_summary,
     "issue_report": issue_report,
