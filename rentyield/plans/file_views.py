@@ -8,8 +8,9 @@ queries read them through the readers, the bronze jobs and the ordered run, like
 from __future__ import annotations
 
 import uuid
+from dataclasses import replace
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..params import Paths
@@ -18,6 +19,7 @@ from ..sources import demo
 from ..sources.geojson import split_features, zones_from_features
 from ..sources.files import read_listings, read_rentals, unwrap_singletons
 from ..sources.tables import load, preview
+from .refresh import refresh
 from .run import audit_rows, reconcile, run, target, verify
 
 _WRITTEN: dict[tuple[str, str], Paths] = {}
@@ -42,6 +44,15 @@ def raw_files(spark: SparkSession, d: str) -> Paths:
     return _WRITTEN[key]
 
 
+def changed_drop(spark: SparkSession, paths: Paths, which: Column, drop: bool = False) -> Paths:
+    """A later rentals file beside the first one, in which the rows ``which`` holds for have another rent, or are gone."""
+    later = replace(paths, rentals_file=f"rentals-{uuid.uuid4().hex}.json")
+    rentals, hit = spark.read.json(f"{paths.raw}/{paths.rentals_file}"), F.coalesce(which, F.lit(False))
+    rentals = rentals.filter(~hit) if drop else rentals.withColumn("rent", F.when(hit, F.concat(F.lit("1"), "rent")).otherwise(F.col("rent")))
+    rentals.write.json(f"{later.raw}/{later.rentals_file}")
+    return later
+
+
 def _feature_lines(spark: SparkSession, d: str) -> DataFrame:
     """(fid, value): each zone feature as one JSON text."""
     geometry = F.concat(F.lit('{"type":"'), F.col("geometry.type"), F.lit('","coordinates":'), F.col("geometry.coordinates"), F.lit("}"))
@@ -117,6 +128,17 @@ def file_replay(spark, d):
     return load(spark, target(paths, "gold"))
 
 
+def file_refresh(spark, d):
+    """IO13: partitions written and kept by three refreshes: of new tables, of unchanged files, and with one city's rents changed."""
+    paths = raw_files(spark, d)
+    paths = replace(paths, tables=f"{ensure_checkpoint_dir(spark).rstrip('/')}/drop-{uuid.uuid4().hex}/tables")
+    first = refresh(spark, paths).withColumn("refresh", F.lit("first"))
+    again = refresh(spark, paths).withColumn("refresh", F.lit("unchanged"))
+    city = load(spark, target(paths, "bronze_rentals")).filter("lower(city) <> 'amsterdam'").agg(F.min(F.lower("city"))).first()[0]
+    later = refresh(spark, changed_drop(spark, paths, F.lower("city") == city)).withColumn("refresh", F.lit("one city"))
+    return first.unionByName(again).unionByName(later).select("refresh", "step", "partitions_written", "partitions_kept")
+
+
 def file_audit(spark, d):
     """IO14: the counts of the run's bronze and silver tables, as rows written beside the tables."""
     tables = ["bronze_listings", "bronze_rentals", "silver_listings", "silver_rentals"]
@@ -147,6 +169,7 @@ FILE_QUERIES = {
     "file_bronze": file_bronze,
     "file_gold": file_gold,
     "file_replay": file_replay,
+    "file_refresh": file_refresh,
     "file_audit": file_audit,
     "file_verify": file_verify,
     "file_reconcile": file_reconcile,

@@ -375,6 +375,12 @@ SQL |= {
     "file_gold": f"WITH {GOLD} SELECT * FROM g",
     "file_replay": f"WITH {GOLD} SELECT * FROM g",
     "file_verify": _verify(),
+    "file_refresh": f"""WITH l AS ({LETS}), c AS (SELECT COUNT(DISTINCT coalesce('city ' || lower(city), 'none')) AS n FROM l),
+  r(refresh, first) AS (VALUES ('first', true), ('unchanged', false), ('one city', false)),
+  t(step) AS (VALUES ('bronze_listings'), ('bronze_rentals'), ('silver_listings'), ('silver_rentals'), ('gold'))
+SELECT refresh, step, CASE WHEN first THEN parts WHEN refresh = 'one city' AND step = 'bronze_rentals' THEN 1 ELSE 0 END AS partitions_written,
+  parts - CASE WHEN first THEN parts WHEN refresh = 'one city' AND step = 'bronze_rentals' THEN 1 ELSE 0 END AS partitions_kept
+FROM r, (SELECT step, CASE WHEN step = 'bronze_rentals' THEN n ELSE 1 END AS parts FROM t, c)""",
     "file_reconcile": f"""WITH {SILVER_STAYS}, {SILVER_LETS}
 SELECT 'listings' AS source, (SELECT COUNT(*) FROM s) AS bronze, 'no position' AS first_reason,
   (SELECT COUNT(*) FROM s WHERE {_LAT} IS NULL AND {_LON} IS NULL) AS first, 'no price' AS second_reason,

@@ -104,10 +104,9 @@ def run_bronze(spark: SparkSession, paths: Paths, audit: Audit) -> None:
     _write(audit, "bronze_rentals", rentals, paths, [PART] if paths.partition_rentals_by_city else None)
 
 
-def run_silver(spark: SparkSession, paths: Paths, audit: Audit, bounds: Bounds) -> None:
+def silver_listings_step(spark: SparkSession, paths: Paths, audit: Audit, bounds: Bounds) -> None:
     # parser rejects (text given, value NULL) are observed inside the same write
-    stay_rejects, let_rejects = Observation("listing_rejects"), Observation("rental_rejects")
-    zone_counts = Observation("zones")
+    stay_rejects, zone_counts = Observation("listing_rejects"), Observation("zones")
     zones = _zones(spark, paths, zone_counts)
     if zones is not None:
         audit.record("zones", zone_counts)
@@ -117,6 +116,10 @@ def run_silver(spark: SparkSession, paths: Paths, audit: Audit, bounds: Bounds)
            missing_pc4=F.col("pc4").isNull(), backfilled=F.col("pc4_backfilled"),
            price_outliers=F.col("is_price_outlier"))
     audit.record("silver_listings_rejects", stay_rejects)
+
+
+def silver_rentals_step(spark: SparkSession, paths: Paths, audit: Audit, bounds: Bounds) -> None:
+    let_rejects = Observation("rental_rejects")
     # the city filter goes below the spread so it still prunes the city partitions
     rentals = load(spark, target(paths, "bronze_rentals"))
     if PART in rentals.columns:
@@ -128,6 +131,11 @@ def run_silver(spark: SparkSession, paths: Paths, audit: Audit, bounds: Bounds)
     audit.record("silver_rentals_rejects", let_rejects)
 
 
+def run_silver(spark: SparkSession, paths: Paths, audit: Audit, bounds: Bounds) -> None:
+    silver_listings_step(spark, paths, audit, bounds)
+    silver_rentals_step(spark, paths, audit, bounds)
+
+
 def run_gold(spark: SparkSession, paths: Paths, audit: Audit, a: Assumptions, labels: Labels) -> None:
     g = gold(load(spark, target(paths, "silver_listings")), load(spark, target(paths, "silver_rentals")), a, labels)
     _write(audit, "gold", g, paths, both_sources=F.col("revenue_advantage").isNotNull())
