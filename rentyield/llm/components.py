@@ -2,8 +2,8 @@
 
 Alternating large-star and small-star steps (map-reduce components): every step replaces links by
 links to the smallest neighbour, keeps the components, and ends when nothing changes. Each step
-aggregates with a map-side minimum before it shuffles, so a vertex with very many links costs no
-task more than its share. Steps are cut by reliable checkpoints; only the number of rows and a
+aggregates with a map-side minimum before it shuffles; the joins that bring the minimum back to the
+links leave a vertex with very many links to Spark's skew join. Steps are cut by reliable checkpoints; only the number of rows and a
 checksum of a step reach the driver.
 """
 
