@@ -12,6 +12,7 @@ from collections import Counter
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from odd_rows import documents, none, odd, texts  # noqa: F401  (fixtures)
@@ -310,8 +311,11 @@ def test_text_buffer_of_a_slice():
 
 
 def test_quality_bands_reject_at_stated_rates(spark):
-    """Half-junk and wrong-language texts go, prose and texts in two languages stay."""
-    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text", "lang")
+    """Half-junk and wrong-language texts go, prose and texts in two languages stay.
+
+    On sf0.1: of a few hundred texts of a language, a dozen foreign ones are too large a part of the model to stand out.
+    """
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").select("doc_id", "text", "lang")
     rng = random.Random(5)
     of = {lang: [r["text"] for r in docs.filter(F.col("lang") == lang).orderBy("doc_id").collect() if 100 <= len((r["text"] or "").split()) <= 600]
           for lang in ("en", "de")}
@@ -320,8 +324,7 @@ def test_quality_bands_reject_at_stated_rates(spark):
         return " ".join("".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in w) if rng.random() < share else w for w in text.split())
 
     made = {"half junk": [(junk(t, 0.5), "en") for t in of["en"][:12]], "most junk": [(junk(t, 0.75), "en") for t in of["en"][12:24]],
-            "shuffled letters": [("".join(rng.sample(t, len(t))) if " " not in t else " ".join("".join(rng.sample(w, len(w))) for w in t.split()), "en")
-                                 for t in of["en"][24:36]],
+            "shuffled letters": [(" ".join("".join(rng.sample(w, len(w))) for w in t.split()), "en") for t in of["en"][24:36]],
             "wrong language": [(t, "en") for t in of["de"][:12]],
             "two languages": [(" ".join(a.split()[:80] + b.split()[:80]), "en") for a, b in zip(of["en"][36:48], of["de"][12:24])]}
     rows = [(1_000_000 + 1_000 * i + j, text, lang) for i, kind in enumerate(made) for j, (text, lang) in enumerate(made[kind])]
@@ -334,4 +337,4 @@ def test_quality_bands_reject_at_stated_rates(spark):
 
     rates = {"given": kept(-1)} | {kind: kept(i) for i, kind in enumerate(made)}
     assert rates["given"] >= 0.99 and rates["two languages"] >= 0.9, rates
-    assert rates["half junk"] == rates["most junk"] == rates["shuffled letters"] == 0 and rates["wrong language"] <= 0.7, rates
+    assert rates["half junk"] == rates["most junk"] == rates["shuffled letters"] == 0 and rates["wrong language"] <= 0.25, rates
