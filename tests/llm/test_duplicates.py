@@ -202,6 +202,38 @@ def test_itq_common_vector_counts_its_copies(spark):
     assert right == 1.0 and rows[0]["n_links"] >= 99
 
 
+def _dense(n, noise, seed=3):
+    rng = np.random.default_rng(seed)
+    centres = rng.standard_normal((3, 64))
+    vectors = {i: (centres[0 if i % 5 else i % 3] + noise * rng.standard_normal(64)).astype(np.float32).astype(float).tolist() for i in range(n)}
+    return vectors | {n + i: vectors[i] for i in range(0, n, 50)}         # copies too
+
+
+def test_itq_crowded_buckets_as_pairs(spark):
+    """Compared in blocks or as rows of pairs: the same links and components, those of brute force."""
+    vectors = _dense(600, 0.27)
+    labels = {i: 1 for i in vectors}
+    df = spark.createDataFrame([(i, v, 1) for i, v in vectors.items()], "vec_id long, embedding array<double>, label int").repartition(4)
+    rows = [sorted(map(tuple, itq.near_duplicates(df, most_pairs=m).collect())) for m in (0, 20_000, 1 << 60)]
+    assert rows[0] == rows[1] == rows[2]
+    right, links = _check_vectors(itq.near_duplicates(df, most_pairs=0).collect(), vectors, labels)
+    assert right >= 0.99 and 10_000 < len(links) < 600 * 599 // 2
+
+
+def test_itq_dense_group_has_no_row_per_pair(spark, monkeypatch):
+    vectors = _dense(3_000, 0.05)
+    df = spark.createDataFrame([(i, v, 1) for i, v in vectors.items()], "vec_id long, embedding array<double>, label int").repartition(4)
+    seen, rerank = [], itq.rerank
+    monkeypatch.setattr(itq, "rerank", lambda pairs, *rest: seen.append(pairs.count()) or rerank(pairs, *rest))
+    rows = itq.near_duplicates(df).collect()
+    assert seen[0] < 100 * len(vectors)
+    unit = np.array([vectors[i] for i in sorted(vectors)])
+    unit /= np.linalg.norm(unit, axis=1, keepdims=True)
+    links = (unit @ unit.T >= 0.93).sum(axis=1) - 1
+    assert [r["n_links"] for r in sorted(rows, key=lambda r: r["vec_id"])] == links.tolist()
+    assert sum(r["kept"] for r in rows) == 3
+
+
 def test_itq_recall_on_the_table(spark):
     df = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet")
     vectors = {r["vec_id"]: r["embedding"] for r in df.collect()}
@@ -228,7 +260,9 @@ def test_multi_index_finds_every_code_in_the_radius(spark):
     df = spark.createDataFrame([(i, i % 2, 64, c) for i, c in code.items()], "id long, label long, dim int, code long")
     expected = {(a, b) for a in code for b in code if a < b and a % 2 == b % 2 and bin(code[a] ^ code[b]).count("1") <= 9}
     for per_label in (10, 100_000):
-        got = [tuple(r) for r in itq.candidates(df, 64, 9, per_label).collect()]
+        tables = itq.tables_for(64, 9, per_label)
+        index = itq.index_rows(df, tables)
+        got = [tuple(r) for r in itq.candidates(index, itq.probe_rows(index, tables), tables).collect()]
         assert len(got) == len(set(got)) and set(got) == expected
 
 
