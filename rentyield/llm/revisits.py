@@ -26,6 +26,9 @@ as none; an empty table gives an empty result; other columns are ignored.
 
 from __future__ import annotations
 
+from math import isqrt
+
+import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -54,8 +57,16 @@ def _slices(records: DataFrame, rows: int) -> Column:
     n = min(MAX_SLICES, max(1, records.count() // rows))
     if n == 1:
         return F.lit(0)
-    cuts = sorted(set(records.approxQuantile("ts", [i / n for i in range(1, n)], 0.1 / n)))
-    return F.size(F.filter(F.array(*[F.lit(float(c)) for c in cuts]), lambda c: c <= F.col("ts")))
+    return cuts_up_to(sorted(set(records.approxQuantile("ts", [i / n for i in range(1, n)], 0.1 / n))), F.col("ts"))
+
+
+def cuts_up_to(cuts: list[float], value: Column) -> Column:
+    """How many of the sorted cuts the value reaches: first among every ``step``-th cut, then in the ``step`` cuts from there."""
+    if not cuts:
+        return F.lit(0)
+    step = isqrt(len(cuts))
+    base = F.greatest(F.size(F.filter(F.lit(np.array(cuts[::step], float)), lambda c: c <= value)) - 1, F.lit(0)) * step
+    return base + F.size(F.filter(F.slice(F.lit(np.array(cuts, float)), base + 1, F.lit(step)), lambda c: c <= value))
 
 
 def latest_earlier(records: DataFrame, rows: int = SLICE_ROWS) -> DataFrame:

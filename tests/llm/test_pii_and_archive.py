@@ -8,6 +8,7 @@ import re
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from oracle_compare import compare
@@ -152,6 +153,16 @@ def test_as_of_over_time_slices(spark):
     assert {r["record_id"]: r["refers_to"] for r in revisits.latest_earlier(df, 100).collect()} == known
 
 
+def test_slices_of_many_cuts(spark):
+    from bisect import bisect_right
+    values = [-1.0, 0.0, 0.5, 41.0, 42.0, 4999.5, 9998.0, 9999.0, 1e9]
+    df = spark.createDataFrame([(v,) for v in values], "ts double")
+    for n in (0, 1, 2, 3, 10, 9_999, 10_000):
+        cuts = [float(i) for i in range(n)]
+        got = {r[0]: r[1] for r in df.select("ts", revisits.cuts_up_to(cuts, F.col("ts"))).collect()}
+        assert got == {v: bisect_right(cuts, v) for v in values}
+
+
 def test_pipeline(spark, documents):
     assert [n for n, _ in corpus_pipeline.STAGES] == ["quality rules", "minhash near-dedup", "suffix-array dedup", "pii", "best-fit packing"]
     docs, folder = documents, "/root/testdata/sf0.001"
