@@ -179,8 +179,13 @@ class Ragged:
         return self.values[np.arange(len(shift)) + shift], np.concatenate([[0], ends])
 
 
-def _block_key(partition: int, number: int) -> int:
-    return (partition << 24) | number
+def _block_key(partition: int, number: int, data: np.ndarray, offsets: np.ndarray) -> int:
+    """A block's place in the scan hashed with its texts: where a second read cuts the scan otherwise, no words are found."""
+    import hashlib
+    digest = hashlib.blake2b(np.array([partition, number], "<i8").tobytes(), digest_size=8)
+    digest.update(np.ascontiguousarray(offsets, "<i8"))
+    digest.update(np.ascontiguousarray(data))
+    return int.from_bytes(digest.digest(), "little", signed=True)
 
 
 def _packed(codes: np.ndarray) -> bytes:
@@ -209,7 +214,7 @@ def _blocks(batches: Iterator[pa.RecordBatch], text: str, added: dict[str, int],
     from pyspark import TaskContext
     partition = TaskContext.get().partitionId()
     for number, part in enumerate(slices(batches, text, block_bytes)):
-        yield _block_key(partition, number), part, WordBlock(part.column(text), added)
+        yield _block_key(partition, number, *text_buffer(part.column(text))), part, WordBlock(part.column(text), added)
 
 
 def word_rows(docs: DataFrame, path: str, text: str = "text", block_bytes: int = BLOCK_BYTES) -> DataFrame:

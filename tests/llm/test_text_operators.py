@@ -66,6 +66,16 @@ def test_bpe_odd_rows(reference, odd, none):
     assert bpe.digests(none, PATH).count() == 0
 
 
+def test_bpe_blocks_are_told_apart_by_their_texts(spark, monkeypatch):
+    """Words of a scan that was cut otherwise, equal in number, are not taken for a block's own."""
+    first = spark.createDataFrame([(1, "one two"), (2, "three four")], "doc_id long, text string").coalesce(1)
+    second = spark.createDataFrame([(1, "five six"), (2, "seven eight")], "doc_id long, text string").coalesce(1)
+    other = bpe.word_rows(second, PATH)
+    monkeypatch.setattr(bpe, "word_rows", lambda *args: other)
+    with pytest.raises(Exception, match="the source changed between reads"):
+        bpe.encode(first, PATH).collect()
+
+
 def test_bpe_round_trip(odd):
     back = bpe.decode(bpe.encode(odd.filter("doc_id IS NOT NULL"), PATH), PATH).collect()
     texts = {r["doc_id"]: r["text"] or "" for r in odd.collect()}
