@@ -211,7 +211,9 @@ def linked_in_blocks(crowded: DataFrame, index: DataFrame, tables: Tables, class
                                      F.ceil(F.col("n_probe") / chunk).cast("int").alias("parts_a")))
     mine = F.pmod(F.xxhash64("id"), F.col("parts_a")).cast("int")
     theirs = F.pmod(F.xxhash64("id"), F.col("parts_b")).cast("int")
-    probe = (probe_rows(index, tables).join(crowded, BUCKET)
+    # the substrings that probe a crowded bucket are those that it would probe
+    near_by = probe_rows(crowded.withColumn("to", F.col("sub")), tables)
+    probe = (index.join(near_by, BUCKET).drop("sub").withColumnRenamed("to", "sub")
              .select(*BUCKET, "id", "code", F.lit(True).alias("probe"), mine.alias("part_a"), F.explode(F.sequence(F.lit(0), F.col("parts_b") - 1)).alias("part_b")))
     held = (index.join(crowded, BUCKET)
             .select(*BUCKET, "id", "code", F.lit(False).alias("probe"), F.explode(F.sequence(F.lit(0), F.col("parts_a") - 1)).alias("part_a"), theirs.alias("part_b")))
