@@ -9,11 +9,14 @@ touch the cell, and one bit: whether the cell's reference point is inside the zo
 its 16 children; those that no edge touches are kept if they are inside. Both numbers of all pairs come from one
 aggregate over edge rows: the crossings between a child's reference point and its parent's are summed modulo 2.
 So no row ever holds more than ``max_edges`` edges, however many a zone has, and the edges of one zone are dealt over all tasks.
+A zone of ``max_edges`` edges at most is never split: ``build_zones`` makes its pairs where its row is, without a shuffle, and
+only larger zones go through edge rows.
 
 Points. A point is inside a zone if the reference point of its cell is, unless the way between the two (along the point's row,
 then along the reference point's column) crosses an odd number of the pair's edges. The point's finest cell gives its
 cells on all levels by shifts; distinct positions meet the pairs of all levels in **one** join on the cell's number,
-where cells of many positions are salted. The lowest feature index per position is joined back to the points, so they are
+where cells of many positions are salted. The pairs of the smallest levels may be broadcast instead, up to ``broadcast_limit``
+bytes: a few wide zones then cost no shuffled row per position. A zone's box is held against the position before its edges are. The lowest feature index per position is joined back to the points, so they are
 shuffled once whatever the number of levels, and every point is preserved without a row number.
 
 Contract: as in ``operators.spatial``: an edge is stored from its lower to its higher end and its crossing of a row is
@@ -25,7 +28,7 @@ there keeps all its edges (those that meet in one vertex, say).
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -38,25 +41,29 @@ DEFAULT_ROWS_PER_TASK = 2_000_000
 DEFAULT_MAX_HOT_CELLS = 100_000
 DEFAULT_MAX_EDGES = 256
 MAX_DEPTH = 15
+EDGE_BYTES = 96         # one stored edge: six doubles plus row overhead
+PAIR_BYTES = 160        # box, reference point, numbers and headers of a pair; the code's length comes on top
 #: Place of the reference point in its cell: odd fractions, so that it is on no edge of round coordinates.
 _FX, _FY = 0.7548776662466927, 0.5698402909980532
 #: Cells take edges this much (of their size) outside them too.
 _MARGIN = 1e-6
 _ON_EDGE = 1_000_000_000
 _EDGE = ["x1", "y1", "x2", "y2"]
+_BOX = ["minx", "miny", "maxx", "maxy"]
 _SLOPED = [*_EDGE, "k", "m"]        # with the slopes dx/dy and dy/dx, NULL where there is none
 _EDGES = "array<struct<x1: double, y1: double, x2: double, y2: double, k: double, m: double>>"
 
 
 @dataclass(frozen=True)
 class QuadIndex:
-    """Written (cell, fid, code, xr, yr, par, edges) rows, the root cell, the depths in use, the most edges of a row."""
+    """Written (cell, fid, code, box, xr, yr, par, edges) rows, the root cell, the depths in use, the most edges of a row, bytes per depth."""
 
     pairs: DataFrame
     origin: tuple[float, float]
     root: float
     depths: tuple[int, ...]
     widest: int
+    sizes: dict[int, int] = field(default_factory=dict)
 
 
 # ---- edges -------------------------------------------------------------------------
@@ -112,16 +119,16 @@ def _on_edge(px: str, py: str) -> str:
             f"AND (e.x2 - e.x1) * ({py} - e.y1) = (e.y2 - e.y1) * ({px} - e.x1)")
 
 
-def _touches(cx: str, cy: str, size: str) -> Column:
+def _touches(cx: str, cy: str, size: str, e: str = "") -> str:
     """The edge meets the cell, with a margin: their boxes do, and its line does not leave all corners on one side.
 
     Columns ox, oy hold the origin.
     """
     m = _MARGIN
-    box = (f"greatest(x1, x2) >= ox + ({cx} - {m}D) * {size} AND least(x1, x2) <= ox + ({cx} + 1 + {m}D) * {size} "
-           f"AND y2 >= oy + ({cy} - {m}D) * {size} AND y1 <= oy + ({cy} + 1 + {m}D) * {size}")
-    off = f"abs((x2 - x1) * (oy + ({cy} + 0.5D) * {size} - y1) - (y2 - y1) * (ox + ({cx} + 0.5D) * {size} - x1))"
-    return F.expr(f"{box} AND {off} <= (abs(x2 - x1) + abs(y2 - y1)) * {size} * {0.5 + m}D")
+    box = (f"greatest({e}x1, {e}x2) >= ox + ({cx} - {m}D) * {size} AND least({e}x1, {e}x2) <= ox + ({cx} + 1 + {m}D) * {size} "
+           f"AND {e}y2 >= oy + ({cy} - {m}D) * {size} AND {e}y1 <= oy + ({cy} + 1 + {m}D) * {size}")
+    off = f"abs(({e}x2 - {e}x1) * (oy + ({cy} + 0.5D) * {size} - {e}y1) - ({e}y2 - {e}y1) * (ox + ({cx} + 0.5D) * {size} - {e}x1))"
+    return f"{box} AND {off} <= (abs({e}x2 - {e}x1) + abs({e}y2 - {e}y1)) * {size} * {0.5 + m}D"
 
 
 def _spread_bits(c: Column) -> Column:
@@ -137,18 +144,19 @@ def cell_number(cx: Column, cy: Column, depth: Column) -> Column:
 
 # ---- index -------------------------------------------------------------------------
 
-def build(edges: DataFrame, max_edges: int = DEFAULT_MAX_EDGES) -> QuadIndex:
-    """Edge rows → the tree's (zone, cell) pairs. Only the root box, depths and counts reach the driver."""
-    spark = edges.sparkSession
-    edges, path = written(edges.select(F.col("fid").cast("long").alias("fid"), "code", *_EDGE, F.expr("try_divide(x2 - x1, y2 - y1)").alias("k"),
-                                       F.expr("try_divide(y2 - y1, x2 - x1)").alias("m")))
-    passing = [path]                    # tables that go once the next level is written
-    boxes = edges.groupBy("fid").agg(F.min(F.least("x1", "x2")).alias("minx"), F.max(F.greatest("x1", "x2")).alias("maxx"),
-                                     F.min("y1").alias("miny"), F.max("y2").alias("maxy"))
+@dataclass(frozen=True)
+class _Frame:
+    """The root cell and the deepest level of a tree."""
+
+    origin: tuple[float, float]
+    root: float
+    deepest: int
+
+
+def _frame(boxes: DataFrame) -> _Frame | None:
     b = boxes.agg(F.min("minx").alias("minx"), F.max("maxx").alias("maxx"), F.min("miny").alias("miny"), F.max("maxy").alias("maxy")).first()
     if b["minx"] is None:
-        pairs = spark.createDataFrame([], _PAIRS)
-        return QuadIndex(pairs, (0.0, 0.0), 1.0, (), 0)
+        return None
     extent = max(b["maxx"] - b["minx"], b["maxy"] - b["miny"])
     least = 1e-8 * max(abs(v) for v in b) or 1e-300
     root = 4.0 ** -74
@@ -157,29 +165,88 @@ def build(edges: DataFrame, max_edges: int = DEFAULT_MAX_EDGES) -> QuadIndex:
     deepest = 0
     while deepest < MAX_DEPTH and root / 4 ** (deepest + 1) >= least:
         deepest += 1
-    origin = (b["minx"], b["miny"])
-    ox, oy = F.lit(origin[0]), F.lit(origin[1])
+    return _Frame((b["minx"], b["miny"]), root, deepest)
 
+
+def _own_cells(boxes: DataFrame, frame: _Frame) -> DataFrame:
+    """A row per zone and cell of its own size; adds depth, size, cx, cy and the origin."""
+    ox, oy = F.lit(frame.origin[0]), F.lit(frame.origin[1])
     # a zone begins at the depth whose cells are just as large: four cells at most
     width = F.greatest(F.col("maxx") - F.col("minx"), F.col("maxy") - F.col("miny"))
-    depth = F.when(width > 0, F.floor(F.log(4.0, F.lit(root) / width))).otherwise(F.lit(deepest))
-    boxes = boxes.withColumn("depth", F.least(F.greatest(depth, F.lit(0)), F.lit(deepest)).cast("int"))
-    size = F.lit(root) / F.pow(F.lit(4.0), F.col("depth").cast("double"))
-    boxes = boxes.withColumn("size", size)
+    depth = F.when(width > 0, F.floor(F.log(4.0, F.lit(frame.root) / width))).otherwise(F.lit(frame.deepest))
+    boxes = boxes.withColumn("depth", F.least(F.greatest(depth, F.lit(0)), F.lit(frame.deepest)).cast("int"))
+    boxes = boxes.withColumn("size", F.lit(frame.root) / F.pow(F.lit(4.0), F.col("depth").cast("double")))
     steps = [F.sequence(F.floor((F.col(lo) - o) / F.col("size")), F.floor((F.col(hi) - o) / F.col("size"))) for lo, hi, o in
              (("minx", "maxx", ox), ("miny", "maxy", oy))]
-    cells = boxes.withColumn("cx", F.explode(steps[0])).withColumn("cy", F.explode(steps[1]))
-    cells = cells.select(F.col("fid").alias("_f"), "depth", "size", "cx", "cy")
+    return boxes.withColumn("cx", F.explode(steps[0])).withColumn("cy", F.explode(steps[1])).withColumns({"ox": ox, "oy": oy})
+
+
+def _no_index(spark) -> QuadIndex:
+    return QuadIndex(spark.createDataFrame([], _PAIRS), (0.0, 0.0), 1.0, (), 0)
+
+
+def _index_of(done: list[DataFrame], frame: _Frame) -> QuadIndex:
+    pairs = done[0]
+    for more in done[1:]:
+        pairs = pairs.unionByName(more)
+    size = F.lit(PAIR_BYTES) + F.coalesce(F.octet_length("code"), F.lit(0)) + F.size("edges") * F.lit(EDGE_BYTES)
+    held = pairs.groupBy("depth").agg(F.max(F.size("edges")).alias("widest"), F.sum(size).alias("b")).collect()    # MAX_DEPTH + 1 rows at most
+    sizes = {r["depth"]: int(r["b"]) for r in held}
+    return QuadIndex(pairs, frame.origin, frame.root, tuple(sorted(sizes)), max((r["widest"] for r in held), default=0), sizes)
+
+
+def build_zones(zones: DataFrame, max_edges: int = DEFAULT_MAX_EDGES) -> QuadIndex:
+    """(fid, code, edges, minx, miny, maxx, maxy), as ``rings.zone_edges`` gives them → the tree that ``build`` makes of their edges."""
+    spark = zones.sparkSession
+    z = zones.select(F.col("fid").cast("long").alias("fid"), "code", "edges", *_BOX)
+    frame = _frame(z)
+    if frame is None:
+        return _no_index(spark)
+    light = _with_reference(_own_cells(z.filter(F.size("edges") <= max_edges), frame))
+    odd = f"CASE WHEN yr >= e.y1 AND yr < e.y2 AND {_right_of('e.', 'yr', 'xr')} THEN 1L ELSE 0L END"
+    sloped = ", ".join([*(f"'{c}', e.{c}" for c in _EDGE), "'k', try_divide(e.x2 - e.x1, e.y2 - e.y1)", "'m', try_divide(e.y2 - e.y1, e.x2 - e.x1)"])
+    light = light.withColumn("edges", F.expr(f"transform(edges, e -> named_struct({sloped}))"))
+    light = light.withColumns({"par": F.expr(f"aggregate(edges, 0L, (acc, e) -> acc + {odd}) % 2"),
+                               "edges": F.expr(f"filter(edges, e -> {_touches('cx', 'cy', 'size', 'e.')})")})
+    rows, path = written(light.select(cell_number(F.col("cx"), F.col("cy"), F.col("depth")).alias("cell"), "depth", "fid", "code", *_BOX,
+                                      "xr", "yr", "par", "edges"))
+    done = [rows.filter((F.size("edges") > 0) | (F.col("par") == 1))]
+    heavy = z.filter(F.size("edges") > max_edges)
+    if not heavy.isEmpty():
+        done += _split(heavy.select("fid", "code", F.explode("edges").alias("e")).select("fid", "code", *[f"e.{c}" for c in _EDGE]), max_edges, frame)[0]
+    return _index_of(done, frame)
+
+
+def build(edges: DataFrame, max_edges: int = DEFAULT_MAX_EDGES) -> QuadIndex:
+    """Edge rows → the tree's (zone, cell) pairs. Only the root box, depths and counts reach the driver."""
+    done, frame = _split(edges, max_edges)
+    return _index_of(done, frame) if frame else _no_index(edges.sparkSession)
+
+
+def _split(edges: DataFrame, max_edges: int, frame: _Frame | None = None) -> tuple[list[DataFrame], _Frame | None]:
+    """The written pairs of each level, for zones of any size given by edge rows."""
+    spark = edges.sparkSession
+    edges, path = written(edges.select(F.col("fid").cast("long").alias("fid"), "code", *_EDGE, F.expr("try_divide(x2 - x1, y2 - y1)").alias("k"),
+                                       F.expr("try_divide(y2 - y1, x2 - x1)").alias("m")))
+    passing = [path]                    # tables that go once the next level is written
+    boxes = edges.groupBy("fid").agg(F.min(F.least("x1", "x2")).alias("minx"), F.max(F.greatest("x1", "x2")).alias("maxx"),
+                                     F.min("y1").alias("miny"), F.max("y2").alias("maxy"))
+    frame = frame or _frame(boxes)
+    if frame is None:
+        return [], None
+    deepest = frame.deepest
+    ox, oy = F.lit(frame.origin[0]), F.lit(frame.origin[1])
+    cells = _own_cells(boxes, frame).select(F.col("fid").alias("_f"), *_BOX, "depth", "size", "cx", "cy")
     rows = edges.join(cells, F.col("fid") == F.col("_f")).drop("_f").withColumns({"ox": ox, "oy": oy, "par": F.lit(0).cast("long")})
     rows = _with_reference(rows).withColumns({
-        "touch": _touches("cx", "cy", "size"),
+        "touch": F.expr(_touches("cx", "cy", "size")),
         "odd": F.expr(f"CASE WHEN yr >= y1 AND yr < y2 AND {_right_of('', 'yr', 'xr')} THEN 1L ELSE 0L END")})
     done = []
     while True:
-        rows, path = written(rows.select("fid", "code", *_SLOPED, "depth", "size", "cx", "cy", "par", "touch", "odd"))
+        rows, path = written(rows.select("fid", "code", *_BOX, *_SLOPED, "depth", "size", "cx", "cy", "par", "touch", "odd"))
         drop_written(spark, passing)
         pairs, other = written(rows.groupBy("fid", "cx", "cy", "depth").agg(
-            F.max("code").alias("code"), F.max("size").alias("size"), ((F.max("par") + F.sum("odd")) % 2).alias("par"), F.count_if("touch").alias("n")))
+            F.max("code").alias("code"), *[F.max(c).alias(c) for c in _BOX], F.max("size").alias("size"), ((F.max("par") + F.sum("odd")) % 2).alias("par"), F.count_if("touch").alias("n")))
         passing = [path, other]
         heavy = (F.col("n") > max_edges) & (F.col("depth") < deepest)
         # light pairs gather their edges: max_edges at most (beyond only at the deepest level)
@@ -190,7 +257,7 @@ def build(edges: DataFrame, max_edges: int = DEFAULT_MAX_EDGES) -> QuadIndex:
         leaf = (light.join(gathered.select(*_key("g"), "edges"), _same("g"), "left")
                 .withColumns({"ox": ox, "oy": oy, "edges": F.coalesce("edges", none)}))
         done.append(written(_with_reference(leaf).select(cell_number(F.col("cx"), F.col("cy"), F.col("depth")).alias("cell"), "depth",
-                                                         "fid", "code", "xr", "yr", "par", "edges"))[0])
+                                                         "fid", "code", *_BOX, "xr", "yr", "par", "edges"))[0])
         split = pairs.filter(heavy).select(*_key("h"), F.col("par").alias("_par"))
         if split.isEmpty():
             drop_written(spark, passing)
@@ -201,16 +268,11 @@ def build(edges: DataFrame, max_edges: int = DEFAULT_MAX_EDGES) -> QuadIndex:
         down = down.withColumns({"cx": F.col("cx") * 4 + F.col("child") % 4, "cy": F.col("cy") * 4 + F.floor(F.col("child") / 4),
                                  "size": F.col("size") / 4, "depth": F.col("depth") + 1, "par": F.col("_par")})
         rows = _with_reference(down).withColumns({
-            "touch": _touches("cx", "cy", "size"), "odd": F.expr(_crossings("", "xr", "yr", "px", "py"))})
-    pairs = done[0]
-    for more in done[1:]:
-        pairs = pairs.unionByName(more)
-    depths = [r["depth"] for r in pairs.select("depth").distinct().collect()]           # MAX_DEPTH + 1 at most
-    widest = pairs.agg(F.max(F.size("edges"))).first()[0] or 0
-    return QuadIndex(pairs.drop("depth"), origin, root, tuple(sorted(depths)), widest)
+            "touch": F.expr(_touches("cx", "cy", "size")), "odd": F.expr(_crossings("", "xr", "yr", "px", "py"))})
+    return done, frame
 
 
-_PAIRS = f"cell long, fid long, code string, xr double, yr double, par long, edges {_EDGES}"
+_PAIRS = f"cell long, depth int, fid long, code string, minx double, miny double, maxx double, maxy double, xr double, yr double, par long, edges {_EDGES}"
 _KEY = ("fid", "cx", "cy", "depth")
 
 
@@ -234,15 +296,20 @@ def _with_reference(df: DataFrame) -> DataFrame:
 
 def lookup(points: DataFrame, index: QuadIndex, lon: str = "longitude", lat: str = "latitude", out: str = "zone_code",
            where: Column | None = None, rows_per_task: int = DEFAULT_ROWS_PER_TASK,
-           max_hot_cells: int = DEFAULT_MAX_HOT_CELLS) -> DataFrame:
-    """Add ``out`` = code of the zone containing (lon, lat), else NULL; every row of ``points`` is kept as it is."""
+           max_hot_cells: int = DEFAULT_MAX_HOT_CELLS, broadcast_limit: int = 0) -> DataFrame:
+    """Add ``out`` = code of the zone containing (lon, lat), else NULL; every row of ``points`` is kept as it is.
+
+    The smallest levels of the index are broadcast, as many as ``broadcast_limit`` bytes hold.
+    """
     if not index.depths:
         return points.withColumn(out, F.lit(None).cast("string"))
     ok = F.col(lon).isNotNull() & F.col(lat).isNotNull()
     if where is not None:
         ok = ok & F.coalesce(where, F.lit(False))
     rows = points.withColumns({"_px": F.when(ok, F.col(lon).cast("double")), "_py": F.when(ok, F.col(lat).cast("double"))})
-    found = positions_found(rows.select("_px", "_py"), index, rows_per_task, max_hot_cells)
+    # exploded from one array, so that filters on a position stay above its parsing and do not repeat it
+    at = F.explode(F.when(ok, F.array(F.struct(F.col(lon).cast("double").alias("_px"), F.col(lat).cast("double").alias("_py"))))).alias("_p")
+    found = positions_found(points.select(at).select("_p.*"), index, rows_per_task, max_hot_cells, broadcast_limit)
     spread = int(points.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     flat = [c for c, t in points.dtypes if "map<" not in t]        # a map has no hash
     # rows that look up nothing get a salt instead of a position, so they do not pile up under NULL
@@ -253,8 +320,8 @@ def lookup(points: DataFrame, index: QuadIndex, lon: str = "longitude", lat: str
             .drop("_px", "_py", "_fx", "_fy", "_salt", "_fs"))
 
 
-def positions_found(positions: DataFrame, index: QuadIndex, rows_per_task: int, max_hot_cells: int) -> DataFrame:
-    """(_px, _py, code): the distinct positions that are in a zone. One join on the cell for all levels."""
+def positions_found(positions: DataFrame, index: QuadIndex, rows_per_task: int, max_hot_cells: int, broadcast_limit: int = 0) -> DataFrame:
+    """(_px, _py, code): the distinct positions that are in a zone. One join on the cell for all levels but those broadcast."""
     spark = positions.sparkSession
     ensure_checkpoint_dir(spark)
     deepest = max(index.depths)
@@ -264,20 +331,42 @@ def positions_found(positions: DataFrame, index: QuadIndex, rows_per_task: int,
     inside_root = (~F.isnan("_px") & ~F.isnan("_py") & (F.col("_px") >= index.origin[0]) & (F.col("_px") < index.origin[0] + index.root)
                    & (F.col("_py") >= index.origin[1]) & (F.col("_py") < index.origin[1] + index.root))
     seen = positions.filter(inside_root).distinct()
-    seen = seen.withColumn("_fine", cell_number(F.least(cx, F.lit(n - 1)), F.least(cy, F.lit(n - 1)), F.lit(deepest)))
-    cells = F.array(*[F.shiftright("_fine", 4 * (deepest - d)) for d in index.depths])
-    seen = seen.select("_px", "_py", F.explode(cells).alias("_cell")).checkpoint()
-    # only cells with zones; those of many positions get salts: at most max_hot_cells, so their table may be broadcast
-    counts = seen.groupBy("_cell").agg(F.count(F.lit(1)).alias("n")).checkpoint()
-    total = counts.agg(F.sum("n")).first()[0] or 0
-    limit = max(int(rows_per_task), -(-int(total) // int(max_hot_cells)))
-    hot = counts.filter(F.col("n") > limit).select(F.col("_cell").alias("_h"), F.ceil(F.col("n") / limit).cast("int").alias("_f"))
-    salts = F.coalesce("_f", F.lit(1))
-    seen = (seen.join(F.broadcast(hot), F.col("_cell") == F.col("_h"), "left")
-            .select("_px", "_py", "_cell", F.pmod(F.xxhash64("_px", "_py"), salts).cast("int").alias("_s")))
-    pairs = (index.pairs.join(F.broadcast(hot), F.col("cell") == F.col("_h"), "left")
-             .withColumn("_t", F.explode(F.sequence(F.lit(0), salts - 1))).drop("_h", "_f"))
+    seen = seen.withColumn("_fine", cell_number(F.least(cx, F.lit(n - 1)), F.least(cy, F.lit(n - 1)), F.lit(deepest))).checkpoint()
+    in_box = "_px >= minx AND _px <= maxx AND _py >= miny AND _py <= maxy"
     test = (f"aggregate(edges, par, (acc, e) -> acc + CASE WHEN {_on_edge('_px', '_py')} THEN {_ON_EDGE}L "
             f"ELSE {_crossings('e.', '_px', '_py', 'xr', 'yr')} END, acc -> acc < {_ON_EDGE}L AND acc % 2 = 1)")
-    met = seen.join(pairs, (F.col("_cell") == F.col("cell")) & (F.col("_s") == F.col("_t"))).filter(F.expr(test))
-    return met.groupBy("_px", "_py").agg(F.min(F.struct("fid", "code")).alias("z")).select("_px", "_py", "z.code")
+
+    def of_depths(depths: list[int]) -> DataFrame:
+        cells = F.array(*[F.shiftright("_fine", 4 * (deepest - d)) for d in depths])
+        return seen.select("_px", "_py", F.explode(cells).alias("_cell"))
+
+    def inside(met: DataFrame) -> DataFrame:
+        return met.filter(F.expr(in_box)).filter(F.expr(test)).select("_px", "_py", "fid", "code")
+
+    small, left = [], broadcast_limit
+    for d in sorted(index.depths, key=lambda d: index.sizes[d]):
+        left -= index.sizes[d]
+        if left < 0:
+            break
+        small.append(d)
+    large = [d for d in index.depths if d not in small]
+    met = []
+    if small:
+        few = index.pairs.filter(F.col("depth").isin(small)).drop("depth")
+        met.append(inside(of_depths(small).join(F.broadcast(few), F.col("_cell") == F.col("cell"))))
+    if large:
+        dealt = of_depths(large)
+        # only cells with zones; those of many positions get salts: at most max_hot_cells, so their table may be broadcast
+        counts = dealt.groupBy("_cell").agg(F.count(F.lit(1)).alias("n")).checkpoint()
+        total = counts.agg(F.sum("n")).first()[0] or 0
+        limit = max(int(rows_per_task), -(-int(total) // int(max_hot_cells)))
+        hot = counts.filter(F.col("n") > limit).select(F.col("_cell").alias("_h"), F.ceil(F.col("n") / limit).cast("int").alias("_f"))
+        salts = F.coalesce("_f", F.lit(1))
+        dealt = (dealt.join(F.broadcast(hot), F.col("_cell") == F.col("_h"), "left")
+                 .select("_px", "_py", "_cell", F.pmod(F.xxhash64("_px", "_py"), salts).cast("int").alias("_s")))
+        pairs = index.pairs.filter(F.col("depth").isin(large)).drop("depth")
+        pairs = (pairs.join(F.broadcast(hot), F.col("cell") == F.col("_h"), "left")
+                 .withColumn("_t", F.explode(F.sequence(F.lit(0), salts - 1))).drop("_h", "_f"))
+        met.append(inside(dealt.join(pairs, (F.col("_cell") == F.col("cell")) & (F.col("_s") == F.col("_t")))))
+    all_met = met[0] if len(met) == 1 else met[0].unionByName(met[1])
+    return all_met.groupBy("_px", "_py").agg(F.min(F.struct("fid", "code")).alias("z")).select("_px", "_py", "z.code")

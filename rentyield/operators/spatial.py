@@ -35,6 +35,7 @@ overlap the lowest feature index wins. A feature with a broken ring or position
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -79,6 +80,11 @@ class ZoneIndex:
     cells: tuple[float, ...]        # cell size per level in use
     size_bound: int                 # upper bound on the index bytes
 
+    @cached_property
+    def quad(self) -> QuadIndex:
+        """The same zones as a quadtree, built once for all joins that cannot broadcast them."""
+        return quadtree.build_zones(self.edges)
+
 
 def prepare(zones: DataFrame, cell: float | None = None) -> ZoneIndex:
     """Parse the zones once and gather, in one action, the levels in use and a bound on the index size.
@@ -132,15 +138,15 @@ def spatial_join(points: DataFrame, zones: DataFrame | ZoneIndex | QuadIndex, lo
     """Add ``out`` = code of the zone containing (lon, lat), else NULL.
 
     ``zones`` has columns (fid, code, rings: array<array<array<double>>>), or is what ``prepare`` or
-    ``quadtree.build`` made of them. Rows where ``where`` is false, or a coordinate is NULL, are passed through
+    ``quadtree.build`` or ``quadtree.build_zones`` made of them. Rows where ``where`` is false, or a coordinate is NULL, are passed through
     with NULL and never meet the index. An index larger than ``broadcast_limit`` is made a quadtree of edges and
-    joined by one shuffle of the points (keep a ``quadtree.build`` to use it for several joins).
+    joined by one shuffle of the points; its levels are broadcast as far as ``broadcast_limit`` goes. A prepared index builds it once.
     """
     index = zones if isinstance(zones, ZoneIndex | QuadIndex) else prepare(zones, cell)
     if isinstance(index, ZoneIndex) and index.size_bound > broadcast_limit:
-        index = quadtree.build(index.edges.select("fid", "code", F.explode("edges").alias("e")).select("fid", "code", "e.*"))
+        index = index.quad
     if isinstance(index, QuadIndex):
-        return quadtree.lookup(points, index, lon, lat, out, where, rows_per_task, max_hot_cells)
+        return quadtree.lookup(points, index, lon, lat, out, where, rows_per_task, max_hot_cells, broadcast_limit)
     ok = F.col(lon).isNotNull() & F.col(lat).isNotNull()
     if where is not None:
         ok = ok & F.coalesce(where, F.lit(False))

@@ -10,7 +10,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from rentyield.operators import quadtree
-from rentyield.operators.spatial import spatial_join
+from rentyield.operators.rings import zone_edges
+from rentyield.operators.spatial import prepare, spatial_join
 from test_plans import plan_of
 
 ZONE = "fid bigint, code string, rings array<array<array<double>>>"
@@ -138,3 +139,41 @@ def test_no_zones(spark):
     none = quadtree.build(quadtree.edges_of_zones(spark.createDataFrame([], ZONE)))
     pts = spark.createDataFrame([(1.0, 1.0)], "x double, y double")
     assert [r["zone_code"] for r in quadtree.lookup(pts, none, "x", "y").collect()] == [None]
+
+
+@pytest.mark.parametrize("max_edges,limit", [(256, 0), (256, 1 << 20), (12, 1500), (2, 1 << 20)])
+def test_zones_of_few_edges_need_no_edge_rows(spark, max_edges, limit):
+    """The tree made where the zones' rows are, with levels broadcast or not, finds what a plain crossing count finds."""
+    rng = random.Random(limit)
+    pts = [(rng.uniform(-1, 9), rng.uniform(-1, 9)) for _ in range(600)] + [(rng.uniform(800, 1020), rng.uniform(-800, -480)) for _ in range(300)]
+    pts += [(rng.randint(-4, 36) / 4, rng.randint(-4, 36) / 4) for _ in range(300)] + [(-5000.0, -5000.0), (1000.0, 1000.0), (3.0, 3.0)]
+    index = quadtree.build_zones(zone_edges(spark.createDataFrame(ROWS, ZONE)), max_edges)
+    df = spark.createDataFrame([(i, *p) for i, p in enumerate(pts)], "i int, x double, y double").repartition(3)
+    got = {r["i"]: r["zone_code"] for r in quadtree.lookup(df, index, "x", "y", rows_per_task=100, broadcast_limit=limit).collect()}
+    assert [got[i] for i in range(len(pts))] == [_plain(*p) for p in pts]
+
+
+def test_small_levels_are_broadcast_and_the_tree_is_built_once(spark):
+    index = prepare(spark.createDataFrame(ROWS, ZONE))
+    assert index.quad is index.quad
+    pts = spark.createDataFrame([(1.0, 1.0)], "x double, y double")
+    found = quadtree.positions_found(pts.selectExpr("x AS _px", "y AS _py"), index.quad, 100, 100, broadcast_limit=1 << 20)
+    assert "SortMergeJoin" not in plan_of(found) and "BroadcastHashJoin" in plan_of(found)
+    shuffled = quadtree.positions_found(pts.selectExpr("x AS _px", "y AS _py"), index.quad, 100, 100)
+    assert [r["code"] for r in found.collect()] == [r["code"] for r in shuffled.collect()] != []
+
+
+def test_a_filter_on_the_position_does_not_repeat_its_parsing(spark):
+    """Coordinates parsed from text: the rows that look up are parsed by a bounded number of casts, not once per comparison."""
+    seen = []
+    zones = quadtree.build_zones(zone_edges(spark.createDataFrame(ROWS, ZONE)))
+    pts = spark.createDataFrame([("1.0", "1.0")], "x string, y string").selectExpr("try_cast(x AS double) AS x", "try_cast(y AS double) AS y")
+    plain = quadtree.positions_found
+    try:
+        quadtree.positions_found = lambda positions, *a: (seen.append(positions), plain(positions, *a))[1]
+        quadtree.lookup(pts, zones, "x", "y").collect()
+    finally:
+        quadtree.positions_found = plain
+    kept = seen[0].filter("_px >= 0 AND _px < 5 AND NOT isnan(_px) AND _py >= 0 AND _py < 5 AND NOT isnan(_py)")
+    plan = plan_of(kept)
+    assert plan.count("cast(x#") <= 6, plan
