@@ -198,21 +198,26 @@ def _index_of(done: list[DataFrame], frame: _Frame) -> QuadIndex:
 def build_zones(zones: DataFrame, max_edges: int = DEFAULT_MAX_EDGES) -> QuadIndex:
     """(fid, code, edges, minx, miny, maxx, maxy), as ``rings.zone_edges`` gives them → the tree that ``build`` makes of their edges."""
     spark = zones.sparkSession
+    ensure_checkpoint_dir(spark)
     z = zones.select(F.col("fid").cast("long").alias("fid"), "code", "edges", *_BOX)
     frame = _frame(z)
     if frame is None:
         return _no_index(spark)
-    light = _with_reference(_own_cells(z.filter(F.size("edges") <= max_edges), frame))
+    # zones to split, and rows of one fid: these make one zone together, as their edge rows do
+    apart = z.groupBy("fid").agg(F.count(F.lit(1)).alias("n"), F.sum(F.size("edges")).alias("held"))
+    apart = apart.filter((F.col("n") > 1) | (F.col("held") > max_edges)).select(F.col("fid").alias("_a")).checkpoint()
+    light = z.filter("fid IS NOT NULL").join(apart, F.col("fid") == F.col("_a"), "left_anti")
+    light = _with_reference(_own_cells(light, frame))
     odd = f"CASE WHEN yr >= e.y1 AND yr < e.y2 AND {_right_of('e.', 'yr', 'xr')} THEN 1L ELSE 0L END"
     sloped = ", ".join([*(f"'{c}', e.{c}" for c in _EDGE), "'k', try_divide(e.x2 - e.x1, e.y2 - e.y1)", "'m', try_divide(e.y2 - e.y1, e.x2 - e.x1)"])
     light = light.withColumn("edges", F.expr(f"transform(edges, e -> named_struct({sloped}))"))
     light = light.withColumns({"par": F.expr(f"aggregate(edges, 0L, (acc, e) -> acc + {odd}) % 2"),
                                "edges": F.expr(f"filter(edges, e -> {_touches('cx', 'cy', 'size', 'e.')})")})
-    rows, path = written(light.select(cell_number(F.col("cx"), F.col("cy"), F.col("depth")).alias("cell"), "depth", "fid", "code", *_BOX,
+    rows, _ = written(light.select(cell_number(F.col("cx"), F.col("cy"), F.col("depth")).alias("cell"), "depth", "fid", "code", *_BOX,
                                       "xr", "yr", "par", "edges"))
     done = [rows.filter((F.size("edges") > 0) | (F.col("par") == 1))]
-    heavy = z.filter(F.size("edges") > max_edges)
-    if not heavy.isEmpty():
+    if not apart.isEmpty():
+        heavy = z.join(apart, F.col("fid") == F.col("_a"), "left_semi")
         done += _split(heavy.select("fid", "code", F.explode("edges").alias("e")).select("fid", "code", *[f"e.{c}" for c in _EDGE]), max_edges, frame)[0]
     return _index_of(done, frame)
 

@@ -177,3 +177,13 @@ def test_a_filter_on_the_position_does_not_repeat_its_parsing(spark):
     kept = seen[0].filter("_px >= 0 AND _px < 5 AND NOT isnan(_px) AND _py >= 0 AND _py < 5 AND NOT isnan(_py)")
     plan = plan_of(kept)
     assert plan.count("cast(x#") <= 6, plan
+
+
+def test_rows_of_one_fid_are_one_zone(spark):
+    """Two rows with the same fid have their edges together, whichever way the tree is made: where both hold a point, none does."""
+    rows = ROWS[:2] + [ROWS[1], (3, "wide", [_square(-50.0, -50.0, 60.0)]), (None, "none", [_square(-50.0, -50.0, 60.0)])]
+    zones = spark.createDataFrame(rows, ZONE)
+    df = spark.createDataFrame([(7.5, 0.5), (4.0, 4.0), (-3.0, 2.0), (30.0, 3.0)], "x double, y double")
+    got = [[r["zone_code"] for r in quadtree.lookup(df, index, "x", "y").orderBy("x").collect()]
+           for index in (quadtree.build(quadtree.edges_of_zones(zones)), quadtree.build_zones(zone_edges(zones)))]
+    assert got[0] == got[1] and got[1][0] == "wide" and got[1][2] == "wide" and got[1][3] is None
