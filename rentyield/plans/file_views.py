@@ -37,8 +37,8 @@ def raw_files(spark: SparkSession, d: str) -> Paths:
         demo.stays(spark, d).write.options(**keep_blanks).csv(f"{paths.raw}/{paths.listings_file}")
         lets = demo.lets(spark, d).withColumns({c: F.array(c) for c in ("_id", "firstSeenAt", "lastSeenAt")})
         lets.write.json(f"{paths.raw}/{paths.rentals_file}")
-        # one file in feature order, as a zone file is: the order decides where zones overlap
-        _feature_lines(spark, d).coalesce(1).sortWithinPartitions("fid").select("value") \
+        # one file in feature order, as a zone file is: the order decides where zones overlap; only sorting and writing are one task's
+        _feature_lines(spark, d).repartition(1).sortWithinPartitions("fid").select("value") \
             .write.text(f"{paths.raw}/{paths.zones_file}")
         _WRITTEN[key] = paths
     return _WRITTEN[key]
@@ -69,7 +69,7 @@ def zone_document(spark: SparkSession, d: str) -> str:
         first = lines.agg(F.min("fid")).first()[0]
         parts = lines.select(F.lit(1).alias("part"), "fid", F.concat(F.when(F.col("fid") == first, "").otherwise(","), "value").alias("value"))
         frame = spark.sql("""SELECT 0 AS part, 0L AS fid, '{"type":"FeatureCollection","features":[' AS value UNION ALL SELECT 2, 0L, ']}'""")
-        frame.unionByName(parts).coalesce(1).sortWithinPartitions("part", "fid").select("value").write.text(path)
+        frame.unionByName(parts).repartition(1).sortWithinPartitions("part", "fid").select("value").write.text(path)
         _DOCUMENT[key] = path
     return _DOCUMENT[key]
 

@@ -175,7 +175,8 @@ def read_features(spark: SparkSession, path: str, per_line: bool = False,
         feats = df.select(F.posexplode("features").alias("fid", "f")).select(
             "fid", "f.properties", "f.geometry")
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return feats.repartition(n)
+    # dealt by row id: filters on parsed rings stay above, in as many tasks (see tables.spread)
+    return feats.repartition(n, F.monotonically_increasing_id())
 
 
 def read_zones(spark: SparkSession, path: str, code_key: str | None = None,
