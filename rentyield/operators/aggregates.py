@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
+from ..sources.tables import drop_written, written
 from .ranks import digit_medians
 from .revenue import money
 
@@ -104,10 +105,13 @@ def _measures_by_digits(rows: DataFrame, key: str) -> DataFrame:
     """Sums, counts and medians from partial aggregates only; prices and nets beyond 10^12 count as missing in the medians."""
     units = {"_pu": _units(F.col("_p"), MONEY_SCALE), "_nu": _units(F.col("_n"), NET_SCALE)}
     limit = F.lit(10 ** 18).cast("decimal(38,0)")
+    rows, path = written(rows)          # made once for the medians and the sums
     whole = rows.select(key, *[F.when(F.abs(u) <= limit, u).cast("long").alias(name) for name, u in units.items()])
     found = digit_medians(whole, key, list(units)).withColumnRenamed(key, "_key")
     (ps, pc), (ns, nc), (os_, oc) = mean2(F.col("_p"), MONEY_SCALE), mean2(F.col("_n"), NET_SCALE), mean2(F.col("_o"))
     sums = rows.groupBy(key).agg(pc.alias("_count"), ps.alias("_ps"), ns.alias("_ns"), nc.alias("_nc"), os_.alias("_os"), oc.alias("_oc"))
+    sums, _ = written(sums)
+    drop_written(rows.sparkSession, [path])
     as_money = [F.round((F.col(u).cast("decimal(24,6)") / F.lit(10 ** scale).cast("decimal(8,0)")).cast("decimal(24,6)"), 2).cast("double").alias(name)
                 for u, scale, name in (("_pu", MONEY_SCALE, "median_price"), ("_nu", NET_SCALE, "median_net"))]
     return sums.join(found.select("_key", *as_money), F.col(key).eqNullSafe(F.col("_key")), "left").drop("_key")

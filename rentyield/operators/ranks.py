@@ -5,7 +5,7 @@ range; the ranges' counts tell which of them hold the wanted ranks, and only wit
 values. A task sees one range; the table of ranges has a row per range and column.
 
 ``digit_medians`` (AG05): the lower median of every group by refining it digit by digit. Each pass counts the rows
-that agree with the digits found so far by their next digit (2^bits counters a group and task at most), so a
+that agree with the digits found so far, which it keeps for the next one, by their next digit (2^bits counters a group and task at most), so a
 group that holds a third of all rows, or millions of distinct values, costs no task more than its counters.
 """
 
@@ -72,22 +72,29 @@ def digit_medians(df: DataFrame, key: str, values: list[str], bits: int = 10) ->
     rows, path = written(rows)
     passing = []
     state, last = written(rows.groupBy("g", "which").agg(F.min("v").alias("low"), F.max("v").alias("high"), F.count(F.lit(1)).alias("n"))
-                          .select("g", "which", "low", (F.col("high") - F.col("low")).alias("span"),
+                          .select("g", "which", "low", F.length(F.bin(F.col("high") - F.col("low"))).alias("len"),
                                   F.expr("(n + 1) div 2").alias("rank"), F.lit(0).cast("long").alias("prefix")))
     passing.append(last)
-    top = state.agg(F.max("span"), F.count(F.lit(1))).first()
-    passes = max(1, -(-int(top[0] or 0).bit_length() // bits))
+    top = state.agg(F.max("len"), F.count(F.lit(1))).first()
+    passes = max(1, -(-int(top[0] or 0) // bits))
     for p in range(passes):
-        shift = bits * (passes - 1 - p)
-        held = state.select(F.col("g").alias("_g"), F.col("which").alias("_w"), "low", "rank", "prefix")
+        held = state.select(F.col("g").alias("_g"), F.col("which").alias("_w"), "low", "len", "rank", "prefix")
         held = F.broadcast(held) if top[1] <= BROADCAST_GROUPS else held
         same = F.col("g").eqNullSafe(F.col("_g")) & (F.col("which") == F.col("_w"))
-        digit = F.shiftright(F.col("v") - F.col("low"), shift)
-        agree = rows.join(held, same).withColumn("d", digit).filter(F.shiftright("d", bits) == F.col("prefix"))
-        counted = agree.groupBy("g", "which", "d").agg(F.count(F.lit(1)).alias("c"), F.max("rank").alias("rank"), F.max("low").alias("low"))
+        # each group's digits begin at the first bit of its own span
+        done, shift = (F.greatest(F.col("len") - bits * q, F.lit(0)) for q in (p, p + 1))
+        agree = rows.join(held, same)
+        if p:       # the rows that agree so far, a small share after the first digit, are all that the later passes read
+            agree = agree.filter(F.call_function("shiftright", F.col("v") - F.col("low"), done) == F.col("prefix"))
+            rows, less = written(agree.select("g", "which", "v"))
+            drop_written(spark, [path])
+            path = less
+            agree = rows.join(held, same)
+        agree = agree.withColumn("d", F.call_function("shiftright", F.col("v") - F.col("low"), shift))
+        counted = agree.groupBy("g", "which", "d").agg(F.count(F.lit(1)).alias("c"), *[F.max(c).alias(c) for c in ("rank", "low", "len")])
         upto = F.sum("c").over(Window.partitionBy("g", "which").orderBy("d").rowsBetween(Window.unboundedPreceding, 0))
         counted = counted.withColumn("upto", upto).filter((F.col("upto") >= F.col("rank")) & (F.col("upto") - F.col("c") < F.col("rank")))
-        state, last = written(counted.select("g", "which", "low", (F.col("rank") - F.col("upto") + F.col("c")).alias("rank"), F.col("d").alias("prefix")))
+        state, last = written(counted.select("g", "which", "low", "len", (F.col("rank") - F.col("upto") + F.col("c")).alias("rank"), F.col("d").alias("prefix")))
         passing.append(last)
     found = state.select("g", "which", (F.col("low") + F.col("prefix")).alias("v"))
     drop_written(spark, [path, *passing[:-1]])

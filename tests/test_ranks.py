@@ -76,3 +76,34 @@ def test_summaries_of_empty_and_missing_columns(spark):
     got = {r["column"]: r for r in P.column_summaries(df, ["a", "b"], 2.0).collect()}
     assert (got["a"]["count"], got["a"]["mean"], got["a"]["q50"], got["a"]["above_bound"]) == (2, 2.0, 2.0, 1)
     assert (got["b"]["count"], got["b"]["mean"], got["b"]["q50"], got["b"]["above_bound"]) == (0, None, None, 0)
+
+
+def test_later_digits_read_only_the_rows_that_agree(spark, monkeypatch):
+    """Groups of very unlike spans: each one's first digit already parts its rows, and the passes after it read what is left."""
+    rng = random.Random(5)
+    rows = [("wide", rng.randint(-10**17, 10**17)) for _ in range(3000)] + [("narrow", 7 + rng.randint(0, 5000)) for _ in range(3000)] + [(None, 4)] * 7
+    sizes, plain = [], ranks.written
+
+    def kept(df):
+        out = plain(df)
+        if out[0].columns == ["g", "which", "v"]:
+            sizes.append(out[0].count())
+        return out
+
+    monkeypatch.setattr(ranks, "written", kept)
+    df = spark.createDataFrame(rows, "g string, v bigint").repartition(3)
+    got = {r["g"]: r["v"] for r in ranks.digit_medians(df, "g", ["v"]).collect()}
+    for g in ("wide", "narrow", None):
+        values = sorted(v for k, v in rows if k == g)
+        assert got[g] == values[(len(values) - 1) // 2]
+    assert sizes[0] == 6007 and len(sizes) > 1 and max(sizes[1:]) < 300, sizes
+
+
+def test_measures_by_digits_make_their_rows_once(spark, tmp_path):
+    """The sums do not read the source again: its plan (a spatial join, say) would run twice."""
+    spark.createDataFrame([("a", 1.0), ("a", 2.0), (None, 3.0)], "k string, p double").write.parquet(str(tmp_path / "source"))
+    df = spark.read.parquet(str(tmp_path / "source"))
+    price = F.col("p").try_cast("decimal(18,2)")
+    out = area_measures(df, "k", price, price.try_cast("decimal(24,6)"), F.col("p"), "digits")
+    assert not [f for f in out.inputFiles() if "/source/" in f]
+    assert sorted((r["k"] or "", r["count"], r["median_price"], r["avg_other"]) for r in out.collect()) == [("", 1, 3.0, 3.0), ("a", 2, 1.0, 1.5)]
