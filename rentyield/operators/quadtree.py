@@ -16,8 +16,8 @@ Points. A point is inside a zone if the reference point of its cell is, unless t
 then along the reference point's column) crosses an odd number of the pair's edges. The point's finest cell gives its
 cells on all levels by shifts; distinct positions meet the pairs of all levels in **one** join on the cell's number,
 where cells of many positions are salted. The pairs of the smallest levels may be broadcast instead, up to ``broadcast_limit``
-bytes: a few wide zones then cost no shuffled row per position. A zone's box is held against the position before its edges are. The lowest feature index per position is joined back to the points, so they are
-shuffled once whatever the number of levels, and every point is preserved without a row number.
+bytes: a few wide zones then cost no shuffled row per position. A zone's box is held against the position before its edges are. The lowest feature index per position is joined back to the points that look up, so these are
+shuffled once whatever the number of levels, and the others not at all; every point is preserved without a row number.
 
 Contract: as in ``operators.spatial``: an edge is stored from its lower to its higher end and its crossing of a row is
 computed in the same way; a point that the (rounded) cross product places on an edge is in no zone; the lowest feature index
@@ -207,10 +207,11 @@ def build_zones(zones: DataFrame, max_edges: int = DEFAULT_MAX_EDGES) -> QuadInd
     apart = z.groupBy("fid").agg(F.count(F.lit(1)).alias("n"), F.sum(F.size("edges")).alias("held"))
     apart = apart.filter((F.col("n") > 1) | (F.col("held") > max_edges)).select(F.col("fid").alias("_a")).checkpoint()
     light = z.filter("fid IS NOT NULL").join(apart, F.col("fid") == F.col("_a"), "left_anti")
-    light = _with_reference(_own_cells(light, frame))
     odd = f"CASE WHEN yr >= e.y1 AND yr < e.y2 AND {_right_of('e.', 'yr', 'xr')} THEN 1L ELSE 0L END"
     sloped = ", ".join([*(f"'{c}', e.{c}" for c in _EDGE), "'k', try_divide(e.x2 - e.x1, e.y2 - e.y1)", "'m', try_divide(e.y2 - e.y1, e.x2 - e.x1)"])
+    # slopes once per zone, before it has a row per cell
     light = light.withColumn("edges", F.expr(f"transform(edges, e -> named_struct({sloped}))"))
+    light = _with_reference(_own_cells(light, frame))
     light = light.withColumns({"par": F.expr(f"aggregate(edges, 0L, (acc, e) -> acc + {odd}) % 2"),
                                "edges": F.expr(f"filter(edges, e -> {_touches('cx', 'cy', 'size', 'e.')})")})
     rows, _ = written(light.select(cell_number(F.col("cx"), F.col("cy"), F.col("depth")).alias("cell"), "depth", "fid", "code", *_BOX,
@@ -304,6 +305,7 @@ def lookup(points: DataFrame, index: QuadIndex, lon: str = "longitude", lat: str
            max_hot_cells: int = DEFAULT_MAX_HOT_CELLS, broadcast_limit: int = 0) -> DataFrame:
     """Add ``out`` = code of the zone containing (lon, lat), else NULL; every row of ``points`` is kept as it is.
 
+    ``points`` is read once for the positions, once for the rows that look up and once for the others: it has to give the same rows each time.
     The smallest levels of the index are broadcast, as many as ``broadcast_limit`` bytes hold.
     """
     if not index.depths:
@@ -311,18 +313,14 @@ def lookup(points: DataFrame, index: QuadIndex, lon: str = "longitude", lat: str
     ok = F.col(lon).isNotNull() & F.col(lat).isNotNull()
     if where is not None:
         ok = ok & F.coalesce(where, F.lit(False))
-    rows = points.withColumns({"_px": F.when(ok, F.col(lon).cast("double")), "_py": F.when(ok, F.col(lat).cast("double"))})
     # exploded from one array, so that filters on a position stay above its parsing and do not repeat it
     at = F.explode(F.when(ok, F.array(F.struct(F.col(lon).cast("double").alias("_px"), F.col(lat).cast("double").alias("_py"))))).alias("_p")
     found = positions_found(points.select(at).select("_p.*"), index, rows_per_task, max_hot_cells, broadcast_limit)
-    spread = int(points.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    flat = [c for c, t in points.dtypes if "map<" not in t]        # a map has no hash
-    # rows that look up nothing get a salt instead of a position, so they do not pile up under NULL
-    salt = F.when(F.col("_px").isNull() | F.col("_py").isNull(), F.pmod(F.xxhash64(*flat), F.lit(spread))).otherwise(F.lit(-1).cast("long"))
-    rows = rows.withColumn("_salt", salt)
-    found = found.select(F.col("_px").alias("_fx"), F.col("_py").alias("_fy"), F.lit(-1).cast("long").alias("_fs"), F.col("code").alias(out))
-    return (rows.join(found, F.col("_px").eqNullSafe(F.col("_fx")) & F.col("_py").eqNullSafe(F.col("_fy")) & (F.col("_salt") == F.col("_fs")), "left")
-            .drop("_px", "_py", "_fx", "_fy", "_salt", "_fs"))
+    found = found.select(F.col("_px").alias("_fx"), F.col("_py").alias("_fy"), F.col("code").alias(out))
+    asked = points.filter(ok).withColumns({"_px": F.col(lon).cast("double"), "_py": F.col(lat).cast("double")})
+    answered = asked.join(found, F.col("_px").eqNullSafe(F.col("_fx")) & F.col("_py").eqNullSafe(F.col("_fy")), "left").drop("_px", "_py", "_fx", "_fy")
+    # rows that look up nothing are not shuffled, and none of their other columns is read for the lookup
+    return answered.unionByName(points.filter(~ok).withColumn(out, F.lit(None).cast("string")))
 
 
 def positions_found(positions: DataFrame, index: QuadIndex, rows_per_task: int, max_hot_cells: int, broadcast_limit: int = 0) -> DataFrame:

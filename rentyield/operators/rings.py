@@ -30,8 +30,9 @@ def well_formed(rings: str = "rings") -> Column:
 
 def zone_edges(zones: DataFrame) -> DataFrame:
     """(fid, code, rings) → (fid, code, edges, minx, miny, maxx, maxy); broken features are dropped whole."""
+    # a well-formed zone has two edges at least
     z = zones.filter(well_formed()).select("fid", "code", F.expr(_EDGES_SQL).alias("edges"))
-    z = z.filter(F.size("edges") > 0).withColumn("edges", F.expr(
+    z = z.withColumn("edges", F.expr(
         "transform(edges, e -> named_struct('x1', e.x1, 'y1', e.y1, 'x2', e.x2, 'y2', e.y2, "
         "'xlo', least(e.x1, e.x2), 'xhi', greatest(e.x1, e.x2), "
         "'ylo', e.y1, 'yhi', e.y2, "

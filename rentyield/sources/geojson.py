@@ -66,11 +66,12 @@ def zones_from_features(features: DataFrame, code_key: str | None = None,
     if code_key is None:
         return features.sparkSession.createDataFrame(
             [], "fid bigint, code string, rings array<array<array<double>>>")
-    z = features.select(
+    # exploded from one array: checks of the rings stay above their parsing, which then runs once, in the tasks the rows were dealt to
+    z = features.select(F.explode(F.array(F.struct(
         F.col("fid").cast("bigint").alias("fid"),
         F.col("properties")[code_key].alias("code"),
         rings_of(F.col("geometry")).alias("rings"),
-    )
+    ))).alias("_z")).select("_z.*")
     usable = well_formed() & F.col("code").isNotNull() & (F.col("code") != "")
     if observation is not None:
         z = z.observe(observation, F.count(F.lit(1)).alias("features"), F.count_if(~F.coalesce(usable, F.lit(False))).alias("skipped"))
