@@ -8,9 +8,10 @@ Zones. Each zone begins with the cells of its own size (four at most). A (zone,
 touch the cell, and one bit: whether the cell's reference point is inside the zone. A pair with more than ``max_edges`` edges is split into
 its 16 children; those that no edge touches are kept if they are inside. Both numbers of all pairs come from one
 aggregate over edge rows: the crossings between a child's reference point and its parent's are summed modulo 2.
-So no row ever holds more than ``max_edges`` edges, however many a zone has, and the edges of one zone are dealt over all tasks.
+So no pair ever holds more than ``max_edges`` edges, however many a zone has, and the edges of one large zone are dealt over all tasks.
 A zone of ``max_edges`` edges at most is never split: ``build_zones`` makes its pairs where its row is, without a shuffle, and
-only larger zones go through edge rows.
+only larger zones go through edge rows. ``build`` gathers the edges of zones of ``in_row`` edges at most, in one shuffle, and
+splits their pairs level by level where the row is.
 
 Points. A point is inside a zone if the reference point of its cell is, unless the way between the two (along the point's row,
 then along the reference point's column) crosses an odd number of the pair's edges. The point's finest cell gives its
@@ -79,10 +80,11 @@ def edges_of_positions(positions: DataFrame) -> DataFrame:
     Positions of a ring are joined to their successors by ``pos`` (whole numbers without gaps); an open ring is closed.
     A zone with a broken position, or a ring of fewer than three, is dropped whole.
     """
-    p = positions.select("fid", "code", "ring", F.col("pos").cast("long").alias("pos"), F.col("x").cast("double").alias("x"), F.col("y").cast("double").alias("y"))
+    # written: the positions are read four times below, and their rings three times
+    p, _ = written(positions.select("fid", "code", "ring", F.col("pos").cast("long").alias("pos"), F.col("x").cast("double").alias("x"), F.col("y").cast("double").alias("y")))
     fine = F.coalesce((F.abs("x") < F.lit(1e150)) & (F.abs("y") < F.lit(1e150)), F.lit(False))
-    rings = p.groupBy("fid", "ring").agg(F.count_if(~fine).alias("bad"), F.count("*").alias("n"), F.max("code").alias("code"),
-                                         F.min_by(F.struct("x", "y"), "pos").alias("a"), F.max_by(F.struct("x", "y"), "pos").alias("z"))
+    rings, _ = written(p.groupBy("fid", "ring").agg(F.count_if(~fine).alias("bad"), F.count("*").alias("n"), F.max("code").alias("code"),
+                                                 F.min_by(F.struct("x", "y"), "pos").alias("a"), F.max_by(F.struct("x", "y"), "pos").alias("z")))
     broken = rings.filter((F.col("bad") > 0) | (F.col("n") < 3)).select(F.col("fid").alias("_f")).distinct()
     following = p.select(F.col("fid").alias("_f"), F.col("ring").alias("_r"), (F.col("pos") - 1).alias("_p"), F.col("x").alias("xn"), F.col("y").alias("yn"))
     steps = (p.join(following, (F.col("fid") == F.col("_f")) & (F.col("ring") == F.col("_r")) & (F.col("pos") == F.col("_p")))
@@ -219,17 +221,68 @@ def build_zones(zones: DataFrame, max_edges: int = DEFAULT_MAX_EDGES) -> QuadInd
     done = [rows.filter((F.size("edges") > 0) | (F.col("par") == 1))]
     if not apart.isEmpty():
         heavy = z.join(apart, F.col("fid") == F.col("_a"), "left_semi")
-        done += _split(heavy.select("fid", "code", F.explode("edges").alias("e")).select("fid", "code", *[f"e.{c}" for c in _EDGE]), max_edges, frame)[0]
+        done += _split(heavy.select("fid", "code", F.explode("edges").alias("e")).select("fid", "code", *[f"e.{c}" for c in _EDGE]), max_edges, frame)
     return _index_of(done, frame)
 
 
-def build(edges: DataFrame, max_edges: int = DEFAULT_MAX_EDGES) -> QuadIndex:
-    """Edge rows → the tree's (zone, cell) pairs. Only the root box, depths and counts reach the driver."""
-    done, frame = _split(edges, max_edges)
-    return _index_of(done, frame) if frame else _no_index(edges.sparkSession)
+def build(edges: DataFrame, max_edges: int = DEFAULT_MAX_EDGES, in_row: int = DEFAULT_MAX_EDGES) -> QuadIndex:
+    """Edge rows → the tree's (zone, cell) pairs. Only the root box, depths and counts reach the driver.
+
+    Zones of more than ``in_row`` edges, and rows of one fid with different codes, are split by edge rows.
+    """
+    spark = edges.sparkSession
+    ensure_checkpoint_dir(spark)
+    edges, path = written(edges.select(F.col("fid").cast("long").alias("fid"), "code", *_EDGE))
+    low, high = F.least("x1", "x2"), F.greatest("x1", "x2")
+    frame = _frame(edges.select(low.alias("minx"), high.alias("maxx"), F.col("y1").alias("miny"), F.col("y2").alias("maxy")))
+    if frame is None:
+        drop_written(spark, [path])
+        return _no_index(spark)
+    n, named = F.count(F.lit(1)), F.count("code")
+    counts = edges.groupBy("fid").agg(n.alias("n"), ((F.min("code") != F.max("code")) | ((named > 0) & (named < n))).alias("unlike"))
+    apart, other = written(counts.filter((F.col("n") > in_row) | F.col("unlike")).select(F.col("fid").alias("_a")))
+    some = not apart.isEmpty()
+    light = edges.filter("fid IS NOT NULL")
+    if some:
+        light = light.join(apart, F.col("fid") == F.col("_a"), "left_anti")
+    sloped = F.struct(*_EDGE, F.expr("try_divide(x2 - x1, y2 - y1)").alias("k"), F.expr("try_divide(y2 - y1, x2 - x1)").alias("m"))
+    light = light.groupBy("fid").agg(F.max("code").alias("code"), F.min(low).alias("minx"), F.max(high).alias("maxx"),
+                                     F.min("y1").alias("miny"), F.max("y2").alias("maxy"), F.collect_list(sloped).alias("edges"))
+    done = _split_in_rows(light, max_edges, frame)
+    if some:
+        done += _split(edges.join(apart, F.col("fid") == F.col("_a"), "left_semi"), max_edges, frame)
+    drop_written(spark, [path, other])
+    return _index_of(done, frame)
+
+
+def _held(par: Column, edges: Column) -> Column:
+    """Both from one array, so that filters on them stay above and do not compute them again."""
+    return F.explode(F.array(F.struct(par.alias("par"), edges.alias("edges")))).alias("_h")
 
 
-def _split(edges: DataFrame, max_edges: int, frame: _Frame | None = None) -> tuple[list[DataFrame], _Frame | None]:
+def _split_in_rows(zones: DataFrame, max_edges: int, frame: _Frame) -> list[DataFrame]:
+    """The written pairs of each level, for zones with all their edges in a row: no row is shuffled."""
+    columns = ["fid", "code", *_BOX, "depth", "size", "cx", "cy", "xr", "yr"]
+    touching = F.expr(f"filter(edges, e -> {_touches('cx', 'cy', 'size', 'e.')})")
+    odd = f"CASE WHEN yr >= e.y1 AND yr < e.y2 AND {_right_of('e.', 'yr', 'xr')} THEN 1L ELSE 0L END"
+    rows = _with_reference(_own_cells(zones, frame)).select(*columns, _held(F.expr(f"aggregate(edges, 0L, (acc, e) -> acc + {odd}) % 2"), touching))
+    done = []
+    while True:
+        rows, _ = written(rows.select(*columns, "_h.*").withColumn("n", F.size("edges")).filter("n > 0 OR par = 1"))
+        heavy = (F.col("n") > max_edges) & (F.col("depth") < frame.deepest)
+        done.append(rows.filter(~heavy).select(cell_number(F.col("cx"), F.col("cy"), F.col("depth")).alias("cell"), "depth",
+                                               "fid", "code", *_BOX, "xr", "yr", "par", "edges"))
+        split = rows.filter(heavy)
+        if split.isEmpty():
+            return done
+        down = split.withColumns({"px": F.col("xr"), "py": F.col("yr"), "child": F.explode(F.sequence(F.lit(0), F.lit(15)))})
+        down = down.withColumns({"cx": F.col("cx") * 4 + F.col("child") % 4, "cy": F.col("cy") * 4 + F.floor(F.col("child") / 4),
+                                 "size": F.col("size") / 4, "depth": F.col("depth") + 1, "ox": F.lit(frame.origin[0]), "oy": F.lit(frame.origin[1])})
+        between = f"aggregate(edges, par, (acc, e) -> acc + {_crossings('e.', 'xr', 'yr', 'px', 'py')}) % 2"
+        rows = _with_reference(down).select(*columns, _held(F.expr(between), touching))
+
+
+def _split(edges: DataFrame, max_edges: int, frame: _Frame) -> list[DataFrame]:
     """The written pairs of each level, for zones of any size given by edge rows."""
     spark = edges.sparkSession
     edges, path = written(edges.select(F.col("fid").cast("long").alias("fid"), "code", *_EDGE, F.expr("try_divide(x2 - x1, y2 - y1)").alias("k"),
@@ -237,9 +290,6 @@ def _split(edges: DataFrame, max_edges: int, frame: _Frame | None = None) -> tup
     passing = [path]                    # tables that go once the next level is written
     boxes = edges.groupBy("fid").agg(F.min(F.least("x1", "x2")).alias("minx"), F.max(F.greatest("x1", "x2")).alias("maxx"),
                                      F.min("y1").alias("miny"), F.max("y2").alias("maxy"))
-    frame = frame or _frame(boxes)
-    if frame is None:
-        return [], None
     deepest = frame.deepest
     ox, oy = F.lit(frame.origin[0]), F.lit(frame.origin[1])
     cells = _own_cells(boxes, frame).select(F.col("fid").alias("_f"), *_BOX, "depth", "size", "cx", "cy")
@@ -275,7 +325,7 @@ def _split(edges: DataFrame, max_edges: int, frame: _Frame | None = None) -> tup
                                  "size": F.col("size") / 4, "depth": F.col("depth") + 1, "par": F.col("_par")})
         rows = _with_reference(down).withColumns({
             "touch": F.expr(_touches("cx", "cy", "size")), "odd": F.expr(_crossings("", "xr", "yr", "px", "py"))})
-    return done, frame
+    return done
 
 
 _PAIRS = f"cell long, depth int, fid long, code string, minx double, miny double, maxx double, maxy double, xr double, yr double, par long, edges {_EDGES}"
