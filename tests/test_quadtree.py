@@ -199,3 +199,23 @@ def test_zone_checks_do_not_parse_the_rings_again(spark):
     filters = [b for b in plan_of(zones).split("\n\n") if ") Filter" in b.split("\n")[0]]
     assert filters and not any("from_json" in b for b in filters)
     assert [r["code"] for r in zones.collect()] == ["1001"]
+
+
+def test_small_zones_are_split_where_their_row_is(spark, monkeypatch):
+    """The same pairs as by edge rows, which zones of few edges do not go through; rows of one fid with two codes do."""
+    zones = [(1, "holed", [_square(0.0, 0.0, 8.0), _square(2.0, 2.0, 4.0)]), (2, "wide", [_square(-9.0, -9.0, 14.0)])]
+    edges = quadtree.edges_of_zones(spark.createDataFrame(zones, ZONE)).coalesce(1)
+    columns = ["cell", "depth", "fid", "code", "minx", "maxx", "miny", "maxy", "xr", "yr", "par"]
+
+    def held(index):
+        return {(*(r[c] for c in columns), tuple(sorted((e.x1, e.y1, e.x2, e.y2) for e in r["edges"]))) for r in index.pairs.collect()}
+
+    by_rows = held(quadtree.build(edges, 3, in_row=0))
+    assert len({r[1] for r in by_rows}) > 1
+    gone = []
+    split = quadtree._split
+    monkeypatch.setattr(quadtree, "_split", lambda rows, *a: gone.append({r[0] for r in rows.select("fid").collect()}) or split(rows, *a))
+    assert held(quadtree.build(edges, 3)) == by_rows and not gone
+    twice = edges.unionByName(edges.filter("fid = 1").withColumn("code", F.lit("other")))
+    quadtree.build(twice, 3)
+    assert gone == [{1}]
