@@ -306,3 +306,39 @@ def test_one_row_of_repeated_rows_stays_and_keeps_its_text(spark):
     assert found == sorted([(1, one), (2, other), (3, clean), (None, last), (4, None), (4, None)], key=str)
     left = sorted(((r["doc_id"], r["text"]) for r in suffix_dedup.without_repeats(kept).collect()), key=str)
     assert left == found
+
+
+def test_windows_of_a_group_are_compared_in_shares(monkeypatch):
+    """The same spans as when all identifiers are sorted at once, in a part of the memory."""
+    import tracemalloc
+
+    import pyarrow as pa
+
+    class Grouped:
+        def groupBy(self, *_):
+            return self
+
+        def applyInArrow(self, run, _):
+            return run
+
+    run, rng, n = suffix_dedup.refine(Grouped(), 250), np.random.default_rng(3), 4000
+    middle = b"a passage in all of them " * 8
+    around = [bytes(rng.integers(97, 99 if i % 3 else 98, 86, np.uint8)) + middle + bytes(rng.integers(97, 99 if i % 5 else 98, 86, np.uint8)) for i in range(n)]
+    group = pa.table({"bucket": pa.array(np.arange(n) % 3), "n": pa.array(1 + (np.arange(n) % 11 == 0)), "members": pa.array(np.where(np.arange(n) % 3, 50, 20)),
+                      "row": pa.array(np.arange(n)), "place": pa.array(np.full(n, 500, np.int32)), "left": pa.array(np.full(n, 122, np.int32)), "around": pa.array(around, pa.binary())})
+    windows = n * (len(around[0]) - 250 + 1)
+    monkeypatch.setattr(suffix_dedup, "CHUNK", 100)
+    run(group.slice(0, 10))
+    tracemalloc.start()
+    try:
+        found = run(group)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    print("bytes per window", peak / windows)
+    assert peak < 30 * windows                  # before: 83
+    monkeypatch.setattr(suffix_dedup, "MOST", 30)
+    shared = run(group)
+    monkeypatch.setattr(suffix_dedup, "SHARES", 1)
+    assert sorted(map(str, run(group).to_pylist())) == sorted(map(str, shared.to_pylist()))
+    assert shared.column("key").null_count < shared.num_rows and 0 < found.num_rows == found.column("key").null_count
