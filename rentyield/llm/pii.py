@@ -181,7 +181,8 @@ def _with_terms(docs: DataFrame, text: str, **options) -> DataFrame:
              .join(terms, F.col("_entity") == F.col("entity"))
              .groupBy("_h1", "_h2", "term").agg(F.max("action").alias("action"))        # "remove" is above "general"
              .groupBy("_h1", "_h2").agg(F.map_from_entries(F.collect_list(F.struct("term", "action"))).alias("_found")))
-    found = found.select(F.col("_h1").alias("_k1"), F.col("_h2").alias("_k2"), "_found")
+    # a table of its own: else the plan that masks the texts also holds all of the counting, each time it is adapted
+    found = durable(found.select(F.col("_h1").alias("_k1"), F.col("_h2").alias("_k2"), "_found"))
     held = held.join(found, (F.col("_h1") == F.col("_k1")) & (F.col("_h2") == F.col("_k2")), "left")
     held = held.withColumn("_terms", F.when(F.col("_found").isNull(), none).otherwise(_term_spans(text)))
     return plain.unionByName(clean).unionByName(held.drop("_h1", "_h2", "_k1", "_k2", "_found"))

@@ -142,44 +142,46 @@ def kneser_ney(counts: DataFrame, order: int = ORDER, least: int = LEAST) -> Dat
     left neighbour, are discounted whole: their probability is the lower order's. Else a text that
     nothing else resembles would be predicted by its own counts. ``least`` = 1 switches this off.
     """
-    counts = counts.withColumn("len", F.shiftright("key", 56).cast("int"))
-    level = {order: counts.filter(F.col("len") == order).select("lang", "key", "n")}
-    for k in range(order - 1, 0, -1):
-        # distinct left extensions; n-grams at the beginning of a word have none and keep their counts
-        continued = level[k + 1].groupBy("lang", _suffix(F.col("key"), k + 1).alias("key")).agg(F.count("*").alias("n"))
-        begin = counts.filter(F.col("len") == k).select("lang", "key", "n")
-        level[k] = continued.unionByName(begin).groupBy("lang", "key").agg(F.sum("n").alias("n"))
-    discounts = []
+    level = {}
     for k in range(order, 0, -1):
-        ones = [F.sum((F.col("n") == i).cast("long")).alias(f"t{i}") for i in (1, 2, 3, 4)]
-        discounts.append(level[k].groupBy("lang").agg(*ones).withColumn("len", F.lit(k)))
+        grams = counts.filter(F.shiftright("key", 56) == k).select("lang", "key", "n")
+        if k < order:
+            # distinct left extensions; n-grams at the beginning of a word have none and keep their counts
+            continued = level[k + 1].groupBy("lang", _suffix(F.col("key"), k + 1).alias("key")).agg(F.count("*").alias("n"))
+            grams = durable(continued.unionByName(grams).groupBy("lang", "key").agg(F.sum("n").alias("n")))
+        level[k] = grams
+    # all orders in one plan: planning each again and again is what takes the driver's memory
+    grams = reduce(DataFrame.unionByName, [x.withColumn("len", F.lit(k)).withColumn("context", _prefix(F.col("key"), k)) for k, x in level.items()])
+    ones = [F.sum((F.col("n") == i).cast("long")).alias(f"t{i}") for i in (1, 2, 3, 4)]
     t = [F.col(f"t{i}").cast("double") for i in range(1, 5)]
     y = t[0] / (t[0] + 2 * t[1])
     # where a count of counts is zero the discount falls back to fixed values
     d = [F.when((t[i] > 0) & (t[i + 1] > 0), F.least(F.greatest(i + 1 - (i + 2) * y * t[i + 1] / t[i], F.lit(0.1)), F.lit(i + 1.0)))
          .otherwise(F.lit((0.5, 1.0, 1.5)[i])) for i in range(3)]
-    table = reduce(DataFrame.unionByName, discounts).select("lang", "len", *[x.alias(f"d{i + 1}") for i, x in enumerate(d)])
-    table = _settled(table)         # a row per language and order
+    table = grams.groupBy("lang", "len").agg(*ones).select(F.col("lang").alias("_l"), F.col("len").alias("_len"), *[x.alias(f"d{i + 1}") for i, x in enumerate(d)])
+    table = durable(table)          # a row per language and order
+    rows = grams.join(F.broadcast(table), F.col("lang").eqNullSafe(F.col("_l")) & (F.col("len") == F.col("_len"))).drop("_l", "_len")
+    least_of = F.when(F.col("len") == order, least).when(F.col("len") > 2, 2 if least > 1 else 1).otherwise(1)
+    cut = F.when(F.col("n") < least_of, F.col("n")).when(F.col("n") == 1, F.col("d1")).when(F.col("n") == 2, F.col("d2")).otherwise(F.col("d3"))
+    rows = rows.withColumn("cut", cut)
+    # a context's key holds its length, so contexts of different orders are apart
+    totals = rows.groupBy("lang", "context").agg(F.sum("n").alias("total"), F.sum("cut").alias("freed"))
+    totals = totals.select(F.col("lang").alias("_l"), F.col("context").alias("_c"), "total",
+                           (F.col("freed") / F.col("total")).alias("gamma"))
+    rows = rows.join(totals, F.col("lang").eqNullSafe(F.col("_l")) & (F.col("context") == F.col("_c")))
+    own = (F.col("n") - F.col("cut")) / F.col("total")
+    rows = rows.select("lang", "key", "len", "context", own.alias("own"), "gamma")
+    del level, grams, totals
+    rows = _settled(rows)
     levels, model = [], None
     for k in range(1, order + 1):
-        grams = level[k].withColumn("context", _prefix(F.col("key"), k))
-        rows = grams.join(F.broadcast(table.filter(F.col("len") == k)).drop("len").withColumnRenamed("lang", "_l"),
-                          F.col("lang").eqNullSafe(F.col("_l"))).drop("_l")
-        few = F.col("n") < (least if k == order else 2 if least > 1 and k > 2 else 1)
-        cut = F.when(few, F.col("n")).when(F.col("n") == 1, F.col("d1")).when(F.col("n") == 2, F.col("d2")).otherwise(F.col("d3"))
-        rows = rows.withColumn("cut", cut)
-        totals = rows.groupBy("lang", "context").agg(F.sum("n").alias("total"), F.sum("cut").alias("freed"))
-        totals = totals.select(F.col("lang").alias("_l"), F.col("context").alias("_c"), "total",
-                               (F.col("freed") / F.col("total")).alias("gamma"))
-        rows = rows.join(totals, F.col("lang").eqNullSafe(F.col("_l")) & (F.col("context") == F.col("_c")))
+        grams = rows.filter(F.col("len") == k)
         if k == 1:
-            rows = rows.withColumn("lower", F.lit(1.0 / 256))
+            grams = grams.withColumn("lower", F.lit(1.0 / 256))
         else:
             below = model.select(F.col("lang").alias("_m"), F.col("key").alias("_k"), F.exp("logp").alias("lower"))
-            rows = rows.join(below, F.col("lang").eqNullSafe(F.col("_m")) & (_suffix(F.col("key"), k) == F.col("_k")))
-        p = (F.col("n") - F.col("cut")) / F.col("total") + F.col("gamma") * F.col("lower")
-        rows = rows.select("lang", "key", F.log(p).alias("logp"), "context", "gamma")
-        model = _settled(rows)
+            grams = grams.join(below, F.col("lang").eqNullSafe(F.col("_m")) & (_suffix(F.col("key"), k) == F.col("_k")))
+        model = durable(grams.select("lang", "key", F.log(F.col("own") + F.col("gamma") * F.col("lower")).alias("logp"), "context", "gamma"))
         levels.append(model)
     model = reduce(DataFrame.unionByName, levels)
     weights = model.groupBy(F.col("lang").alias("_l"), F.col("context").alias("_c")).agg(F.log(F.max("gamma")).alias("backoff"))

@@ -198,6 +198,18 @@ def test_kneser_ney_matches_a_plain_model(spark):
     assert quality_rules.gram_logp(arrays, "en", unseen)[0] < -5
 
 
+def test_model_takes_few_jobs(spark):
+    """The driver plans each job: the n-grams' levels are not made again for every order."""
+    sc = spark.sparkContext
+    df = spark.createDataFrame([(f"word{i} and other words {i % 3}", "en") for i in range(20)], "text string, lang string")
+    sc.setJobGroup("kneser_ney", "")
+    try:
+        quality_rules.kneser_ney(quality_rules.gram_counts(df).checkpoint()).collect()
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+    assert 0 < len(sc.statusTracker().getJobIdsForGroup("kneser_ney")) <= 60
+
+
 def test_joined_scores_equal_sent_model(documents):
     few = documents.filter("doc_id < 40")
     a = {r["doc_id"]: (r["ppl"], r["kept"]) for r in quality_rules.quality(few).collect()}
