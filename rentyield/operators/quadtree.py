@@ -35,7 +35,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
-from ..sources.tables import drop_written, written
+from ..sources.tables import drop_written, release, written
 from .rings import zone_edges
 
 DEFAULT_ROWS_PER_TASK = 2_000_000
@@ -352,10 +352,12 @@ def _with_reference(df: DataFrame) -> DataFrame:
 
 def lookup(points: DataFrame, index: QuadIndex, lon: str = "longitude", lat: str = "latitude", out: str = "zone_code",
            where: Column | None = None, rows_per_task: int = DEFAULT_ROWS_PER_TASK,
-           max_hot_cells: int = DEFAULT_MAX_HOT_CELLS, broadcast_limit: int = 0) -> DataFrame:
+           max_hot_cells: int = DEFAULT_MAX_HOT_CELLS, broadcast_limit: int = 0, in_steps: bool = False) -> DataFrame:
     """Add ``out`` = code of the zone containing (lon, lat), else NULL; every row of ``points`` is kept as it is.
 
     The smallest levels of the index are broadcast, as many as ``broadcast_limit`` bytes hold.
+    ``in_steps`` takes less disk at a time: the positions found are written, and the shuffle files they took let go, before
+    the rows are joined to them, and rows that look up nothing are not shuffled. The points are read once more for it.
     """
     if not index.depths:
         return points.withColumn(out, F.lit(None).cast("string"))
@@ -366,6 +368,8 @@ def lookup(points: DataFrame, index: QuadIndex, lon: str = "longitude", lat: str
     # exploded from one array, so that filters on a position stay above its parsing and do not repeat it
     at = F.explode(F.when(ok, F.array(F.struct(F.col(lon).cast("double").alias("_px"), F.col(lat).cast("double").alias("_py"))))).alias("_p")
     found = positions_found(points.select(at).select("_p.*"), index, rows_per_task, max_hot_cells, broadcast_limit)
+    if in_steps:
+        return _joined_in_steps(rows, written(found)[0], out)
     spread = int(points.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     flat = [c for c, t in points.dtypes if "map<" not in t]        # a map has no hash
     # rows that look up nothing get a salt instead of a position, so they do not pile up under NULL
@@ -376,6 +380,19 @@ def lookup(points: DataFrame, index: QuadIndex, lon: str = "longitude", lat: str
             .drop("_px", "_py", "_fx", "_fy", "_salt", "_fs"))
 
 
+def _joined_in_steps(rows: DataFrame, found: DataFrame, out: str) -> DataFrame:
+    """``rows`` with the code ``found`` for (_px, _py); only rows that have both are shuffled."""
+    release(rows.sparkSession)
+    # exploded from one array, so that the filters on a position stay above the rows' parsing and do not repeat it
+    rows = rows.select(F.explode(F.array(F.struct(*[F.col(f"`{c}`") for c in rows.columns]))).alias("_r")).select("_r.*")
+    have = F.col("_px").isNotNull() & F.col("_py").isNotNull()
+    found = found.select(F.col("_px").alias("_fx"), F.col("_py").alias("_fy"), F.col("code").alias(out))
+    # merged: what the positions take packed in files says little about what they would take broadcast
+    looked = rows.filter(have).join(found.hint("merge"), (F.col("_px") == F.col("_fx")) & (F.col("_py") == F.col("_fy")), "left").drop("_fx", "_fy")
+    other = rows.filter(~have).withColumn(out, F.lit(None).cast("string"))
+    return looked.unionByName(other).drop("_px", "_py")
+
+
 def positions_found(positions: DataFrame, index: QuadIndex, rows_per_task: int, max_hot_cells: int, broadcast_limit: int = 0) -> DataFrame:
     """(_px, _py, code): the distinct positions that are in a zone. One join on the cell for all levels but those broadcast."""
     spark = positions.sparkSession

@@ -134,19 +134,20 @@ def spatial_join(points: DataFrame, zones: DataFrame | ZoneIndex | QuadIndex, lo
                  out: str = "zone_code", where: Column | None = None, cell: float | None = None,
                  broadcast_limit: int = DEFAULT_BROADCAST_LIMIT,
                  rows_per_task: int = DEFAULT_ROWS_PER_TASK,
-                 max_hot_cells: int = DEFAULT_MAX_HOT_CELLS) -> DataFrame:
+                 max_hot_cells: int = DEFAULT_MAX_HOT_CELLS, in_steps: bool = False) -> DataFrame:
     """Add ``out`` = code of the zone containing (lon, lat), else NULL.
 
     ``zones`` has columns (fid, code, rings: array<array<array<double>>>), or is what ``prepare`` or
     ``quadtree.build`` or ``quadtree.build_zones`` made of them. Rows where ``where`` is false, or a coordinate is NULL, are passed through
     with NULL and never meet the index. An index larger than ``broadcast_limit`` is made a quadtree of edges and
     joined by one shuffle of the points; its levels are broadcast as far as ``broadcast_limit`` goes. A prepared index builds it once.
+    ``in_steps``: as in ``quadtree.lookup``.
     """
     index = zones if isinstance(zones, ZoneIndex | QuadIndex) else prepare(zones, cell)
     if isinstance(index, ZoneIndex) and index.size_bound > broadcast_limit:
         index = index.quad
     if isinstance(index, QuadIndex):
-        return quadtree.lookup(points, index, lon, lat, out, where, rows_per_task, max_hot_cells, broadcast_limit)
+        return quadtree.lookup(points, index, lon, lat, out, where, rows_per_task, max_hot_cells, broadcast_limit, in_steps)
     ok = F.col(lon).isNotNull() & F.col(lat).isNotNull()
     if where is not None:
         ok = ok & F.coalesce(where, F.lit(False))

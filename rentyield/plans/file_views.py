@@ -18,10 +18,13 @@ from ..session import ensure_checkpoint_dir
 from ..sources import demo
 from ..sources.geojson import split_features, zones_from_features
 from ..sources.files import read_listings, read_rentals, unwrap_singletons
-from ..sources.tables import load, preview
+from ..sources.tables import load, preview, release
 from .refresh import refresh
 from .run import audit_rows, reconcile, run, target, verify
 
+# raw files are packed, and not too large for one task each, as a packed file cannot be split
+PACKED = {"compression": "gzip", "maxRecordsPerFile": 500_000}
+
 _WRITTEN: dict[tuple[str, str], Paths] = {}
 _RUN: dict[tuple[str, str], Paths] = {}
 _DOCUMENT: dict[tuple[str, str], str] = {}
@@ -34,12 +37,13 @@ def raw_files(spark: SparkSession, d: str) -> Paths:
         folder = f"{ensure_checkpoint_dir(spark).rstrip('/')}/drop-{uuid.uuid4().hex}"
         paths = Paths(raw=f"{folder}/raw", tables=f"{folder}/tables", rentals_multiline=False, zones_per_line=True)
         keep_blanks = {"header": True, "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
-        demo.stays(spark, d).write.options(**keep_blanks).csv(f"{paths.raw}/{paths.listings_file}")
+        demo.stays(spark, d).write.options(**keep_blanks, **PACKED).csv(f"{paths.raw}/{paths.listings_file}")
         lets = demo.lets(spark, d).withColumns({c: F.array(c) for c in ("_id", "firstSeenAt", "lastSeenAt")})
-        lets.write.json(f"{paths.raw}/{paths.rentals_file}")
+        lets.write.options(**PACKED).json(f"{paths.raw}/{paths.rentals_file}")
         # one file in feature order, as a zone file is: the order decides where zones overlap; only sorting and writing are one task's
         _feature_lines(spark, d).repartition(1).sortWithinPartitions("fid").select("value") \
             .write.text(f"{paths.raw}/{paths.zones_file}")
+        release(spark)
         _WRITTEN[key] = paths
     return _WRITTEN[key]
 

@@ -22,7 +22,7 @@ from ..functions.standardize import rent_amount
 from ..operators.spatial import ZoneIndex, prepare
 from ..params import Assumptions, Bounds, Labels, Paths
 from ..sources.geojson import read_zones
-from ..sources.tables import ensure_namespace, load, save, spread
+from ..sources.tables import ensure_namespace, load, passing, release, save, spread
 from .bronze import bronze_listings, bronze_rentals
 from .gold import gold
 from .silver import silver_lets, silver_stays
@@ -70,6 +70,7 @@ def _write(audit: Audit, key: str, df: DataFrame, paths: Paths, partition_by: li
     df = df.observe(obs, F.count(F.lit(1)).alias("rows"), fingerprint(df).alias("fingerprint"), *[F.count_if(c).alias(k) for k, c in conds.items()])
     save(df, target(paths, key), partition_by)
     audit.record(key, obs)
+    release(df.sparkSession)                  # else the shuffle files of all layers stay until the run ends
 
 
 def _zones(spark: SparkSession, paths: Paths, observation: Observation) -> ZoneIndex | None:
@@ -107,14 +108,15 @@ def run_bronze(spark: SparkSession, paths: Paths, audit: Audit) -> None:
 def silver_listings_step(spark: SparkSession, paths: Paths, audit: Audit, bounds: Bounds) -> None:
     # parser rejects (text given, value NULL) are observed inside the same write
     stay_rejects, zone_counts = Observation("listing_rejects"), Observation("zones")
-    zones = _zones(spark, paths, zone_counts)
-    if zones is not None:
-        audit.record("zones", zone_counts)
-    stays = silver_stays(spread(load(spark, target(paths, "bronze_listings")), parallel_filters=True),
-                         zones, bounds, stay_rejects)
-    _write(audit, "silver_listings", stays, paths,
-           missing_pc4=F.col("pc4").isNull(), backfilled=F.col("pc4_backfilled"),
-           price_outliers=F.col("is_price_outlier"))
+    with passing(spark):
+        zones = _zones(spark, paths, zone_counts)
+        if zones is not None:
+            audit.record("zones", zone_counts)
+        stays = silver_stays(spread(load(spark, target(paths, "bronze_listings")), parallel_filters=True),
+                             zones, bounds, stay_rejects, in_steps=True)
+        _write(audit, "silver_listings", stays, paths,
+               missing_pc4=F.col("pc4").isNull(), backfilled=F.col("pc4_backfilled"),
+               price_outliers=F.col("is_price_outlier"))
     audit.record("silver_listings_rejects", stay_rejects)
 
 

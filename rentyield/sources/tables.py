@@ -6,7 +6,12 @@ value containing '/'); a layer is just a naming rule.
 
 from __future__ import annotations
 
+import gc
+import time
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
@@ -14,6 +19,8 @@ from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
 
+_PASSING: ContextVar[list[str] | None] = ContextVar("passing", default=None)
+
 
 def _is_path(target: str) -> bool:
     return "/" in target
@@ -48,6 +55,9 @@ def written(df: DataFrame) -> tuple[DataFrame, str]:
     """
     spark = df.sparkSession
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/table-{uuid.uuid4().hex}"
+    noted = _PASSING.get()
+    if noted is not None:
+        noted.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path), path
 
@@ -60,6 +70,36 @@ def drop_written(spark: SparkSession, paths: list[str]) -> None:
         p.getFileSystem(sc._jsc.hadoopConfiguration()).delete(p, True)
 
 
+@contextmanager
+def passing(spark: SparkSession) -> Iterator[None]:
+    """Tables that ``written`` makes within are deleted at the end: for a step that saves what it made of them."""
+    paths: list[str] = []
+    token = _PASSING.set(paths)
+    try:
+        yield
+    finally:
+        _PASSING.reset(token)
+        drop_written(spark, paths)
+
+
+def release(spark: SparkSession) -> None:
+    """Let Spark's cleaner delete the shuffle files and checkpoints that nothing refers to any more.
+
+    It acts on what the driver's garbage collector finds; a driver with room seldom collects, and a run of many
+    steps would keep the files of all. Two rounds: the first one frees the last job's plan.
+    """
+    try:
+        jvm = spark.sparkContext._jvm
+    except PySparkException as e:             # a Connect session: its server's driver collects by itself
+        if "NOT_SUPPORTED" not in (e.getCondition() or "") and "NOT_IMPLEMENTED" not in (e.getCondition() or ""):
+            raise
+        return
+    for _ in range(2):
+        gc.collect()
+        jvm.System.gc()
+        time.sleep(0.3)
+
+
 def preview(df: DataFrame, n: int = 5) -> DataFrame:
     """IO15: the first n rows (a preview is the feature; plans as a local limit)."""
     return df.limit(n)
