@@ -53,7 +53,7 @@ def changed_drop(spark: SparkSession, paths: Paths, which: Column, drop: bool =
     later = replace(paths, rentals_file=f"rentals-{uuid.uuid4().hex}.json")
     rentals, hit = spark.read.json(f"{paths.raw}/{paths.rentals_file}"), F.coalesce(which, F.lit(False))
     rentals = rentals.filter(~hit) if drop else rentals.withColumn("rent", F.when(hit, F.concat(F.lit("1"), "rent")).otherwise(F.col("rent")))
-    rentals.write.json(f"{later.raw}/{later.rentals_file}")
+    rentals.write.options(**PACKED).json(f"{later.raw}/{later.rentals_file}")
     return later
 
 

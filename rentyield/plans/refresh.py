@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from ..params import Assumptions, Bounds, Labels, Paths
 from ..session import ensure_checkpoint_dir
 from ..sources.geojson import read_features
-from ..sources.tables import ensure_namespace, load, save
+from ..sources.tables import ensure_namespace, load, release, save
 from . import run as R
 from .bronze import bronze_listings, bronze_rentals
 
@@ -136,9 +136,10 @@ def refresh(spark: SparkSession, paths: Paths, a: Assumptions = Assumptions(), b
         written["bronze_rentals"] = (total, 0)
     elif differs("rentals"):
         which = found.filter((F.col("input") == "rentals") & (F.col("status") != "same")).select(F.col("part").alias("_p"))
-        some = rentals.join(which, F.col(part) == F.col("_p"), "left_semi").hint("rebalance", F.col(part))
+        some = rentals.join(F.broadcast(which), F.col(part) == F.col("_p"), "left_semi").hint("rebalance", F.col(part))
         target = R.target(paths, "bronze_rentals")
         _overwrite_parts(some, target, part)
+        release(spark)
         if paths.database:
             spark.catalog.refreshTable(target)
         table = load(spark, target)

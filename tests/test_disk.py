@@ -17,10 +17,10 @@ from pyspark.sql import functions as F
 from conftest import SF_SMALL
 from rentyield.operators import quadtree
 from rentyield.operators.spatial import prepare
-from rentyield.plans import file_views, run as running
+from rentyield.plans import file_views, refresh as refreshing, run as running
 from rentyield.session import ensure_checkpoint_dir
 from rentyield.sources import demo
-from rentyield.sources.tables import passing, written
+from rentyield.sources.tables import load, passing, written
 
 
 def data_files(folder: str) -> list[str]:
@@ -45,11 +45,12 @@ def plan_of(df) -> str:
 
 def test_raw_files_are_packed_and_whole(spark):
     paths = file_views.raw_files(spark, SF_SMALL)
-    for name in (paths.listings_file, paths.rentals_file):
+    later = file_views.changed_drop(spark, paths, F.lower("city") == "utrecht")
+    for name in (paths.listings_file, paths.rentals_file, later.rentals_file):
         files = data_files(f"{paths.raw}/{name}")
         assert files and all(f.endswith(".gz") for f in files)
     assert file_views.file_listings(spark, SF_SMALL).count() == demo.stays(spark, SF_SMALL).count()
-    assert file_views.file_rentals(spark, SF_SMALL).count() == demo.lets(spark, SF_SMALL).count()
+    assert file_views.file_rentals(spark, SF_SMALL).count() == demo.lets(spark, SF_SMALL).count() == spark.read.json(f"{later.raw}/{later.rentals_file}").count()
 
 
 def test_a_run_lets_go_of_each_step(spark, monkeypatch):
@@ -104,3 +105,13 @@ def test_lookup_in_steps_keeps_every_row(spark):
         plan = plan_of(quadtree.lookup(points, index, "lon", "lat", "code", F.col("wanted"), in_steps=True))
     # one shuffle for the rows that look something up, one for what was found; the other rows have none
     assert plan.count(") Exchange") == 2 and "Union" in plan
+
+
+def test_changed_parts_are_picked_without_a_shuffle_of_all(spark, monkeypatch):
+    paths = dataclasses.replace(file_views.raw_files(spark, SF_SMALL), tables=tempfile.mkdtemp(prefix="rentyield-disk-", dir="/tmp"))
+    refreshing.refresh(spark, paths)
+    city = load(spark, running.target(paths, "bronze_rentals")).filter("lower(city) <> 'amsterdam'").select("city").first()[0]
+    plans, write = [], refreshing._overwrite_parts
+    monkeypatch.setattr(refreshing, "_overwrite_parts", lambda df, *rest: (plans.append(plan_of(df)), write(df, *rest)))
+    refreshing.refresh(spark, file_views.changed_drop(spark, paths, F.col("city") == city))
+    assert len(plans) == 1 and "BroadcastHashJoin LeftSemi" in plans[0] and "SortMergeJoin" not in plans[0]
