@@ -35,7 +35,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
-from ..sources.tables import drop_written, release, written
+from ..sources.tables import drop_written, written
 from .rings import zone_edges
 
 DEFAULT_ROWS_PER_TASK = 2_000_000
@@ -356,8 +356,9 @@ def lookup(points: DataFrame, index: QuadIndex, lon: str = "longitude", lat: str
     """Add ``out`` = code of the zone containing (lon, lat), else NULL; every row of ``points`` is kept as it is.
 
     The smallest levels of the index are broadcast, as many as ``broadcast_limit`` bytes hold.
-    ``in_steps`` takes less disk at a time: the positions found are written, and the shuffle files they took let go, before
-    the rows are joined to them, and rows that look up nothing are not shuffled. The points are read once more for it.
+    ``in_steps`` takes less disk at a time: the positions found are written before the rows are joined to them, so the index
+    and the files of its joins may go (``tables.release``), and rows that look up nothing are not shuffled. The points are
+    read once more for it.
     """
     if not index.depths:
         return points.withColumn(out, F.lit(None).cast("string"))
@@ -382,7 +383,6 @@ def lookup(points: DataFrame, index: QuadIndex, lon: str = "longitude", lat: str
 
 def _joined_in_steps(rows: DataFrame, found: DataFrame, out: str) -> DataFrame:
     """``rows`` with the code ``found`` for (_px, _py); only rows that have both are shuffled."""
-    release(rows.sparkSession)
     # exploded from one array, so that the filters on a position stay above the rows' parsing and do not repeat it
     rows = rows.select(F.explode(F.array(F.struct(*[F.col(f"`{c}`") for c in rows.columns]))).alias("_r")).select("_r.*")
     have = F.col("_px").isNotNull() & F.col("_py").isNotNull()

@@ -114,6 +114,8 @@ def silver_listings_step(spark: SparkSession, paths: Paths, audit: Audit, bounds
             audit.record("zones", zone_counts)
         stays = silver_stays(spread(load(spark, target(paths, "bronze_listings")), parallel_filters=True),
                              zones, bounds, stay_rejects, in_steps=True)
+        zones = None                          # a quadtree of them has been met: its checkpoints and shuffle files go
+        release(spark)
         _write(audit, "silver_listings", stays, paths,
                missing_pc4=F.col("pc4").isNull(), backfilled=F.col("pc4_backfilled"),
                price_outliers=F.col("is_price_outlier"))
