@@ -18,7 +18,6 @@ from conftest import SF_SMALL
 from rentyield.operators import quadtree
 from rentyield.operators.spatial import prepare
 from rentyield.plans import file_views, refresh as refreshing, run as running
-from rentyield.session import ensure_checkpoint_dir
 from rentyield.sources import demo
 from rentyield.sources.tables import load, passing, written
 
@@ -32,8 +31,8 @@ def shuffle_files(spark) -> set[str]:
     return {name for name in (found.apply(i).getName() for i in range(found.size())) if name.startswith("shuffle_")}
 
 
-def tables_written(spark) -> set[str]:
-    return {f for f in os.listdir(ensure_checkpoint_dir(spark)) if f.startswith("table-")}
+def there(path: str) -> bool:
+    return os.path.isdir(path.removeprefix("file:"))
 
 
 def plan_of(df) -> str:
@@ -56,13 +55,18 @@ def test_raw_files_are_packed_and_whole(spark):
 def test_a_run_lets_go_of_each_step(spark, monkeypatch):
     paths = dataclasses.replace(file_views.raw_files(spark, SF_SMALL), tables=tempfile.mkdtemp(prefix="rentyield-disk-", dir="/tmp"))
     monkeypatch.setattr(running, "silver_stays", functools.partial(running.silver_stays, broadcast_limit=0))
-    files, tables, held = shuffle_files(spark), tables_written(spark), {}
-    save = running.save
+    files, tables, held, save = shuffle_files(spark), [], {}, running.save
+
+    def writing(df):
+        table, path = written(df)
+        tables.append(path)
+        return table, path
 
     def saving(df, target, partition_by=None):
-        held[os.path.basename(target)] = len(tables_written(spark) - tables)
+        held[os.path.basename(target)] = sum(there(t) for t in tables)
         save(df, target, partition_by)
 
+    monkeypatch.setattr(quadtree, "written", writing)
     monkeypatch.setattr(running, "save", saving)
     running.run(spark, paths)
     until = time.time() + 20            # the cleaner works beside the run
@@ -71,17 +75,17 @@ def test_a_run_lets_go_of_each_step(spark, monkeypatch):
     assert not shuffle_files(spark) - files
     # the zones as a quadtree and the positions found are there for the one write, and gone after it
     assert held["silver_listings"] >= 2 and held["silver_rentals"] == held["gold_area_revenue"] == 0
-    assert tables_written(spark) == tables
+    assert tables and not any(there(t) for t in tables)
 
 
 def test_tables_of_a_step_go_when_it_fails(spark):
-    before = tables_written(spark)
+    path = None
     with contextlib.suppress(ZeroDivisionError), passing(spark):
-        assert written(spark.range(3).toDF("a"))[0].count() == 3
+        table, path = written(spark.range(3).toDF("a"))
+        assert table.count() == 3 and there(path)
         raise ZeroDivisionError
-    assert tables_written(spark) == before
-    _, path = written(spark.range(1).toDF("a"))
-    assert os.path.basename(path) in tables_written(spark)
+    assert not there(path)
+    assert there(written(spark.range(1).toDF("a"))[1])
 
 
 def test_lookup_in_steps_keeps_every_row(spark):
